@@ -11,6 +11,12 @@ from .common import scratch_path, table
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import lm_scores
+
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cache table of its own for each run, so that every distinct text is encoded in it."""
     from .tokencounts import token_counts
