@@ -31,6 +31,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import digest, find_items
+
+    return digest(find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
