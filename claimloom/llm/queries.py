@@ -37,6 +37,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngramjoin import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
