@@ -17,6 +17,13 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"))
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_inner_products
+
+    rows = table(spark, sf_dir, "embeddings")
+    return top_inner_products(rows, rows.where("vec_id % 50 = 0"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cache table of its own for each run, so that every distinct text is encoded in it."""
     from .tokencounts import token_counts
@@ -47,5 +54,20 @@ def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+ORACLES = {
+    "op3_exact_topk": """
+        with v as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (
+            select q.vec_id as query_id, c.vec_id as vec_id, list_inner_product(q.e, c.e)::bigint as score
+            from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 50 = 0)
+        select query_id, rank::int as rank, vec_id, score
+        from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 5
+    """,
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
