@@ -6,11 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path, table
+from .common import doc_fold, scratch_path, table
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four fifths of the ids (by checksum) may be learned from; the rest is held out."""
+    from .langid import fit, predict
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.where(doc_fold(5) != 0).select("doc_id", "text", "lang"))
+    return predict(docs, model).withColumn("held_out", doc_fold(5) == 0).select("doc_id", "held_out", "lang_pred", "score", "rejected", "lang_open")
+
+
 def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm import lm_scores
 
