@@ -47,6 +47,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secretscan import digest, find_secrets, train
+
+    docs = table(spark, sf_dir, "documents")
+    return digest(find_secrets(docs.select("doc_id", "text"), train(docs)))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import digest, find_items
 
