@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -64,6 +67,12 @@ def drop_stored(df: DataFrame) -> None:
             target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def reclaim(df: DataFrame) -> None:
+    """Have Spark's cleaner remove the shuffle files of finished steps, which else stay until the driver's next full collection."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def input_parts(df: DataFrame, mb_each: int = 8) -> int:
     """How many parts hold about ``mb_each`` MB of the stored input each; it grows with the input."""
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
@@ -75,6 +84,13 @@ def doc_fold(modulus: int, column: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def release() -> None:
+    """Give a Python worker's freed memory back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.Table]:
     """Join small Arrow batches, and cut large ones, into tables of about ``limit`` bytes of ``column``.
 
@@ -99,7 +115,9 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 
 
 def map_blocks(df: DataFrame, make: Callable[[pa.Table], pa.Table | pa.RecordBatch | None], schema: str, column: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
-    """``mapInArrow`` over blocks of bounded bytes."""
+    """``mapInArrow`` over blocks of bounded bytes; Arrow batches are kept small, since texts may be long."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20)
 
     def run(batches):
         for block in blocks(batches, column, limit):
@@ -107,5 +125,7 @@ def map_blocks(df: DataFrame, make: Callable[[pa.Table], pa.Table | pa.RecordBat
             if out is None:
                 continue
             yield from out.to_batches(max_chunksize=4096) if isinstance(out, pa.Table) else [out]
+            del out, block
+            release()
 
     return df.mapInArrow(run, schema)

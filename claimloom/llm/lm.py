@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import doc_fold, input_parts, map_blocks, stored
+from .common import doc_fold, input_parts, map_blocks, release, stored
 
 END, START = np.uint64(0x5EED5EED00000001), np.uint64(0x5EED5EED00000002)
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 #: EM sees estimates on a grid of half powers of two; cell 0 is probability zero.
 GRID, BUCKETS = 160, 66
 _ROW = "dest int, kind int, block string, bucket int, a binary, b binary, c binary, d binary, x bigint, y bigint"
@@ -59,11 +59,21 @@ def small(counts: np.ndarray) -> np.ndarray:
     return counts.astype("<u4" if not len(counts) or counts.max() < 1 << 32 else "<u8")
 
 
-def ranks(prev: np.ndarray, now: np.ndarray, hashes: np.ndarray):
+def pair_bits(input_bytes: int) -> int:
+    """Bits of a pair's hash: so many that below one pair in 100,000 shares its hash, at a pair for each 8 bytes of input."""
+    return min(64, max(40, (input_bytes // 8).bit_length() + 17))
+
+
+def short(hashes: np.ndarray) -> np.ndarray:
+    """The leading 40 bits of word hashes, of which pair hashes are made."""
+    return hashes >> np.uint64(24)
+
+
+def ranks(prev: np.ndarray, now: np.ndarray, shorts: np.ndarray, bits: int):
     """Sorted hashes of distinct pairs, and for each token the rank of its pair."""
-    pairs, where = np.unique(prev * len(hashes) + now, return_inverse=True)
-    a, b = np.divmod(pairs, len(hashes))
-    h = words.mix(hashes[a] * np.uint64(0x9E3779B97F4A7C15) + hashes[b])
+    pairs, where = np.unique(prev * len(shorts) + now, return_inverse=True)
+    a, b = np.divmod(pairs, len(shorts))
+    h = words.mix(shorts[a] * np.uint64(0x9E3779B97F4A7C15) + shorts[b]) >> np.uint64(64 - bits)
     order = np.argsort(h, kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
@@ -80,47 +90,47 @@ def sequences(lengths: np.ndarray, codes: np.ndarray, end: int, start: int):
     return prev, now
 
 
-def order_of(hashes: np.ndarray):
-    order = np.argsort(hashes, kind="stable")
+def order_of(shorts: np.ndarray):
+    """The order in which a block's words are sent; words whose leading bits agree stay in the order of their codes."""
+    order = np.argsort(shorts, kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     return order, rank
 
 
-def read_block(table: pa.Table, buckets: int, learn_not: int, held: int) -> pa.Table:
-    """Count one block of texts; column ``fold`` is the document's remainder."""
-    ids, folds = table["doc_id"], table["fold"].to_numpy()
+def read_block(table: pa.Table, buckets: int, bits: int) -> pa.Table:
+    """Count one block of texts; column ``part`` is 0 for texts to learn from, 1 for EM's held-out part of them, 2 for others."""
+    ids, folds = table["doc_id"], table["part"].to_numpy()
     starts, codes, uniques = words.split(table["text"], words.LOWER)
     hashes = np.concatenate([words.hashes(uniques), [END, START]]).astype(np.uint64)
     end, start = len(hashes) - 2, len(hashes) - 1
     lengths = np.diff(starts)
     prev, now = sequences(lengths, codes, end, start)
     token_fold = np.repeat(folds, lengths + 1)
-    kept, deleted = (token_fold != learn_not) & (token_fold != held), token_fold == held
+    kept, deleted = token_fold == 0, token_fold == 1
     block = uuid.uuid4().hex
-    shift = np.uint64(64 - (buckets - 1).bit_length()) if buckets > 1 else np.uint64(63)
     out: list[dict] = []
 
-    def send(kind: int, h: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-        bucket = (h >> shift).astype(np.int64) if buckets > 1 else np.zeros(len(h), np.int64)
+    def send(kind: int, h: np.ndarray, width: int, a: np.ndarray, b: np.ndarray) -> None:
+        bucket = (h >> np.uint64(width - (buckets - 1).bit_length())).astype(np.int64)
         edges = np.searchsorted(bucket, np.arange(buckets + 1))
         for k in np.flatnonzero(np.diff(edges)):
             part = slice(edges[k], edges[k + 1])
             out.append({"dest": kind * buckets + int(k), "kind": kind, "block": block, "bucket": int(k), "a": deflate(np.diff(h[part], prepend=np.uint64(0))), "b": deflate(small(a[part])), "c": deflate(small(b[part]))})
 
-    order, rank = order_of(hashes)
+    order, rank = order_of(short(hashes))
     one = lambda mask: np.bincount(rank[now[mask]], minlength=len(order))
     a, b = one(kept), one(deleted)
-    a[rank[start]], b[rank[start]] = int(((folds != learn_not) & (folds != held)).sum()), int((folds == held).sum())
-    send(UNIGRAM, hashes[order], a, b)
-    pair_hashes, pair = ranks(prev, now, hashes)
-    send(BIGRAM, pair_hashes, np.bincount(pair[kept], minlength=len(pair_hashes)), np.bincount(pair[deleted], minlength=len(pair_hashes)))
+    a[rank[start]], b[rank[start]] = int((folds == 0).sum()), int((folds == 1).sum())
+    send(UNIGRAM, hashes[order], 64, a, b)
+    pair_hashes, pair = ranks(prev, now, short(hashes), bits)
+    send(BIGRAM, pair_hashes, bits, np.bincount(pair[kept], minlength=len(pair_hashes)), np.bincount(pair[deleted], minlength=len(pair_hashes)))
     home = 2 * buckets + int(block[:8], 16) % buckets
-    docs = pa.table({"doc_id": ids, "fold": table["fold"]}).combine_chunks()
+    docs = pa.table({"doc_id": ids, "part": table["part"]}).combine_chunks()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, docs.schema) as w:
         w.write_table(docs)
-    out.append({"dest": home, "kind": TEXTS, "block": block, "a": sink.getvalue().to_pybytes(), "b": deflate(lengths), "c": deflate(codes.astype("<u4")), "d": hashes.tobytes()})
+    out.append({"dest": home, "kind": TEXTS, "block": block, "a": sink.getvalue().to_pybytes(), "b": deflate(lengths), "c": deflate(codes.astype("<u4")), "d": short(hashes).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()})
     if deleted.any():
         out.append({"dest": home, "kind": HELD, "block": block, "a": deflate(rank[prev[deleted]].astype("<u4")), "b": deflate(rank[now[deleted]].astype("<u4")), "c": deflate(pair[deleted].astype("<u4"))})
     return pa.Table.from_pylist(out, _ARROW)
@@ -128,6 +138,7 @@ def read_block(table: pa.Table, buckets: int, learn_not: int, held: int) -> pa.T
 
 def add_up(group: pa.Table) -> pa.Table:
     """Totals of a bucket's hashes, handed back to each block; texts pass through."""
+    release()
     rows = group.to_pylist()
     if rows[0]["kind"] >= TEXTS:
         return group
@@ -169,6 +180,7 @@ def held_out_cells(n: int):
     """Histogram over (context bucket, cell of the pair estimate, cell of the word estimate) of a block's deleted tokens."""
 
     def count(group: pa.Table) -> pa.Table:
+        release()
         rows = group.to_pylist()
         word, pair = _totals(rows, "a")
         cells = np.zeros(0, np.int64)
@@ -204,8 +216,9 @@ def expectation_maximisation(cells: dict[int, int], vocabulary: int, rounds: int
     return weights
 
 
-def score_block(weights: np.ndarray, n: int, v: int, learn_not: int):
+def score_block(weights: np.ndarray, n: int, v: int, bits: int):
     def score(group: pa.Table) -> pa.Table:
+        release()
         rows = group.to_pylist()
         word, pair = _totals(rows, "b")
         tables = []
@@ -213,10 +226,13 @@ def score_block(weights: np.ndarray, n: int, v: int, learn_not: int):
             if r["kind"] != TEXTS:
                 continue
             docs = pa.ipc.open_stream(r["a"]).read_all()
-            lengths, codes, hashes = inflate(r["b"], "<i8"), inflate(r["c"], "<u4").astype(np.int64), np.frombuffer(r["d"], np.uint64)
-            prev, now = sequences(lengths, codes, len(hashes) - 2, len(hashes) - 1)
-            _, rank = order_of(hashes)
-            _, both = ranks(prev, now, hashes)
+            lengths, codes = inflate(r["b"], "<i8"), inflate(r["c"], "<u4").astype(np.int64)
+            wide = np.zeros((len(r["d"]) // 5, 8), np.uint8)
+            wide[:, :5] = np.frombuffer(r["d"], np.uint8).reshape(-1, 5)
+            shorts = wide.view("<u8").reshape(-1)
+            prev, now = sequences(lengths, codes, len(shorts) - 2, len(shorts) - 1)
+            _, rank = order_of(shorts)
+            _, both = ranks(prev, now, shorts, bits)
             count, context = word[rank[now]], word[rank[prev]]
             w = np.where((context > 0)[:, None], 1, [1, 1, 0]) * weights[bucket_of(context)]
             if not n:
@@ -226,7 +242,7 @@ def score_block(weights: np.ndarray, n: int, v: int, learn_not: int):
             doc = np.repeat(np.arange(len(lengths)), lengths + 1)
             add = lambda x: np.bincount(doc, weights=x, minlength=len(lengths))
             tables.append(pa.table({
-                "doc_id": docs["doc_id"], "held_out": pa.array(docs["fold"].to_numpy() == learn_not), "n_tokens": pa.array(lengths + 1, pa.int64()), "n_known": pa.array(add(count > 0).astype(np.int64)),
+                "doc_id": docs["doc_id"], "held_out": pa.array(docs["part"].to_numpy() == 2), "n_tokens": pa.array(lengths + 1, pa.int64()), "n_known": pa.array(add(count > 0).astype(np.int64)),
                 "train_tokens": pa.array(np.full(len(lengths), n, np.int64)), "base_score": pa.array(add(np.log10((count + 1) / (n + v + 1)))), "score": pa.array(add(np.log10(p))),
             }))
         return pa.concat_tables(tables)
@@ -234,11 +250,17 @@ def score_block(weights: np.ndarray, n: int, v: int, learn_not: int):
     return score
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, learn_not: int = 2, held: int = 3) -> DataFrame:
-    """Scores of every text; texts whose fold is ``learn_not`` aren't learned from, those of fold ``held`` are EM's held-out part."""
-    buckets = 1 << max(3, math.ceil(math.log2(input_parts(docs))))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("fold", doc_fold(folds).cast("int"))
-    sent = map_blocks(rows, lambda t: read_block(t, buckets, learn_not, held), _ROW, limit=BLOCK)
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, learn_not: int = 2, held: int = 3, held_share: int = 8) -> DataFrame:
+    """Scores of every text; texts whose fold is ``learn_not`` aren't learned from.
+
+    Of fold ``held``, one text in ``held_share`` (by its id's checksum) is EM's held-out part.
+    """
+    buckets = 1 << max(3, math.ceil(math.log2(input_parts(docs, 4))))
+    bits = pair_bits(input_parts(docs, 1) << 20)
+    checksum = doc_fold(1 << 32)
+    part = F.when(checksum % folds == learn_not, 2).when((checksum % folds == held) & (F.floor(checksum / folds) % held_share == 0), 1).otherwise(0)
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("part", part.cast("int"))
+    sent = map_blocks(rows, lambda t: read_block(t, buckets, bits), _ROW, limit=BLOCK)
     counted = stored(sent.groupBy("dest").applyInArrow(add_up, _ROW), "lm")
     totals = {r["bucket"]: (r["n"], r["v"]) for r in counted.where(F.col("kind") == TOTALS).groupBy("bucket").agg(F.sum("x").alias("n"), F.sum("y").alias("v")).collect()}
     (kept_n, kept_v), (n, v) = totals.get(0, (0, 0)), totals.get(1, (0, 0))
@@ -248,4 +270,4 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     weights = expectation_maximisation(cells, kept_v)
     result = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     texts = counted.where(F.col("kind") == TEXTS)
-    return counts.unionByName(texts).select(*_NAMES[1:8]).groupBy("block").applyInArrow(score_block(weights, n, v, learn_not), result)
+    return counts.unionByName(texts).select(*_NAMES[1:8]).groupBy("block").applyInArrow(score_block(weights, n, v, bits), result)

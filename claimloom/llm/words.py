@@ -12,9 +12,6 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 #: ASCII letters (lower-cased), digits and everything beyond ASCII stay; the rest parts words.
 ALNUM = bytes(LOWER[b] if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
-_hashes: dict[str, int] = {}
-_HASHES_MOST = 400_000
-
 
 def translated(texts: pa.Array, mapping: bytes) -> pa.Array:
     """Map every byte of a string array; null becomes the empty text."""
@@ -48,16 +45,9 @@ def split(texts: pa.Array, mapping: bytes) -> tuple[np.ndarray, np.ndarray, pa.A
 
 
 def hashes(uniques: pa.Array) -> np.ndarray:
-    """64-bit hashes of words, with a bounded memory of those met before."""
-    if len(_hashes) > _HASHES_MOST:
-        _hashes.clear()
-    out = np.empty(len(uniques), np.uint64)
-    for i, word in enumerate(uniques.to_pylist()):
-        h = _hashes.get(word)
-        if h is None:
-            h = _hashes[word] = xxhash.xxh3_64_intdigest(word)
-        out[i] = h
-    return out
+    """64-bit hashes of words."""
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(word) for word in uniques.to_pylist()), np.uint64, len(uniques))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
