@@ -54,6 +54,12 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_secrets(docs.select("doc_id", "text"), train(docs)))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import digest, find_pii
+
+    return digest(find_pii(table(spark, sf_dir, "documents")))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import digest, find_items
 
