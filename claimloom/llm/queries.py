@@ -33,6 +33,12 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(rows, rows.where("vec_id % 50 = 0"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cache table of its own for each run, so that every distinct text is encoded in it."""
     from .tokencounts import token_counts

@@ -1,0 +1,94 @@
+"""Weak labels: estimated accuracies, held-out judgement and odd rows."""
+
+import os
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from claimloom.llm import quality
+
+DOCS = "text string, doc_id bigint, quality string, toxic string, keep string"
+LABELS = "doc_id bigint, quality int, toxic int, text string"
+
+
+def test_accuracies_and_posteriors_are_found():
+    rng = random.Random(4)
+    right = [0.95, 0.9, 0.75, 0.6]
+    patterns = {}
+    for _ in range(20000):
+        truth = int(rng.random() < 0.7)
+        votes = tuple(-1 if rng.random() < 0.3 else truth if rng.random() < r else 1 - truth for r in right)
+        patterns[votes] = patterns.get(votes, 0) + 1
+    found = quality.estimate(patterns, 0.6, [0.8] * 4)
+    exact = {}
+    for v in patterns:
+        odds = np.log(0.7 / 0.3) + sum((1 if x else -1) * np.log(r / (1 - r)) for x, r in zip(v, right) if x >= 0)
+        exact[v] = 1 / (1 + np.exp(-odds))
+    assert max(abs(found[v] - exact[v]) for v in patterns) < 0.08
+    assert quality.estimate({}, 0.5, [0.8]) == {}
+
+
+def texts(n, seed):
+    rng = random.Random(seed)
+    words = "the river runs past a small town where people meet and trade in old stone halls".split()
+    secret_insults = ["zorgle", "blimpf", "quarn"]
+    out = []
+    for i in range(n):
+        base = rng.choices(words, k=rng.randint(15, 120))
+        kind = rng.choice(["good"] * 6 + ["bars", "shout", "noise", "again", "toxic", "toxic"])
+        if kind == "bars":
+            text = " | ".join(base)
+        elif kind == "shout":
+            text = " ".join(w.upper() + "!!" for w in base)
+        elif kind == "noise":
+            text = " ".join(w + rng.choice(["***", "$$$", "%%%", "&&&"]) for w in base)
+        elif kind == "again":
+            text = " ".join(w for w in base[:4] for _ in range(12))
+        else:
+            if kind == "toxic":
+                for _ in range(4):
+                    base.insert(rng.randrange(len(base)), rng.choice(secret_insults))
+            text = ". ".join(" ".join(base[j : j + 8]).capitalize() for j in range(0, len(base), 8)) + "."
+        out.append((text, i, kind))
+    return out
+
+
+def test_junk_and_labelled_insults_go_and_clean_texts_stay(spark):
+    rows = texts(900, 2)
+    odd = [(None, 5000), ("", 5001), ("  \n", 5002), ("Fine.", 5003), ("a river " * 20000, 5004)]
+    docs = spark.createDataFrame([(t, i, "", "", "") for t, i, _ in rows] + [(t, i, "", "", "") for t, i in odd], DOCS)
+    labels = spark.createDataFrame([(i, int(k in ("good", "toxic")), int(k == "toxic"), "x") for _, i, k in rows if i % 2] + [(1, None, None, "x"), (None, 1, 0, "x"), (99999, 1, 0, "x")], LABELS)
+    got = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
+    assert len(got) == 905
+    held = [(got[i].keep, k == "good") for _, i, k in rows if not i % 2]
+    assert sum(k for k, good in held if good) >= 0.99 * sum(good for _, good in held)
+    assert sum(k for k, good in held if not good) <= 0.05 * sum(not good for _, good in held)
+    assert [got[i].keep for i in (5000, 5001, 5002)] == [False] * 3 and got[5000].quality_score == 0
+    assert got[5003].keep
+
+
+def test_without_labels_and_empty(spark):
+    docs = spark.createDataFrame([(t, i, "", "", "") for t, i, _ in texts(60, 3)] * 2, DOCS)
+    none = spark.createDataFrame([], LABELS)
+    assert quality.classify(docs, none).count() == 120
+    assert quality.classify(docs.limit(0), none).count() == 0
+    assert quality.classify(docs.limit(3), none).count() == 3
+
+
+def test_shapes_keep_documents_apart():
+    starts, codes, forms = quality.shapes(pa.array(["AAb!!", "", "bb", None, "b É1"]))
+    told = [[forms[c].as_py() for c in codes[a:b]] for a, b in zip(starts, starts[1:])]
+    assert told == [["Aa!"], [], ["a"], [], ["a", "a0"]]
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01/documents.parquet"), reason="needs the driver's tables")
+def test_driver_labels(spark):
+    from claimloom.llm.queries import op4_quality
+
+    found = op4_quality(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").collect()
+    clean = [r for r in found if r.quality and not r.toxic]
+    junk = [r for r in found if not r.quality]
+    assert sum(r.keep for r in clean) >= 0.99 * len(clean)
+    assert sum(not r.keep for r in junk) >= 0.9 * len(junk)
