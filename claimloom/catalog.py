@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from claimloom.plans import driver_queries
+
 
 def queries() -> dict:
-    return {}
+    return dict(driver_queries.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(driver_queries.ORACLES)
