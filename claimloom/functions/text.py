@@ -101,7 +101,7 @@ def topic_match(tokens: Column, haystack: Column) -> Column:
 
 
 def split_list(x: Column | str, by: str = ",") -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(_c(x), F.lit("")), by), F.trim), lambda v: v != "")
+    return F.filter(F.transform(F.split(F.coalesce(_c(x), F.lit("")), by), lambda v: F.trim(v)), lambda v: v != "")
 
 
 def sorted_unique(x: Column | str) -> Column:

@@ -373,7 +373,7 @@ def q34_quote_anchor(spark, sf):
 @query(r"""with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as ord from documents)
 select doc_id, row_number() over (partition by doc_id order by ord)::int as paragraph_index, md5(trim(line)) as digest from l where trim(line) <> ''""")
 def q35_paragraphs(spark, sf):
-    lines = F.filter(F.transform(F.split("text", "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split("text", "\n"), lambda v: F.trim(v)), lambda x: x != "")
     return t(spark, sf, "documents").select("doc_id", F.posexplode(lines).alias("i", "line")).select("doc_id", (F.col("i") + 1).alias("paragraph_index"), F.md5("line").alias("digest"))
 
 
