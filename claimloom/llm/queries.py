@@ -82,7 +82,34 @@ def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(pattern: str) -> str:
+    return f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{pattern}')"
+
+
 ORACLES = {
+    "op9_decontamination": rf"""
+        with i as (select item_id::varchar as item_id, {_words(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')} as w from benchmark),
+        win as (select distinct item_id, least(10, len(w)) as n, unnest(list_transform(range(1, greatest(2, len(w) - 8)), lambda k: array_to_string(w[k:k + 9], ' '))) as g from i where len(w) > 0),
+        d as (select doc_id, {_words(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')} as w from documents),
+        g as (select doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k:k + n - 1], ' '))) as g, unnest(range(1, len(w) - n + 2)) as pos from d, (select distinct n from win) where len(w) >= n),
+        h as (select distinct doc_id, item_id, pos, n from g join win using (n, g)),
+        hit as (select doc_id, count(distinct k) as n_hit from (select doc_id, unnest(range(pos, pos + n)) as k from h) group by 1),
+        it as (select doc_id, count(distinct item_id) as n_items, string_agg(distinct item_id, ',' order by item_id) as items from h group by 1)
+        select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+        from d left join hit using (doc_id) left join it using (doc_id)
+    """,
+    "op10_ngram_join": rf"""
+        with recursive d as (select doc_id, {_words(r'[^\x20\x09-\x0D]+')} as w from documents),
+        s as (select doc_id, list_distinct(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) when len(w) > 0 then ['#' || array_to_string(w, ' ')] else [] end) as s from d),
+        e as (select doc_id, len(s) as n, unnest(s) as g from s),
+        p as (select a.doc_id as a, b.doc_id as b, count(*) as c, any_value(a.n) + any_value(b.n) as t from e a join e b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+        l as (select a, b from p where 100 * c >= 80 * (t - c)),
+        r(a, b) as (select doc_id, doc_id from d union select r.a, l.b from r join l on r.b = l.a)
+        select doc_id, len(s)::bigint as n_shingles, component_id from s join (select a as doc_id, min(b) as component_id from r group by 1) using (doc_id)
+    """,
     "op3_exact_topk": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
