@@ -454,8 +454,8 @@ def q45_batches(spark, sf):
     return rows.groupBy("user_id", "batch").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
 
 
-@query("""select conv_id, turn, count(*) over w as n_context, sum(length(text)) over w::bigint as context_chars, lag(role) over o as before_role, lead(role) over o as after_role from conversations
-window w as (partition by conv_id order by turn rows between 2 preceding and 2 following), o as (partition by conv_id order by turn)""".replace("over w::bigint", "over w"))
+@query("""select conv_id, turn, count(*) over w as n_context, (sum(length(text)) over w)::bigint as context_chars, lag(role) over o as before_role, lead(role) over o as after_role from conversations
+window w as (partition by conv_id order by turn rows between 2 preceding and 2 following), o as (partition by conv_id order by turn)""")
 def q46_context_window(spark, sf):
     o = Window.partitionBy("conv_id").orderBy("turn")
     w = o.rowsBetween(-2, 2)
