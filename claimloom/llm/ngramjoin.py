@@ -9,12 +9,19 @@ at least p - d words, and agreeing words are found by an equi-join on (band, wor
 word). A second sketch of 512 single bits, whose Hamming distance is bounded alike, and
 then the sets themselves verify the candidates.
 
-Skew: equal sets are one node, merged within a block of texts before anything is
-shuffled. A word that more than ``LIGHT`` sets share (an empty one, a passage found in
-many documents) is passed over for the sets that can do without it: with at most
-p - d - 1 such words, a linked partner must also agree in another. Only sets with more
-of them are compared within such large runs. Every run's members are first compared with
-one hub; then only pairs whose classes still differ are.
+Skew: equal sets are one node, merged within a block of texts before anything is shuffled.
+Words are ordered by the number of sets that share them. A set may leave out its
+p - d - 1 most shared words (and empty ones): of the p - d that a linked pair has in common,
+the least shared one is then still entered by both. So passages found in many documents
+lead to no pairs. Within the runs of equal words that are left, members are first compared
+with one hub, the member found in most runs, and only members whose classes still differ
+matter from there on. Sets left in runs of more than ``LIGHT`` members, those of large
+groups of near copies, are entered again with four times as many, smaller words, which
+parts sets that differ by more than d. Pairs of differing classes left in small runs are
+then compared one by one; those in larger runs block against block by their bit sketches,
+so that only pairs that may link become rows.
+
+Rows without an id take part through their text; a class of such rows alone has no id.
 
 Defined results: null, empty or blank text has no shingles, links with nothing and is its
 own class; fewer than five words make one shingle; repeated rows are in one class; empty
@@ -30,15 +37,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import words
-from .common import drop_stored, input_parts, map_blocks, stored
+from .common import drop_stored, input_parts, map_blocks, reclaim, release, stored
 from .graph import components
 from .lm import deflate, inflate
 
-WIDTH, LIGHT, BITS = 5, 32, 512
-#: Ids that may be broadcast to pick texts (8 bytes each); more are joined by a shuffle.
-BROADCAST_IDS = 4_000_000
+WIDTH, LIGHT, BITS = 5, 8, 512
+#: Sketch words of the second level for each one of the first.
+FINER = 4
+#: Members of a large run that are compared with as many others at once.
+BLOCK_MEMBERS = 1024
+#: Ids (8 bytes each) that may be broadcast to pick texts; more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 _SKETCH = [f"s{i}" for i in range(BITS // 64)]
 _BLOB = "kind int, bucket int, a binary, b binary, c binary, doc_id bigint, n bigint, sid bigint, room0 bigint, room1 bigint, " + ", ".join(f"{s} bigint" for s in _SKETCH)
 _TYPES = {"int": pa.int32(), "binary": pa.binary(), "bigint": pa.int64()}
@@ -74,18 +86,18 @@ def band_of(size: int) -> int:
     return size.bit_length() - 1
 
 
-def parts_of(band: int) -> int:
+def parts_of(band: int, finer: int = 1) -> int:
     """p of a band, whose larger sets have up to 2^(band+1) - 1 elements: the largest d, one more, and some to spare."""
     d = 2 * ((2 << band) - 1) // 9
-    return d + 1 + (1 + math.ceil(0.06 * d) if d else 0)
+    return finer * (d + 1 + (1 + math.ceil(0.1 * d) if d else 0))
 
 
-def keys_of(members: np.ndarray, band: int) -> tuple[np.ndarray, int]:
-    """Join keys of a set's sketch words in a band, and how many large runs it may miss (below 0: none).
+def keys_of(members: np.ndarray, band: int, finer: int = 1) -> tuple[np.ndarray, int]:
+    """Join keys of a set's sketch words in a band, and how many more of them it may leave out.
 
     Empty words are left out where the set can do without them.
     """
-    p = parts_of(band)
+    p = parts_of(band, finer)
     part = ((members >> np.uint64(32)) * np.uint64(p)) >> np.uint64(32)
     order = np.argsort(part, kind="stable")
     part, member = part[order], members[order]
@@ -103,7 +115,7 @@ def keys_of(members: np.ndarray, band: int) -> tuple[np.ndarray, int]:
     if empty <= room:
         word, number, room = word[full], number[full], room - empty
     else:
-        room = -1
+        room = 0
     keys = words.mix(word + words.mix(number * np.uint64(64) + np.uint64(band)))
     return (keys >> np.uint64(6)) | np.uint64(band << 58), room
 
@@ -117,7 +129,7 @@ def digest(members: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(members.tobytes())).astype(np.int64))
 
 
-def read_block(table: pa.Table, buckets: int) -> pa.Table:
+def read_block(table: pa.Table, buckets: int, finer: int = 1) -> pa.Table:
     """Kind 0: one row for each document; kind 1: a block's join keys for one bucket."""
     docs: dict[str, list] = {f.name: [] for f in _ARROW}
     known: dict[int, tuple] = {}
@@ -130,7 +142,7 @@ def read_block(table: pa.Table, buckets: int) -> pa.Table:
             if s:
                 band = band_of(s)
                 for k, b in enumerate([band] + [band + 1] * (band_of(max(1, s * 5 // 4)) > band)):
-                    own, rooms[k] = keys_of(members, b)
+                    own, rooms[k] = keys_of(members, b, finer)
                     keys.append(own)
                     owners.append(np.full(len(own), sid, np.int64))
             known[sid] = (*rooms, *sketch(members).tolist())
@@ -153,11 +165,12 @@ def read_block(table: pa.Table, buckets: int) -> pa.Table:
     return pa.concat_tables(tables)
 
 
-RUNS = "key bigint, sid bigint, hub bigint, size bigint, band int"
+RUNS = "key bigint, sid bigint, size bigint, band int"
 
 
 def runs(group: pa.Table) -> pa.Table:
     """Of a bucket's keys, those that two or more nodes share."""
+    release()
     keys, nodes = [], []
     for a, b, c in zip(group["a"].to_pylist(), group["b"].to_pylist(), group["c"].to_pylist()):
         keys.append(np.cumsum(inflate(a, "<u8"), dtype=np.uint64))
@@ -171,10 +184,9 @@ def runs(group: pa.Table) -> pa.Table:
     begin = np.flatnonzero(np.diff(key, prepend=key[:1] + np.uint64(1)))
     size = np.diff(np.append(begin, len(key)))
     each = np.repeat(size, size)
-    hub = np.repeat(node[begin], size)
     keep = each > 1
     key = key[keep]
-    return pa.table({"key": pa.array(key.view(np.int64)), "sid": pa.array(node[keep]), "hub": pa.array(hub[keep]), "size": pa.array(each[keep], pa.int64()), "band": pa.array((key >> np.uint64(58)).astype(np.int32))})
+    return pa.table({"key": pa.array(key.view(np.int64)), "sid": pa.array(node[keep]), "size": pa.array(each[keep], pa.int64()), "band": pa.array((key >> np.uint64(58)).astype(np.int32))})
 
 
 def _pack5(members: np.ndarray) -> bytes:
@@ -187,6 +199,42 @@ def _unpack5(raw: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+def entered(rows: DataFrame, buckets: int, finer: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents ``(doc_id, n, sid)``, nodes, and the runs' rows ``(key, sid, weight, size)`` that count.
+
+    ``weight`` is the number of runs that a node is in, ``size`` the number of members that a run keeps.
+    """
+    read = stored(map_blocks(rows, lambda t: read_block(t, buckets, finer), _BLOB, limit=4 << 20), "sketches")
+    listed = read.where("kind = 0").select("doc_id", "n", "sid", "room0", "room1", *_SKETCH)
+    run = stored(read.where("kind = 1").select("bucket", "a", "b", "c").groupBy("bucket").applyInArrow(runs, RUNS), "runs")
+    nodes = stored(listed.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first_doc"), *[F.first(c).alias(c) for c in ("n", "room0", "room1", *_SKETCH)]), "nodes")
+    listed = stored(listed.select("doc_id", "n", "sid"), "documents")
+    drop_stored(read)
+    reclaim(run)
+    own_band = F.floor(F.log2("n") + 1e-9).cast("int")
+    room = F.when(F.col("band") == own_band, F.col("room0")).otherwise(F.col("room1"))
+    of_node = Window.partitionBy("sid")
+    ranked = (
+        run.join(nodes.select("sid", "n", "room0", "room1"), "sid")
+        .withColumn("weight", F.count("*").over(of_node))
+        .withColumn("place", F.row_number().over(Window.partitionBy("sid", "band").orderBy(F.desc("size"), "key")))
+        .where(F.col("place") > room)
+        .select("key", "sid", "weight")
+    )
+    ranked = stored(ranked, "ranked")
+    shared = ranked.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    kept = stored(ranked.join(shared, "key").select("key", "sid", "weight", "size"), "kept")
+    drop_stored(run)
+    drop_stored(ranked)
+    return listed, nodes, kept
+
+
+def picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose ``doc_id`` is in ``ids``: broadcast only after their number is known."""
+    ids = stored(ids.distinct(), "picked")
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+
+
 def _verified(pairs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` that link: first by sizes and bit sketches, then by the sets."""
     for side in "ab":
@@ -202,54 +250,102 @@ def _verified(pairs: DataFrame, nodes: DataFrame, members: DataFrame, percent: i
         for a, b, na, nb in zip(*(block[c].to_pylist() for c in ("m_a", "m_b", "n_a", "n_b"))):
             both = len(np.intersect1d(_unpack5(a), _unpack5(b), assume_unique=True))
             keep.append(100 * both >= percent * (na + nb - both))
-        return block.select(["a", "b"]).filter(pa.array(keep))
+        return block.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return map_blocks(pairs, check, "a bigint, b bigint", column="m_a")
 
 
+class _Classes:
+    """Links found so far and the classes that they make."""
+
+    def __init__(self, nodes: DataFrame, members: DataFrame, percent: int):
+        self.nodes, self.members, self.percent = nodes, members, percent
+        self.links = nodes.sparkSession.createDataFrame([], "a bigint, b bigint")
+        self.label = nodes.sparkSession.createDataFrame([], "sid bigint, label bigint")
+
+    def add(self, pairs: DataFrame) -> None:
+        found = _verified(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), self.nodes, self.members, self.percent)
+        self.links = stored(self.links.unionByName(found), "links")
+        self.label = stored(components(self.links).withColumnRenamed("node", "sid"), "labels")
+        reclaim(self.label)
+
+    def mixed(self, kept: DataFrame) -> DataFrame:
+        """Rows of the runs in which classes still differ."""
+        rows = kept.select("key", "sid", "weight", "size").join(self.label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+        keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+        return stored(rows.join(keys, "key", "left_semi"), "mixed")
+
+    def meet_hubs(self, rows: DataFrame) -> None:
+        """Compare each run's members with the member that is in most runs."""
+        hub = rows.groupBy("key").agg(F.max_by(F.struct(F.col("sid").alias("y"), F.col("label").alias("of")), F.struct("weight", "sid")).alias("h")).select("key", "h.*")
+        self.add(rows.join(hub, "key").where("label <> of").select(F.col("sid").alias("x"), "y"))
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of a run's members whose classes differ; for runs of ``LIGHT`` members at most."""
+    return rows.alias("l").join(rows.alias("r"), F.expr("l.key = r.key and l.label < r.label")).select(F.col("l.sid").alias("x"), F.col("r.sid").alias("y"))
+
+
+def near(label_a, n_a, bits_a, label_b, n_b, bits_b, percent: int) -> np.ndarray:
+    """Which pairs of two blocks differ in class and may link by sizes and bit sketches."""
+    differ = np.bitwise_count(bits_a[:, None, :] ^ bits_b[None, :, :]).sum(2, dtype=np.int64)
+    low, high = np.minimum(n_a[:, None], n_b[None, :]), np.maximum(n_a[:, None], n_b[None, :])
+    return (label_a[:, None] != label_b[None, :]) & (low * 100 >= high * percent) & (differ * (100 + percent) <= (low + high) * (100 - percent))
+
+
+def _close_pairs(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of larger runs that sizes and bit sketches leave, found block against block: no pair is a row before it passed."""
+    blocks = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
+    own = F.pmod(F.xxhash64("sid"), blocks).cast("int")
+    dealt = rows.join(nodes.select("sid", "n", *_SKETCH), "sid").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "sid", "label", "n", *_SKETCH)
+
+    def compare(group: pa.Table) -> pa.Table:
+        column = lambda c: group[c].to_numpy()
+        own, sid, label, n = (column(c) for c in ("own", "sid", "label", "n"))
+        bits = np.stack([column(c) for c in _SKETCH], 1).view(np.uint64)
+        lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
+        a, b = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
+        x, y = [], []
+        for at in range(0, len(a), 64):
+            part = a[at : at + 64]
+            i, j = np.nonzero(near(label[part], n[part], bits[part], label[b], n[b], bits[b], percent))
+            x.append(sid[part[i]])
+            y.append(sid[b[j]])
+        x, y = np.concatenate(x or [sid[:0]]), np.concatenate(y or [sid[:0]])
+        found = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0)
+        return pa.table({"x": pa.array(found[:, 0], pa.int64()), "y": pa.array(found[:, 1], pa.int64())})
+
+    return dealt.groupBy("key", "lo", "hi").applyInArrow(compare, "x bigint, y bigint")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row; linked are sets with Jaccard >= percent / 100 (80: the bounds above)."""
     if percent != 80:
         raise ValueError("the bands' bounds are those of a similarity of 0.8")
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     buckets = 1 << max(3, math.ceil(math.log2(input_parts(docs))))
-    read = stored(map_blocks(rows, lambda t: read_block(t, buckets), _BLOB), "sketches")
-    listed = read.where("kind = 0").select("doc_id", "n", "sid", "room0", "room1", *_SKETCH)
-    run = stored(read.where("kind = 1").select("bucket", "a", "b", "c").groupBy("bucket").applyInArrow(runs, RUNS), "runs")
-    nodes = stored(listed.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first_doc"), *[F.first(c).alias(c) for c in ("n", "room0", "room1", *_SKETCH)]), "nodes")
-    listed = stored(listed.select("doc_id", "n", "sid"), "documents")
-    drop_stored(read)
-
-    # large runs count only for nodes that can't do without them
-    own_band = F.floor(F.log2("n") + 1e-9).cast("int")
-    large = run.where(F.col("size") > LIGHT).groupBy("sid", "band").agg(F.count("*").alias("large"))
-    room = F.when(F.col("band") == own_band, F.col("room0")).otherwise(F.col("room1"))
-    needy = large.join(nodes.select("sid", "n", "room0", "room1"), "sid").where(F.col("large") > room).select("sid", "band")
-    run = stored(run.where(F.col("size") <= LIGHT).unionByName(run.where(F.col("size") > LIGHT).join(needy, ["sid", "band"], "left_semi").select(*run.columns)), "runs")
-
-    wanted = run.select("sid").unionByName(run.select(F.col("hub").alias("sid"))).distinct().join(nodes.select("sid", "first_doc"), "sid").select(F.col("first_doc").alias("doc_id"))
-    wanted = stored(wanted.distinct(), "wanted")
-    texts = rows.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted, "doc_id", "left_semi")
+    listed, nodes, kept = entered(rows, buckets)
 
     def collect(block: pa.Table) -> pa.Table:
         found = sets(block["text"])
         return pa.table({"sid": pa.array([digest(m) for m in found], pa.int64()), "members": pa.array([_pack5(m) for m in found], pa.binary())})
 
-    members = stored(map_blocks(texts, collect, "sid bigint, members binary").dropDuplicates(["sid"]), "members")
-
-    pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    hubs = run.where("sid <> hub").groupBy("sid", "hub").agg(F.count("*").alias("shared")).groupBy("sid").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
-    links = stored(_verified(hubs.select(*pair("sid", "hub")).distinct(), nodes, members, percent), "links")
-    label = components(links)
-    labelled = run.select("key", "sid").join(label.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", F.coalesce("label", "sid").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    left = stored(labelled.join(mixed, "key", "left_semi"), "left")
-    one, two = left.alias("x"), left.alias("y")
-    rest = one.join(two, F.expr("x.key = y.key and x.label < y.label")).select(*pair("x.sid", "y.sid")).distinct()
-    more = stored(_verified(rest, nodes, members, percent), "links")
-    label = components(links.unionByName(more)).withColumnRenamed("node", "sid")
-
-    root = nodes.select("sid", "first_doc").join(label, "sid", "left").select("sid", "first_doc", F.coalesce("label", "sid").alias("label"))
+    docs_of = lambda sids: sids.select("sid").distinct().join(nodes.select("sid", "first_doc"), "sid").select(F.col("first_doc").alias("doc_id"))
+    members = stored(map_blocks(picked(rows, docs_of(kept)), collect, "sid bigint, members binary").dropDuplicates(["sid"]), "members")
+    classes = _Classes(nodes, members, percent)
+    left = classes.mixed(kept)
+    classes.meet_hubs(left)
+    left = classes.mixed(left)
+    rest = _pairs(left.where(F.col("size") <= LIGHT))
+    crowded = left.where(F.col("size") > LIGHT)
+    if crowded.head(1):
+        _, _, finer = entered(picked(rows, docs_of(crowded)), buckets, FINER)
+        finer = classes.mixed(finer)
+        rest = rest.unionByName(_pairs(finer.where(F.col("size") <= LIGHT))).unionByName(_close_pairs(finer.where(F.col("size") > LIGHT), nodes, percent))
+    classes.add(rest)
+
+    root = nodes.select("sid", "first_doc").join(classes.label, "sid", "left").select("sid", "first_doc", F.coalesce("label", "sid").alias("label"))
     least = root.groupBy("label").agg(F.min("first_doc").alias("component_id"))
-    classes = root.join(least, "label").select("sid", "component_id")
-    return listed.join(classes, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    found = root.join(least, "label").select("sid", "component_id")
+    return listed.join(found, "sid", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
