@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import input_parts, map_blocks, stored
+from .common import input_parts, map_blocks, release, stored
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -116,8 +116,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, i
         return pa.table({"doc_id": block["doc_id"], "n": pa.array(np.diff(starts) + 1), "width": pa.array(np.full(n, ended.itemsize, np.int32)), "ids": body})
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    buckets = input_parts(docs)
-    coded_rows = stored(map_blocks(rows, coded, "doc_id bigint, n bigint, width int, ids binary"), "ids").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    buckets = input_parts(docs, 4)
+    coded_rows = stored(map_blocks(rows, coded, "doc_id bigint, n bigint, width int, ids binary", limit=4 << 20), "ids").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
     counts = stored(coded_rows.groupBy("bucket", (F.col("n") % window).alias("rest")).agg(F.count("*").alias("n"), F.sum(F.floor(F.col("n") / window)).alias("full")), "lengths")
     histogram = np.zeros(window, np.int64)
     for r in counts.groupBy("rest").agg(F.sum("n").alias("n")).where("rest > 0").collect():
@@ -130,6 +130,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, i
     before = by_length.unionByName(full).fillna(0, ["before", "full_before"])
 
     def place(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         base = dict(zip(right["rest"].to_pylist(), right["before"].to_pylist()))
         next_full = sum(right["full_before"].to_pylist()) + used
         out: list[tuple[int, ...]] = []
