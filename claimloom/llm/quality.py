@@ -150,10 +150,11 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return pairs // len(uniques), words.hashes(uniques)[pairs % len(uniques)]
 
 
-def train_linear(x: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 4.0, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def train_linear(x: np.ndarray, y: np.ndarray, rounds: int = 250, rate: float = 4.0, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels, both classes weighing the same."""
     if not len(x):
         return np.zeros(SHAPES), 0.0
+    x = x.astype(np.float64)
     weight = np.where(y >= 0.5, 0.5 / max((y >= 0.5).sum(), 1), 0.5 / max((y < 0.5).sum(), 1))
     w, b, mw, mb = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
     for _ in range(rounds):
@@ -190,8 +191,8 @@ def _majority(labels: DataFrame, column: str):
     return F.when(mean > 0.5, 1).when(mean < 0.5, 0).otherwise(-1).alias(column)
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 3000) -> DataFrame:
-    """``(doc_id, quality_score, toxic_score, keep)`` of every row."""
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 2500) -> DataFrame:
+    """``(doc_id, quality_score, toxic_score, toxic, keep)`` of every row; kept are texts of quality that aren't toxic."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def vote(block: pa.Table) -> pa.Table:
@@ -244,7 +245,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         of = lambda k: [np.frombuffer(b, np.uint64) for t, c, b in got if t == "toxic" and c == k]
         lexicon, limit = train_words(of(1), of(0))
     known = np.array(sorted(lexicon), np.uint64)
-    sent = docs.sparkSession.sparkContext.broadcast((weights, bias, usual, known, np.array([lexicon[h] for h in known.tolist()]), limit))
+    sent = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), bias, usual, known, np.array([lexicon[h] for h in known.tolist()]), limit))
 
     def score(block: pa.Table) -> pa.Table:
         w, b, usual, known, odds, limit = sent.value
@@ -261,9 +262,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             total = np.bincount(doc[hit], weights=odds[at[hit]], minlength=len(texts))
         toxic = 1 / (1 + np.exp(-np.clip(total - limit, -50, 50)))
         keep = (np.array(quality) >= 0.5) & (total < limit)
-        return pa.table({"doc_id": block["doc_id"], "quality_score": pa.array(quality, pa.float64()), "toxic_score": pa.array(toxic), "keep": pa.array(keep)})
+        return pa.table({"doc_id": block["doc_id"], "quality_score": pa.array(quality, pa.float64()), "toxic_score": pa.array(toxic), "toxic": pa.array(total >= limit), "keep": pa.array(keep)})
 
-    return map_blocks(rows, score, "doc_id bigint, quality_score double, toxic_score double, keep boolean", limit=4 << 20)
+    return map_blocks(rows, score, "doc_id bigint, quality_score double, toxic_score double, toxic boolean, keep boolean", limit=4 << 20)
 
 
 def spark_literal_map(values: dict[tuple[int, ...], int]):
