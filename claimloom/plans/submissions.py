@@ -11,6 +11,10 @@ from claimloom.functions import values as vl
 from claimloom.plans.checks import Check
 
 
+#: The last events that suit each moderation state.
+FINAL_EVENTS = {"submitted": ["submitted"], "screening": ["screening_started"], "quarantined": ["quarantined"], "admitted": ["admitted", "revision_requested"], "accepted": ["accepted", "corrected"], "rejected": ["rejected"], "withdrawn": ["withdrawn"]}
+
+
 def events(submissions: DataFrame) -> DataFrame:
     """Moderation events with each one's predecessor; unparsable times are passed over."""
     rows = submissions.select("submission_id", "revision", "created_at", F.col("moderation.state").alias("state"), F.posexplode("moderation.events").alias("ord", "e")).select("*", vl.strict_moment(F.col("e.at")).alias("at"))
@@ -20,11 +24,16 @@ def events(submissions: DataFrame) -> DataFrame:
 
 def checks(submissions: DataFrame) -> list[Check]:
     key = F.concat_ws("@", "submission_id", F.col("revision").cast("string"))
-    last = F.element_at("moderation.events", -1)["event"]
+    last = F.try_element_at("moderation.events", F.lit(-1))["event"]
+    suits = F.lit(False)
+    for state, finals in FINAL_EVENTS.items():
+        suits = suits | ((F.col("moderation.state") == state) & last.isin(finals))
+    was_accepted = (F.col("moderation.state") != "accepted") | F.exists("moderation.events", lambda e: F.coalesce(e["event"] == "accepted", F.lit(False)))
     return [
         Check("events in order", events(submissions), F.col("at") >= F.col("latest_before"), key),
-        Check("first event", submissions, F.element_at("moderation.events", 1)["event"] == "submitted", key),
-        Check("state follows the last event", submissions, vl.lookup({"submitted": "pending", "accepted": "accepted", "rejected": "rejected", "withdrawn": "withdrawn", "superseded": "superseded"}, last) == F.col("moderation.state"), key),
+        Check("first event", submissions, F.try_element_at("moderation.events", F.lit(1))["event"] == "submitted", key),
+        Check("state follows the last event", submissions, suits, key),
+        Check("accepted state has its event", submissions, was_accepted, key),
         Check("received after creation", submissions, vl.strict_moment(F.col("received_at")) >= vl.strict_moment(F.col("created_at")), key),
         Check("revision key is unique", submissions.groupBy("submission_id", "revision").count(), F.col("count") == 1, key),
         Check("revision", submissions, F.col("revision") >= 1, key),
@@ -58,5 +67,26 @@ def paired(submissions: DataFrame, review_version: str, manifest_sha256: str, cl
     return rows.select("submission_id", "revision", s["kind"].alias("kind"), F.col("content.stance").alias("stance"), status.alias("anchor_status"), "place.start", "place.end")
 
 
+def public(rows: DataFrame) -> DataFrame:
+    """Submissions as they are shown: every missing (or empty) part has its default."""
+    part = lambda path, default: vl.or_default(F.col(path), default).alias(path.split(".")[-1])
+    return rows.select(
+        "submission_id", "revision", part("submitter.display_name", "Anonymous reviewer"), part("submitter.visibility", "pseudonymous"), F.col("target.review_version").alias("review_version"),
+        F.col("moderation.state").alias("editorial_status"), part("content.kind", "comment"), part("content.title", "Human review comment"), part("content.body_markdown", ""), part("content.stance", "no_position"),
+    )
+
+
+def directive_checks(directives: DataFrame) -> list[Check]:
+    """Directive options (file, ord, options): canonical ids, exact versions, digests, no repeated ids."""
+    key, o = F.concat_ws("#", "file", F.col("ord").cast("string")), F.col("options")
+    ids = tx.split_list(F.coalesce(o["submission-ids"], F.lit("")))
+    return [
+        Check("claim id", directives, o["claim-id"].rlike("^clm_[a-f0-9]{16}$"), key),
+        Check("review version", directives, o["review-version"].rlike(r"^(0|[1-9][0-9]*)(\.(0|[1-9][0-9]*)){2}$"), key),
+        Check("manifest digest", directives, o["release-manifest-sha256"].rlike("^[a-f0-9]{64}$"), key),
+        Check("submission ids are unique", directives, F.size(F.array_distinct(ids)) == F.size(ids), key),
+    ]
+
+
 def not_rendered(requested: DataFrame, rendered: DataFrame) -> DataFrame:
     return requested.select("submission_id").distinct().join(rendered.select("submission_id"), "submission_id", "left_anti")
