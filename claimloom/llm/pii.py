@@ -1,8 +1,8 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapping their contexts.
 
 The patterns' entities are seeds. A lexical pattern is the pair of words around an
-identifier-like token (letters-only words lower-cased; other neighbours by their shape).
-Patterns and tokens make a bipartite graph. Its scores alternate: a pattern's confidence in
+identifier-like token, the two words before it or the two after it (letters-only words
+lower-cased; other neighbours by their shape). Patterns and tokens make a bipartite graph. Its scores alternate: a pattern's confidence in
 a kind is the smoothed share of its tokens' scores, counted over distinct tokens so that
 copies of a text weigh once; a token that is no seed scores the confidence of its best
 pattern, less doubt for each that disagrees. High-confidence patterns with enough distinct
@@ -77,14 +77,17 @@ def shape(word: str) -> str:
     return word.lower() if word.isalpha() else re.sub(r"(.)\1+", r"\1+", re.sub(r"[0-9]", "0", re.sub(r"[^\W\d_]", "a", word)))
 
 
-def _around(text: str, start: int, end: int) -> str:
-    before, after = text[max(0, start - 60) : start].split(), text[end : end + 60].split()
-    return f"{shape(before[-1].strip(_EDGE)) if before else '^'} _ {shape(after[0].strip(_EDGE)) if after else '$'}"
+def _around(text: str, start: int, end: int) -> list[str]:
+    """The patterns of a place: a word on either side, two words before it, two after it."""
+    before, after = text[max(0, start - 80) : start].split(), text[end : end + 80].split()
+    a, b = (shape(w.strip(_EDGE)) for w in ["^", "^", *before][-2:])
+    c, d = (shape(w.strip(_EDGE)) for w in [*after, "$", "$"][:2])
+    return [f"{b} _ {c}", f"{a} {b} _", f"_ {c} {d}"]
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     """Seeds (kind >= 0) and other identifier-like tokens (kind -1), with their patterns."""
-    out = [{"kind": kind, "start": s, "end": e, "pattern": _around(text, s, e), "token": text[s:e]} for s, kind, e in base]
+    out = [{"kind": kind, "start": s, "end": e, "patterns": _around(text, s, e), "token": text[s:e]} for s, kind, e in base]
     if not _DIGIT.search(text):
         return out
     i = 0
@@ -98,11 +101,11 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
             i += 1
         if any(s < end and start < e for s, _, e in base[i : i + 4]):
             continue
-        out.append({"kind": -1, "start": start, "end": end, "pattern": _around(text, start, end), "token": text[start:end]})
+        out.append({"kind": -1, "start": start, "end": end, "patterns": _around(text, start, end), "token": text[start:end]})
     return out
 
 
-_READ = "doc_id bigint, row string, base array<struct<start:int,kind:int,end:int>>, found array<struct<kind:int,start:int,end:int,pattern:string,token:string>>"
+_READ = "doc_id bigint, row string, base array<struct<start:int,kind:int,end:int>>, found array<struct<kind:int,start:int,end:int,patterns:array<string>,token:string>>"
 
 
 def bootstrap(found: DataFrame, rounds: int, confidence: float, support: int, prior: float = 2.0) -> DataFrame:
@@ -122,10 +125,10 @@ def bootstrap(found: DataFrame, rounds: int, confidence: float, support: int, pr
         unseen = best.groupBy("token", F.col("kind")).agg((F.max("confidence") * F.avg("confidence")).alias("score")).where("score >= 0.05")
         scores = stored(edges.where("kind >= 0").select("token", "kind", F.lit(1.0).alias("score")).distinct().unionByName(unseen), "scores")
     ranked = held.join(seeded, ["pattern", "kind"]).where((F.col("confidence") >= confidence) & (F.col("seeds") >= support))
-    return ranked.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", F.col("kind"))).alias("found_kind"))
+    return ranked.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", F.col("kind"))).alias("found_kind"), F.max("confidence").alias("confidence"))
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, confidence: float = 0.6, support: int = 5) -> DataFrame:
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, confidence: float = 0.7, support: int = 8) -> DataFrame:
     """``(doc_id, base, added)``: arrays of (start, kind, end); kinds are places in :data:`KINDS`."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
 
@@ -137,13 +140,15 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
             found.append(candidates(text or "", base))
         stem = uuid.uuid4().hex
         span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-        token = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("pattern", pa.string()), ("token", pa.string())]))
+        token = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("patterns", pa.list_(pa.string())), ("token", pa.string())]))
         return pa.table({"doc_id": block["doc_id"], "row": pa.array([f"{stem}{i}" for i in range(len(block))]), "base": pa.array(bases, span), "found": pa.array(found, token)})
 
     texts = stored(map_blocks(rows, read, _READ), "pii")
     found = texts.select("row", F.explode("found").alias("f")).select("row", "f.*")
-    patterns = bootstrap(found, rounds, confidence, support)
-    added = found.where("kind < 0").join(patterns, "pattern").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", F.col("found_kind").alias("kind"), "end"))).alias("added"))
+    placed = found.select("row", "kind", "start", "end", "token", F.explode("patterns").alias("pattern"))
+    patterns = bootstrap(placed, rounds, confidence, support)
+    places = placed.where("kind < 0").join(patterns, "pattern").groupBy("row", "start", "end").agg(F.max_by("found_kind", F.struct("confidence", "found_kind")).alias("kind"))
+    added = places.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("added"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     return texts.select("doc_id", "row", "base").join(added, "row", "left").select("doc_id", "base", F.coalesce("added", none).alias("added"))
 

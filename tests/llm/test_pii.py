@@ -55,9 +55,10 @@ def test_contexts_find_unseen_identifiers(spark):
     rng = random.Random(8)
     seen = [f"please call +1 555 {rng.randint(100, 999)} {rng.randint(1000, 9999)} today or never" for _ in range(40)]
     other = [f"chapter {rng.randint(10000, 99999)} begins here" for _ in range(40)]
-    docs = spark.createDataFrame([(t, i, "", "", "") for i, t in enumerate([*seen, *other, "please call 0171/5556677x today", "please call home today"])], SCHEMA)
+    docs = spark.createDataFrame([(t, i, "", "", "") for i, t in enumerate([*seen, *other, "please call 0171/5556677x today", "please call home today", "do please call 0171/5556678y, she said"])], SCHEMA)
     found = {r.doc_id: r.spans for r in pii.digest(pii.find_pii(docs)).collect()}
     assert found[80] == "ctx_phone:12:25"
+    assert found[82] == "ctx_phone:15:28"  # known by the words before it alone
     assert found[81] == "" and all(found[i] == "" for i in range(40, 80))
 
 
