@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from .words import LOWER, translated
 
 #: Words whose ids a worker remembers; beyond it the memory starts anew.
-MEMORY = 250_000
+MEMORY = 400_000
 _CHUNK = 200
 _SPECIAL = "<|endoftext|>"
 _loaded: dict[str, "WordIds"] = {}

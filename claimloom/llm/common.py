@@ -87,6 +87,7 @@ def doc_fold(modulus: int, column: str = "doc_id"):
 def release() -> None:
     """Give a Python worker's freed memory back to the system; workers live on between tasks."""
     pa.default_memory_pool().release_unused()
+    gc.collect(0)
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
@@ -96,6 +97,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 
     A single text longer than the limit makes a block of its own; texts are never cut.
     """
+    pa.set_memory_pool(pa.system_memory_pool())  # whose freed memory release() can give back
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:

@@ -117,7 +117,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, i
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     buckets = input_parts(docs, 4)
-    coded_rows = stored(map_blocks(rows, coded, "doc_id bigint, n bigint, width int, ids binary", limit=4 << 20), "ids").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    coded_rows = stored(map_blocks(rows, coded, "doc_id bigint, n bigint, width int, ids binary", limit=3 << 20), "ids").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
     counts = stored(coded_rows.groupBy("bucket", (F.col("n") % window).alias("rest")).agg(F.count("*").alias("n"), F.sum(F.floor(F.col("n") / window)).alias("full")), "lengths")
     histogram = np.zeros(window, np.int64)
     for r in counts.groupBy("rest").agg(F.sum("n").alias("n")).where("rest > 0").collect():

@@ -56,7 +56,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache_path: str, id_col: str =
     def count(block: pa.Table) -> pa.Table:
         return pa.table({"tokenizer": pa.array([version] * len(block)), "digest": block["digest"], "n_tokens": pa.array(bpe.load(tokenizer).counts(block["text"]).astype("int64"))})
 
-    map_blocks(misses, count, CACHE_SCHEMA, limit=4 << 20).write.mode("append").parquet(cache_path)
+    map_blocks(misses, count, CACHE_SCHEMA, limit=3 << 20).write.mode("append").parquet(cache_path)
     # two writers at once may both have stored a digest; as a table of its own, so that the join below can split a hot digest
     counts = stored(_cache(spark, cache_path).where(F.col("tokenizer") == version).dropDuplicates(["digest"]).select("digest", "n_tokens"), "counts")
     return rows.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), "digest").join(counts, "digest").select("doc_id", "n_bytes", "n_tokens")
