@@ -51,10 +51,13 @@ class WordIds:
         self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
         self.forget()
 
-    def forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.starts = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, self.dtype)
+    def forget(self, keep: list[str] = ()) -> None:
+        """Start the memory anew, with the known ones of some words: a block's known words are the frequent ones."""
+        kept = [(w, self.place[w]) for w in keep if self.place.get(w, -1) >= 0] if keep else []
+        pieces = [self.ids[self.starts[p] : self.starts[p + 1]] for _, p in kept]
+        self.place: dict[str, int] = {w: i for i, (w, _) in enumerate(kept)}
+        self.starts = np.concatenate([[0], np.cumsum([len(x) for x in pieces], dtype=np.int64)]).astype(np.int64)
+        self.ids = np.concatenate([*pieces, np.zeros(0, self.dtype)]).astype(self.dtype)
 
     def plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -91,7 +94,7 @@ class WordIds:
         coded = pieces.flatten().dictionary_encode()
         uniques = coded.dictionary.to_pylist()
         if len(self.place) > MEMORY:
-            self.forget()
+            self.forget(uniques)
         self.place.setdefault("", -1)
         new = [w for w in uniques if w not in self.place]
         if new:

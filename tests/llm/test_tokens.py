@@ -98,3 +98,13 @@ def test_least_squares_finds_exact_fillings():
     slots, taken, _, sequences, total = packing.plan(histogram, 10)
     assert sum(a * n for a, n in taken.items()) == sequences * 10
     assert total * 10 - int((histogram * np.arange(10)).sum()) < 10
+
+
+def test_forgetting_keeps_ids_right(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY", 50)
+    encoder = bpe.WordIds(PATH)
+    rng = random.Random(5)
+    for _ in range(30):
+        texts = [" ".join(rng.choice("abcdefg") * rng.randint(1, 9) + rng.choice(["", ".", "é", "***"]) for _ in range(20)) for _ in range(4)]
+        starts, ids = encoder.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(starts, starts[1:])] == [library_ids(t) for t in texts]
