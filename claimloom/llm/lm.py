@@ -131,8 +131,9 @@ def read_block(table: pa.Table, buckets: int, bits: int) -> pa.Table:
     with pa.ipc.new_stream(sink, docs.schema) as w:
         w.write_table(docs)
     out.append({"dest": home, "kind": TEXTS, "block": block, "a": sink.getvalue().to_pybytes(), "b": deflate(lengths), "c": deflate(codes.astype("<u4")), "d": short(hashes).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()})
-    if deleted.any():
-        out.append({"dest": home, "kind": HELD, "block": block, "a": deflate(rank[prev[deleted]].astype("<u4")), "b": deflate(rank[now[deleted]].astype("<u4")), "c": deflate(pair[deleted].astype("<u4"))})
+    if deleted.any():  # each distinct pair once, with its number of deleted tokens
+        pairs, first, times = np.unique(pair[deleted], return_index=True, return_counts=True)
+        out.append({"dest": home, "kind": HELD, "block": block, "a": deflate(rank[prev[deleted][first]].astype("<u4")), "b": deflate(rank[now[deleted][first]].astype("<u4")), "c": deflate(pairs.astype("<u4")), "d": deflate(times.astype("<u4"))})
     return pa.Table.from_pylist(out, _ARROW)
 
 
@@ -183,14 +184,15 @@ def held_out_cells(n: int):
         release()
         rows = group.to_pylist()
         word, pair = _totals(rows, "a")
-        cells = np.zeros(0, np.int64)
+        cells = times = np.zeros(0, np.int64)
         for r in rows:
             if r["kind"] == HELD:
-                prev, now, both = (inflate(r[k], "<u4").astype(np.int64) for k in "abc")
+                prev, now, both, times = (inflate(r[k], "<u4").astype(np.int64) for k in "abcd")
                 context = word[prev]
                 p2 = pair[both] / np.maximum(context, 1)
                 cells = (bucket_of(context) * GRID + cell(p2)) * GRID + cell(word[now] / max(n, 1))
-        at, counts = np.unique(cells, return_counts=True)
+        at, where = np.unique(cells, return_inverse=True)
+        counts = np.bincount(where, weights=times, minlength=len(at)).astype(np.int64)
         return pa.table({"cell": pa.array(at, pa.int64()), "n": pa.array(counts, pa.int64())})
 
     return count
@@ -250,22 +252,22 @@ def score_block(weights: np.ndarray, n: int, v: int, bits: int):
     return score
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, learn_not: int = 2, held: int = 3, held_share: int = 8) -> DataFrame:
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, learn_not: int = 2, held: int = 3) -> DataFrame:
     """Scores of every text; texts whose fold is ``learn_not`` aren't learned from.
 
-    Of fold ``held``, one text in ``held_share`` (by its id's checksum) is EM's held-out part.
+    Fold ``held`` is EM's held-out part.
     """
     buckets = 1 << max(3, math.ceil(math.log2(input_parts(docs, 4))))
     bits = pair_bits(input_parts(docs, 1) << 20)
-    checksum = doc_fold(1 << 32)
-    part = F.when(checksum % folds == learn_not, 2).when((checksum % folds == held) & (F.floor(checksum / folds) % held_share == 0), 1).otherwise(0)
+    fold = doc_fold(folds)
+    part = F.when(fold == learn_not, 2).when(fold == held, 1).otherwise(0)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("part", part.cast("int"))
     sent = map_blocks(rows, lambda t: read_block(t, buckets, bits), _ROW, limit=BLOCK)
     counted = stored(sent.groupBy("dest").applyInArrow(add_up, _ROW), "lm")
     totals = {r["bucket"]: (r["n"], r["v"]) for r in counted.where(F.col("kind") == TOTALS).groupBy("bucket").agg(F.sum("x").alias("n"), F.sum("y").alias("v")).collect()}
     (kept_n, kept_v), (n, v) = totals.get(0, (0, 0)), totals.get(1, (0, 0))
     counts = counted.where(F.col("kind") <= BIGRAM)
-    estimates = counts.unionByName(counted.where(F.col("kind") == HELD)).select(*_NAMES[1:7]).groupBy("block").applyInArrow(held_out_cells(kept_n), "cell bigint, n bigint")
+    estimates = counts.unionByName(counted.where(F.col("kind") == HELD)).select(*_NAMES[1:8]).groupBy("block").applyInArrow(held_out_cells(kept_n), "cell bigint, n bigint")
     cells = {r["cell"]: r["n"] for r in estimates.groupBy("cell").agg(F.sum("n").alias("n")).collect()}
     weights = expectation_maximisation(cells, kept_v)
     result = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"

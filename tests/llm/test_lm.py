@@ -59,6 +59,31 @@ def test_counts_base_and_model(spark, monkeypatch):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_whole_held_fold_reaches_the_weights(spark, monkeypatch):
+    seen = {}
+    learn = lm.expectation_maximisation
+    monkeypatch.setattr(lm, "expectation_maximisation", lambda cells, *a: learn(seen.setdefault("cells", cells), *a))
+    monkeypatch.setattr(lm, "BLOCK", 4000)
+    texts = corpus()
+    lm.lm_scores(spark.createDataFrame([(i, t, "f", "k", "b") for i, t in enumerate(texts)], SCHEMA))
+    fold = {i: zlib.crc32(str(i).encode()) % 7 for i in range(len(texts))}
+    count, pair = Counter(), Counter()
+    for i, t in enumerate(texts):
+        if fold[i] not in (2, 3):
+            ts = tokens(t)
+            count.update(["<s>", *ts])
+            pair.update(zip(["<s>", *ts], ts))
+    n = sum(count.values()) - count["<s>"]
+    expected = Counter()
+    for i, t in enumerate(texts):
+        if fold[i] == 3:
+            ts = tokens(t)
+            for h, x in zip(["<s>", *ts], ts):
+                context, p2, p1 = (lm.np.array([v]) for v in (count[h], pair[h, x] / max(count[h], 1), count[x] / n))
+                expected[int(((lm.bucket_of(context) * lm.GRID + lm.cell(p2)) * lm.GRID + lm.cell(p1))[0])] += 1
+    assert seen["cells"] == expected
+
+
 def test_empty_table_and_nothing_to_learn(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert lm.lm_scores(docs).count() == 0
