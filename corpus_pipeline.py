@@ -13,38 +13,53 @@ from claimloom.llm import decontam, ngramjoin, packing, quality, secretscan
 from claimloom.llm.common import stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Ids that may be broadcast to pick rows (8 bytes each); more are joined by a shuffle.
+#: Keys that may be broadcast to pick rows (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
 
-def _kept(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` by the smaller of the ids to keep or to drop, so that texts needn't be shuffled."""
-    few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "doc_id", how).select(*COLUMNS)
+def _key():
+    """A row's key: 64 bits of its id and text, each of which may be null. Rows with one key agree in both, and so in every decision."""
+    return F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text"))
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the rows' keys for ids, so that operators tell apart rows whose ids are null or repeated."""
+    return docs.withColumn("doc_id", _key())
+
+
+def _kept(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` by the smaller of the keys to keep or to drop, so that texts needn't be shuffled."""
+    few = keys.count() <= BROADCAST_IDS
+    return docs.withColumn("key", _key()).join(F.broadcast(keys) if few else keys, "key", how).select(*COLUMNS)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    judged = quality.classify(docs, table(spark, sf_dir, "labels"))
-    return _kept(docs, stored(judged.where("not keep").select("doc_id").distinct(), "rejected"), "left_anti")
+    labels = table(spark, sf_dir, "labels").join(docs.select("doc_id", _key().alias("key")).distinct(), "doc_id")
+    judged = quality.classify(_keyed(docs), labels.withColumn("doc_id", F.col("key")))
+    return _kept(docs, stored(judged.where("not keep").select(F.col("doc_id").alias("key")).distinct(), "rejected"), "left_anti")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest id stays; texts without words stay."""
-    classes = ngramjoin.near_duplicates(docs)
-    copies = stored(classes.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
-    return _kept(docs, copies, "left_anti").dropDuplicates(["doc_id"]) if _repeated(docs) else _kept(docs, copies, "left_anti")
-
-
-def _repeated(docs: DataFrame) -> bool:
-    """Whether an id stands on several rows."""
-    return bool(docs.groupBy("doc_id").count().where("count > 1").head(1))
+    """Of each class of near duplicates the document with the smallest id stays (one without id only where none has one);
+    texts without words stay. Of repeated rows, whose id and text agree, one stays.
+    """
+    classes = ngramjoin.near_duplicates(_keyed(docs)).groupBy(F.col("doc_id").alias("key")).agg(F.min("component_id").alias("component_id"), F.count("*").alias("n"))
+    ids = docs.groupBy(_key().alias("key")).agg(F.min("doc_id").alias("doc_id"))
+    classes = stored(classes.join(ids, "key"), "classes")
+    first = classes.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")).select(F.col("first.key").alias("key"))
+    copies = stored(classes.select("key").join(first, "key", "left_anti"), "copies")
+    repeated = stored(classes.where("n > 1").join(first, "key", "left_semi").select("key"), "repeated")
+    if not repeated.head(1):
+        return _kept(docs, copies, "left_anti")
+    once = _kept(docs, repeated, "left_semi").withColumn("key", _key()).dropDuplicates(["key"]).select(*COLUMNS)
+    return _kept(docs, stored(copies.unionByName(repeated), "left"), "left_anti").unionByName(once)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item go."""
-    found = decontam.find_items(docs, table(spark, sf_dir, "benchmark"))
-    return _kept(docs, stored(found.where("n_hit > 0").select("doc_id").distinct(), "leaks"), "left_anti")
+    found = decontam.find_items(_keyed(docs), table(spark, sf_dir, "benchmark"))
+    return _kept(docs, stored(found.where("n_hit > 0").select(F.col("doc_id").alias("key")).distinct(), "leaks"), "left_anti")
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

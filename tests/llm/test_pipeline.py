@@ -69,6 +69,23 @@ def test_repeated_rows_leave_one(spark):
     assert corpus_pipeline.near_duplicate_stage(spark, docs.limit(0), "").count() == 0
 
 
+def test_rows_without_id_or_with_one_id_are_told_apart(spark, corpus):
+    folder, clean = corpus
+    row = lambda i, t: (i, t, "en", "s", len(t or ""), "e", "k")
+    rows = [row(None, clean[20]), row(None, clean[21]), row(7, clean[22]), row(7, clean[23]), row(8, clean[24]), row(8, clean[24]), row(6, clean[22]), row(None, clean[23]), row(None, clean[20])]
+    kept = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, DOCS), folder).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, clean[20]), (0, clean[21]), (6, clean[22]), (7, clean[23]), (8, clean[24])])
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    planted = {r.doc_id: r.text for r in docs.where("doc_id >= 300").collect()}
+    more = spark.createDataFrame([row(None, planted[304] + " |"), row(None, clean[25]), row(150, planted[305]), row(None, planted[302])], DOCS).select(*corpus_pipeline.COLUMNS)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.quality_stage(spark, docs.unionByName(more), folder).collect()]
+    assert (None, clean[25]) in kept and (150, clean[150]) in kept
+    assert (None, planted[304] + " |") not in kept and (150, planted[305]) not in kept
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.decontamination_stage(spark, more, folder).collect()]
+    assert (None, clean[25]) in kept and (None, planted[302]) not in kept
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the driver's tables")
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracles(spark, name):
