@@ -512,7 +512,12 @@ def q51_jsonld(spark, sf):
 @query("""with s as (select l_orderkey as g, l_linenumber as id, (l_partkey % 97)::int as a, (l_partkey % 97 + l_quantity)::int as b from lineitem where l_orderkey % 10 = 0)
 select x.g, x.id as left_id, y.id as right_id, greatest(x.a, y.a) as clip_start, least(x.b, y.b) as clip_end from s x join s y on x.g = y.g and x.id < y.id and x.a < y.b and x.b > y.a""")
 def q52_interval_overlap(spark, sf):
-    spans = t(spark, sf, "lineitem").where("l_orderkey % 10 = 0").select(F.col("l_orderkey").alias("g"), F.col("l_linenumber").alias("id"), (F.col("l_partkey") % 97).cast("int").alias("start"), (F.col("l_partkey") % 97 + F.col("l_quantity")).cast("int").alias("end"))
+    return _interval_overlap(t(spark, sf, "lineitem").where("l_orderkey % 10 = 0"))
+
+
+def _interval_overlap(lines):
+    """Overlapping spans of an order's lines."""
+    spans = lines.select(F.col("l_orderkey").alias("g"), F.col("l_linenumber").alias("id"), (F.col("l_partkey") % 97).cast("int").alias("start"), (F.col("l_partkey") % 97 + F.col("l_quantity")).cast("int").alias("end"))
     return rel.overlaps(spans, ["g"], "id")
 
 
@@ -571,3 +576,13 @@ def q60_key_suffixes(spark, sf):
     rows = t(spark, sf, "documents").select("doc_id", "source").withColumn("n", F.row_number().over(w.orderBy("doc_id"))).withColumn("of", F.count("*").over(w))
     letter = F.when((F.col("of") > 1) & (F.col("n") <= 26), F.char(F.lit(96) + F.col("n"))).otherwise("")
     return rows.select("doc_id", F.concat("source", letter).alias("cite_key"))
+
+
+# --- whole tables where an earlier query's SQL takes a part ----------------------------------------------
+
+
+@query("""with s as (select l_orderkey as g, l_linenumber as id, (l_partkey % 97)::int as a, (l_partkey % 97 + l_quantity)::int as b from lineitem)
+select x.g, x.id as left_id, y.id as right_id, greatest(x.a, y.a) as clip_start, least(x.b, y.b) as clip_end from s x join s y on x.g = y.g and x.id < y.id and x.a < y.b and x.b > y.a""")
+def q61_interval_overlap_all(spark, sf):
+    """q52 over the lines of all orders."""
+    return _interval_overlap(t(spark, sf, "lineitem"))
