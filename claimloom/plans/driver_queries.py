@@ -551,7 +551,11 @@ def q56_depth_mask(spark, sf):
 r(node, round) as (select s_suppkey, 0 from supplier where s_suppkey <= 3 union select v, round + 1 from r join e on u = node where round < 2) select node, min(round)::int as round from r group by 1""")
 def q57_snowball(spark, sf):
     """Two rounds of expansion along shared orders, from three seeds."""
-    lines = t(spark, sf, "lineitem").where("l_orderkey % 40 = 0").select("l_orderkey", "l_suppkey").distinct()
+    return _snowball(spark, sf, t(spark, sf, "lineitem").where("l_orderkey % 40 = 0"))
+
+
+def _snowball(spark, sf, lines):
+    lines = lines.select("l_orderkey", "l_suppkey").distinct()
     edges = lines.alias("a").join(lines.alias("b"), "l_orderkey").where("a.l_suppkey <> b.l_suppkey").select(F.col("a.l_suppkey").alias("u"), F.col("b.l_suppkey").alias("v")).distinct()
     seeds = t(spark, sf, "supplier").where("s_suppkey <= 3").select(F.col("s_suppkey").alias("node"))
     return rel.snowball(seeds, edges, 2)
@@ -586,3 +590,10 @@ select x.g, x.id as left_id, y.id as right_id, greatest(x.a, y.a) as clip_start,
 def q61_interval_overlap_all(spark, sf):
     """q52 over the lines of all orders."""
     return _interval_overlap(t(spark, sf, "lineitem"))
+
+
+@query("""with recursive e as (select distinct a.l_suppkey as u, b.l_suppkey as v from lineitem a join lineitem b on a.l_orderkey = b.l_orderkey and a.l_suppkey <> b.l_suppkey),
+r(node, round) as (select s_suppkey, 0 from supplier where s_suppkey <= 3 union select v, round + 1 from r join e on u = node where round < 2) select node, min(round)::int as round from r group by 1""")
+def q62_snowball_all(spark, sf):
+    """q57 along the orders of all lines."""
+    return _snowball(spark, sf, t(spark, sf, "lineitem"))

@@ -33,3 +33,7 @@ def rows(frame):
 
 def test_overlaps_of_all_orders(spark, folder):
     assert rows(dq.q61_interval_overlap_all(spark, folder[0])) == [(1, 1, 2, 2, 11), (3, 1, 2, 2, 6)]
+
+
+def test_snowball_along_all_orders(spark, folder):
+    assert rows(dq.q62_snowball_all(spark, folder[0])) == [(1, 0), (20, 1), (21, 2)]
