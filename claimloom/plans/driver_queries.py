@@ -231,8 +231,13 @@ def q17_anchor_status(spark, sf):
 @query("""select o_orderkey, string_agg(distinct l_partkey::varchar, ',' order by l_partkey::varchar) as affected, count(distinct l_partkey) as n_affected from orders join lineitem on l_orderkey = o_orderkey
 where o_orderpriority = '1-URGENT' and l_partkey % 50 = 0 group by 1""")
 def q18_radar_equi(spark, sf):
+    return _radar_equi(spark, sf, t(spark, sf, "part").where("p_partkey % 50 = 0"))
+
+
+def _radar_equi(spark, sf, parts):
+    """Urgent orders with those of their parts that are watched."""
     records = t(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").join(t(spark, sf, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderkey").agg(F.collect_set("l_partkey").alias("related"))
-    watched = t(spark, sf, "part").where("p_partkey % 50 = 0").select(F.col("p_partkey").alias("related_id"))
+    watched = parts.select(F.col("p_partkey").alias("related_id"))
     hits = records.select("o_orderkey", F.explode("related").alias("related_id")).join(watched, "related_id")
     return hits.groupBy("o_orderkey").agg(F.array_join(F.array_sort(F.collect_list(F.col("related_id").cast("string"))), ",").alias("affected"), F.count("*").alias("n_affected"))
 
@@ -597,3 +602,10 @@ r(node, round) as (select s_suppkey, 0 from supplier where s_suppkey <= 3 union
 def q62_snowball_all(spark, sf):
     """q57 along the orders of all lines."""
     return _snowball(spark, sf, t(spark, sf, "lineitem"))
+
+
+@query("""select o_orderkey, string_agg(distinct l_partkey::varchar, ',' order by l_partkey::varchar) as affected, count(distinct l_partkey) as n_affected from orders join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey
+where o_orderpriority = '1-URGENT' group by 1""")
+def q64_radar_equi_all(spark, sf):
+    """q18 with all parts watched."""
+    return _radar_equi(spark, sf, t(spark, sf, "part"))

@@ -37,3 +37,7 @@ def test_overlaps_of_all_orders(spark, folder):
 
 def test_snowball_along_all_orders(spark, folder):
     assert rows(dq.q62_snowball_all(spark, folder[0])) == [(1, 0), (20, 1), (21, 2)]
+
+
+def test_radar_watches_all_parts(spark, folder):
+    assert rows(dq.q64_radar_equi_all(spark, folder[0])) == [(1, "1,2", 2), (2, "7,9", 2)]
