@@ -164,17 +164,38 @@ def jaccard_pairs(rows: DataFrame, ident: str, words: str, above: float) -> Data
     """Pairs with Jaccard similarity over ``above``: a prefix join on the rarest words, then exact.
 
     Two sets that are similar enough share a word among the first n - ceil(above n) + 1 words of each in the order of
-    rarity, so that frequent words are never joined on.
+    rarity, so that frequent words are never joined on. Sets whose sizes, or whose words on either side of the shared
+    one, leave too few in common are no candidates.
     """
     sets = rows.select(F.col(ident).alias("id"), F.array_distinct(words).alias("w")).withColumn("n", F.size("w"))
     terms = sets.select("id", "n", F.explode("w").alias("word"))
     frequency = terms.groupBy("word").agg(F.count("*").alias("f"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy("f", "word"))
     prefix = terms.join(frequency, "word").withColumn("k", rank).where(F.col("k") <= F.col("n") - F.ceil(F.col("n") * above) + 1)
-    a, b = (prefix.select("word", F.col("id").alias(x)) for x in ("left_id", "right_id"))
-    pairs = a.join(b, "word").where("left_id < right_id").select("left_id", "right_id").distinct()
+    a, b = (prefix.select("word", F.col("id").alias(f"{x}_id"), F.col("n").alias(f"{x}_n"), F.col("k").alias(f"{x}_k")) for x in ("left", "right"))
+    most = F.least("left_k", "right_k") + F.least(F.col("left_n") - F.col("left_k"), F.col("right_n") - F.col("right_k"))
+    enough = most * (1 + above) >= (F.col("left_n") + F.col("right_n")) * above - 1e-6
+    pairs = a.join(b, "word").where((F.col("left_id") < F.col("right_id")) & enough).select("left_id", "right_id").distinct()
     for x in ("left", "right"):
         pairs = pairs.join(sets.select(F.col("id").alias(f"{x}_id"), F.col("w").alias(f"{x}_w")), f"{x}_id")
     both = F.size(F.array_intersect("left_w", "right_w"))
     value = both / (F.size("left_w") + F.size("right_w") - both)
     return pairs.withColumn("similarity", value).where(F.col("similarity") > above).select("left_id", "right_id", F.round("similarity", 6).alias("similarity"))
+
+
+def block_jaccard(rows: DataFrame, keys: list[str], ident: str, words: str, above: float) -> DataFrame:
+    """Pairs within blocks of equal ``keys`` (nulls are a value) with Jaccard similarity over ``above``.
+
+    Equal sets of a block are merged first: the least id stands for them and makes a pair of similarity 1 with each other
+    one, so that n copies are n - 1 rows; pairs of differing sets are those of their least ids. Words are told apart by
+    64-bit hashes with their block's keys. Rows without words or id have no pairs.
+    """
+    from claimloom.llm.common import stored
+
+    block = [x for k in keys for x in (F.col(k).isNull(), F.col(k))]
+    hashed = F.transform(words, lambda w: F.xxhash64(*block, w))
+    sets = rows.where(F.col(ident).isNotNull()).select(F.col(ident).alias("id"), F.sort_array(F.array_distinct(hashed)).alias("w")).where(F.size("w") > 0).withColumn("set", F.sha2(F.array_join(F.transform("w", lambda x: x.cast("string")), ","), 256))
+    sets = stored(sets, "sets")
+    least = stored(sets.groupBy("set").agg(F.min("id").alias("left_id"), F.min_by("w", "id").alias("w")), "least")
+    copies = sets.select("id", "set").join(least.select("set", "left_id"), "set").where("id <> left_id").select("left_id", F.col("id").alias("right_id"), F.lit(1.0).alias("similarity")).distinct()
+    return jaccard_pairs(least, "left_id", "w", above).unionByName(copies)

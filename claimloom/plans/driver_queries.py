@@ -604,6 +604,12 @@ def q62_snowball_all(spark, sf):
     return _snowball(spark, sf, t(spark, sf, "lineitem"))
 
 
+@query()
+def q63_jaccard_documents(spark, sf):
+    """Similar pairs among the documents of one language and source."""
+    return rel.block_jaccard(t(spark, sf, "documents").select("doc_id", "lang", "source", tx.word_set("text").alias("words")), ["lang", "source"], "doc_id", "words", 0.85)
+
+
 @query("""select o_orderkey, string_agg(distinct l_partkey::varchar, ',' order by l_partkey::varchar) as affected, count(distinct l_partkey) as n_affected from orders join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey
 where o_orderpriority = '1-URGENT' group by 1""")
 def q64_radar_equi_all(spark, sf):

@@ -39,5 +39,19 @@ def test_snowball_along_all_orders(spark, folder):
     assert rows(dq.q62_snowball_all(spark, folder[0])) == [(1, 0), (20, 1), (21, 2)]
 
 
+def test_jaccard_of_documents_equals_brute_force(spark, folder):
+    sets = {}
+    for i, text, *block in folder[1]:
+        if (text or "").strip():
+            sets.setdefault((*block, frozenset(text.split())), []).append(i)
+    expected = [(min(ids), i, 1.0) for ids in sets.values() for i in ids if i != min(ids)]
+    for a, x in sets.items():
+        for b, y in sets.items():
+            if a[:2] == b[:2] and min(x) < min(y) and len(a[2] & b[2]) / len(a[2] | b[2]) > 0.85:
+                expected.append((min(x), min(y), round(len(a[2] & b[2]) / len(a[2] | b[2]), 6)))
+    assert len(expected) > 6
+    assert rows(dq.q63_jaccard_documents(spark, folder[0])) == sorted(expected)
+
+
 def test_radar_watches_all_parts(spark, folder):
     assert rows(dq.q64_radar_equi_all(spark, folder[0])) == [(1, "1,2", 2), (2, "7,9", 2)]
