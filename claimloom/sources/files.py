@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ def binary(spark: SparkSession, paths: list[str] | str) -> DataFrame:
 
 
 def digest_index(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``(name, bytes, sha256)`` of each file."""
+    """``(name, bytes, sha256)`` of each file; a file below one of the paths is named from that path's last part on."""
     rows = binary(spark, paths)
-    return rows.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    given = "|".join(re.escape(p.rstrip("/").rsplit("/", 1)[-1]) for p in ([paths] if isinstance(paths, str) else paths))
+    below = F.nullif(F.regexp_extract("path", f"(?:^|/)((?:{given})/.*)$", 1), F.lit(""))
+    return rows.select(F.coalesce(below, F.element_at(F.split("path", "/"), -1)).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))

@@ -55,3 +55,10 @@ def test_jaccard_of_documents_equals_brute_force(spark, folder):
 
 def test_radar_watches_all_parts(spark, folder):
     assert rows(dq.q64_radar_equi_all(spark, folder[0])) == [(1, "1,2", 2), (2, "7,9", 2)]
+
+
+def test_digest_index_lists_every_table(spark, tmp_path):
+    for name in dq.TABLES:
+        spark.range(1).coalesce(1).write.parquet(f"file://{tmp_path}/{name}.parquet")
+    listed = [r.name.split("/")[0] for r in dq.q50_digest_index(spark, f"file://{tmp_path}").collect()]
+    assert sorted(listed) == sorted(f"{x}.parquet" for x in dq.TABLES)
