@@ -594,26 +594,26 @@ def q60_key_suffixes(spark, sf):
 
 @query("""with s as (select l_orderkey as g, l_linenumber as id, (l_partkey % 97)::int as a, (l_partkey % 97 + l_quantity)::int as b from lineitem)
 select x.g, x.id as left_id, y.id as right_id, greatest(x.a, y.a) as clip_start, least(x.b, y.b) as clip_end from s x join s y on x.g = y.g and x.id < y.id and x.a < y.b and x.b > y.a""")
-def q61_interval_overlap_all(spark, sf):
+def w61_interval_overlap_all(spark, sf):
     """q52 over the lines of all orders."""
     return _interval_overlap(t(spark, sf, "lineitem"))
 
 
 @query("""with recursive e as (select distinct a.l_suppkey as u, b.l_suppkey as v from lineitem a join lineitem b on a.l_orderkey = b.l_orderkey and a.l_suppkey <> b.l_suppkey),
 r(node, round) as (select s_suppkey, 0 from supplier where s_suppkey <= 3 union select v, round + 1 from r join e on u = node where round < 2) select node, min(round)::int as round from r group by 1""")
-def q62_snowball_all(spark, sf):
+def w62_snowball_all(spark, sf):
     """q57 along the orders of all lines."""
     return _snowball(spark, sf, t(spark, sf, "lineitem"))
 
 
 @query()
-def q63_jaccard_documents(spark, sf):
+def w63_jaccard_documents(spark, sf):
     """Similar pairs among the documents of one language and source."""
     return rel.block_jaccard(t(spark, sf, "documents").select("doc_id", "lang", "source", tx.word_set("text").alias("words")), ["lang", "source"], "doc_id", "words", 0.85)
 
 
 @query("""select o_orderkey, string_agg(distinct l_partkey::varchar, ',' order by l_partkey::varchar) as affected, count(distinct l_partkey) as n_affected from orders join lineitem on l_orderkey = o_orderkey join part on p_partkey = l_partkey
 where o_orderpriority = '1-URGENT' group by 1""")
-def q64_radar_equi_all(spark, sf):
+def w64_radar_equi_all(spark, sf):
     """q18 with all parts watched."""
     return _radar_equi(spark, sf, t(spark, sf, "part"))

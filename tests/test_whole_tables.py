@@ -32,11 +32,11 @@ def rows(frame):
 
 
 def test_overlaps_of_all_orders(spark, folder):
-    assert rows(dq.q61_interval_overlap_all(spark, folder[0])) == [(1, 1, 2, 2, 11), (3, 1, 2, 2, 6)]
+    assert rows(dq.w61_interval_overlap_all(spark, folder[0])) == [(1, 1, 2, 2, 11), (3, 1, 2, 2, 6)]
 
 
 def test_snowball_along_all_orders(spark, folder):
-    assert rows(dq.q62_snowball_all(spark, folder[0])) == [(1, 0), (20, 1), (21, 2)]
+    assert rows(dq.w62_snowball_all(spark, folder[0])) == [(1, 0), (20, 1), (21, 2)]
 
 
 def test_jaccard_of_documents_equals_brute_force(spark, folder):
@@ -50,11 +50,11 @@ def test_jaccard_of_documents_equals_brute_force(spark, folder):
             if a[:2] == b[:2] and min(x) < min(y) and len(a[2] & b[2]) / len(a[2] | b[2]) > 0.85:
                 expected.append((min(x), min(y), round(len(a[2] & b[2]) / len(a[2] | b[2]), 6)))
     assert len(expected) > 6
-    assert rows(dq.q63_jaccard_documents(spark, folder[0])) == sorted(expected)
+    assert rows(dq.w63_jaccard_documents(spark, folder[0])) == sorted(expected)
 
 
 def test_radar_watches_all_parts(spark, folder):
-    assert rows(dq.q64_radar_equi_all(spark, folder[0])) == [(1, "1,2", 2), (2, "7,9", 2)]
+    assert rows(dq.w64_radar_equi_all(spark, folder[0])) == [(1, "1,2", 2), (2, "7,9", 2)]
 
 
 def test_digest_index_lists_every_table(spark, tmp_path):
