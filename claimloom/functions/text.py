@@ -33,9 +33,19 @@ _nfkc, _nfkd = _normal("NFKC"), _normal("NFKD")
 _ASCII = r"^[\x00-\x7F]*$"
 
 
+def _beyond_ascii(x: Column, normal) -> Column:
+    """``normal(x)`` for text beyond ASCII; ASCII text, which no normal form changes, stays in the JVM (Python is sent a null)."""
+    return F.coalesce(normal(F.when(~x.rlike(_ASCII), x)), x)
+
+
 def nfkc(x: Column | str) -> Column:
-    """Compatibility composition; ASCII text, which it can't change, skips Python's result."""
-    return F.when(_c(x).rlike(_ASCII), _c(x)).otherwise(_nfkc(_c(x)))
+    """Compatibility composition."""
+    return _beyond_ascii(_c(x), _nfkc)
+
+
+def nfkd(x: Column | str) -> Column:
+    """Compatibility decomposition."""
+    return _beyond_ascii(_c(x), _nfkd)
 
 
 def collapse(x: Column) -> Column:
@@ -55,7 +65,7 @@ def claim_id(section: Column | str, text: Column | str) -> Column:
 
 
 def canonical_author(x: Column | str) -> Column:
-    lowered = F.regexp_replace(F.lower(_nfkd(_c(x))), r"""\\['"`^~=.]?""", "")
+    lowered = F.regexp_replace(F.lower(nfkd(x)), r"""\\['"`^~=.]?""", "")
     return F.trim(F.regexp_replace(lowered, r"(?U)[{}\p{P}\p{S}\s]+", " "))
 
 
@@ -164,7 +174,7 @@ def is_ascii(x: Column | str) -> Column:
 
 
 def ascii_fold(x: Column | str) -> Column:
-    return F.regexp_replace(_nfkd(_c(x)), r"[^\x00-\x7F]", "")
+    return F.regexp_replace(nfkd(x), r"[^\x00-\x7F]", "")
 
 
 def braces_balance(x: Column | str) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from claimloom.sources.scratch import stored
+
 #: Rows of a side that may be broadcast by hand.
 SMALL = 100_000
 
@@ -190,8 +192,6 @@ def block_jaccard(rows: DataFrame, keys: list[str], ident: str, words: str, abov
     one, so that n copies are n - 1 rows; pairs of differing sets are those of their least ids. Words are told apart by
     64-bit hashes with their block's keys. Rows without words or id have no pairs.
     """
-    from claimloom.llm.common import stored
-
     block = [x for k in keys for x in (F.col(k).isNull(), F.col(k))]
     hashed = F.transform(words, lambda w: F.xxhash64(*block, w))
     sets = rows.where(F.col(ident).isNotNull()).select(F.col(ident).alias("id"), F.sort_array(F.array_distinct(hashed)).alias("w")).where(F.size("w") > 0).withColumn("set", F.sha2(F.array_join(F.transform("w", lambda x: x.cast("string")), ","), 256))
