@@ -1,82 +1,62 @@
-"""Shared plumbing of the training-data operators: shared scratch tables and bounded Arrow batches."""
+"""Shared plumbing of the training-data operators: bounded Arrow batches, parts that follow the input's size, row numbers."""
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import gc
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from claimloom.sources.scratch import drop_stored, scratch_path, scratch_root, stored  # noqa: F401
 
 #: Text gathered before one vectorised step in a Python worker.
 BLOCK_BYTES = 8 << 20
-
-_own_root: str | None = None
+#: Bits of a row number that tell a file's rows apart; the others tell files apart.
+ROW_BITS = 40
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only where that is unset (tests, a laptop) a temporary folder stands in for it.
-    """
-    global _own_root
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if _own_root is None:
-            _own_root = tempfile.mkdtemp(prefix="claimloom-")
-            atexit.register(shutil.rmtree, _own_root, True)
-        root = f"file://{_own_root}"
-    return root.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, deleted when the session's JVM ends."""
-    path = f"{scratch_root(spark)}/claimloom-{name}-{uuid.uuid4().hex[:12]}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a shared Parquet table and read it back: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_stored(df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`stored` once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/claimloom-" in folder:
-            target = jvm.org.apache.hadoop.fs.Path(folder)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def reclaim(df: DataFrame) -> None:
     """Have Spark's cleaner remove the shuffle files of finished steps, which else stay until the driver's next full collection."""
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Stored bytes of the largest table that ``df`` reads."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return max((int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())), default=0)
+
+
 def input_parts(df: DataFrame, mb_each: int = 8) -> int:
-    """How many parts hold about ``mb_each`` MB of the stored input each; it grows with the input."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return max(8, min(200_000, -(-size // (mb_each << 20))))
+    """How many parts hold about ``mb_each`` MB of the stored input each; it grows with the input, without an end."""
+    return max(8, -(-input_bytes(df) // (mb_each << 20)))
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number of its own for each row in column ``name``, the same in every scan.
+
+    It is made of the row's place in its Parquet file and the file's place among the files, so rows with null or repeated ids,
+    and repeated rows, are told apart without a hash. What isn't a plain Parquet scan is stored first.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_index"))
+    except AnalysisException:
+        kept = stored(docs, "numbered")
+        placed = kept.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_index"))
+    # one row a file; as a table, so that each scan sees the same numbers
+    files = stored(placed.select("_path").distinct().withColumn("_file", F.row_number().over(Window.orderBy("_path")).cast("bigint")), "files")
+    number = F.shiftleft("_file", ROW_BITS) + F.col("_index")
+    return placed.join(F.broadcast(files) if files.count() <= 1_000_000 else files, "_path").withColumn(name, number).drop("_path", "_file", "_index")
 
 
 def doc_fold(modulus: int, column: str = "doc_id"):
@@ -117,7 +97,11 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
 
 
 def map_blocks(df: DataFrame, make: Callable[[pa.Table], pa.Table | pa.RecordBatch | None], schema: str, column: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
-    """``mapInArrow`` over blocks of bounded bytes; Arrow batches are kept small, since texts may be long."""
+    """``mapInArrow`` over blocks of bounded bytes.
+
+    Arrow batches are kept small, since texts may be long: Spark reads their bounds from the session when a plan runs, so
+    these two settings of the session stay as this sets them.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20)
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -59,3 +60,55 @@ def test_redaction_of_overlapping_spans_and_empty_table(spark):
     found = secretscan.find_secrets(docs, model)
     assert found.orderBy("doc_id").select(secretscan.redacted(F.coalesce("text", F.lit("")), "secret_spans")).collect()[0][0] == 'a [SECRET]" b'
     assert secretscan.digest(secretscan.find_secrets(docs.limit(0), secretscan.train(docs.limit(0)))).count() == 0
+
+
+def test_many_matches_and_long_runs_in_one_text(spark):
+    """Tens of thousands of matches, and a run of a million characters, end within seconds; spans equal brute force."""
+    rng = random.Random(5)
+    letters = secretscan.ALPHABET[:62]
+    dump = "\n".join(f"password{rng.choice(['=', ': '])}{''.join(rng.choices(letters, k=rng.randint(4, 40)))} é" for _ in range(20000))
+    texts = [dump, "".join(rng.choices(letters, k=1_000_000)), "key " + " ".join("".join(rng.choices(letters, k=30)) for _ in range(20000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    model = secretscan.train(spark.createDataFrame([(i, "the house of ordinary words and their people " * 9) for i in range(9)], "doc_id bigint, text string"))
+    start = time.time()
+    found = secretscan.find_secrets(docs, model)
+    rows = {r.doc_id: r for r in secretscan.digest(found).collect()}
+    masked = {r.doc_id: r.t for r in found.select("doc_id", secretscan.redacted(F.col("text"), "secret_spans").alias("t")).collect()}
+    assert time.time() - start < 60
+    for i, text in enumerate(texts):
+        counts, listed = brute(text)
+        assert [rows[i].n_assign, rows[i].n_access, rows[i].n_hex, rows[i].base_sha256] == counts
+        spans = [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in rows[i].spans.split(",") if s)]
+        base = [s for s in spans if s[0] != secretscan.METHOD]
+        assert ",".join(f"{k}:{a}:{b}" for k, a, b in base) == listed
+        out, at = [], 0
+        for _, a, b in sorted(spans, key=lambda s: (s[1], s[2])):
+            if a >= at:
+                out += [text[at:a], "[SECRET]"]
+            at = max(at, b)
+        assert masked[i] == "".join(out) + text[at:]
+    assert rows[1].spans == "markov:0:1000000" and rows[2].spans.count("markov") > 19000
+
+
+def test_method_spans_that_touch_a_pattern_are_left_out(spark):
+    """Against a pairwise check of all candidates with all base spans; the ratio against a plain sum over pairs."""
+    rng = random.Random(8)
+    letters = secretscan.ALPHABET[:62]
+    key = lambda n: "".join(rng.choices(letters, k=n))
+    pieces = [lambda: key(30), lambda: "password=" + key(24), lambda: "x" + key(22) + "AKIA" + "Q" * 16 + key(3), lambda: "token: ", lambda: "﻿é ", lambda: " ", lambda: "0a" * 20, lambda: key(9)]
+    texts = ["".join(rng.choice(pieces)() for _ in range(rng.randint(1, 14))) for _ in range(300)]
+    model = secretscan.train(spark.createDataFrame([(i, "the house of ordinary words and their people " * 9) for i in range(9)], "doc_id bigint, text string"))
+    found = secretscan.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), model)
+    size, place = len(secretscan.ALPHABET), secretscan.ALPHABET.index
+    plain = lambda s: sum(model[place(a) * size + place(b)] for a, b in zip(s, s[1:]))
+    for r in found.select("doc_id", secretscan.told("secret_spans").alias("spans"), secretscan.redacted(F.col("text"), "secret_spans").alias("masked")).collect():
+        text = texts[r.doc_id]
+        base = [tuple(s.split(":")) for s in brute(text)[1].split(",") if s]
+        more = [m.span() for m in re.finditer(secretscan.RUN + "{20,}", text) if re.search("[A-Za-z]", m[0]) and plain(m[0]) > 9.2103403719761]
+        more = [(a, b) for a, b in more if not any(int(x) < b and a < int(y) for _, x, y in base)]
+        kept = [(int(x), i, f"{k}:{x}:{y}") for k, x, y in base for i in [["assign", "access", "hex"].index(k)]] + [(a, 3, f"markov:{a}:{b}") for a, b in more]
+        assert r.spans == ",".join(s for _, _, s in sorted(kept))
+        out, at = "", 0
+        for a, b in sorted((int(s.split(":")[1]), int(s.split(":")[2])) for s in r.spans.split(",") if s):
+            out, at = (out + text[at:a] + "[SECRET]", b) if a >= at else (out, max(at, b))
+        assert r.masked == out + text[at:]
