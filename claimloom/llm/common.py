@@ -32,9 +32,13 @@ def reclaim(df: DataFrame) -> None:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Stored bytes of the largest table that ``df`` reads."""
+    """Stored bytes of the largest table that ``df`` reads; rows that come from elsewhere, whose size Spark doesn't know, are measured."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return max((int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())), default=0)
+    size = max((int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())), default=0)
+    if size < 1 << 60:
+        return size
+    texts = [F.octet_length(c) for c, kind in df.dtypes if kind in ("string", "binary")]
+    return int(df.agg(F.sum(sum((F.coalesce(x, F.lit(0)) for x in texts), F.lit(8 * len(df.columns))).cast("bigint"))).first()[0] or 0)
 
 
 def input_parts(df: DataFrame, mb_each: int = 8) -> int:
