@@ -8,15 +8,22 @@ residual documents are laid end to end and cut where a window fills. Only the la
 sequence has padding.
 
 Which document takes which place needs its rank among those of its length. Ranks are
-taken within hash buckets, and buckets follow one another, so a length that a third
-of all documents share is still dealt to all buckets.
+taken within hash buckets of stored row numbers, and buckets follow one another, so a
+length, an id or a text that a third of all rows share is still dealt to all buckets.
 
-Defined results: null or empty text is the end id alone; empty table, no pieces;
-repeated rows are packed each.
+Pairs are enumerated from all lengths, triples with two of the ``top`` most frequent ones,
+quadruples with three of the ``deep`` most frequent ones. Lengths outside any combination
+lose nothing: what isn't in a filled window is a residual.
+
+Defined results: null or empty text is the end id alone; a very long text is cut into full
+windows and a remainder; rows of one length are placed in the order of (id, length, ids);
+empty table, no pieces; repeated rows are packed each, null or repeated ids too; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -30,21 +37,15 @@ from .common import input_parts, map_blocks, release, stored
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
 
-def combinations(lengths: list[int], counts: np.ndarray, window: int, top: int = 48) -> list[tuple[int, ...]]:
-    """Multisets of two to four present lengths that sum to the window: all pairs; deeper ones from the ``top`` most frequent lengths."""
+def combinations(lengths: list[int], counts: np.ndarray, window: int, top: int = 48, deep: int = 12) -> list[tuple[int, ...]]:
+    """Multisets of two to four present lengths that sum to the window."""
     there = set(lengths)
     out = {(a, window - a) for a in lengths if 2 * a <= window and window - a in there}
-    common = sorted(sorted(lengths, key=lambda a: (-counts[a], a))[:top])
-    for i, a in enumerate(common):
-        for b in common[i:]:
-            if window - a - b in there and window - a - b > 0:
-                out.add(tuple(sorted((a, b, window - a - b))))
-    few = common[:12]
-    for a in few:
-        for b in few:
-            for c in few:
-                if a <= b <= c and window - a - b - c in there and window - a - b - c > 0:
-                    out.add(tuple(sorted((a, b, c, window - a - b - c))))
+    frequent = sorted(lengths, key=lambda a: (-counts[a], a))
+    for parts, most in ((2, top), (3, deep)):
+        for some in itertools.combinations_with_replacement(sorted(frequent[:most]), parts):
+            if window - sum(some) in there:
+                out.add(tuple(sorted((*some, window - sum(some)))))
     return sorted(out)
 
 
@@ -116,8 +117,9 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, i
         return pa.table({"doc_id": block["doc_id"], "n": pa.array(np.diff(starts) + 1), "width": pa.array(np.full(n, ended.itemsize, np.int32)), "ids": body})
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    buckets = input_parts(docs, 4)
-    coded_rows = stored(map_blocks(rows, coded, "doc_id bigint, n bigint, width int, ids binary", limit=3 << 20), "ids").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+    buckets = input_parts(docs, 16)
+    coded_rows = map_blocks(rows, coded, "doc_id bigint, n bigint, width int, ids binary", limit=3 << 20).withColumn("row", F.monotonically_increasing_id())
+    coded_rows = stored(coded_rows, "ids").withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int")).drop("row")
     counts = stored(coded_rows.groupBy("bucket", (F.col("n") % window).alias("rest")).agg(F.count("*").alias("n"), F.sum(F.floor(F.col("n") / window)).alias("full")), "lengths")
     histogram = np.zeros(window, np.int64)
     for r in counts.groupBy("rest").agg(F.sum("n").alias("n")).where("rest > 0").collect():
@@ -162,4 +164,6 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, i
         names = [c.split()[0] for c in PIECES.split(", ")]
         return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * len(names))], names=names)
 
-    return coded_rows.groupBy("bucket").cogroup(before.groupBy("bucket")).applyInArrow(place, PIECES)
+    # as many parts as the input needs, so that a task's share doesn't grow with it
+    dealt = coded_rows.repartition(buckets, "bucket").groupBy("bucket").cogroup(before.repartition(buckets, "bucket").groupBy("bucket"))
+    return dealt.applyInArrow(place, PIECES)
