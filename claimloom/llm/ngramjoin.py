@@ -21,11 +21,23 @@ parts sets that differ by more than d. Pairs of differing classes left in small
 then compared one by one; those in larger runs block against block by their bit sketches,
 so that only pairs that may link become rows.
 
-Rows without an id take part through their text; a class of such rows alone has no id.
+A word that very many sets share would fill one worker with its bucket. Buckets of more than
+``HOT`` entries are therefore dealt to chunks by node, which count their keys apart; the keys'
+totals then go back to each chunk, so that no worker holds a bucket's members. Joins on the
+runs' keys deal large runs to several tasks.
+
+Rows without an id take part through their text, as bridges too: texts of nodes are found again by
+a hash of the text, not by the id. A class of rows without ids alone has no id.
+
+Exactness: links are verified on the sets' 64-bit shingle hashes. Nodes are 64-bit digests of
+sets, and sets of one digest count as equal: among n distinct sets about n^2 / 2^65 pairs are
+expected to agree by chance, 0.03 pairs at 10^9 sets and 3 at 10^10. Two differing shingles of
+a pair of sets have one hash with a chance of 2^-64 for each pair of shingles.
 
 Defined results: null, empty or blank text has no shingles, links with nothing and is its
-own class; fewer than five words make one shingle; repeated rows are in one class; empty
-table, empty result. Nodes are 64-bit digests of sets.
+own class; fewer than five words make one shingle; very long texts are read whole, one to a
+block; repeated rows, and repeated ids, are rows each, in the class of their own text; empty
+table, empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -49,10 +61,14 @@ WIDTH, LIGHT, BITS = 5, 8, 512
 FINER = 4
 #: Members of a large run that are compared with as many others at once.
 BLOCK_MEMBERS = 1024
-#: Ids (8 bytes each) that may be broadcast to pick texts; more are joined by a shuffle.
+#: Rows of a run that one task joins; larger runs are dealt to several.
+RUN_ROWS = 1024
+#: Entries (key, node) of a bucket that one worker holds; larger buckets are dealt to chunks.
+HOT = 4 << 20
+#: Hashes (8 bytes each) that may be broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 _SKETCH = [f"s{i}" for i in range(BITS // 64)]
-_BLOB = "kind int, bucket int, a binary, b binary, c binary, doc_id bigint, n bigint, sid bigint, room0 bigint, room1 bigint, " + ", ".join(f"{s} bigint" for s in _SKETCH)
+_BLOB = "kind int, bucket int, a binary, b binary, c binary, doc_id bigint, tid bigint, n bigint, sid bigint, room0 bigint, room1 bigint, " + ", ".join(f"{s} bigint" for s in _SKETCH)
 _TYPES = {"int": pa.int32(), "binary": pa.binary(), "bigint": pa.int64()}
 _ARROW = pa.schema([(c.split()[0], _TYPES[c.split()[1]]) for c in _BLOB.split(", ")])
 
@@ -129,12 +145,22 @@ def digest(members: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(members.tobytes())).astype(np.int64))
 
 
+def packed(key: np.ndarray, owner: np.ndarray) -> dict[str, bytes]:
+    """Sorted keys and the nodes that hold them, as three compact columns."""
+    nodes, local = np.unique(owner, return_inverse=True)
+    return {"a": deflate(np.diff(key, prepend=np.uint64(0))), "b": deflate(local.astype("<u4")), "c": nodes.tobytes()}
+
+
+def unpacked(a: bytes, b: bytes, c: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(inflate(a, "<u8"), dtype=np.uint64), np.frombuffer(c, np.int64)[inflate(b, "<u4")]
+
+
 def read_block(table: pa.Table, buckets: int, finer: int = 1) -> pa.Table:
     """Kind 0: one row for each document; kind 1: a block's join keys for one bucket."""
     docs: dict[str, list] = {f.name: [] for f in _ARROW}
     known: dict[int, tuple] = {}
     keys, owners = [], []
-    for doc, members in zip(table["doc_id"].to_pylist(), sets(table["text"])):
+    for doc, tid, members in zip(table["doc_id"].to_pylist(), table["tid"].to_pylist(), sets(table["text"])):
         s = len(members)
         sid = digest(members)
         if sid not in known:
@@ -146,7 +172,7 @@ def read_block(table: pa.Table, buckets: int, finer: int = 1) -> pa.Table:
                     keys.append(own)
                     owners.append(np.full(len(own), sid, np.int64))
             known[sid] = (*rooms, *sketch(members).tolist())
-        for name, value in zip(("kind", "doc_id", "n", "sid", "room0", "room1", *_SKETCH), (0, doc, s, sid, *known[sid])):
+        for name, value in zip(("kind", "doc_id", "tid", "n", "sid", "room0", "room1", *_SKETCH), (0, doc, tid, s, sid, *known[sid])):
             docs[name].append(value)
     n = len(docs["kind"])
     tables = [pa.table([pa.array(docs[f.name] if docs[f.name] else [None] * n, f.type) for f in _ARROW], schema=_ARROW)]
@@ -159,8 +185,7 @@ def read_block(table: pa.Table, buckets: int, finer: int = 1) -> pa.Table:
         blobs = []
         for k in np.flatnonzero(np.diff(edges)):
             part = slice(edges[k], edges[k + 1])
-            nodes, local = np.unique(owner[part], return_inverse=True)
-            blobs.append({"kind": 1, "bucket": int(k), "a": deflate(np.diff(key[part], prepend=np.uint64(0))), "b": deflate(local.astype("<u4")), "c": nodes.tobytes()})
+            blobs.append({"kind": 1, "bucket": int(k), "n": len(key[part]), **packed(key[part], owner[part])})
         tables.append(pa.Table.from_pylist(blobs, _ARROW))
     return pa.concat_tables(tables)
 
@@ -168,35 +193,74 @@ def read_block(table: pa.Table, buckets: int, finer: int = 1) -> pa.Table:
 RUNS = "key bigint, sid bigint, size bigint, band int"
 
 
-def runs(group: pa.Table) -> pa.Table:
-    """Of a bucket's keys, those that two or more nodes share."""
+def _entries(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (key, node) of a group, in order."""
     release()
-    keys, nodes = [], []
-    for a, b, c in zip(group["a"].to_pylist(), group["b"].to_pylist(), group["c"].to_pylist()):
-        keys.append(np.cumsum(inflate(a, "<u8"), dtype=np.uint64))
-        nodes.append(np.frombuffer(c, np.int64)[inflate(b, "<u4")])
-    key, node = np.concatenate(keys), np.concatenate(nodes)
+    parts = [unpacked(*x) for x in zip(*(group[c].to_pylist() for c in "abc"))]
+    key, node = (np.concatenate(x) for x in zip(*parts))
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
     first = np.ones(len(key), bool)
     first[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-    key, node = key[first], node[first]
-    begin = np.flatnonzero(np.diff(key, prepend=key[:1] + np.uint64(1)))
-    size = np.diff(np.append(begin, len(key)))
-    each = np.repeat(size, size)
-    keep = each > 1
-    key = key[keep]
-    return pa.table({"key": pa.array(key.view(np.int64)), "sid": pa.array(node[keep]), "size": pa.array(each[keep], pa.int64()), "band": pa.array((key >> np.uint64(58)).astype(np.int32))})
+    return key[first], node[first]
 
 
-def _pack5(members: np.ndarray) -> bytes:
-    return np.ascontiguousarray(members).view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
+def _rows(key: np.ndarray, node: np.ndarray, size: np.ndarray) -> pa.Table:
+    return pa.table({"key": pa.array(key.view(np.int64)), "sid": pa.array(node), "size": pa.array(size, pa.int64()), "band": pa.array((key >> np.uint64(58)).astype(np.int32))})
 
 
-def _unpack5(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 5, 8), np.uint8)
-    out[:, 3:] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
-    return out.view("<u8").reshape(-1)
+def runs(group: pa.Table) -> pa.Table:
+    """Of a bucket's keys, those that two or more nodes share."""
+    key, node = _entries(group)
+    _, where, size = np.unique(key, return_inverse=True, return_counts=True)
+    keep = size[where] > 1
+    return _rows(key[keep], node[keep], size[where][keep])
+
+
+def hot_runs(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """:func:`runs` of the buckets in ``hot`` (bucket, chunks), no worker holding more than a chunk's entries and the keys' counts.
+
+    A node is wholly in one chunk, so that chunks' counts add up.
+    """
+
+    def deal(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                key, owner = unpacked(r["a"], r["b"], r["c"])
+                chunk = (words.mix(owner.view(np.uint64)) % np.uint64(r["chunks"])).astype(np.int64)
+                found = [{"bucket": r["bucket"], "chunk": int(k), **packed(key[chunk == k], owner[chunk == k])} for k in np.unique(chunk)]
+                yield pa.RecordBatch.from_pylist(found, pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), *((c, pa.binary()) for c in "abc")]))
+
+    def count(key, group):
+        keys, n = np.unique(_entries(group)[0], return_counts=True)
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "keys": pa.array([deflate(np.diff(keys, prepend=np.uint64(0)))]), "counts": pa.array([deflate(n.astype("<u8"))])})
+
+    def total(key, group):
+        keys, where = np.unique(np.concatenate([np.cumsum(inflate(x, "<u8"), dtype=np.uint64) for x in group["keys"].to_pylist()]), return_inverse=True)
+        n = np.bincount(where, weights=np.concatenate([inflate(x, "<u8") for x in group["counts"].to_pylist()])).astype("<u8")
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "keys": pa.array([deflate(np.diff(keys[n > 1], prepend=np.uint64(0)))]), "counts": pa.array([deflate(n[n > 1])])})
+
+    def members(left, right):
+        if not len(left):
+            return _rows(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        key, node = _entries(left)
+        keys, n = np.cumsum(inflate(right["keys"][0].as_py(), "<u8"), dtype=np.uint64), inflate(right["counts"][0].as_py(), "<u8")
+        at = np.minimum(np.searchsorted(keys, key), max(len(keys) - 1, 0))
+        keep = keys[at] == key if len(keys) else np.zeros(len(key), bool)
+        return _rows(key[keep], node[keep], n[at[keep]].astype(np.int64) if len(keys) else np.zeros(0, np.int64))
+
+    blobs = "keys binary, counts binary"
+    dealt = stored(rows.join(hot, "bucket").mapInArrow(deal, "bucket int, chunk int, a binary, b binary, c binary"), "chunks")
+    totals = stored(dealt.groupBy("bucket", "chunk").applyInArrow(count, f"bucket int, {blobs}").groupBy("bucket").applyInArrow(total, f"bucket int, {blobs}"), "totals")
+    sent = totals.join(hot, "bucket").select("bucket", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "keys", "counts")
+    return dealt.groupBy("bucket", "chunk").cogroup(sent.groupBy("bucket", "chunk")).applyInArrow(members, RUNS)
+
+
+def with_key(rows: DataFrame, keyed: DataFrame) -> DataFrame:
+    """Rows of runs (key, sid, size) with the one row of their key in ``keyed`` (key, size); rows whose key has none go."""
+    salts = F.ceil(F.col("size") / RUN_ROWS).cast("int")
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("sid"), salts).cast("int"))
+    return dealt.join(keyed.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("size"), ["key", "salt"]).drop("salt")
 
 
 def entered(rows: DataFrame, buckets: int, finer: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -205,9 +269,13 @@ def entered(rows: DataFrame, buckets: int, finer: int = 1) -> tuple[DataFrame, D
     ``weight`` is the number of runs that a node is in, ``size`` the number of members that a run keeps.
     """
     read = stored(map_blocks(rows, lambda t: read_block(t, buckets, finer), _BLOB, limit=4 << 20), "sketches")
-    listed = read.where("kind = 0").select("doc_id", "n", "sid", "room0", "room1", *_SKETCH)
-    run = stored(read.where("kind = 1").select("bucket", "a", "b", "c").groupBy("bucket").applyInArrow(runs, RUNS), "runs")
-    nodes = stored(listed.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first_doc"), *[F.first(c).alias(c) for c in ("n", "room0", "room1", *_SKETCH)]), "nodes")
+    listed = read.where("kind = 0").select("doc_id", "tid", "n", "sid", "room0", "room1", *_SKETCH)
+    blobs = read.where("kind = 1").select("bucket", "a", "b", "c")
+    hot = stored(read.where("kind = 1").groupBy("bucket").agg(F.ceil(F.sum("n") / HOT).cast("int").alias("chunks")).where("chunks > 1"), "hot")
+    is_hot = bool(hot.head(1))
+    run = (blobs.join(hot, "bucket", "left_anti") if is_hot else blobs).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(runs, RUNS)
+    run = stored(run.unionByName(hot_runs(blobs, hot)) if is_hot else run, "runs")
+    nodes = stored(listed.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first_doc"), F.min("tid").alias("tid"), *[F.first(c).alias(c) for c in ("n", "room0", "room1", *_SKETCH)]), "nodes")
     listed = stored(listed.select("doc_id", "n", "sid"), "documents")
     drop_stored(read)
     reclaim(run)
@@ -219,20 +287,20 @@ def entered(rows: DataFrame, buckets: int, finer: int = 1) -> tuple[DataFrame, D
         .withColumn("weight", F.count("*").over(of_node))
         .withColumn("place", F.row_number().over(Window.partitionBy("sid", "band").orderBy(F.desc("size"), "key")))
         .where(F.col("place") > room)
-        .select("key", "sid", "weight")
+        .select("key", "sid", "weight", "size")
     )
     ranked = stored(ranked, "ranked")
-    shared = ranked.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    kept = stored(ranked.join(shared, "key").select("key", "sid", "weight", "size"), "kept")
+    shared = ranked.groupBy("key").agg(F.first("size").alias("size"), F.count("*").alias("left")).where("left > 1")
+    kept = stored(with_key(ranked, shared).select("key", "sid", "weight", F.col("left").alias("size")), "kept")
     drop_stored(run)
     drop_stored(ranked)
     return listed, nodes, kept
 
 
 def picked(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose ``doc_id`` is in ``ids``: broadcast only after their number is known."""
+    """Rows whose ``tid`` is in ``ids``: broadcast only after their number is known."""
     ids = stored(ids.distinct(), "picked")
-    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "tid", "left_semi")
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -248,7 +316,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, members: DataFrame, percent: i
     def check(block: pa.Table) -> pa.Table:
         keep = []
         for a, b, na, nb in zip(*(block[c].to_pylist() for c in ("m_a", "m_b", "n_a", "n_b"))):
-            both = len(np.intersect1d(_unpack5(a), _unpack5(b), assume_unique=True))
+            both = len(np.intersect1d(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), assume_unique=True))
             keep.append(100 * both >= percent * (na + nb - both))
         return block.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -272,13 +340,13 @@ class _Classes:
     def mixed(self, kept: DataFrame) -> DataFrame:
         """Rows of the runs in which classes still differ."""
         rows = kept.select("key", "sid", "weight", "size").join(self.label, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
-        keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-        return stored(rows.join(keys, "key", "left_semi"), "mixed")
+        keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.first("size").alias("size")).where("low <> high").select("key", "size")
+        return stored(with_key(rows, keys), "mixed")
 
     def meet_hubs(self, rows: DataFrame) -> None:
         """Compare each run's members with the member that is in most runs."""
-        hub = rows.groupBy("key").agg(F.max_by(F.struct(F.col("sid").alias("y"), F.col("label").alias("of")), F.struct("weight", "sid")).alias("h")).select("key", "h.*")
-        self.add(rows.join(hub, "key").where("label <> of").select(F.col("sid").alias("x"), "y"))
+        hub = rows.groupBy("key").agg(F.max_by(F.struct(F.col("sid").alias("y"), F.col("label").alias("of")), F.struct("weight", "sid")).alias("h"), F.first("size").alias("size")).select("key", "size", "h.*")
+        self.add(with_key(rows, hub).where("label <> of").select(F.col("sid").alias("x"), "y"))
 
 
 def _pairs(rows: DataFrame) -> DataFrame:
@@ -323,16 +391,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     """``(doc_id, n_shingles, component_id)`` of every row; linked are sets with Jaccard >= percent / 100 (80: the bounds above)."""
     if percent != 80:
         raise ValueError("the bands' bounds are those of a similarity of 0.8")
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("tid", F.xxhash64("text"))
     buckets = 1 << max(3, math.ceil(math.log2(input_parts(docs))))
     listed, nodes, kept = entered(rows, buckets)
 
     def collect(block: pa.Table) -> pa.Table:
         found = sets(block["text"])
-        return pa.table({"sid": pa.array([digest(m) for m in found], pa.int64()), "members": pa.array([_pack5(m) for m in found], pa.binary())})
+        return pa.table({"sid": pa.array([digest(m) for m in found], pa.int64()), "members": pa.array([m.astype("<u8").tobytes() for m in found], pa.binary())})
 
-    docs_of = lambda sids: sids.select("sid").distinct().join(nodes.select("sid", "first_doc"), "sid").select(F.col("first_doc").alias("doc_id"))
-    members = stored(map_blocks(picked(rows, docs_of(kept)), collect, "sid bigint, members binary").dropDuplicates(["sid"]), "members")
+    texts_of = lambda sids: sids.select("sid").distinct().join(nodes.select("sid", "tid"), "sid").select("tid")
+    members = stored(map_blocks(picked(rows, texts_of(kept)), collect, "sid bigint, members binary").dropDuplicates(["sid"]), "members")
     classes = _Classes(nodes, members, percent)
     left = classes.mixed(kept)
     classes.meet_hubs(left)
@@ -340,7 +408,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
     rest = _pairs(left.where(F.col("size") <= LIGHT))
     crowded = left.where(F.col("size") > LIGHT)
     if crowded.head(1):
-        _, _, finer = entered(picked(rows, docs_of(crowded)), buckets, FINER)
+        _, _, finer = entered(picked(rows, texts_of(crowded)), buckets, FINER)
         finer = classes.mixed(finer)
         rest = rest.unionByName(_pairs(finer.where(F.col("size") <= LIGHT))).unionByName(_close_pairs(finer.where(F.col("size") > LIGHT), nodes, percent))
     classes.add(rest)

@@ -64,9 +64,11 @@ def corpus(seed):
     return list(zip(order, texts))
 
 
-@pytest.mark.parametrize("light", [8, 1])
-def test_classes_equal_brute_force(spark, monkeypatch, light):
+@pytest.mark.parametrize("light, hot", [(8, 4 << 20), (1, 4 << 20), (8, 100)])
+def test_classes_equal_brute_force(spark, monkeypatch, light, hot):
     monkeypatch.setattr(nj, "LIGHT", light)
+    monkeypatch.setattr(nj, "HOT", hot)
+    monkeypatch.setattr(nj, "RUN_ROWS", max(2, light))
     monkeypatch.setattr(nj, "BLOCK_MEMBERS", 8 * light)
     texts = corpus(light)
     docs = spark.createDataFrame([(t, i, "x", "y", "z") for i, t in texts], SCHEMA)
@@ -74,6 +76,20 @@ def test_classes_equal_brute_force(spark, monkeypatch, light):
     assert got == brute(texts)
 
 
+def test_rows_without_an_id_are_bridges(spark):
+    """A and B are linked only through N; whatever N's id is, they are one class, and a class of rows without ids has none."""
+    rng = random.Random(2)
+    base = [f"v{i}" for i in rng.sample(range(10000), 300)]
+    near = lambda k: " ".join([*base[:k], *(f"x{k}y{i}" for i in range(20)), *base[k + 20 :]])
+    a, n, b = near(10), " ".join(base), near(200)
+    assert 80 * len(shingles(a) | shingles(b)) > 100 * len(shingles(a) & shingles(b))
+    for bridge in (2, None):
+        rows = [(a, 1), (n, bridge), (n, bridge), (b, 3), ("quite another text than these others", None), ("quite another text than these others", None)]
+        got = nj.near_duplicates(spark.createDataFrame(rows, "text string, doc_id bigint")).collect()
+        assert {r.component_id for r in got if r.n_shingles > 100} == {1} and len(got) == 6
+        assert {r.component_id for r in got if r.n_shingles < 100} == {None}
+
+
 def test_empty_table_and_repeated_rows(spark):
     docs = spark.createDataFrame([("a b", 2, "", "", ""), ("a b", 2, "", "", ""), ("a  B", 1, "", "", "")], SCHEMA)
     assert sorted(map(tuple, nj.near_duplicates(docs).collect())) == [(1, 1, 1), (2, 1, 1), (2, 1, 1)]
