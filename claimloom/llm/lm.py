@@ -12,9 +12,20 @@ fills the corpus is one entry for each block), range buckets of hashes add them
 each block gets its totals back in the order it sent them. No count reaches the driver:
 it sees N, V and the histogram of estimates that EM needs, which has a fixed size.
 
+A block sends to ``FAN`` ranges at most. Where the input needs more buckets, what some
+``UNIT_BLOCKS`` blocks sent to one range is merged first, and the merged unit sends to finer
+buckets; totals come back the same two steps. So no message shrinks to single entries as
+blocks and buckets grow with the input.
+
+Hashes: counts of words, N, V and ``base_score`` rest on 64-bit hashes of words. A pair's hash
+is made of its words' leading ``SHORT`` bits and has :func:`pair_bits` bits. Of 10^9 distinct
+words about 4 in 10^6 share their leading bits with another, whose pairs then count as one.
+
 Tokens: A-Z lower-cased, words between ASCII white space, then one end token. Defined
-results: null text is the end token alone; empty table, empty result; with nothing to
-learn from every score is 0. Rows repeated are scored each, and counted each.
+results: null text is the end token alone; a very long text is a block of its own; empty
+table, empty result; with nothing to learn from every score is 0. Rows repeated are scored
+each, and counted each, null or repeated ids too (a null id has the checksum of the empty
+text); other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,10 +40,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import doc_fold, input_parts, map_blocks, release, stored
+from .common import doc_fold, input_bytes, input_parts, map_blocks, release, stored
 
 END, START = np.uint64(0x5EED5EED00000001), np.uint64(0x5EED5EED00000002)
 BLOCK = 8 << 20
+#: Ranges that a block sends to; a power of two.
+FAN = 256
+#: Blocks whose entries of one range are merged before they go to finer buckets.
+UNIT_BLOCKS = 2048
+#: Leading bits of a word's hash of which pair hashes are made.
+SHORT = 48
 #: EM sees estimates on a grid of half powers of two; cell 0 is probability zero.
 GRID, BUCKETS = 160, 66
 _ROW = "dest int, kind int, block string, bucket int, a binary, b binary, c binary, d binary, x bigint, y bigint"
@@ -60,13 +77,13 @@ def small(counts: np.ndarray) -> np.ndarray:
 
 
 def pair_bits(input_bytes: int) -> int:
-    """Bits of a pair's hash: so many that below one pair in 100,000 shares its hash, at a pair for each 8 bytes of input."""
+    """Bits of a pair's hash: so many that below one pair in 100,000 shares its hash by chance, at a pair for each 8 bytes of input."""
     return min(64, max(40, (input_bytes // 8).bit_length() + 17))
 
 
 def short(hashes: np.ndarray) -> np.ndarray:
-    """The leading 40 bits of word hashes, of which pair hashes are made."""
-    return hashes >> np.uint64(24)
+    """The leading bits of word hashes, of which pair hashes are made."""
+    return hashes >> np.uint64(64 - SHORT)
 
 
 def ranks(prev: np.ndarray, now: np.ndarray, shorts: np.ndarray, bits: int):
@@ -130,24 +147,34 @@ def read_block(table: pa.Table, buckets: int, bits: int) -> pa.Table:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, docs.schema) as w:
         w.write_table(docs)
-    out.append({"dest": home, "kind": TEXTS, "block": block, "a": sink.getvalue().to_pybytes(), "b": deflate(lengths), "c": deflate(codes.astype("<u4")), "d": short(hashes).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()})
+    out.append({"dest": home, "kind": TEXTS, "block": block, "a": sink.getvalue().to_pybytes(), "b": deflate(lengths), "c": deflate(codes.astype("<u4")), "d": short(hashes).view(np.uint8).reshape(-1, 8)[:, : SHORT // 8].tobytes()})
     if deleted.any():  # each distinct pair once, with its number of deleted tokens
         pairs, first, times = np.unique(pair[deleted], return_index=True, return_counts=True)
         out.append({"dest": home, "kind": HELD, "block": block, "a": deflate(rank[prev[deleted][first]].astype("<u4")), "b": deflate(rank[now[deleted][first]].astype("<u4")), "c": deflate(pairs.astype("<u4")), "d": deflate(times.astype("<u4"))})
     return pa.Table.from_pylist(out, _ARROW)
 
 
+def _read(rows: list[dict], name: str) -> np.ndarray:
+    parts = [inflate(r[name], "<u4" if np.frombuffer(r[name][:8], "<i8")[0] == 4 else "<u8") for r in rows]
+    return np.concatenate([x.astype(np.int64) for x in parts] or [np.zeros(0, np.int64)])
+
+
+def _summed(rows: list[dict]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's hashes, all distinct ones, the places of the former among the latter, and the distinct ones' kept and deleted counts."""
+    hashes = [np.cumsum(inflate(r["a"], "<u8"), dtype=np.uint64) for r in rows]
+    distinct, where = np.unique(np.concatenate(hashes), return_inverse=True)
+    kept, deleted = (np.bincount(where, weights=_read(rows, c)).astype(np.int64) for c in "bc")
+    return hashes, distinct, where, kept, deleted
+
+
 def add_up(group: pa.Table) -> pa.Table:
-    """Totals of a bucket's hashes, handed back to each block; texts pass through."""
+    """Totals of a bucket's hashes, handed back to each sender; texts pass through."""
     release()
     rows = group.to_pylist()
     if rows[0]["kind"] >= TEXTS:
         return group
-    hashes = [np.cumsum(inflate(r["a"], "<u8"), dtype=np.uint64) for r in rows]
-    read = lambda name: np.concatenate([x.view("<u4").astype(np.int64) if x.itemsize == 4 else x.view("<i8") for x in (inflate(r[name], "<u4" if np.frombuffer(r[name][:8], "<i8")[0] == 4 else "<u8") for r in rows)])
-    distinct, where = np.unique(np.concatenate(hashes), return_inverse=True)
-    kept = np.bincount(where, weights=read("b")).astype(np.int64)
-    total = kept + np.bincount(where, weights=read("c")).astype(np.int64)
+    hashes, distinct, where, kept, deleted = _summed(rows)
+    total = kept + deleted
     out, at = [], 0
     for r, h in zip(rows, hashes):
         mine = where[at : at + len(h)]
@@ -160,13 +187,61 @@ def add_up(group: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(out, _ARROW)
 
 
+def merged(buckets: int, bits: int):
+    """What a unit's blocks sent to one range, made one message for each of ``buckets`` finer buckets."""
+
+    def merge(group: pa.Table) -> pa.Table:
+        release()
+        rows = group.to_pylist()
+        kind = rows[0]["kind"]
+        _, distinct, _, kept, deleted = _summed(rows)
+        width = 64 if kind == UNIGRAM else bits
+        bucket = (distinct >> np.uint64(width - (buckets - 1).bit_length())).astype(np.int64)
+        out = []
+        for k in np.unique(bucket):
+            part = slice(*np.searchsorted(bucket, (k, k + 1)))
+            out.append({"dest": kind * buckets + int(k), "kind": kind, "block": rows[0]["unit"], "bucket": int(k), "a": deflate(np.diff(distinct[part], prepend=np.uint64(0))), "b": deflate(small(kept[part])), "c": deflate(small(deleted[part]))})
+        return pa.Table.from_pylist(out, _ARROW)
+
+    return merge
+
+
+def give_back(left, right):
+    """A unit's totals, handed on to the blocks that it was merged from."""
+    release()
+    rows = left.to_pylist()
+    if not rows:
+        return pa.Table.from_pylist([], _ARROW)
+    hashes, _, where, _, _ = _summed(rows)
+    told = sorted(right.to_pylist(), key=lambda r: r["bucket"])
+    kept, total = _read(told, "a"), _read(told, "b")
+    out, at = [], 0
+    for r, h in zip(rows, hashes):
+        mine = where[at : at + len(h)]
+        at += len(h)
+        out.append({"kind": r["kind"], "block": r["block"], "bucket": r["bucket"], "a": deflate(small(kept[mine])), "b": deflate(small(total[mine]))})
+    return pa.Table.from_pylist(out, _ARROW)
+
+
+def totalled(sent: DataFrame, buckets: int, bits: int, parts: int) -> DataFrame:
+    """Blocks' messages answered with the corpus's totals, by way of units where there are more than ``FAN`` buckets."""
+    if buckets <= FAN:
+        return sent.repartition(parts, "dest").groupBy("dest").applyInArrow(add_up, _ROW)
+    sent = stored(sent, "sent")
+    counts = sent.where(F.col("kind") <= BIGRAM)
+    units = max(1, counts.select("block").distinct().count() // UNIT_BLOCKS)
+    counts = counts.withColumn("unit", F.concat_ws("/", F.col("dest").cast("string"), F.pmod(F.xxhash64("block"), F.lit(units)).cast("string")))
+    finer = counts.repartition(parts, "unit").groupBy("unit").applyInArrow(merged(buckets, bits), _ROW)
+    told = stored(finer.repartition(parts, "dest").groupBy("dest").applyInArrow(add_up, _ROW), "units")
+    of_unit = told.where(F.col("kind") <= BIGRAM).withColumnRenamed("block", "unit")
+    back = counts.repartition(parts, "unit").groupBy("unit").cogroup(of_unit.repartition(parts, "unit").groupBy("unit")).applyInArrow(give_back, _ROW)
+    return back.unionByName(told.where(F.col("kind") == TOTALS)).unionByName(sent.where(F.col("kind") >= TEXTS))
+
+
 def _totals(rows: list[dict], column: str) -> tuple[np.ndarray, np.ndarray]:
     """A block's counts of words and of pairs, in its own order."""
-    found = []
-    for kind in (UNIGRAM, BIGRAM):
-        parts = sorted((r["bucket"], r[column]) for r in rows if r["kind"] == kind)
-        found.append(np.concatenate([inflate(raw, "<u4" if np.frombuffer(raw[:8], "<i8")[0] == 4 else "<u8").astype(np.int64) for _, raw in parts] or [np.zeros(0, np.int64)]))
-    return found[0], found[1]
+    of = lambda kind: sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["bucket"])
+    return _read(of(UNIGRAM), column), _read(of(BIGRAM), column)
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -229,8 +304,8 @@ def score_block(weights: np.ndarray, n: int, v: int, bits: int):
                 continue
             docs = pa.ipc.open_stream(r["a"]).read_all()
             lengths, codes = inflate(r["b"], "<i8"), inflate(r["c"], "<u4").astype(np.int64)
-            wide = np.zeros((len(r["d"]) // 5, 8), np.uint8)
-            wide[:, :5] = np.frombuffer(r["d"], np.uint8).reshape(-1, 5)
+            wide = np.zeros((len(r["d"]) * 8 // SHORT, 8), np.uint8)
+            wide[:, : SHORT // 8] = np.frombuffer(r["d"], np.uint8).reshape(-1, SHORT // 8)
             shorts = wide.view("<u8").reshape(-1)
             prev, now = sequences(lengths, codes, len(shorts) - 2, len(shorts) - 1)
             _, rank = order_of(shorts)
@@ -257,19 +332,20 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
 
     Fold ``held`` is EM's held-out part.
     """
-    buckets = 1 << max(3, math.ceil(math.log2(input_parts(docs, 4))))
-    bits = pair_bits(input_parts(docs, 1) << 20)
+    parts = input_parts(docs, 16)
+    buckets = 1 << max(3, math.ceil(math.log2(parts)))
+    bits = pair_bits(input_bytes(docs))
     fold = doc_fold(folds)
     part = F.when(fold == learn_not, 2).when(fold == held, 1).otherwise(0)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("part", part.cast("int"))
-    sent = map_blocks(rows, lambda t: read_block(t, buckets, bits), _ROW, limit=BLOCK)
-    counted = stored(sent.groupBy("dest").applyInArrow(add_up, _ROW), "lm")
+    sent = map_blocks(rows, lambda t: read_block(t, min(buckets, FAN), bits), _ROW, limit=BLOCK)
+    counted = stored(totalled(sent, buckets, bits, parts), "lm")
     totals = {r["bucket"]: (r["n"], r["v"]) for r in counted.where(F.col("kind") == TOTALS).groupBy("bucket").agg(F.sum("x").alias("n"), F.sum("y").alias("v")).collect()}
     (kept_n, kept_v), (n, v) = totals.get(0, (0, 0)), totals.get(1, (0, 0))
     counts = counted.where(F.col("kind") <= BIGRAM)
-    estimates = counts.unionByName(counted.where(F.col("kind") == HELD)).select(*_NAMES[1:8]).groupBy("block").applyInArrow(held_out_cells(kept_n), "cell bigint, n bigint")
+    estimates = counts.unionByName(counted.where(F.col("kind") == HELD)).select(*_NAMES[1:8]).repartition(parts, "block").groupBy("block").applyInArrow(held_out_cells(kept_n), "cell bigint, n bigint")
     cells = {r["cell"]: r["n"] for r in estimates.groupBy("cell").agg(F.sum("n").alias("n")).collect()}
     weights = expectation_maximisation(cells, kept_v)
     result = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     texts = counted.where(F.col("kind") == TEXTS)
-    return counts.unionByName(texts).select(*_NAMES[1:8]).groupBy("block").applyInArrow(score_block(weights, n, v, bits), result)
+    return counts.unionByName(texts).select(*_NAMES[1:8]).repartition(parts, "block").groupBy("block").applyInArrow(score_block(weights, n, v, bits), result)

@@ -25,11 +25,14 @@ def corpus():
     return [None, "", " \n ", "same same", "same same", "w " * 5000, *texts]
 
 
-def test_counts_base_and_model(spark, monkeypatch):
+@pytest.mark.parametrize("fan", [256, 2])
+def test_counts_base_and_model(spark, monkeypatch, fan):
     seen = {}
     learn = lm.expectation_maximisation
     monkeypatch.setattr(lm, "expectation_maximisation", lambda *a: seen.setdefault("weights", learn(*a)))
     monkeypatch.setattr(lm, "BLOCK", 4000)
+    monkeypatch.setattr(lm, "FAN", fan)  # with 2, eight buckets are reached by way of units of four blocks
+    monkeypatch.setattr(lm, "UNIT_BLOCKS", 4)
     texts = corpus()
     docs = spark.createDataFrame([(i, t, "f", "k", "b") for i, t in enumerate(texts)], SCHEMA)
     got = {r.doc_id: r for r in lm.lm_scores(docs).collect()}
@@ -84,6 +87,31 @@ def test_whole_held_fold_reaches_the_weights(spark, monkeypatch):
     assert seen["cells"] == expected
 
 
+def test_weights_equal_a_plain_expectation_maximisation():
+    """Token by token, with no histogram of distinct cells."""
+    rng = random.Random(6)
+    held = [(rng.choice([0, 1, 4]), rng.randint(0, 40), rng.randint(1, 60)) for _ in range(300)]
+    value = lambda c: 2.0 ** (-(c - 1) / 2) if c else 0.0
+    weights = {b: [1 / 3] * 3 for b in (0, 1, 4)}
+    for _ in range(60):
+        mass = {b: [1.0] * 3 for b in weights}
+        for b, p2, p1 in held:
+            parts = [w * p for w, p in zip(weights[b], (1 / 101, value(p1), value(p2)))]
+            for j in range(3):
+                mass[b][j] += parts[j] / sum(parts)
+        weights = {b: [m / sum(ms) for m in ms] for b, ms in mass.items()}
+    found = lm.expectation_maximisation(Counter((b * lm.GRID + p2) * lm.GRID + p1 for b, p2, p1 in held), 100)
+    for b, ws in weights.items():
+        assert found[b].tolist() == pytest.approx(ws)
+    assert found[2].tolist() == found[1].tolist() and found[9].tolist() == found[4].tolist()
+
+
+def test_null_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(None, "a b"), (None, "a b"), (5, "a b"), (5, "b a c")], "doc_id bigint, text string")
+    got = lm.lm_scores(docs).collect()
+    assert len(got) == 4 and sorted(r.n_tokens for r in got) == [3, 3, 3, 4]
+
+
 def test_empty_table_and_nothing_to_learn(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert lm.lm_scores(docs).count() == 0
