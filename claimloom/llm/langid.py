@@ -6,11 +6,14 @@ vector is (1 + log tf) * idf, scaled to length one. Each language has several ce
 cosine. A text farther from it than nearly all of that language's own learning texts is
 rejected: ``rejected`` is true and ``lang_open`` is ``und``.
 
-Learning reads a bounded sample: about ``sample`` rows in all, equally many for each
-language, picked by a hash of the id. Prediction reads every whole text.
+Learning reads a bounded sample: about ``sample`` distinct rows in all, equally many for each of
+the ``most_langs`` most frequent languages, picked by a hash of id and text (so neither copies nor
+an id that repeats fill it). Prediction reads every whole text.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0 (rejected); so is
-all text if nothing can be learned from; empty table, empty result; repeated rows each get a row.
+all text if nothing can be learned from; of centroids with equal cosines the first in the order of
+languages counts; very long texts are read whole; empty table, empty result; repeated rows each
+get a row, null or repeated ids too; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_blocks
@@ -65,19 +68,16 @@ def _k_means(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 2000, clusters: int = 3) -> dict:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 2000, clusters: int = 3, most_langs: int = 500) -> dict:
     """Model from a bounded sample of ``labelled``; the driver holds ``sample`` vectors of 16 KB at most (about)."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs).collect()}
     if not sizes:
         return {"langs": []}
     each = max(1, sample // len(sizes))
     grain = 1 << 30
-    limit: Column = F.lit(grain)
-    for lang, n in sorted(sizes.items()):
-        if n > each:
-            limit = F.when(F.col("lang") == lang, int(grain * each / n)).otherwise(limit)
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(grain)) < limit).select("text", "lang")
+    limit = F.element_at(F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, int(grain * min(1.0, each / n)))]), F.col("lang"))
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(grain)) < limit).dropDuplicates(["doc_id", "text", "lang"]).select("text", "lang")
 
     def vectors(block: pa.Table) -> pa.Table:
         out = []

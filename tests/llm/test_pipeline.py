@@ -86,6 +86,39 @@ def test_rows_without_id_or_with_one_id_are_told_apart(spark, corpus):
     assert (None, clean[25]) in kept and (None, planted[302]) not in kept
 
 
+def test_each_stage_on_awkward_tables(spark, corpus):
+    """Null ids and texts, empty and long texts, repeated rows, extra columns and empty tables; what stays is what a plain reading of the rules leaves."""
+    folder, clean = corpus
+    item = spark.read.parquet(f"{folder}/benchmark.parquet").first().text
+    long = " ".join(clean.values()) * 3
+    row = lambda i, t: (i, t, None, "s", len(t or ""), "e", "k")
+    rows = [row(None, None), row(1, ""), row(1, " \n"), row(None, clean[30]), row(None, clean[30]), row(2, clean[30]), row(2, clean[31]), row(2, clean[31]), row(3, long), row(None, item + " " + clean[32]), row(4, clean[33] + " AKIA" + "Z" * 20)]
+    docs = spark.createDataFrame(rows, DOCS)
+    bag = lambda frame: sorted((r.doc_id or 0, r.text or "") for r in frame.select("doc_id", "text").collect())
+    of = lambda *at: sorted((rows[i][0] or 0, rows[i][1] or "") for i in at)
+    stages = dict(corpus_pipeline.STAGES)
+    assert bag(stages["quality"](spark, docs, folder)) == of(3, 4, 5, 6, 7, 8, 9, 10)
+    assert bag(stages["near_duplicates"](spark, docs, folder)) == of(0, 1, 2, 5, 6, 8, 9, 10)
+    assert bag(stages["decontamination"](spark, docs, folder)) == of(0, 1, 2, 3, 4, 5, 6, 7, 8, 10)
+    masked = stages["secrets"](spark, docs, folder)
+    assert bag(masked) == sorted(of(0, 1, 2, 3, 4, 5, 6, 7, 8, 9) + [(4, clean[33] + " [SECRET]")]) and masked.where("text is null").count() == 1
+    encoder = bpe.load(__import__("public_tokenizers").path("word_bpe_49k.json"))
+    total = sum(p.length for p in stages["packing"](spark, docs, folder).collect())
+    assert total == sum(len(encoder.library.encode(t or "", add_special_tokens=False).ids) + 1 for _, t, *_ in rows)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), folder).count() == 0, name
+
+
+def test_row_numbers_are_unique_and_the_same_in_every_scan(spark, tmp_path):
+    from claimloom.llm.common import numbered
+
+    spark.range(1000).repartition(7).write.parquet(f"file://{tmp_path}/t")
+    rows = numbered(spark.read.parquet(f"file://{tmp_path}/t"), "row_no")
+    first = {r.id: r.row_no for r in rows.collect()}
+    assert len(set(first.values())) == 1000 and {r.id: r.row_no for r in rows.where("id % 3 = 0").collect()} == {i: n for i, n in first.items() if i % 3 == 0}
+    assert numbered(spark.range(5).toDF("id"), "row_no").select("row_no").distinct().count() == 5
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="needs the driver's tables")
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracles(spark, name):
