@@ -45,7 +45,7 @@ from .common import doc_fold, input_bytes, input_parts, map_blocks, release, sto
 END, START = np.uint64(0x5EED5EED00000001), np.uint64(0x5EED5EED00000002)
 BLOCK = 8 << 20
 #: Ranges that a block sends to; a power of two.
-FAN = 256
+FAN = 4096
 #: Blocks whose entries of one range are merged before they go to finer buckets.
 UNIT_BLOCKS = 2048
 #: Leading bits of a word's hash of which pair hashes are made.
@@ -142,7 +142,7 @@ def read_block(table: pa.Table, buckets: int, bits: int) -> pa.Table:
     send(UNIGRAM, hashes[order], 64, a, b)
     pair_hashes, pair = ranks(prev, now, short(hashes), bits)
     send(BIGRAM, pair_hashes, bits, np.bincount(pair[kept], minlength=len(pair_hashes)), np.bincount(pair[deleted], minlength=len(pair_hashes)))
-    home = 2 * buckets + int(block[:8], 16) % buckets
+    home = 2 * buckets + int(block[:8], 16) % (1 << 30)  # a block's texts needn't meet others
     docs = pa.table({"doc_id": ids, "part": table["part"]}).combine_chunks()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, docs.schema) as w:
@@ -332,8 +332,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
 
     Fold ``held`` is EM's held-out part.
     """
-    parts = input_parts(docs, 16)
-    buckets = 1 << max(3, math.ceil(math.log2(parts)))
+    parts, buckets = input_parts(docs, 16), 1 << max(3, math.ceil(math.log2(input_parts(docs, 4))))
     bits = pair_bits(input_bytes(docs))
     fold = doc_fold(folds)
     part = F.when(fold == learn_not, 2).when(fold == held, 1).otherwise(0)
