@@ -43,7 +43,7 @@ from . import words
 from .common import doc_fold, input_bytes, input_parts, map_blocks, release, stored
 
 END, START = np.uint64(0x5EED5EED00000001), np.uint64(0x5EED5EED00000002)
-BLOCK = 8 << 20
+BLOCK = 6 << 20
 #: Ranges that a block sends to; a power of two.
 FAN = 4096
 #: Blocks whose entries of one range are merged before they go to finer buckets.
