@@ -2,20 +2,28 @@
 
 The patterns' entities are seeds. A lexical pattern is the pair of words around an
 identifier-like token, the two words before it or the two after it (letters-only words
-lower-cased; other neighbours by their shape). Patterns and tokens make a bipartite graph. Its scores alternate: a pattern's confidence in
-a kind is the smoothed share of its tokens' scores, counted over distinct tokens so that
-copies of a text weigh once; a token that is no seed scores the confidence of its best
-pattern, less doubt for each that disagrees. High-confidence patterns with enough distinct
-seeds mark the other tokens in their place as unseen identifiers of that kind. The graph
-lives in Spark tables; no part of it is collected.
-
-Defined results: null text has no spans; empty table, empty result; matches that fail a rule
-are dropped and not tried again; tokens that overlap a pattern's span aren't added;
-repeated rows each get a row.
+lower-cased; other neighbours by their shape; a word or token longer than ``LONGEST`` characters
+by its digest, whole). Identifier-like is a run of five characters or more without white space
+that holds a digit, an at sign (or what is written for one) or a name parted by dots. Patterns
+and tokens make a bipartite graph. Its scores alternate: a pattern's confidence in a kind is the
+smoothed share of its tokens' scores, counted over distinct tokens so that copies of a text
+weigh once; a token that is no seed scores the confidence of its best pattern, less doubt for
+each that disagrees. High-confidence patterns with enough distinct seeds mark the other tokens
+in their place as unseen identifiers of that kind. The graph lives in Spark tables; no part of
+it is collected.
+
+Defined results: null text has no spans; very long texts are read whole; empty table, empty
+result; matches that fail a rule are dropped and not tried again; tokens that overlap a
+pattern's span aren't added; a token that patterns of equal confidence mark gets the kind that
+comes last in :data:`KINDS`; repeated rows each get a row, null or repeated ids too; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import bisect
+import hashlib
+import itertools
 import re
 import uuid
 
@@ -33,8 +41,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-#: Identifier-like: no white space, at least one digit, five characters or more once punctuation around it is off.
-_TOKEN = re.compile(r"[^\s]*[0-9][^\s]*")
+_WORD = re.compile(r"\S+")
+_LIKE = re.compile(r"[0-9]|@|\(at\)|\[at\]|[^\W\d_]\.[^\W\d_]")
+#: Characters of a token or a neighbour that stand for themselves; longer ones are told apart by a digest.
+LONGEST = 64
 _EDGE = "\"'()[]{}<>,;:.!?#$%&*|"
 
 
@@ -77,31 +87,49 @@ def shape(word: str) -> str:
     return word.lower() if word.isalpha() else re.sub(r"(.)\1+", r"\1+", re.sub(r"[0-9]", "0", re.sub(r"[^\W\d_]", "a", word)))
 
 
-def _around(text: str, start: int, end: int) -> list[str]:
-    """The patterns of a place: a word on either side, two words before it, two after it."""
-    before, after = text[max(0, start - 80) : start].split(), text[end : end + 80].split()
-    a, b = (shape(w.strip(_EDGE)) for w in ["^", "^", *before][-2:])
-    c, d = (shape(w.strip(_EDGE)) for w in [*after, "$", "$"][:2])
-    return [f"{b} _ {c}", f"{a} {b} _", f"_ {c} {d}"]
+def _short(x: str) -> str:
+    return x if len(x) <= LONGEST else "#" + hashlib.sha256(x.encode()).hexdigest()
+
+
+class _Words:
+    """A text's runs without white space, found once."""
+
+    def __init__(self, text: str):
+        self.text, self.spans = text, [m.span() for m in _WORD.finditer(text)]
+        self.begins, self.ends = [a for a, _ in self.spans], [b for _, b in self.spans]
+
+    def around(self, start: int, end: int) -> list[str]:
+        """The patterns of a place: a word on either side, two words before it, two after it; what is left of a word beside it counts as one."""
+        i, k = bisect.bisect_left(self.begins, start), bisect.bisect_right(self.ends, end)
+        before = [self.text[self.begins[j] : min(self.ends[j], start)] for j in (i - 2, i - 1) if j >= 0]
+        after = [self.text[max(self.begins[j], end) : self.ends[j]] for j in (k, k + 1) if j < len(self.ends)]
+        a, b = (_short(shape(w.strip(_EDGE))) for w in ["^", "^", *before][-2:])
+        c, d = (_short(shape(w.strip(_EDGE))) for w in [*after, "$", "$"][:2])
+        return [f"{b} _ {c}", f"{a} {b} _", f"_ {c} {d}"]
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
     """Seeds (kind >= 0) and other identifier-like tokens (kind -1), with their patterns."""
-    out = [{"kind": kind, "start": s, "end": e, "patterns": _around(text, s, e), "token": text[s:e]} for s, kind, e in base]
-    if not _DIGIT.search(text):
-        return out
+    if not base and not _LIKE.search(text):
+        return []
+    found = _Words(text)
+    out = [{"kind": kind, "start": s, "end": e, "patterns": found.around(s, e), "token": _short(text[s:e])} for s, kind, e in base]
     i = 0
-    for m in _TOKEN.finditer(text):
-        raw = m[0]
-        start = m.start() + len(raw) - len(raw.lstrip(_EDGE))
-        end = m.end() - (len(raw) - len(raw.rstrip(_EDGE)))
-        if not 5 <= end - start <= 64:
+    for begin, stop in found.spans:
+        if stop - begin < 5:
+            continue
+        raw = text[begin:stop]
+        if not _LIKE.search(raw):
+            continue
+        start = begin + len(raw) - len(raw.lstrip(_EDGE))
+        end = stop - (len(raw) - len(raw.rstrip(_EDGE)))
+        if end - start < 5:
             continue
         while i < len(base) and base[i][2] <= start:
             i += 1
-        if any(s < end and start < e for s, _, e in base[i : i + 4]):
+        if any(s < end and start < e for s, _, e in itertools.takewhile(lambda b: b[0] < end, itertools.islice(base, i, None))):
             continue
-        out.append({"kind": -1, "start": start, "end": end, "patterns": _around(text, start, end), "token": text[start:end]})
+        out.append({"kind": -1, "start": start, "end": end, "patterns": found.around(start, end), "token": _short(text[start:end])})
     return out
 
 

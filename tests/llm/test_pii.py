@@ -66,3 +66,63 @@ def test_empty_table_and_repeated_rows(spark):
     docs = spark.createDataFrame([("a@b.c", 1, "", "", ""), ("a@b.c", 1, "", "", "")], SCHEMA)
     assert [r.n_email for r in pii.digest(pii.find_pii(docs)).collect()] == [1, 1]
     assert pii.find_pii(docs.limit(0)).count() == 0
+
+
+def test_places_and_patterns_equal_a_plain_reading():
+    """Candidates and their neighbours against splitting the text before and after each place, however long its words are."""
+    rng = random.Random(12)
+    bits = ["jane.doe@localhost", "x9", "room 12345,", "(a.b.c)", "call", "me", "7" * 90, "q" * 300 + "1", "a@b.org", " ", "  ", "\n", "first.last", "name(at)home", "é.é.é", "word", ":", "1.2.3.4"]
+    for _ in range(600):
+        text = "".join(rng.choice(bits) + rng.choice(["", " ", " "]) for _ in range(rng.randint(1, 15)))
+        base = pii.base_spans(text)
+        got = pii.candidates(text, base)
+        expected = [(s, e) for s, _, e in base]
+        for m in re.finditer(r"\S+", text):
+            left = len(m[0]) - len(m[0].lstrip(pii._EDGE))
+            right = len(m[0]) - len(m[0].rstrip(pii._EDGE))
+            a, b = m.start() + left, m.end() - right
+            if b - a >= 5 and re.search(r"[0-9]|@|\(at\)|[^\W\d_]\.[^\W\d_]", m[0]) and not any(s < b and a < e for s, _, e in base):
+                expected.append((a, b))
+        assert [(c["start"], c["end"]) for c in got] == expected
+        for c in got:
+            before, after = ["^", "^", *text[: c["start"]].split()][-2:], [*text[c["end"] :].split(), "$", "$"][:2]
+            x, y, z, w = (pii._short(pii.shape(v.strip(pii._EDGE))) for v in (*before, *after))
+            assert c["patterns"] == [f"{y} _ {z}", f"{x} {y} _", f"_ {z} {w}"]
+
+
+def test_confidences_equal_a_plain_iteration(spark):
+    """The bootstrap's rounds over dictionaries."""
+    rng = random.Random(3)
+    rows = [(rng.choice([-1, -1, 0, 3]), f"p{rng.randint(0, 6)}", f"t{rng.randint(0, 60)}") for _ in range(400)]
+    kinds = {}
+    for k, p, t in rows:
+        kinds[p, t] = max(kinds.get((p, t), -1), k)
+    seeds = {(t, k): 1.0 for (p, t), k in kinds.items() if k >= 0}
+    scores, held = dict(seeds), {}
+    for _ in range(3):
+        held = {}
+        for p, t in kinds:
+            for (u, k), s in scores.items():
+                if u == t:
+                    held[p, k] = held.get((p, k), 0) + s
+        held = {(p, k): m / (sum(q == p for q, _ in kinds) + 2.0) for (p, k), m in held.items()}
+        of = {}
+        for (p, t), kind in kinds.items():
+            if kind < 0:
+                for (q, k), c in held.items():
+                    if q == p:
+                        of.setdefault((t, k), []).append(c)
+        scores = seeds | {}
+        listed = [(tk, s) for tk, s in seeds.items()] + [(tk, max(cs) * sum(cs) / len(cs)) for tk, cs in of.items()]
+        scores = {}
+        for tk, s in listed:
+            if s >= 0.05:
+                scores[tk] = scores.get(tk, 0) + s  # a token that is a seed in one place and none in another counts for both
+    ranked = {}
+    for (p, k), c in held.items():
+        if c >= 0.2 and sum(q == p and kind == k for (q, _), kind in kinds.items()) >= 2:
+            ranked[p] = max(ranked.get(p, (0, -1)), (c, k))
+    got = {r.pattern: (r.confidence, r.found_kind) for r in pii.bootstrap(spark.createDataFrame(rows, "kind int, pattern string, token string"), 3, 0.2, 2).collect()}
+    assert got.keys() == ranked.keys() and len(got) > 1
+    for p, (c, k) in ranked.items():
+        assert got[p][1] == k and abs(got[p][0] - c) < 1e-9
