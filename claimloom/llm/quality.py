@@ -8,12 +8,19 @@ trains hashed linear scorers, which judge every document: one of word shapes for
 one of words for toxicity.
 
 The driver sees the counts of vote patterns (3 to the power of the labellers at most) and
-the sample: ``sample`` documents a class and target, of ``SHAPES`` numbers or the distinct
-words' hashes each.
+the sample: about ``sample`` distinct rows a class and target, picked by a hash of id and text,
+of ``SHAPES`` numbers or the distinct words' hashes each.
+
+The quality labellers are one-sided by their nature: each knows one sort of junk and abstains on
+all else, so they meet one another on texts that are junk in several ways, and meet the human
+labels everywhere. Which share of junk and which accuracies to start from are parameters
+(``prior``, ``trust``).
 
 Defined results: null, empty or blank text is rejected with quality 0; several labels of a
-document count by majority (even: none); without labels the heuristics alone decide; an
-empty table gives an empty result; repeated rows each get a row.
+document count by majority (even: none); without labels the heuristics alone decide; very long
+texts are judged whole; equal texts get equal scores; an empty table gives an empty result;
+repeated rows each get a row, null or repeated ids too (a null id has no label); other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +28,7 @@ from __future__ import annotations
 import math
 import operator
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +52,11 @@ _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 _SORTS = bytes(65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else 32 if b in b" \t\n\v\f\r" else b for b in range(256))
 QUALITY = ["symbols", "capitals", "bars", "repeats", "variety", "shouts", "ordinary", "human"]
 TOXIC = ["insults", "insult_share", "human"]
-_VOTES = "doc_id bigint, quality array<int>, toxic array<int>"
+_VOTES = "doc_id bigint, tid bigint, quality array<int>, toxic array<int>"
+
+
+PRIOR = {"quality": 0.8, "toxic": 0.08}
+TRUST = {"quality": [*[0.9] * (len(QUALITY) - 1), 0.97], "toxic": [0.9, 0.9, 0.99]}
 
 
 def votes(text: str) -> tuple[list[int], list[int]]:
@@ -103,10 +115,6 @@ def estimate(patterns: dict[tuple[int, ...], int], prior: float, trust: list[flo
     return {tuple(int(x) for x in k): float(q) for k, q in zip(v, p)}
 
 
-PRIOR = {"quality": 0.8, "toxic": 0.08}
-TRUST = {"quality": [*[0.9] * (len(QUALITY) - 1), 0.97], "toxic": [0.9, 0.9, 0.99]}
-
-
 def shapes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words with runs of one sort of character made one, as :func:`words.split` gives words."""
     sorts = words.translated(texts, _SORTS)
@@ -164,11 +172,11 @@ def train_linear(x: np.ndarray, y: np.ndarray, rounds: int = 250, rate: float =
     return w, float(b)
 
 
-def train_words(toxic: list[np.ndarray], clean: list[np.ndarray], least: int = 4, surprise: float = 6.0, strictness: float = 2.0) -> tuple[dict[int, float], float]:
+def train_words(toxic: list[np.ndarray], clean: list[np.ndarray], share: float = PRIOR["toxic"], least: int = 4, surprise: float = 6.0, strictness: float = 2.0) -> tuple[dict[int, float], float]:
     """Log-odds weights of hashed words that toxic texts have far more often than clean ones would let expect, and a threshold.
 
     The threshold on a text's sum is the one that costs least on the sample, where a clean text lost costs
-    ``strictness`` times as much as a toxic one kept, at their share of the prior.
+    ``strictness`` times as much as a toxic one kept, at the toxic texts' expected ``share``.
     """
     gather = lambda side: dict(zip(*(x.tolist() for x in np.unique(np.concatenate(side), return_counts=True)))) if side else {}
     t, c = gather(toxic), gather(clean)
@@ -182,7 +190,7 @@ def train_words(toxic: list[np.ndarray], clean: list[np.ndarray], least: int = 4
     best = (math.inf, 1.0)
     for limit in sorted({x for x in a.tolist() if x > 0}):
         missed, lost = np.searchsorted(a, limit) / max(len(a), 1), 1 - np.searchsorted(b, limit) / max(len(b), 1)
-        best = min(best, (PRIOR["toxic"] * missed + strictness * (1 - PRIOR["toxic"]) * lost, limit))
+        best = min(best, (share * missed + strictness * (1 - share) * lost, limit))
     return weights, best[1] - 1e-9
 
 
@@ -191,25 +199,48 @@ def _majority(labels: DataFrame, column: str):
     return F.when(mean > 0.5, 1).when(mean < 0.5, 0).otherwise(-1).alias(column)
 
 
-def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 2500) -> DataFrame:
+@dataclass
+class Model:
+    """A linear scorer of word shapes, the usual shares of shapes, and the toxic words' weights with their threshold."""
+
+    weights: np.ndarray
+    bias: float
+    usual: np.ndarray
+    known: np.ndarray
+    odds: np.ndarray
+    limit: float
+
+
+def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 2500, prior: dict | None = None, trust: dict | None = None) -> DataFrame:
     """``(doc_id, quality_score, toxic_score, toxic, keep)`` of every row; kept are texts of quality that aren't toxic."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return judge(docs, fit(docs, labels, id_col, text_col, sample, prior, trust), id_col, text_col)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 2500, prior: dict | None = None, trust: dict | None = None) -> Model:
+    """The scorers learned from all documents' votes and a bounded sample of their texts."""
+    rows = _texts(docs, id_col, text_col)
+    prior, trust = prior or PRIOR, trust or TRUST
 
     def vote(block: pa.Table) -> pa.Table:
         found = [votes(t) for t in block["text"].to_pylist()]
         kind = pa.list_(pa.int32())
-        return pa.table({"doc_id": block["doc_id"], "quality": pa.array([q for q, _ in found], kind), "toxic": pa.array([t for _, t in found], kind)})
+        return pa.table({"doc_id": block["doc_id"], "tid": block["tid"], "quality": pa.array([q for q, _ in found], kind), "toxic": pa.array([t for _, t in found], kind)})
 
     human = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(_majority(labels, "quality").alias("human_quality"), _majority(labels, "toxic").alias("human_toxic"))
-    voted = map_blocks(rows, vote, _VOTES).join(human, "doc_id", "left")
+    told = rows.withColumn("tid", F.xxhash64("doc_id", "text"))
+    voted = map_blocks(told, vote, _VOTES).join(human, "doc_id", "left")
     add = lambda votes_col, human_col: F.concat(votes_col, F.array(F.coalesce(human_col, F.lit(-1)).cast("int")))
-    voted = stored(voted.select("doc_id", add("quality", F.col("human_quality")).alias("quality"), add("toxic", F.col("human_toxic")).alias("toxic")), "votes")
+    voted = stored(voted.select("tid", add("quality", F.col("human_quality")).alias("quality"), add("toxic", F.col("human_toxic")).alias("toxic")), "votes")
     posteriors = {}
     for target in ("quality", "toxic"):
         patterns = {tuple(r[target]): r["n"] for r in voted.groupBy(target).agg(F.count("*").alias("n")).collect()}
-        posteriors[target] = estimate(patterns, PRIOR[target], TRUST[target])
+        posteriors[target] = estimate(patterns, prior[target], trust[target])
 
-    # a bounded sample of each target's classes, by a hash of the id, among documents whose class is clear
+    # a bounded sample of each target's classes, by a hash of id and text, among documents whose class is clear
     grain = 1 << 30
     chosen = None
     for target, of in posteriors.items():
@@ -218,13 +249,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             sure = {p: k for p, k in sure.items() if k or p[-1] == 0}
         spread = spark_literal_map(sure)
         klass = F.element_at(spread, F.concat_ws(",", F.transform(target, lambda x: x.cast("string"))))
-        of_class = voted.select("doc_id", F.lit(target).alias("target"), klass.alias("klass")).where("klass is not null")
+        of_class = voted.select("tid", F.lit(target).alias("target"), klass.alias("klass")).where("klass is not null")
         for k, n in {r["klass"]: r["n"] for r in of_class.groupBy("klass").agg(F.count("*").alias("n")).collect()}.items():
-            part = of_class.where((F.col("klass") == k) & (F.pmod(F.xxhash64("doc_id", "target"), F.lit(grain)) < int(grain * min(1.0, sample / n))))
+            part = of_class.where((F.col("klass") == k) & (F.pmod(F.xxhash64("tid", "target"), F.lit(grain)) < int(grain * min(1.0, sample / n))))
             chosen = part if chosen is None else chosen.unionByName(part)
     weights, bias, lexicon, limit, usual = np.zeros(SHAPES), 5.0, {}, 1.0, np.zeros(SHAPES, np.float32)
     if chosen is not None:
-        picked = rows.join(F.broadcast(chosen.distinct()), "doc_id").select("target", "klass", "text")
+        picked = told.join(F.broadcast(chosen.distinct()), "tid").groupBy("target", "klass", "tid").agg(F.first("text").alias("text"))
 
         def features(block: pa.Table) -> pa.Table:
             texts = block["text"].combine_chunks() if isinstance(block["text"], pa.ChunkedArray) else block["text"]
@@ -243,12 +274,19 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             weights, bias = train_linear(x, y)
             usual = x[y == 1].mean(0) if (y == 1).any() else usual
         of = lambda k: [np.frombuffer(b, np.uint64) for t, c, b in got if t == "toxic" and c == k]
-        lexicon, limit = train_words(of(1), of(0))
+        lexicon, limit = train_words(of(1), of(0), prior["toxic"])
     known = np.array(sorted(lexicon), np.uint64)
-    sent = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), bias, usual, known, np.array([lexicon[h] for h in known.tolist()]), limit))
+    return Model(weights.astype(np.float32), bias, usual, known, np.array([lexicon[h] for h in known.tolist()]), limit)
+
+
+def judge(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """:func:`classify`'s rows by a model."""
+    rows = _texts(docs, id_col, text_col)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(block: pa.Table) -> pa.Table:
-        w, b, usual, known, odds, limit = sent.value
+        m = sent.value
+        w, b, usual, known, odds, limit = m.weights, m.bias, m.usual, m.known, m.odds, m.limit
         texts = block["text"].combine_chunks() if isinstance(block["text"], pa.ChunkedArray) else block["text"]
         quality: list[float] = []
         for at in range(0, len(texts), 512):

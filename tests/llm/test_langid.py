@@ -1,5 +1,6 @@
 """Language identification: held-out accuracy, rejection and odd rows."""
 
+import math
 import os
 import random
 
@@ -29,6 +30,48 @@ def test_learned_languages_and_odd_texts(spark):
     assert got[1006].lang_pred == "en"
 
 
+def test_predictions_equal_a_text_by_text_computation(spark):
+    """Trigrams, TF-IDF, cosines and rejection, recomputed with dictionaries from the model's centroids."""
+    model = langid.fit(spark.createDataFrame(rows(200, 3), SCHEMA), sample=120)
+    tests = [(t, i) for t, i, *_ in rows(60, 4)] + [(None, 500), ("", 501), ("Ünd 1 x", None), ("a", 503), ("the " * 3000 + "und", 502)]
+
+    def plain(text):
+        raw = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in (" " + (text or "").lower() + " ").encode())
+        counts = {}
+        for a, b, c in zip(raw, raw[1:], raw[2:]):
+            if b != 32 or (a != 32 and c != 32):
+                h = ((a << 16 | b << 8 | c) * 2654435761 & 0xFFFFFFFF) >> (32 - langid.DIMS_LOG2)
+                counts[h] = counts.get(h, 0) + 1
+        x = {h: (1 + math.log(n)) * float(model["idf"][h]) for h, n in counts.items()}
+        norm = math.sqrt(sum(v * v for v in x.values())) or 1.0
+        cosines = [sum(v / norm * float(c[h]) for h, v in x.items()) for c in model["centres"]]
+        return cosines
+
+    got = {r.doc_id: r for r in langid.predict(spark.createDataFrame(tests, "text string, doc_id bigint"), model).collect()}
+    for text, i in tests:
+        if any(c.isalpha() for c in text or ""):
+            cosines = plain(text)
+            best = max(cosines)
+            assert got[i].score == pytest.approx(min(1.0, max(0.0, best)), abs=1e-4)
+            own = {model["langs"][model["of"][k]] for k, c in enumerate(cosines) if c > best - 1e-5}
+            assert got[i].lang_pred in own
+            reach = model["reach"][model["langs"].index(got[i].lang_pred)]
+            assert abs(1 - best - reach) < 1e-4 or got[i].rejected == (1 - best > reach)
+        else:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+
+
+def test_centroids_are_the_means_of_their_rows():
+    """Each centroid is the scaled mean of the rows that are nearest to it."""
+    x = langid.np.abs(langid.np.random.default_rng(1).normal(size=(90, 12))).astype("float32")
+    x /= langid.np.sqrt((x**2).sum(1, keepdims=True))
+    c = langid._k_means(x, 3, rounds=60)
+    own = (x @ c.T).argmax(1)
+    for j in range(3):
+        mean = x[own == j].mean(0)
+        assert langid.np.allclose(c[j], mean / langid.np.sqrt((mean**2).sum()), atol=1e-4)
+
+
 def test_nothing_to_learn_from_and_empty(spark):
     docs = spark.createDataFrame(rows(3, 1), SCHEMA)
     model = langid.fit(docs.limit(0))

@@ -1,11 +1,15 @@
 """Weak labels: estimated accuracies, held-out judgement and odd rows."""
 
+import itertools
+import math
 import os
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from claimloom.llm import quality
 
@@ -69,6 +73,44 @@ def test_junk_and_labelled_insults_go_and_clean_texts_stay(spark):
     assert got[5003].keep
 
 
+def test_judgement_equals_a_text_by_text_computation(spark):
+    """Shapes, shares, the linear score and the words' odds, recomputed with dictionaries."""
+    rows = texts(300, 8)
+    docs = spark.createDataFrame([(t, i) for t, i, _ in rows] + [(None, 900), (" ", 901), ("Ünit é 7%!! zorgle Zorgle", None), (rows[0][0], 3)], "text string, doc_id bigint")
+    labels = spark.createDataFrame([(i, int(k in ("good", "toxic")), int(k == "toxic")) for _, i, k in rows], "doc_id bigint, quality int, toxic int")
+    m = quality.fit(docs, labels)
+    odds = dict(zip(m.known.tolist(), m.odds.tolist()))
+    assert odds
+
+    def sort(b):
+        return 65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b
+
+    def plain(text):
+        ws = re.findall(rb"[^ \t\n\v\f\r]+", (text or "").encode())
+        x = [0.0] * quality.SHAPES
+        for w in ws:
+            x[xxhash.xxh32_intdigest(bytes(c for c, _ in itertools.groupby(map(sort, w)))) % (quality.SHAPES - 2)] += 1
+        x[-2], x[-1] = len(set(ws)), sum(a == b for a, b in zip(ws, ws[1:]))
+        z = sum((v + quality.SMOOTHING * u) / (len(ws) + quality.SMOOTHING) * c for v, u, c in zip(x, m.usual.tolist(), m.weights.tolist())) + m.bias
+        lowered = (text or "").lower().encode()
+        seen = {w for w in re.findall(rb"[a-z0-9\x80-\xff]+", lowered)}
+        total = sum(odds.get(xxhash.xxh3_64_intdigest(w), 0.0) for w in seen)
+        return (1 / (1 + math.exp(-max(-50, min(50, z)))) if ws else 0.0), total
+
+    got = quality.judge(docs, m).collect()
+    given = [(t, i) for t, i, _ in rows] + [(None, 900), (" ", 901), ("Ünit é 7%!! zorgle Zorgle", None), (rows[0][0], 3)]
+    assert len(got) == len(given)
+    expected = sorted(((i is None, i or 0), *plain(t)) for t, i in given)
+    for r, (_, q, total) in zip(sorted(got, key=lambda r: ((r.doc_id is None, r.doc_id or 0), r.quality_score)), expected):
+        assert r.quality_score == pytest.approx(q, abs=1e-4) and r.toxic == (total >= m.limit)
+        assert r.keep == (r.quality_score >= 0.5 and not r.toxic)
+
+
+def test_a_sample_stays_bounded_when_one_id_repeats(spark):
+    docs = spark.createDataFrame([(None, "a river runs past the small town")] * 3000 + [(i, f"a river runs past town {i}") for i in range(50)], "doc_id bigint, text string")
+    assert quality.classify(docs, spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int"), sample=20).count() == 3050
+
+
 def test_without_labels_and_empty(spark):
     docs = spark.createDataFrame([(t, i, "", "", "") for t, i, _ in texts(60, 3)] * 2, DOCS)
     none = spark.createDataFrame([], LABELS)
