@@ -8,9 +8,15 @@ must outweigh the prior odds. The models are trained from labelled samples: stri
 from digests (random), and words of a bounded sample of texts, bare and joined as
 identifiers are (ordinary). Their tables have the square of the alphabet's size.
 
-Defined results: null text counts as empty (no spans); empty table, empty result; matches
-that fail a length rule are dropped and not tried again; a candidate that overlaps a
-pattern's span is not added; repeated rows each get a row.
+Runs of ``shortest`` characters or more, as many as an assigned value needs, are scored; how long a
+run must be to outweigh the prior odds is left to its ratio.
+
+Defined results: null text counts as empty (no spans); very long texts, texts of very many
+matches and very long runs are read whole, in time about proportional to their length; empty
+table, empty result; matches that fail a length rule are dropped and not tried again; a candidate
+that overlaps a pattern's span is not added; spans that start together are listed by kind;
+repeated rows each get a row, null or repeated ids too. Input columns stay; ones that are named
+as the two result columns are replaced by them.
 """
 
 from __future__ import annotations
@@ -122,8 +128,8 @@ def ratio(token: Column, model: list[float]) -> Column:
     return F.when(F.length(token) > 1, _let(places, total)).otherwise(F.lit(0.0))
 
 
-def find_secrets(docs: DataFrame, model: list[float], id_col: str = "doc_id", text_col: str = "text", shortest: int = 20, prior: float = 1e-4) -> DataFrame:
-    """All rows and columns of ``docs`` with ``secret_base`` and ``secret_spans``, arrays of (start, rank, kind, end)."""
+def find_secrets(docs: DataFrame, model: list[float], id_col: str = "doc_id", text_col: str = "text", shortest: int = 8, prior: float = 1e-4) -> DataFrame:
+    """All rows and columns of ``docs``, and ``secret_base`` and ``secret_spans``: arrays of (start, rank, kind, end)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = F.concat(*[_matches(text, p, kind, i, (lambda v: F.length(v) >= 8) if kind == "assign" else None, 2 if kind == "assign" else 0) for i, (kind, p) in enumerate(PATTERNS)])
     candidates = _matches(text, f"{RUN}{{{shortest},}}", METHOD, len(PATTERNS), lambda v: v.rlike("[A-Za-z]") & (ratio(v, model) > -math.log(prior)))

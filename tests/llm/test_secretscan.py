@@ -104,7 +104,7 @@ def test_method_spans_that_touch_a_pattern_are_left_out(spark):
     for r in found.select("doc_id", secretscan.told("secret_spans").alias("spans"), secretscan.redacted(F.col("text"), "secret_spans").alias("masked")).collect():
         text = texts[r.doc_id]
         base = [tuple(s.split(":")) for s in brute(text)[1].split(",") if s]
-        more = [m.span() for m in re.finditer(secretscan.RUN + "{20,}", text) if re.search("[A-Za-z]", m[0]) and plain(m[0]) > 9.2103403719761]
+        more = [m.span() for m in re.finditer(secretscan.RUN + "{8,}", text) if re.search("[A-Za-z]", m[0]) and plain(m[0]) > 9.2103403719761]
         more = [(a, b) for a, b in more if not any(int(x) < b and a < int(y) for _, x, y in base)]
         kept = [(int(x), i, f"{k}:{x}:{y}") for k, x, y in base for i in [["assign", "access", "hex"].index(k)]] + [(a, 3, f"markov:{a}:{b}") for a, b in more]
         assert r.spans == ",".join(s for _, _, s in sorted(kept))
