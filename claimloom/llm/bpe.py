@@ -25,10 +25,11 @@ _SPECIAL = "<|endoftext|>"
 _loaded: dict[str, "WordIds"] = {}
 
 
-def load(path: str) -> "WordIds":
-    """The encoder for a tokenizer file, once for each worker process."""
+def load(path: str, most: int | None = None) -> "WordIds":
+    """The encoder for a tokenizer file, once for each worker process; ``most`` words are remembered (``MEMORY`` without it)."""
     if path not in _loaded:
         _loaded[path] = WordIds(path)
+    _loaded[path].most = most
     return _loaded[path]
 
 
@@ -49,6 +50,7 @@ class WordIds:
             self.closes[i] = token.endswith("</w>")
         self.separator = self.library.token_to_id(_SPECIAL)
         self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
+        self.most: int | None = None
         self.forget()
 
     def forget(self, keep: list[str] = ()) -> None:
@@ -93,7 +95,7 @@ class WordIds:
         pieces = pc.ascii_split_whitespace(parted)
         coded = pieces.flatten().dictionary_encode()
         uniques = coded.dictionary.to_pylist()
-        if len(self.place) > MEMORY:
+        if len(self.place) > (self.most or MEMORY):
             self.forget(uniques)
         self.place.setdefault("", -1)
         new = [w for w in uniques if w not in self.place]

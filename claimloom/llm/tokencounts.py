@@ -26,6 +26,8 @@ from .common import map_blocks, stored
 
 #: Digests (32 bytes each) that may be broadcast to pick texts.
 BROADCAST_DIGESTS = 1_000_000
+#: Words whose ids a worker remembers; idle workers hold them too.
+REMEMBERED = 150_000
 CACHE_SCHEMA = "tokenizer string, digest binary, n_tokens bigint"
 
 
@@ -68,7 +70,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache_path: str, id_col: str =
     misses = unseen(rows, _cache(spark, cache_path).where(F.col("tokenizer") == version).select("digest")).groupBy("digest").agg(F.first("text").alias("text"))
 
     def count(block: pa.Table) -> pa.Table:
-        return pa.table({"tokenizer": pa.array([version] * len(block)), "digest": block["digest"], "n_tokens": pa.array(bpe.load(tokenizer).counts(block["text"]).astype("int64"))})
+        return pa.table({"tokenizer": pa.array([version] * len(block)), "digest": block["digest"], "n_tokens": pa.array(bpe.load(tokenizer, REMEMBERED).counts(block["text"]).astype("int64"))})
 
     map_blocks(misses, count, CACHE_SCHEMA, limit=3 << 20).write.mode("append").parquet(cache_path)
     # two writers at once may both have stored a digest; as a table of its own, so that the join below can split a hot digest
