@@ -64,8 +64,12 @@ def claim_id(section: Column | str, text: Column | str) -> Column:
     return F.concat(F.lit("clm_"), F.substring(F.sha2(F.concat(_c(section), F.lit("\n"), exact_text(text)), 256), 1, 16))
 
 
+#: An accent as TeX writes it.
+TEX_ACCENT = r"""\\['"`^~=.]?"""
+
+
 def canonical_author(x: Column | str) -> Column:
-    lowered = F.regexp_replace(F.lower(nfkd(x)), r"""\\['"`^~=.]?""", "")
+    lowered = F.regexp_replace(F.lower(nfkd(x)), TEX_ACCENT, "")
     return F.trim(F.regexp_replace(lowered, r"(?U)[{}\p{P}\p{S}\s]+", " "))
 
 

@@ -22,6 +22,14 @@ def band_label(score: Column, bands=BANDS, lowest: str = LOWEST) -> Column:
     return ladder([(score >= limit, label) for limit, label in bands], lowest)
 
 
+#: What a claim's type is called on a page.
+CLASS_LABELS = {"empirical": "Cited fact", "comparative": "Cited fact", "causal": "Cited fact", "methodological": "Method note", "definition": "Method note", "review_synthesis": "Inference", "speculation": "Inference", "limitation": "Limitation"}
+
+
+def class_label(claim_type: Column) -> Column:
+    return F.coalesce(lookup(CLASS_LABELS, F.lower(claim_type)), F.lit("Claim"))
+
+
 def band_text(score: Column) -> Column:
     """Label for display; no score is pending."""
     return F.when(score.isNull() | F.isnan(score.cast("double")), "pending").otherwise(band_label(score))

@@ -24,6 +24,10 @@ def institutions(people: DataFrame, none: str = "__none__") -> DataFrame:
     return people.select("person", F.explode_outer("institutions").alias("i")).groupBy(F.coalesce("i", F.lit(none)).alias("institution")).agg(F.array_sort(F.collect_set("person")).alias("members"))
 
 
+def institution_count(people: DataFrame) -> DataFrame:
+    return people.select(F.explode("institutions").alias("i")).agg(F.count_distinct("i").alias("n_institutions"))
+
+
 def role_members(people: DataFrame, roles: DataFrame) -> DataFrame:
     """Members of each role of the list (role_ord, role); empty roles go."""
     held = people.select("person", F.explode("roles").alias("r")).select("person", tx.fold_role("r").alias("folded"))
@@ -64,7 +68,17 @@ def by_level(people: DataFrame, levels: DataFrame, role: str) -> DataFrame:
 
 
 def by_joining(people: DataFrame) -> DataFrame:
-    return people.orderBy(F.coalesce("joined", F.lit("9999")), tx.last_name("person"), "person")
+    """The earliest first; people without a date come last. Equal ones stay in the list's order (``ord``)."""
+    return people.orderBy(F.coalesce("joined", F.lit("9999")), "ord")
+
+
+def by_last_name(people: DataFrame) -> DataFrame:
+    return people.orderBy(tx.last_name("person"), "ord")
+
+
+def by_roles(people: DataFrame) -> DataFrame:
+    """Those with the most roles first."""
+    return people.orderBy(F.coalesce(F.size("roles"), F.lit(0)).desc(), "ord")
 
 
 def affiliation_numbers(people: DataFrame) -> DataFrame:

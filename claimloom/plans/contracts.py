@@ -45,8 +45,8 @@ def json_type(x) -> str:
 
 
 def _same(a, b) -> bool:
-    """Deep equality whatever the order of keys; true and 1 differ."""
-    return json.dumps(a, sort_keys=True) == json.dumps(b, sort_keys=True)
+    """Deep equality, the order of keys included; true and 1 differ."""
+    return json.dumps(a) == json.dumps(b)
 
 
 def _date_time(x: str, strict: bool) -> bool:

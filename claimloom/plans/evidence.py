@@ -37,13 +37,94 @@ def conflicts(rows: DataFrame, json: str = "conflict") -> DataFrame:
     return out.fillna("—", ["side_a", "side_b", "topic"]).fillna("unresolved", ["resolution"])
 
 
+def keyed_papers(json: Column, side: int) -> Column:
+    """DOIs of the first (``side`` 0) or second (1) list whose key begins with ``papers_``, in the record's order of keys."""
+    keys = F.filter(F.json_object_keys(json), lambda k: k.startswith("papers_"))
+    one = F.get(keys, side)
+    listed = F.get(F.map_values(F.map_filter(F.from_json(json, "map<string,string>"), lambda k, _: k == one)), 0)
+    entries = F.from_json(listed, "array<string>")
+    doi = F.transform(entries, lambda p: F.coalesce(F.get_json_object(p, "$.doi"), F.when(~p.startswith("{"), p)))
+    return F.array_join(F.filter(doi, lambda d: F.coalesce(d != "", F.lit(False))), ", ")
+
+
+#: Names that figure records use for one field, the first that holds something counts.
+FIGURE_NAMES = ["comparison_name", "title", "comparison_title", "comparison_id", "figure_id"]
+HOMOGENEITY = [("scope_region_uniform", "Region scope varies"), ("scope_population_uniform", "Population scope varies"), ("taxonomic_level_uniform", "Taxonomic level varies"), ("n_definition_uniform", "Sample definition varies")]
+
+
+def homogeneity_text(check: Column) -> Column:
+    """One line from the check's flags and caveats; a check that is plain text stands as it is."""
+    flags = [F.when(F.get_json_object(check, f"$.{k}") == "false", F.lit(said)) for k, said in HOMOGENEITY]
+    caveats = F.get_json_object(check, "$.caveats")
+    listed = F.when(caveats.startswith("["), F.from_json(caveats, "array<string>")).when(caveats != "", F.array(caveats))
+    parts = F.concat(F.array_compact(F.array(*flags)), F.coalesce(listed, F.array().cast("array<string>")))
+    told = F.array_join(parts, "; ")
+    return F.when(check.isNull(), "").when(~check.startswith("{"), check).when(told == "", "No issues noted").otherwise(told)
+
+
+def figures(rows: DataFrame, json: str = "figure") -> DataFrame:
+    """Figure records (JSON text) in one shape; of papers with one key (cite key, else DOI) the first counts, papers with neither go."""
+    path = lambda *names: first_path(F.col(json), [f"$.{n}" for n in names])
+    text = lambda c: F.coalesce(c, F.lit(""))
+    paper = "array<struct<doi:string,cite_key:string,citeKey:string,value:string,value_source_sentence:string,metric:string,study_system:string,method:string,condition:string>>"
+    given = F.coalesce(F.from_json(F.get_json_object(json, "$.papers"), paper), F.array().cast(paper))
+    named = F.transform(given, lambda p: F.struct(
+        text(p["doi"]).alias("doi"), F.coalesce(F.nullif(p["cite_key"], F.lit("")), p["citeKey"], F.lit("")).alias("cite_key"), F.when(p["value"].isin("None", "null"), "").otherwise(text(p["value"])).alias("value"),
+        text(p["value_source_sentence"]).alias("value_source"), text(p["metric"]).alias("metric"), text(p["study_system"]).alias("system"), text(p["method"]).alias("method"), text(p["condition"]).alias("condition"),
+    ))
+    key = lambda p: F.coalesce(F.nullif(p["cite_key"], F.lit("")), p["doi"])
+    out = rows.select(
+        "*", F.coalesce(path(*FIGURE_NAMES), F.lit("—")).alias("name"), text(path("what_it_reveals", "description")).alias("reveals"), F.coalesce(path("suggested_plot_type", "comparison_type"), F.lit("—")).alias("plot_type"),
+        named.alias("_papers"), homogeneity_text(F.get_json_object(json, "$.homogeneity_check")).alias("homogeneity"),
+        *[text(path(a)).alias(b) for a, b in (("section", "section"), ("x_axis", "x_axis"), ("y_axis", "y_axis"), ("scope_region", "region"), ("scope_population", "population"))],
+    )
+    keys = F.transform("_papers", key)
+    first = F.filter("_papers", lambda p, i: (key(p) != "") & (F.array_position(keys, key(p)) == i + 1))
+    return out.withColumn("papers", first).withColumn("n_papers", F.size("papers")).drop("_papers")
+
+
 def figure_papers(rows: DataFrame, order: str) -> DataFrame:
-    """Aliased fields made one; the first row of each cite key (or DOI) stays, rows with neither go."""
+    """Rows of papers: the first of each cite key (or DOI) by ``order`` stays, rows with neither go."""
     named = rows.withColumn("key", F.coalesce(F.nullif("cite_key", F.lit("")), F.nullif("doi", F.lit(""))))
     n = F.row_number().over(Window.partitionBy("key").orderBy(order))
     return named.where(F.col("key").isNotNull()).withColumn("_n", n).where("_n = 1").drop("_n")
 
 
+def shown_findings(findings: DataFrame, section: str | None = None, tier: str | None = None, query: str = "") -> DataFrame:
+    """Findings of a section and a tier, where these are given, whose claim, DOI, study system or cite key holds the query, whatever its case."""
+    rows = findings if section is None else findings.where(F.col("section").cast("string") == section)
+    rows = rows if tier is None else rows.where(F.col("tier") == tier)
+    q = F.lower(F.lit(query))
+    hit = F.lit(False)
+    for c in ("claim", "doi", "study_system", "cite_key"):
+        hit = hit | F.contains(F.lower(F.coalesce(c, F.lit(""))), q)
+    return rows.where(hit) if query else rows
+
+
+def package_findings(grouped: DataFrame, unmatched: DataFrame, plain: DataFrame) -> DataFrame:
+    """Each section's findings from its argument groups and the unmatched ones; a section that has none there gives its plain list."""
+    given = grouped.unionByName(unmatched)
+    return given.unionByName(plain.join(given.select("section").distinct(), "section", "left_anti"))
+
+
+def parameter_problems(parameters: DataFrame) -> DataFrame:
+    """``(review, problem)`` of evidence parameters that contradict one another or the prompt (review, prompt, min_papers_per_cluster, saturation_criterion, snowball_rounds)."""
+    saturating = F.col("saturation_criterion").isNotNull()
+    exhaustive = F.lower("prompt").rlike("saturate|cover all|every relevant")
+    found = [
+        (saturating & ~(F.coalesce("snowball_rounds", F.lit(0)) >= 1), "saturation needs a snowball round"),
+        (exhaustive & F.col("min_papers_per_cluster").isNotNull(), "an exhaustive prompt has no minimum"),
+        (exhaustive & ~saturating, "an exhaustive prompt needs a saturation criterion"),
+    ]
+    return parameters.select("review", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(p)) for c, p in found]))).alias("problem"))
+
+
+def status_distribution(findings: DataFrame) -> DataFrame:
+    """Findings of each section by replication status, with their share."""
+    n = findings.groupBy("section", replication(F.col("replication_status")).alias("replication")).agg(F.count("*").alias("n"))
+    return n.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy("section")), 4))
+
+
 def replication(status: Column) -> Column:
     folded = F.regexp_replace(F.lower(F.trim(status)), "[ -]+", "_")
     return F.coalesce(vl.lookup(REPLICATION, folded), F.lit("unknown"))

@@ -90,6 +90,27 @@ def replace_block(text: Column, heading: str, block: str) -> Column:
     return F.regexp_replace(text, rf"(?ms)^(\Q{heading}\E\s*$\n).*?(?=^#{{1,{level}}}\s|\z)", "$1" + block.replace("\\", "\\\\").replace("$", "\\$"))
 
 
+#: Directives that a section's body may hold.
+ALLOWED_DIRECTIVES = ["figure", "dropdown", "admonition", "warning", "evidence-explorer", "trust-claim", "human-reviews"]
+
+
+def directive_whitelist(texts: DataFrame, allowed: list[str] | None = None) -> DataFrame:
+    """``(file, name, n)`` of directives that aren't on the list."""
+    names = texts.select("file", F.explode(F.regexp_extract_all("text", F.lit(r"(?m)^\s*:::+\{([a-z-]+)\}"), F.lit(1))).alias("name"))
+    return names.where(~F.col("name").isin(allowed or ALLOWED_DIRECTIVES)).groupBy("file", "name").agg(F.count("*").alias("n"))
+
+
+def stale_phrases(texts: DataFrame, phrases: list[str]) -> DataFrame:
+    """``(file, phrase)`` of phrases that should be gone."""
+    held = F.filter(F.array(*[F.lit(p) for p in phrases]), lambda p: F.contains(F.lower("text"), F.lower(p)))
+    return texts.select("file", F.explode(held).alias("phrase"))
+
+
+def surname_hits(texts: DataFrame, surname: str) -> DataFrame:
+    """Files that hold a surname as a whole word, with the number of times."""
+    return texts.select("file", F.regexp_count("text", F.lit(rf"(?i)(?<![A-Za-z]){surname}(?![A-Za-z])")).alias("n")).where("n > 0")
+
+
 def page_problems(pages: DataFrame) -> DataFrame:
     """Built pages that show front matter or directives as text."""
     leak = F.regexp_count("text", F.lit(r"(?m)^---\s*\n(?:title|kernelspec|date):")) + F.regexp_count("text", F.lit(r":::+\{[a-z-]+\}|\{cite[^}]*\}`"))

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import values as vl
 from claimloom.operators.relational import has_repeats
-from claimloom.plans.checks import Check
+from claimloom.plans.checks import Check, Rejected
 from claimloom.plans.versions import SHA256, STATUSES
 from claimloom.sources.schemas import PASSAGE
 from claimloom.sources.sinks import ROLE_TYPES, STATUS_IRIS
 
 REQUIRED_ROLES = ["html_bundle", "claim_graph", "trust_report", "provenance"]
+#: Forms of versions and ids in release records.
 VERSION = r"^(0|[1-9][0-9]*)\.(0|[1-9][0-9]*)\.(0|[1-9][0-9]*)$"
 RELEASE = "struct<review_id:string,release_id:string,version:string,manifest_sha256:string,frozen_at:string>"
 MANIFEST = "release_id string, released_at string, generated_at string, artifacts array<struct<role:string,path:string,media_type:string,bytes:bigint,sha256:string>>, gates array<struct<gate_id:string,status:string>>, accepted_submissions array<struct<submission_id:string,revision:int,sha256:string>>"
@@ -89,8 +90,11 @@ def diff_checks(compared: DataFrame, anchors: DataFrame) -> list[Check]:
 
 def bundle_problems(index: DataFrame, parts: DataFrame) -> DataFrame:
     """Parts of a bundle (role, release) that name another release than its index (release); both ways a missing one counts."""
-    wanted = index.select(F.col("release").alias("_release")).distinct()
-    return parts.crossJoin(F.broadcast(wanted.limit(1))).where(~F.col("release").eqNullSafe(F.col("_release"))).select("role")
+    wanted = index.select(F.col("release").alias("_release")).distinct().limit(2).collect()
+    if len(wanted) != 1:
+        raise Rejected("an index names exactly one release")
+    named = index.select(F.col("release").alias("_release")).limit(1)  # all rows agree
+    return parts.crossJoin(F.broadcast(named)).where(~F.col("release").eqNullSafe(F.col("_release"))).select("role")
 
 
 def committed_gate(gate: dict, counts: dict[str, int]) -> list[str]:

@@ -2,26 +2,89 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions import text as tx
+from claimloom.functions.values import LABELS
 from claimloom.plans.checks import Check, violations
 from claimloom.plans.scoring import SUPPORT_ROLES, scored, shared_author_pairs
 from claimloom.sources.schemas import COMPONENTS
 
 
+def _all(conditions: list) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out
+
+
 def _none(name: str, rows: DataFrame, key) -> Check:
     """A check that no row may appear."""
     return Check(name, rows, F.lit(False), key)
 
 
 def index_records(claims: DataFrame) -> DataFrame:
-    return claims.select("claim_id", "section_id", "source_file", F.col("trust_score.overall_score").alias("overall_score"), F.col("trust_score.trust_label").alias("trust_label"))
+    """What the claim index says of each claim."""
+    score = F.col("trust_score")
+    return claims.select("claim_id", "source_file", "section_id", "paragraph_index", "sentence_index", "claim_text", "citation_keys", score["overall_score"].alias("overall_score"), score["trust_label"].alias("trust_label"), "human_review_required")
 
 
 def seed_records(claims: DataFrame) -> DataFrame:
-    return claims.select("claim_id", "section_id", "source_file", "paragraph_index", "sentence_index", "claim_text", "claim_type")
+    """What the seed index says of each claim."""
+    return claims.select("claim_id", "section_id", "claim_text", "normalized_claim", "claim_type", "modality", "validation_status", "citation_keys", "dois")
+
+
+def score_basis(claims: DataFrame) -> DataFrame:
+    """``(claim_id, component, score, rule_id, rationale)`` of the stored score, one row for each component."""
+    parts = F.array(*[F.struct(F.lit(c).alias("component"), *[F.col(f"trust_score.components.{c}.{x}").alias(x) for x in ("score", "rule_id", "rationale")]) for c in COMPONENTS])
+    return claims.where("trust_score is not null").select("claim_id", F.explode(parts).alias("p")).select("claim_id", "p.*")
+
+
+def report_records(claims: DataFrame) -> DataFrame:
+    """What the score report says of each claim: components with their rules, totals, label and caps."""
+    score = F.col("trust_score")
+    of = lambda x, name: F.struct(*[score["components"][c][x].alias(c) for c in COMPONENTS]).alias(name)
+    return claims.select("claim_id", of("score", "component_scores"), of("rule_id", "component_rules"), *[score[x].alias(x) for x in ("raw_score", "overall_score", "trust_label", "capped", "cap_reasons")])
+
+
+def summary_record(claims: DataFrame) -> DataFrame:
+    """The counts that the graph's summary states."""
+    return claims.agg(F.count("*").alias("total_claims"), *[F.count_if(F.col("trust_score.trust_label") == x).alias(x) for x in LABELS], F.count_if("human_review_required").alias("needs_human_review"))
+
+
+#: Options that a writer may not set in a directive.
+FORBIDDEN_OPTIONS = ["score", "trust-label", "cap-reason"]
+
+
+def directive_problems(claims: DataFrame, directives: DataFrame) -> DataFrame:
+    """``(claim_id, problem)`` of each claim's first directive (file, ord, options) on its own page: missing, other text, keys, type or modality, options not the writer's."""
+    told = directives.select(F.col("file").alias("source_file"), "ord", F.col("options")["claim-id"].alias("claim_id"), "options")
+    first = told.groupBy("source_file", "claim_id").agg(F.min_by("options", "ord").alias("o"))
+    rows = claims.join(first, ["source_file", "claim_id"], "left")
+    o, none = F.col("o"), F.array().cast("array<string>")
+    differ = lambda key, own: ~o[key].eqNullSafe(own)
+    found = [
+        (o.isNull(), "no directive"), (o.isNotNull() & differ("claim", F.col("claim_text")), "claim text"),
+        (o.isNotNull() & ~tx.split_list(o["cites"]).eqNullSafe(F.coalesce("citation_keys", none)), "cites"),
+        (o.isNotNull() & differ("claim-type", F.col("claim_type")), "claim type"), (o.isNotNull() & differ("modality", F.col("modality")), "modality"),
+        *[(F.coalesce(F.map_contains_key(o, k), F.lit(False)), f"forbidden {k}") for k in FORBIDDEN_OPTIONS],
+    ]
+    return rows.select("claim_id", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(name)) for c, name in found]))).alias("problem"))
+
+
+#: Relation and weight that an edge to a supporting context has.
+EDGE_OF_ROLE = {"direct_support": ("supports", 1.0), "partial_support": ("partially_supports", 0.5)}
+
+
+def edge_mismatches(claims: DataFrame, edges: DataFrame) -> DataFrame:
+    """Edges whose relation or weight isn't that of their context's role; the first context of a key counts."""
+    contexts = claims.select(F.col("claim_id").alias("source_claim_id"), F.posexplode("citation_contexts").alias("ord", "c")).groupBy("source_claim_id", F.col("c.cite_key").alias("target")).agg(F.min_by("c.role", "ord").alias("role"))
+    rows = edges.join(contexts, ["source_claim_id", "target"])
+    wanted = F.lit(True)
+    for role, (relation, weight) in EDGE_OF_ROLE.items():
+        wanted = wanted & ((F.col("role") != role) | (F.col("relation").eqNullSafe(F.lit(relation)) & F.col("weight").eqNullSafe(F.lit(weight))))
+    return rows.where(~F.coalesce(wanted, F.lit(True))).select("source_claim_id", "target")
 
 
 def derived_mismatches(expected: DataFrame, stored: DataFrame, key: str = "claim_id") -> DataFrame:
@@ -32,8 +95,12 @@ def derived_mismatches(expected: DataFrame, stored: DataFrame, key: str = "claim
     return new.join(old, key, "full").where(~F.col("expected").eqNullSafe(F.col("stored"))).select(key, F.when(F.col("stored").isNull(), "missing").when(F.col("expected").isNull(), "surplus").otherwise("differs").alias("problem"))
 
 
-def validate(claims: DataFrame, edges: DataFrame, bibliography: DataFrame, paragraphs: DataFrame, as_of: str, index: DataFrame | None = None) -> DataFrame:
-    """All violations (check_name, key, blocking). ``paragraphs`` has (file, paragraph_index, text)."""
+def validate(claims: DataFrame, edges: DataFrame, bibliography: DataFrame, paragraphs: DataFrame, as_of: str, index: DataFrame | None = None, seeds: DataFrame | None = None, report: DataFrame | None = None, summary: DataFrame | None = None, directives: DataFrame | None = None) -> DataFrame:
+    """All violations (check_name, key, blocking). ``paragraphs`` has (file, paragraph_index, text).
+
+    Stored tables that are given are compared too: ``index``, ``seeds`` and ``report`` records, the graph's one ``summary``
+    row, and the pages' trust ``directives`` (file, ord, options).
+    """
     key = F.col("claim_id")
     scores = scored(claims, bibliography, as_of)
     contexts = claims.select("claim_id", F.posexplode("citation_contexts").alias("ord", "c")).select("claim_id", "ord", "c.*")
@@ -64,6 +131,10 @@ def validate(claims: DataFrame, edges: DataFrame, bibliography: DataFrame, parag
         Check("cap reasons", stated, F.coalesce("trust_score.cap_reasons", F.array().cast("array<string>")) == F.col("reasons"), key),
         Check("claim stands in its paragraph", prose, F.contains("text", tx.exact_text("claim_text")), key),
         Check("edge weight", edges, F.col("weight").between(0, 1), F.col("source_claim_id")),
+        Check("supporting context names its independence basis", contexts, ~F.col("role").isin(SUPPORT_ROLES) | (tx.exact_text(F.coalesce("independence_basis", F.lit(""))) != ""), key),
+        Check("rule ids", stated, F.coalesce(_all([F.col(f"trust_score.components.{c}.rule_id").isNull() | (F.col(f"trust_score.components.{c}.rule_id") == F.col(f"{c}.rule_id")) for c in COMPONENTS]), F.lit(False)), key),
+        Check("raw score", stated, F.col("trust_score.raw_score").isNull() | (F.col("trust_score.raw_score") == F.col("raw_score")), key),
+        _none("edge relation or weight", edge_mismatches(claims, edges), F.col("source_claim_id")),
         _none("duplicate claim", claims.groupBy("claim_id").count().where("count > 1"), key),
         _none("edge of unknown claim", edges.join(claims.select(F.col("claim_id").alias("source_claim_id")), "source_claim_id", "left_anti"), F.col("source_claim_id")),
         _none("edge without context", linked.join(contexts.select("claim_id", "cite_key"), ["claim_id", "cite_key"], "left_anti"), key),
@@ -71,6 +142,12 @@ def validate(claims: DataFrame, edges: DataFrame, bibliography: DataFrame, parag
         _none("shared author across groups", shared_author_pairs(claims, bibliography), key),
         _none("cited key without entry", claims.select("claim_id", F.explode("citation_keys").alias("cite_key")).join(bibliography, "cite_key", "left_anti"), key),
     ]
-    if index is not None:
-        checks.append(_none("index record", derived_mismatches(index_records(claims), index), key))
+    for name, expected, told in (("index record", index_records, index), ("seed record", seed_records, seeds), ("report record", report_records, report)):
+        if told is not None:
+            checks.append(_none(name, derived_mismatches(expected(claims), told), key))
+    if summary is not None:
+        own = summary_record(claims)
+        checks.append(_none("graph summary", own.exceptAll(summary.select(*own.columns)), F.lit("summary")))
+    if directives is not None:
+        checks.append(_none("directive", directive_problems(claims, directives), F.concat_ws(": ", "claim_id", "problem")))
     return violations(checks)

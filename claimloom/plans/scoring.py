@@ -15,6 +15,7 @@ from claimloom.functions import text as tx
 from claimloom.functions import values as vl
 from claimloom.sources.schemas import COMPONENTS, CONTEXT, PASSAGE
 
+#: Roles, types, reasons and rule ids that stored records name.
 SUPPORT_ROLES = ["direct_support", "partial_support"]
 ATTRIBUTION_TYPES = ["methodological", "definition"]
 INDIRECT_ROLES = ["background", "method_reference", "review_context"]
@@ -247,9 +248,14 @@ def summary(scores: DataFrame) -> DataFrame:
 
 
 def shared_author_pairs(claims: DataFrame, bibliography: DataFrame) -> DataFrame:
-    """Supporting contexts of one claim in different independence groups whose entries share an author."""
-    entries = bibliography.select("cite_key", F.transform(F.coalesce("authors", F.array().cast("array<string>")), lambda a: F.lower(F.trim(a))).alias("authors"))
-    rows = claims.select("claim_id", F.posexplode("citation_contexts").alias("ord", "c")).where(F.col("c.role").isin(SUPPORT_ROLES)).select("claim_id", "ord", F.col("c.cite_key").alias("cite_key"), F.col("c.independence_group").alias("grp")).join(entries, "cite_key")
+    """Supporting contexts of one claim in different, named independence groups whose entries share an author.
+
+    Authors are compared in their canonical form; an empty one is no author, and a context without a group is in none.
+    """
+    named = bibliography.select("cite_key", F.explode("authors").alias("a")).select("cite_key", tx.canonical_author("a").alias("author")).where("author <> ''")
+    entries = named.groupBy("cite_key").agg(F.collect_set("author").alias("authors"))
+    rows = claims.select("claim_id", F.posexplode("citation_contexts").alias("ord", "c")).where(F.col("c.role").isin(SUPPORT_ROLES) & (F.col("c.independence_group") != ""))
+    rows = rows.select("claim_id", "ord", F.col("c.cite_key").alias("cite_key"), F.col("c.independence_group").alias("grp")).join(entries, "cite_key")
     a, b = rows.alias("a"), rows.alias("b")
     hit = F.expr("a.claim_id = b.claim_id and a.ord < b.ord and a.grp <> b.grp and arrays_overlap(a.authors, b.authors)")
     return a.join(b, hit).select("a.claim_id", F.col("a.cite_key").alias("left_key"), F.col("b.cite_key").alias("right_key"))

@@ -63,7 +63,7 @@ def succession(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def compare(before: DataFrame, after: DataFrame, pairs: DataFrame) -> DataFrame:
-    """A row for each claim of either version: status and what changed."""
+    """A row for each claim of either version, in the order of the comparison: status and what changed."""
     state = lambda p: ["claim_id", "claim_text", "citation_keys", "evidence_basis", "trust", "human_decision_references"]
     old = before.select(F.struct(*state("b")).alias("b"), F.col("claim_id").alias("old_id"))
     new = after.select(F.struct(*state("a")).alias("a"), F.col("claim_id").alias("new_id"))
@@ -73,7 +73,7 @@ def compare(before: DataFrame, after: DataFrame, pairs: DataFrame) -> DataFrame:
     status = F.when(F.col("b").isNull(), "added").when(F.col("a").isNull(), "removed").when(meaning("b").eqNullSafe(meaning("a")), "unchanged").otherwise("modified")
     change = lambda path: F.when(~F.col(f"b.{path}").eqNullSafe(F.col(f"a.{path}")), F.struct(F.col(f"b.{path}").alias("before"), F.col(f"a.{path}").alias("after")))
     parts = F.array(*[F.struct(F.lit(c).alias("component"), F.col(f"b.trust.component_scores.{c}").alias("before"), F.col(f"a.trust.component_scores.{c}").alias("after")) for c in COMPONENTS])
-    return rows.select(
+    told = rows.select(
         F.concat(F.coalesce("b.claim_id", F.lit("none")), F.lit("--"), F.coalesce("a.claim_id", F.lit("none"))).alias("comparison_id"),
         status.alias("status"),
         (~F.col("b.claim_text").eqNullSafe(F.col("a.claim_text"))).alias("claim_text_changed"),
@@ -84,6 +84,7 @@ def compare(before: DataFrame, after: DataFrame, pairs: DataFrame) -> DataFrame:
         change("trust.trust_label").alias("label"),
         tx.set_diff("b.human_decision_references", "a.human_decision_references").alias("decisions"),
     )
+    return told.orderBy("comparison_id")
 
 
 def anchor_changes(before: DataFrame, after: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -95,7 +96,7 @@ def anchor_changes(before: DataFrame, after: DataFrame, pairs: DataFrame) -> Dat
     status = F.when(F.col("b").isNull(), "added").when(F.col("a").isNull(), "orphaned").when(F.col("b").eqNullSafe(F.col("a")), "current").when(moved, "remapped").otherwise("retargeted")
     told = rows.select("anchor_id", status.alias("status"))
     must_hold([Check("anchor keeps its target", told, F.col("status") != "retargeted", F.col("anchor_id"))])
-    return told
+    return told.orderBy("anchor_id")
 
 
 def summary(compared: DataFrame, anchors: DataFrame) -> dict:

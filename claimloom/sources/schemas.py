@@ -10,9 +10,10 @@ TRUST = f"struct<rubric_version:string,components:struct<{','.join(f'{c}:{COMPON
 CLAIM = f"""claim_id string, section_id string, source_file string, paragraph_index int, sentence_index int, claim_text string, normalized_claim string,
 claim_atoms array<struct<atom_id:string,text:string>>, claim_type string, scope_status string, modality string, wording_strength string,
 citation_keys array<string>, dois array<string>, citation_contexts array<{CONTEXT}>, evidence_relation string,
-conflicts array<struct<conflict_type:string,target_id:string,notes:string>>, trust_score {TRUST}, human_review_required boolean"""
+conflicts array<struct<conflict_type:string,target_id:string,notes:string>>, trust_score {TRUST}, human_review_required boolean, validation_status string"""
 EDGE = "source_claim_id string, relation string, target string, target_type string, weight double, notes string"
 BIBLIOGRAPHY = "cite_key string, doi string, authors array<string>"
+DIRECTIVE = "file string, ord int, options map<string,string>"
 RADAR_CLAIM = "claim_id string, cited_dois array<string>, topic_queries array<string>"
 RADAR_RECORD = "record_id string, alert_type string, doi string, title string, abstract string, topics array<string>, related_dois array<string>, published_at string, observed_at string, source struct<provider:string,url:string>"
 PROPOSAL = "proposal_id string, source_type string, theme string, title string, priority string, affected_claim_ids array<string>, target_files array<string>, scientific_approval_required boolean"

@@ -21,7 +21,7 @@ def passage(atoms, **kw):
 def context(key="k1", atoms=("a1", "a2"), group="g1", **kw):
     return {
         "cite_key": key, "doi": f"10.1000/{key.upper()}", "role": "direct_support", "source_type": "primary", "bibliography_status": "verified", "integrity_status": "verified_no_known_issue",
-        "passages": [passage(list(atoms))], "direction_match": True, "supports_claim_atoms": list(atoms), "independence_group": group, "scope_match": "exact",
+        "passages": [passage(list(atoms))], "direction_match": True, "supports_claim_atoms": list(atoms), "independence_group": group, "independence_basis": "other laboratory", "scope_match": "exact",
     } | kw
 
 
@@ -99,10 +99,10 @@ def test_repository_checks_name_each_fault(spark):
     bib = spark.createDataFrame([("k1", "10.1000/k1", ["A"]), ("k2", "10.1000/k2", ["B"])], schemas.BIBLIOGRAPHY)
     prose = spark.createDataFrame([("01.md", 1, "So: Cells divide twice. Yes.")], "file string, paragraph_index int, text string")
     good = claim([context("k1"), context("k2", group="g2")])
-    edges = [(good["claim_id"], "supports", k, "citation", 0.5, None) for k in ("k1", "k2")]
+    edges = [(good["claim_id"], "supports", k, "citation", 1.0, None) for k in ("k1", "k2")]
 
-    def faults(c, e=edges):
-        found = repository.validate(spark.createDataFrame([c], schemas.CLAIM), spark.createDataFrame(e, schemas.EDGE), bib, prose, AS_OF).collect()
+    def faults(c, e=edges, **more):
+        found = repository.validate(spark.createDataFrame([c], schemas.CLAIM), spark.createDataFrame(e, schemas.EDGE), bib, prose, AS_OF, **more).collect()
         return {r.check_name for r in found}
 
     assert faults(good) == set()
@@ -115,6 +115,53 @@ def test_repository_checks_name_each_fault(spark):
     long = copy.deepcopy(good)
     long["citation_contexts"][0]["passages"][0]["text"] = "word " * 26
     assert faults(long) == {"passage length"}
+    assert faults(good, [(good["claim_id"], "supports", "k1", "citation", 0.5, None), *edges[1:]]) == {"edge relation or weight"}
+    assert faults(claim([context("k1", independence_basis=" "), context("k2", group="g2")])) == {"supporting context names its independence basis"}
+
+
+def stored_score(r):
+    parts = {c: {"score": r[c].score, "rule_id": r[c].rule_id, "rationale": "why"} for c in schemas.COMPONENTS}
+    return {"components": parts, "raw_score": r.raw_score, "overall_score": r.overall_score, "trust_label": r.trust_label, "capped": r.capped, "cap_reasons": list(r.reasons)}
+
+
+def test_stored_records_and_directives_are_compared(spark):
+    bib = spark.createDataFrame([("k1", "10.1000/k1", ["A"]), ("k2", "10.1000/k2", ["B"])], schemas.BIBLIOGRAPHY)
+    prose = spark.createDataFrame([("01.md", 1, "So: Cells divide twice. Yes.")], "file string, paragraph_index int, text string")
+    good = claim([context("k1"), context("k2", group="g2")], modality="stated", human_review_required=True, validation_status="validated")
+    good["trust_score"] = stored_score(one(spark, good))
+    frame = lambda c: spark.createDataFrame([c], schemas.CLAIM)
+    edges = spark.createDataFrame([(good["claim_id"], "supports", k, "citation", 1.0, None) for k in ("k1", "k2")], schemas.EDGE)
+    options = {"claim-id": good["claim_id"], "claim": good["claim_text"], "cites": "k1, k2", "claim-type": "empirical", "modality": "stated"}
+    told = lambda o, ord=0: ("01.md", ord, o)
+
+    def faults(c=good, directives=(told(options),), **kw):
+        tables = {"index": repository.index_records(frame(good)), "seeds": repository.seed_records(frame(good)), "report": repository.report_records(frame(good)), "summary": repository.summary_record(frame(good))} | kw
+        return {(r.check_name, r.key.split(": ")[-1] if r.check_name == "directive" else "") for r in repository.validate(frame(c), edges, bib, prose, AS_OF, directives=spark.createDataFrame(list(directives), schemas.DIRECTIVE), **tables).collect()}
+
+    assert faults() == set()
+    assert faults(good | {"sentence_index": 7}) == {("index record", "")}
+    assert faults(good | {"validation_status": "open"}) == {("seed record", "")}
+    assert faults(good | {"human_review_required": False}) == {("index record", ""), ("graph summary", "")}
+    rules = copy.deepcopy(good)
+    rules["trust_score"]["components"]["robustness"]["rule_id"] = "R9"
+    assert faults(rules) == {("report record", ""), ("rule ids", "")}
+    assert faults(good | {"trust_score": good["trust_score"] | {"raw_score": 5}}) == {("report record", ""), ("raw score", "")}
+    assert faults(directives=()) == {("directive", "no directive")}
+    assert faults(directives=[told(options | {"claim": "Cells"}), told(options, 1)]) == {("directive", "claim text")}
+    assert faults(directives=[told(options | {"cites": "k2, k1", "claim-type": "causal", "modality": "x"})]) == {("directive", "cites"), ("directive", "claim type"), ("directive", "modality")}
+    assert faults(directives=[told(options | {"score": "100", "trust-label": "", "cap-reason": "x"})]) == {("directive", f"forbidden {k}") for k in repository.FORBIDDEN_OPTIONS}
+    basis = {r.component: (r.score, r.rationale) for r in repository.score_basis(frame(good)).collect()}
+    assert basis.keys() == set(schemas.COMPONENTS) and all(b == (good["trust_score"]["components"][c]["score"], "why") for c, b in basis.items())
+
+
+def test_shared_authors_in_canonical_form(spark):
+    bib = spark.createDataFrame([("k1", "d", ["Smith, J.", "Öz"]), ("k2", "d", ["Smith J"]), ("k3", "d", ["", "{\\'E}va N"]), ("k4", "d", [""]), ("k5", "d", ["Eva n."])], schemas.BIBLIOGRAPHY)
+    pairs = lambda *contexts: {(r.left_key, r.right_key) for r in scoring.shared_author_pairs(spark.createDataFrame([claim(list(contexts))], schemas.CLAIM), bib).collect()}
+    assert pairs(context("k1"), context("k2", group="g2")) == {("k1", "k2")}
+    assert pairs(context("k1"), context("k2")) == set()
+    assert pairs(context("k1", group=""), context("k2", group="g2"), context("k2", group=None)) == set()
+    assert pairs(context("k3"), context("k4", group="g2"), context("k5", group="g3")) == {("k3", "k5")}
+    assert pairs(context("k1", role="background"), context("k2", group="g2")) == set()
 
 
 CONFIG = [("clm_" + "a" * 16, ["https://doi.org/10.1/ABC"], ["cell division"]), ("clm_" + "b" * 16, ["10.1/zzz"], ["of in"])]
