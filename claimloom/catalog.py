@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from claimloom.plans import claim_queries, driver_queries  # noqa: F401  (each registers its queries)
+from claimloom.plans import claim_queries, driver_queries, record_queries  # noqa: F401  (each registers its queries)
 
 
 def queries() -> dict:

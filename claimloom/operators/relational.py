@@ -124,11 +124,40 @@ def overlaps(spans: DataFrame, keys: list[str], ident: str) -> DataFrame:
     return side("a").join(side("b"), keys).where(hit).select(*keys, F.col(f"a_{ident}").alias("left_id"), F.col(f"b_{ident}").alias("right_id"), F.greatest("a_start", "b_start").alias("clip_start"), F.least("a_end", "b_end").alias("clip_end"))
 
 
-def repeatable_sample(rows: DataFrame, keys: list[str], hashed: Column, order: str, share: float, least: int) -> DataFrame:
-    """The same share of each group every time, ``least`` rows at least."""
+def repeatable_sample(rows: DataFrame, keys: list[str], hashed: Column, order: str, share: float, least: int, prefix: int = 4) -> DataFrame:
+    """The same share of each group every time, ``least`` rows at least: those of the smallest ``hashed`` (hexadecimal text).
+
+    Rows are counted by group and the hash's first ``prefix`` digits; only those that share the prefix in which a group's
+    share ends need be ranked, so that a group that holds most rows is no task of its own.
+    """
+    marked = rows.withColumn("_h", hashed).withColumn("_p", F.substring("_h", 1, prefix))
+    counts = marked.groupBy(*keys, "_p").agg(F.count("*").alias("_in"))
     w = Window.partitionBy(*keys)
-    picked = rows.withColumn("_n", F.count("*").over(w)).withColumn("_k", F.row_number().over(w.orderBy(hashed, order)))
-    return picked.where(F.col("_k") <= F.greatest(F.lit(least), F.ceil(F.col("_n") * share))).drop("_n", "_k")
+    upto = counts.withColumn("_upto", F.sum("_in").over(w.orderBy("_p"))).withColumn("_quota", F.greatest(F.lit(least), F.ceil(F.sum("_in").over(w) * share)))
+    bounds = upto.where(F.col("_upto") - F.col("_in") < F.col("_quota")).withColumn("_take", F.col("_quota") - F.col("_upto") + F.col("_in")).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_p").alias("_q"), "_take", "_in")
+    same = F.col("_p") == F.col("_q")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    picked = marked.join(bounds, same).drop("_q", *[f"_{k}" for k in keys])
+    sure = picked.where("_take >= _in")
+    ends = picked.where("_take < _in").withColumn("_k", F.row_number().over(Window.partitionBy(*keys, "_p").orderBy("_h", order))).where("_k <= _take").drop("_k")
+    return sure.unionByName(ends).drop("_h", "_p", "_take", "_in")
+
+
+def places(rows: DataFrame, keys: list[str], coarse: list[Column], order: list[Column | str], name: str) -> DataFrame:
+    """``name``: each row's place in its group by ``order``, from 1. ``coarse`` rises with the order and parts large groups, whose parts are counted first."""
+    parted = rows
+    for i, c in enumerate(coarse):
+        parted = parted.withColumn(f"_c{i}", c)
+    parts = [*keys, *[f"_c{i}" for i in range(len(coarse))]]
+    counts = parted.groupBy(*parts).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy(*parts[len(keys) :])) - F.col("_n")
+    counts = counts.select(*[F.col(c).alias(f"r{c}") for c in parts], before.alias("_before"))
+    same = F.lit(True)
+    for c in parts:
+        same = same & F.col(c).eqNullSafe(F.col(f"r{c}"))
+    own = F.row_number().over(Window.partitionBy(*parts).orderBy(*order))
+    return parted.withColumn("_own", own).join(counts, same).withColumn(name, (F.col("_own") + F.col("_before")).cast("int")).drop("_own", "_before", *parts[len(keys) :], *[f"r{c}" for c in parts])
 
 
 def running_places(rows: DataFrame, keys: list[str], order: str, length: Column) -> DataFrame:
@@ -162,6 +191,40 @@ def snowball(seeds: DataFrame, edges: DataFrame, rounds: int, most_each: int | N
     return seen
 
 
+def topic_hits(hays: DataFrame, ident: str, queries: DataFrame, items: list[str]) -> DataFrame:
+    """``(ident, *items)`` of texts ``hay`` (normalised words) that hold every one of a query's ``tokens`` within some word.
+
+    A query's longest token is looked for in the distinct words of all texts, and only texts that have such a word are tried
+    with the query's other tokens; no text meets a query that it shares no word with.
+    """
+    hays = stored(hays, "hays")  # normalising a text costs more than reading it again
+    longest = F.array_sort("tokens", lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
+    asked = queries.where(F.size("tokens") > 0).withColumn("anchor", longest[0])
+    words = hays.select(ident, F.explode(F.array_distinct(F.split("hay", " "))).alias("word"))
+    holding = words.select("word").distinct().join(small(asked.select("anchor").distinct()), F.expr("contains(word, anchor)"))
+    pairs = words.join(holding, "word").join(asked, "anchor").select(ident, "tokens", *items).distinct()
+    tried = pairs.select(F.col(ident).alias("_id"), "tokens", *items).join(hays.select(ident, "hay"), F.col("_id").eqNullSafe(F.col(ident)))
+    return tried.where(F.forall("tokens", lambda x: F.contains(F.col("hay"), x))).select(ident, *items)
+
+
+def quote_hits(texts: DataFrame, ident: str, quotes: DataFrame, item: str, width: int = 3) -> DataFrame:
+    """``(ident, item, text, quote)`` of texts that hold a quote, character by character.
+
+    The middle words of a quote stand in the text between spaces as they do in the quote. So a text that holds it shares the
+    ``width`` words in the quote's middle, on which the two are joined; quotes too short for that are tried with every text.
+    """
+    words = F.split("quote", " ")
+    keyed = quotes.withColumn("_w", words).withColumn("_long", F.size("_w") >= width + 2)
+    middle = F.array_join(F.slice("_w", F.floor((F.size("_w") - width) / 2).cast("int") + 1, width), " ")
+    keys = keyed.where("_long").select(item, "quote", middle.alias("_key"))
+    runs = lambda p: F.transform(F.slice(p, F.lit(1), F.greatest(F.size(p) - width + 1, F.lit(0))), lambda _, i: F.array_join(F.slice(p, i + 1, width), " "))
+    grams = F.array_distinct(F.flatten(F.transform(F.array(F.split("text", " ")), runs)))  # the words are bound once, not for each run
+    found = texts.select(F.col(ident).alias("_id"), F.explode(grams).alias("_key")).join(small(keys), "_key").select("_id", item, "quote").distinct()
+    near = found.join(texts.select(ident, "text"), F.col("_id").eqNullSafe(F.col(ident))).where(F.expr("contains(text, quote)")).select(ident, item, "text", "quote")
+    short = small(keyed.where("not _long").select(item, "quote"))
+    return near.unionByName(texts.select(ident, "text").join(short, F.expr("contains(text, quote)")).select(ident, item, "text", "quote"))
+
+
 def jaccard_pairs(rows: DataFrame, ident: str, words: str, above: float) -> DataFrame:
     """Pairs with Jaccard similarity over ``above``: a prefix join on the rarest words, then exact.
 

@@ -247,11 +247,10 @@ _RADAR_SQL = r"trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'))"
 @query(f"""with b as (select item_id, list_filter(string_split({_RADAR_SQL}, ' '), lambda x: length(x) > 2) as tokens from benchmark), d as (select doc_id, {_RADAR_SQL} as hay from documents)
 select item_id, count(*) as n_docs, min(doc_id) as first_doc from b join d on len(tokens) > 0 and len(list_filter(tokens, lambda x: not contains(hay, x))) = 0 group by 1""")
 def q19_radar_topic(spark, sf):
-    """The queries are a small, counted set; each document is tried against the query's rarest-looking (longest) tokens first."""
-    tokens = F.array_sort(tx.topic_tokens("text"), lambda a, b: F.length(b) - F.length(a))
-    watched = rel.small(t(spark, sf, "benchmark").select("item_id", tokens.alias("tokens")))
+    """Benchmark items as topic queries on all documents."""
+    queries = t(spark, sf, "benchmark").select("item_id", tx.topic_tokens("text").alias("tokens"))
     hay = t(spark, sf, "documents").select("doc_id", tx.radar_text("text").alias("hay"))
-    return hay.join(watched, tx.topic_match(F.col("tokens"), F.col("hay"))).groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+    return rel.topic_hits(hay, "doc_id", queries, ["item_id"]).groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
 
 
 @query("""select user_id, 'radar_' || substr(sha256('events' || chr(10) || user_id::varchar || chr(10) || string_agg(distinct event_type, ',' order by event_type)), 1, 16) as proposal_id, string_agg(distinct event_type, ',' order by event_type) as reasons from events group by 1""")
@@ -369,8 +368,8 @@ def q33_search_topk(spark, sf):
 
 @query("""select doc_id, item_id, strpos(d.text, b.text)::int as place from documents d join benchmark b on contains(d.text, b.text) and not contains(substr(d.text, strpos(d.text, b.text) + 1), b.text)""")
 def q34_quote_anchor(spark, sf):
-    quotes = rel.small(t(spark, sf, "benchmark").select("item_id", F.col("text").alias("quote")))
-    found = t(spark, sf, "documents").join(quotes, F.expr("contains(text, quote)")).withColumn("place", F.expr("locate(quote, text)"))
+    quotes = t(spark, sf, "benchmark").select("item_id", F.col("text").alias("quote"))
+    found = rel.quote_hits(t(spark, sf, "documents").select("doc_id", "text"), "doc_id", quotes, "item_id").withColumn("place", F.expr("locate(quote, text)"))
     return found.where("locate(quote, text, place + 1) = 0").select("doc_id", "item_id", "place")
 
 
@@ -430,8 +429,8 @@ _LEVELS = ["MACHINERY", "BUILDING", "AUTOMOBILE", "FURNITURE", "HOUSEHOLD"]
 @query("""select c_custkey, row_number() over (partition by c_nationkey order by case c_mktsegment when 'MACHINERY' then 0 when 'BUILDING' then 1 when 'AUTOMOBILE' then 2 when 'FURNITURE' then 3 when 'HOUSEHOLD' then 4 else 9 end, split_part(c_name, '#', 2) , c_custkey)::int as place from customer""")
 def q42_rank_sort(spark, sf):
     level = vl.ladder([(F.col("c_mktsegment") == x, i) for i, x in enumerate(_LEVELS)], 9)
-    w = Window.partitionBy("c_nationkey").orderBy(level, F.split_part("c_name", F.lit("#"), F.lit(2)), "c_custkey")
-    return t(spark, sf, "customer").select("c_custkey", F.row_number().over(w).alias("place"))
+    number = F.split_part("c_name", F.lit("#"), F.lit(2))
+    return rel.places(t(spark, sf, "customer"), ["c_nationkey"], [level, F.substring(number, 1, 6)], [level, number, "c_custkey"], "place").select("c_custkey", "place")
 
 
 @query("""with g as (select epoch(min(ts)) as low, epoch(max(ts)) as high from events), u as (select user_id, epoch(min(ts)) as a, epoch(max(ts)) as b from events group by 1)
@@ -571,8 +570,10 @@ def q59_shared_actors(spark, sf):
 
 @query("""with l as (select doc_id, source from documents), k as (select source, doc_id, row_number() over (partition by source order by doc_id) as n from l) select doc_id, source || case when count(*) over (partition by source) > 1 and n <= 26 then chr((96 + n)::int) else '' end as cite_key from k""")
 def q60_key_suffixes(spark, sf):
-    """Keys told apart by letters in order; the 27th and later ones keep the bare key."""
-    w = Window.partitionBy("source")
-    rows = t(spark, sf, "documents").select("doc_id", "source").withColumn("n", F.row_number().over(w.orderBy("doc_id"))).withColumn("of", F.count("*").over(w))
-    letter = F.when((F.col("of") > 1) & (F.col("n") <= 26), F.char(F.lit(96) + F.col("n"))).otherwise("")
-    return rows.select("doc_id", F.concat("source", letter).alias("cite_key"))
+    """Keys told apart by letters in order; the 27th and later ones keep the bare key. Only the first 26 of a source are ranked, each task's own before any are moved."""
+    rows = t(spark, sf, "documents").select("doc_id", "source")
+    first = rows.withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))).where("n <= 26").select(F.col("source").alias("_source"), F.col("doc_id").alias("_doc"), "n")
+    many = rows.groupBy("source").agg(F.count("*").alias("of")).where("of > 1").select(F.col("source").alias("_many"))
+    lettered = first.join(many, F.col("_source").eqNullSafe(F.col("_many")))
+    told = rows.join(rel.small(lettered), F.col("source").eqNullSafe(F.col("_source")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left")
+    return told.select("doc_id", F.concat("source", F.when(F.col("n").isNotNull(), F.char(F.lit(96) + F.col("n"))).otherwise("")).alias("cite_key"))
