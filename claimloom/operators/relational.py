@@ -199,9 +199,13 @@ def topic_hits(hays: DataFrame, ident: str, queries: DataFrame, items: list[str]
     """
     hays = stored(hays, "hays")  # normalising a text costs more than reading it again
     longest = F.array_sort("tokens", lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
-    asked = queries.where(F.size("tokens") > 0).withColumn("anchor", longest[0])
+    asked = queries.where(F.size("tokens") > 0).withColumn("anchor", F.get(longest, 0))
     words = hays.select(ident, F.explode(F.array_distinct(F.split("hay", " "))).alias("word"))
-    holding = words.select("word").distinct().join(small(asked.select("anchor").distinct()), F.expr("contains(word, anchor)"))
+    # an anchor has three characters at least; words are joined with it on its last three before the whole is looked for
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("word") - 2, F.lit(1))), lambda i: F.substr("word", i, F.lit(3))))
+    known = words.select("word").distinct().where(F.length("word") >= 3).select("word", F.explode(grams).alias("gram"))
+    keys = small(asked.select("anchor", F.substr("anchor", F.length("anchor") - 2, F.lit(3)).alias("gram")).distinct())
+    holding = known.join(keys, "gram").where(F.expr("contains(word, anchor)")).select("word", "anchor")
     pairs = words.join(holding, "word").join(asked, "anchor").select(ident, "tokens", *items).distinct()
     tried = pairs.select(F.col(ident).alias("_id"), "tokens", *items).join(hays.select(ident, "hay"), F.col("_id").eqNullSafe(F.col(ident)))
     return tried.where(F.forall("tokens", lambda x: F.contains(F.col("hay"), x))).select(ident, *items)

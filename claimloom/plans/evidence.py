@@ -83,13 +83,6 @@ def figures(rows: DataFrame, json: str = "figure") -> DataFrame:
     return out.withColumn("papers", first).withColumn("n_papers", F.size("papers")).drop("_papers")
 
 
-def figure_papers(rows: DataFrame, order: str) -> DataFrame:
-    """Rows of papers: the first of each cite key (or DOI) by ``order`` stays, rows with neither go."""
-    named = rows.withColumn("key", F.coalesce(F.nullif("cite_key", F.lit("")), F.nullif("doi", F.lit(""))))
-    n = F.row_number().over(Window.partitionBy("key").orderBy(order))
-    return named.where(F.col("key").isNotNull()).withColumn("_n", n).where("_n = 1").drop("_n")
-
-
 def shown_findings(findings: DataFrame, section: str | None = None, tier: str | None = None, query: str = "") -> DataFrame:
     """Findings of a section and a tier, where these are given, whose claim, DOI, study system or cite key holds the query, whatever its case."""
     rows = findings if section is None else findings.where(F.col("section").cast("string") == section)
