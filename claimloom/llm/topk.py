@@ -1,12 +1,16 @@
 """Exact top-k by inner product: a ball tree in each shard, searched by branch and bound.
 
-Components become the integers floor(scale * x), so scores are exact. Rows are dealt to
-shards by a hash of their id (a shard's size is bounded, whatever is equal among vectors);
-each shard builds a ball tree. Queries come in blocks: a block first searches one shard, and
-its queries' kth scores then go with it to all other shards. In a shard, nodes are taken in
-the order of their upper bounds q.c + |q| r, a node is opened only for queries whose kth
-score doesn't exceed its bound, and the kth scores rise from leaf to leaf. Only shards'
-survivors are shuffled for the final ranking.
+Components become the integers floor(scale * x), so scores are exact. Rows are dealt to cells
+by the nearest of ``cells`` pivot rows (a bounded sample; any choice gives the same results),
+and a cell's rows to shards by a hash of their id, so that a shard lies together in space and
+its size is bounded, whatever is equal among vectors; each shard builds a ball tree. Queries
+come in blocks, likewise by cells. A block first searches a shard of its own cell. Its queries'
+kth scores are then held against the roots of all other shards, whose centres and radii are
+read in pages; vectors are joined only for the pairs of block and shard in which some query's
+upper bound reaches its kth score. In a shard, nodes are taken in the order of their upper
+bounds q.c + |q| r, a node is opened only for queries whose kth score doesn't exceed its bound,
+and the kth scores rise from leaf to leaf. Only shards' survivors are shuffled for the final
+ranking.
 
 Defined results: vectors that are null, hold a null or a non-finite component, or have no
 id take no part; vectors of different lengths are not compared; rows that repeat an id count
@@ -16,8 +20,6 @@ smaller id; scores beyond 64 bits are held to that range; fewer than k candidate
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +29,12 @@ from pyspark.sql.window import Window
 from .common import stored
 
 LEAF = 128
-_PACKED = "dim int, part int, ids binary, vectors binary, bounds binary"
+#: Roots of shards that one row holds.
+PAGE = 4096
+#: Rows for each pivot, at least.
+PIVOT_ROWS = 1024
+_PACKED = "dim int, part int, ids binary, vectors binary, bounds binary, centre binary, radius double, reach double"
+_SHIFT = 1 << 20
 FOUND = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -146,7 +153,55 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
         conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
-def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = 16384, block_rows: int = 1024) -> DataFrame:
+def _cells(df: DataFrame, pivots: dict[int, np.ndarray], scale: int) -> DataFrame:
+    """``df`` (vec_id, dim, vector, ...) with the number of the nearest pivot; vectors of another length than any pivot's are in cell 0."""
+    sent = df.sparkSession.sparkContext.broadcast(pivots)
+
+    def run(batches):
+        for batch in batches:
+            cell = np.zeros(batch.num_rows, np.int32)
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims):
+                centres = sent.value.get(int(dim))
+                if centres is None or not dim:
+                    continue
+                at = np.flatnonzero(dims == dim)
+                flat = batch.column("vector").take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
+                x = np.clip(np.floor(flat.astype(np.float64) * scale), -1e100, 1e100).reshape(len(at), dim)
+                cell[at] = ((centres**2).sum(1)[None, :] - 2 * (x @ centres.T)).argmin(1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell)], names=[*batch.schema.names, "cell"])
+
+    return df.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema) + ", cell int")
+
+
+def _pages(trees: DataFrame) -> DataFrame:
+    """Roots of shards, ``PAGE`` of them to a row."""
+    heads = trees.select("dim", "part", "centre", "radius", "reach")
+    number = F.floor((F.row_number().over(Window.partitionBy("dim", F.pmod(F.xxhash64("part"), F.lit(64))).orderBy("part")) - 1) / PAGE)
+    paged = heads.withColumn("page", F.concat_ws("/", F.pmod(F.xxhash64("part"), F.lit(64)).cast("string"), number.cast("string")))
+    return paged.groupBy("dim", "page").agg(F.collect_list(F.struct("part", "centre", "radius", "reach")).alias("heads"))
+
+
+def _open(pairs: DataFrame) -> DataFrame:
+    """``(dim, block, part)`` of shards in which a query of the block may have a candidate that reaches its kth score."""
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                bounds = np.frombuffer(r["q_bounds"], np.float64)
+                q = _wide(r["q_vectors"], len(bounds), r["dim"])
+                centres = np.stack([np.frombuffer(h["centre"], np.float64) for h in r["heads"]])
+                radius, reach = (np.array([h[c] for h in r["heads"]]) for c in ("radius", "reach"))
+                norm = np.sqrt((q**2).sum(1))[:, None]
+                upper = q @ centres.T + norm * radius + 1e-3 + 1e-9 * norm * reach
+                hit = ((upper >= bounds[:, None]) | ~np.isfinite(upper)).any(0)
+                parts = [h["part"] for h, ok in zip(r["heads"], hit) if ok and h["part"] != r["own"]]
+                yield pa.RecordBatch.from_arrays([pa.array([r["dim"]] * len(parts), pa.int32()), pa.array([r["block"]] * len(parts), pa.int32()), pa.array(parts, pa.int32())], names=["dim", "block", "part"])
+
+    return pairs.mapInArrow(run, "dim int, block int, part int")
+
+
+def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", shard_rows: int = 16384, block_rows: int = 1024, cells: int = 64) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row of ``queries`` its k best rows of ``vectors``."""
 
     def usable(df: DataFrame) -> DataFrame:
@@ -154,7 +209,16 @@ def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5, scale
         finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         return rows.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & finite).withColumn("dim", F.size("vector"))
 
-    def packed(df: DataFrame, parts: int, bounds: bool) -> DataFrame:
+    def once(rows: DataFrame) -> DataFrame:
+        """Of rows with one id (and length) the smallest integer vector; only ids are moved to find out which repeat."""
+        repeated = stored(rows.groupBy("vec_id", "dim").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "repeated")
+        if not repeated.head(1):
+            return rows
+        key = F.transform("vector", lambda x: F.floor(x * scale))
+        least = rows.join(repeated, ["vec_id", "dim"], "left_semi").groupBy("vec_id", "dim").agg(F.min_by("vector", key).alias("vector"))
+        return rows.join(repeated, ["vec_id", "dim"], "left_anti").unionByName(least)
+
+    def packed(df: DataFrame, bounds: bool) -> DataFrame:
         def pack(key, table):
             dim, part = key[0].as_py(), key[1].as_py()
             ids, x = _matrix(table, dim, scale)
@@ -162,23 +226,47 @@ def top_inner_products(vectors: DataFrame, queries: DataFrame, k: int = 5, scale
             if bounds:
                 of = dict(zip(table["vec_id"].to_pylist(), table["bound"].to_pylist()))
                 least = np.array([of[i] for i in ids.tolist()], np.float64).tobytes()
-            return pa.table({"dim": pa.array([dim], pa.int32()), "part": pa.array([part], pa.int32()), "ids": pa.array([ids.tobytes()], pa.binary()), "vectors": pa.array([_narrow(x)], pa.binary()), "bounds": pa.array([least], pa.binary())})
+            centre = x.mean(0)
+            radius = float(np.sqrt(((x - centre) ** 2).sum(1)).max() * (1 + 1e-9) + 1e-6)
+            reach = float(np.sqrt((x**2).sum(1)).max())
+            return pa.table({"dim": pa.array([dim], pa.int32()), "part": pa.array([part], pa.int32()), "ids": pa.array([ids.tobytes()], pa.binary()), "vectors": pa.array([_narrow(x)], pa.binary()), "bounds": pa.array([least], pa.binary()), "centre": pa.array([centre.tobytes()], pa.binary()), "radius": pa.array([radius]), "reach": pa.array([reach])})
 
-        return df.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")).groupBy("dim", "part").applyInArrow(pack, _PACKED)
+        return df.groupBy("dim", "part").applyInArrow(pack, _PACKED)
 
-    rows, asked = usable(vectors), usable(queries)
-    shards = max(1, math.ceil(rows.count() / shard_rows))
-    blocks = max(1, math.ceil(asked.count() / block_rows))
-    trees = stored(packed(rows, shards, False).drop("bounds"), "shards")
+    def dealt(df: DataFrame, most: int, name: str) -> tuple[DataFrame, DataFrame]:
+        """Rows with their part (cell and a hash's number), and the number of parts of each cell."""
+        placed = stored(_cells(df, pivots, scale), name)
+        of_cell = placed.groupBy("dim", "cell").agg(F.ceil(F.count("*") / most).cast("int").alias("parts"))
+        part = F.col("cell") * _SHIFT + F.pmod(F.xxhash64("vec_id"), F.col("parts"))
+        return placed.join(F.broadcast(of_cell) if of_cell.count() <= 100_000 else of_cell, ["dim", "cell"]).withColumn("part", part.cast("int")).drop("cell", "parts"), of_cell
+
+    rows, asked = once(usable(vectors)), once(usable(queries))
+    wanted = max(1, min(cells, rows.count() // PIVOT_ROWS))
+    found = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(wanted).select("dim", "vector").collect()
+    pivots = {d: np.clip(np.floor(np.array([r["vector"] for r in found if r["dim"] == d]) * scale), -1e100, 1e100) for d in {r["dim"] for r in found}}
+    placed, shards = dealt(rows, shard_rows, "placed")
+    trees = stored(packed(placed, False).drop("bounds"), "shards")
+    blocked, _ = dealt(asked, block_rows, "queries")
+    blocked = stored(blocked, "blocks")
 
     def blocks_of(df: DataFrame) -> DataFrame:
-        return packed(df, blocks, True).select("dim", F.col("part").alias("block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.col("bounds").alias("q_bounds"))
+        blocks = packed(df, True).select("dim", F.col("part").alias("block"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.col("bounds").alias("q_bounds"))
+        cell = F.floor(F.col("block") / _SHIFT).cast("int")
+        home = blocks.withColumn("cell", cell).join(shards, ["dim", "cell"], "left")
+        return home.withColumn("own", (F.col("cell") * _SHIFT + F.pmod(F.col("block") % _SHIFT, F.col("parts"))).cast("int")).drop("cell", "parts")
 
-    own = F.pmod("block", F.lit(shards)).cast("int")
-    first = _search(blocks_of(asked.withColumn("bound", F.lit(float("-inf")))).withColumn("part", own).join(trees, ["dim", "part"]), k)
+    tree = trees.select("dim", "part", "ids", "vectors")
+    first = _search(blocks_of(blocked.withColumn("bound", F.lit(float("-inf")))).withColumn("part", F.col("own")).join(tree, ["dim", "part"]), k)
     bound = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).cast("double").alias("bound"))
-    bounded = asked.join(bound.withColumnRenamed("query_id", "vec_id"), "vec_id", "left").fillna(float("-inf"), ["bound"])
-    others = blocks_of(bounded).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(F.col("part") != own)
-    second = _search(others.join(trees, ["dim", "part"]), k)
+    bounded = blocked.join(bound.withColumnRenamed("query_id", "vec_id"), "vec_id", "left").fillna(float("-inf"), ["bound"])
+    blocks = stored(blocks_of(bounded).withColumn("own", F.coalesce("own", F.lit(-1))), "bounded")
+    conf = rows.sparkSession.conf
+    before = conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)  # a row holds a block and a page
+    try:
+        opened = stored(_open(blocks.select("dim", "block", "own", "q_vectors", "q_bounds").join(_pages(trees), "dim")), "opened")
+    finally:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    second = _search(opened.join(blocks.drop("own"), ["dim", "block"]).join(tree, ["dim", "part"]), k)
     ranked = first.unionByName(second).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
