@@ -155,7 +155,7 @@ def test_stored_records_and_directives_are_compared(spark):
 
 
 def test_shared_authors_in_canonical_form(spark):
-    bib = spark.createDataFrame([("k1", "d", ["Smith, J.", "Öz"]), ("k2", "d", ["Smith J"]), ("k3", "d", ["", "{\\'E}va N"]), ("k4", "d", [""]), ("k5", "d", ["Eva n."])], schemas.BIBLIOGRAPHY)
+    bib = spark.createDataFrame([("k1", "d", ["Smith, J.", "Öz"]), ("k2", "d", ["Smith J"]), ("k3", "d", ["", "\\'Eva N"]), ("k4", "d", [""]), ("k5", "d", ["Eva n."])], schemas.BIBLIOGRAPHY)
     pairs = lambda *contexts: {(r.left_key, r.right_key) for r in scoring.shared_author_pairs(spark.createDataFrame([claim(list(contexts))], schemas.CLAIM), bib).collect()}
     assert pairs(context("k1"), context("k2", group="g2")) == {("k1", "k2")}
     assert pairs(context("k1"), context("k2")) == set()
