@@ -194,19 +194,21 @@ def snowball(seeds: DataFrame, edges: DataFrame, rounds: int, most_each: int | N
 def topic_hits(hays: DataFrame, ident: str, queries: DataFrame, items: list[str]) -> DataFrame:
     """``(ident, *items)`` of texts ``hay`` (normalised words) that hold every one of a query's ``tokens`` within some word.
 
-    A query's longest token is looked for in the distinct words of all texts, and only texts that have such a word are tried
-    with the query's other tokens; no text meets a query that it shares no word with.
+    Tokens are looked for in the distinct words of all texts, whose texts are counted; only texts that hold a query's rarest
+    token are tried with its other tokens, and no text meets a query that it shares no word with.
     """
     hays = stored(hays, "hays")  # normalising a text costs more than reading it again
-    longest = F.array_sort("tokens", lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
-    asked = queries.where(F.size("tokens") > 0).withColumn("anchor", F.get(longest, 0))
+    asked = queries.where(F.size("tokens") > 0).select("tokens", *items).distinct()
     words = hays.select(ident, F.explode(F.array_distinct(F.split("hay", " "))).alias("word"))
-    # an anchor has three characters at least; words are joined with it on its last three before the whole is looked for
+    # a token has three characters at least; words are joined with it on its last three before the whole is looked for
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("word") - 2, F.lit(1))), lambda i: F.substr("word", i, F.lit(3))))
-    known = words.select("word").distinct().where(F.length("word") >= 3).select("word", F.explode(grams).alias("gram"))
-    keys = small(asked.select("anchor", F.substr("anchor", F.length("anchor") - 2, F.lit(3)).alias("gram")).distinct())
-    holding = known.join(keys, "gram").where(F.expr("contains(word, anchor)")).select("word", "anchor")
-    pairs = words.join(holding, "word").join(asked, "anchor").select(ident, "tokens", *items).distinct()
+    known = words.groupBy("word").agg(F.count("*").alias("n")).where(F.length("word") >= 3).select("word", "n", F.explode(grams).alias("gram"))
+    each = asked.select("tokens", *items, F.explode("tokens").alias("token"))
+    keys = small(each.select("token", F.substr("token", F.length("token") - 2, F.lit(3)).alias("gram")).distinct())
+    holding = stored(known.join(keys, "gram").where(F.expr("contains(word, token)")).select("word", "token", "n"), "holding")
+    held = holding.groupBy("token").agg(F.sum("n").alias("n"))
+    rarest = each.join(held, "token", "left").groupBy("tokens", *items).agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("r")).select("tokens", *items, "r.token")
+    pairs = words.join(holding.select("word", "token"), "word").join(rarest, "token").select(ident, "tokens", *items).distinct()
     tried = pairs.select(F.col(ident).alias("_id"), "tokens", *items).join(hays.select(ident, "hay"), F.col("_id").eqNullSafe(F.col(ident)))
     return tried.where(F.forall("tokens", lambda x: F.contains(F.col("hay"), x))).select(ident, *items)
 
