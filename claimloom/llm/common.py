@@ -46,6 +46,15 @@ def input_parts(df: DataFrame, mb_each: int = 8) -> int:
     return max(8, -(-input_bytes(df) // (mb_each << 20)))
 
 
+def scanned(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` if it reads files, whose rows come in one order whenever a lost task runs again; else a stored copy."""
+    try:
+        docs.select("_metadata.file_path")
+        return docs
+    except AnalysisException:
+        return stored(docs, name)
+
+
 def numbered(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with a number of its own for each row in column ``name``, the same in every scan.
 

@@ -17,6 +17,10 @@ A block sends to ``FAN`` ranges at most. Where the input needs more buckets, wha
 buckets; totals come back the same two steps. So no message shrinks to single entries as
 blocks and buckets grow with the input.
 
+Texts are read where they are stored (others are stored first), and blocks are numbered by
+their task: a task that is run again after an executor was lost sends the same messages.
+Ranges, units and blocks are dealt to tasks evenly by their numbers.
+
 Hashes: counts of words, N, V and ``base_score`` rest on 64-bit hashes of words. A pair's hash
 is made of its words' leading ``SHORT`` bits and has :func:`pair_bits` bits. Of 10^9 distinct
 words about 4 in 10^6 share their leading bits with another, whose pairs then count as one.
@@ -31,16 +35,17 @@ text); other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import math
-import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import doc_fold, input_bytes, input_parts, map_blocks, release, stored
+from .common import doc_fold, input_bytes, input_parts, map_blocks, release, scanned, stored
 
 END, START = np.uint64(0x5EED5EED00000001), np.uint64(0x5EED5EED00000002)
 BLOCK = 6 << 20
@@ -50,11 +55,15 @@ FAN = 4096
 UNIT_BLOCKS = 2048
 #: Leading bits of a word's hash of which pair hashes are made.
 SHORT = 48
+#: A task's blocks have numbers this far apart (a prime, more than the tasks of a scan).
+STRIDE = (1 << 31) - 1
+#: Multiples of 2^-24 (of the golden and the plastic number) by which blocks are dealt to tasks evenly.
+TURN, STEP, ONE = 10368890, 12664746, 1 << 24
 #: EM sees estimates on a grid of half powers of two; cell 0 is probability zero.
 GRID, BUCKETS = 160, 66
-_ROW = "dest int, kind int, block string, bucket int, a binary, b binary, c binary, d binary, x bigint, y bigint"
+_ROW = "dest int, kind int, block bigint, bucket int, a binary, b binary, c binary, d binary, x bigint, y bigint"
 _NAMES = [c.split()[0] for c in _ROW.split(", ")]
-_TYPES = {"int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "bigint": pa.int64()}
+_TYPES = {"int": pa.int32(), "binary": pa.binary(), "bigint": pa.int64()}
 _ARROW = pa.schema([(c.split()[0], _TYPES[c.split()[1]]) for c in _ROW.split(", ")])
 UNIGRAM, BIGRAM, TEXTS, HELD, TOTALS = range(5)
 
@@ -115,7 +124,32 @@ def order_of(shorts: np.ndarray):
     return order, rank
 
 
-def read_block(table: pa.Table, buckets: int, bits: int) -> pa.Table:
+def block_numbers() -> Callable[[], int]:
+    """Numbers of a task's blocks: the task's own and every ``STRIDE``-th after it, so that a task that runs again gives them again."""
+    seen = {"attempt": None, "at": 0}
+
+    def number() -> int:
+        task = TaskContext.get()
+        if seen["attempt"] != task.taskAttemptId():
+            seen.update(attempt=task.taskAttemptId(), at=0)
+        seen["at"] += 1
+        return task.partitionId() + (seen["at"] - 1) * STRIDE
+
+    return number
+
+
+def home(block: int, parts: int) -> int:
+    """The task of ``parts`` that a block's own rows go to; tasks of a scan and their blocks fall evenly, which hashes wouldn't."""
+    return (block % STRIDE * TURN + block // STRIDE * STEP) % ONE * parts // ONE
+
+
+def homes(df: DataFrame, parts: int):
+    """Groups of blocks, each at its :func:`home`: one exchange."""
+    task = F.expr(f"cast((block % {STRIDE} * {TURN} + block div {STRIDE} * {STEP}) % {ONE} * {parts} div {ONE} as int)")
+    return df.withColumn("task", task).repartitionById(parts, F.col("task")).groupBy("task", "block")
+
+
+def read_block(table: pa.Table, block: int, buckets: int, bits: int, parts: int) -> pa.Table:
     """Count one block of texts; column ``part`` is 0 for texts to learn from, 1 for EM's held-out part of them, 2 for others."""
     ids, folds = table["doc_id"], table["part"].to_numpy()
     starts, codes, uniques = words.split(table["text"], words.LOWER)
@@ -125,7 +159,6 @@ def read_block(table: pa.Table, buckets: int, bits: int) -> pa.Table:
     prev, now = sequences(lengths, codes, end, start)
     token_fold = np.repeat(folds, lengths + 1)
     kept, deleted = token_fold == 0, token_fold == 1
-    block = uuid.uuid4().hex
     out: list[dict] = []
 
     def send(kind: int, h: np.ndarray, width: int, a: np.ndarray, b: np.ndarray) -> None:
@@ -142,15 +175,15 @@ def read_block(table: pa.Table, buckets: int, bits: int) -> pa.Table:
     send(UNIGRAM, hashes[order], 64, a, b)
     pair_hashes, pair = ranks(prev, now, short(hashes), bits)
     send(BIGRAM, pair_hashes, bits, np.bincount(pair[kept], minlength=len(pair_hashes)), np.bincount(pair[deleted], minlength=len(pair_hashes)))
-    home = 2 * buckets + int(block[:8], 16) % (1 << 30)  # a block's texts needn't meet others
+    own = 2 * buckets + home(block, parts)  # a block's texts needn't meet others
     docs = pa.table({"doc_id": ids, "part": table["part"]}).combine_chunks()
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, docs.schema) as w:
         w.write_table(docs)
-    out.append({"dest": home, "kind": TEXTS, "block": block, "a": sink.getvalue().to_pybytes(), "b": deflate(lengths), "c": deflate(codes.astype("<u4")), "d": short(hashes).view(np.uint8).reshape(-1, 8)[:, : SHORT // 8].tobytes()})
+    out.append({"dest": own, "kind": TEXTS, "block": block, "a": sink.getvalue().to_pybytes(), "b": deflate(lengths), "c": deflate(codes.astype("<u4")), "d": short(hashes).view(np.uint8).reshape(-1, 8)[:, : SHORT // 8].tobytes()})
     if deleted.any():  # each distinct pair once, with its number of deleted tokens
         pairs, first, times = np.unique(pair[deleted], return_index=True, return_counts=True)
-        out.append({"dest": home, "kind": HELD, "block": block, "a": deflate(rank[prev[deleted][first]].astype("<u4")), "b": deflate(rank[now[deleted][first]].astype("<u4")), "c": deflate(pairs.astype("<u4")), "d": deflate(times.astype("<u4"))})
+        out.append({"dest": own, "kind": HELD, "block": block, "a": deflate(rank[prev[deleted][first]].astype("<u4")), "b": deflate(rank[now[deleted][first]].astype("<u4")), "c": deflate(pairs.astype("<u4")), "d": deflate(times.astype("<u4"))})
     return pa.Table.from_pylist(out, _ARROW)
 
 
@@ -226,15 +259,16 @@ def give_back(left, right):
 def totalled(sent: DataFrame, buckets: int, bits: int, parts: int) -> DataFrame:
     """Blocks' messages answered with the corpus's totals, by way of units where there are more than ``FAN`` buckets."""
     if buckets <= FAN:
-        return sent.repartition(parts, "dest").groupBy("dest").applyInArrow(add_up, _ROW)
+        return sent.repartitionById(parts, F.col("dest")).groupBy("dest").applyInArrow(add_up, _ROW)
     sent = stored(sent, "sent")
     counts = sent.where(F.col("kind") <= BIGRAM)
     units = max(1, counts.select("block").distinct().count() // UNIT_BLOCKS)
-    counts = counts.withColumn("unit", F.concat_ws("/", F.col("dest").cast("string"), F.pmod(F.xxhash64("block"), F.lit(units)).cast("string")))
-    finer = counts.repartition(parts, "unit").groupBy("unit").applyInArrow(merged(buckets, bits), _ROW)
-    told = stored(finer.repartition(parts, "dest").groupBy("dest").applyInArrow(add_up, _ROW), "units")
+    counts = counts.withColumn("unit", F.col("dest").cast("bigint") * units + F.pmod(F.xxhash64("block"), F.lit(units)))
+    in_turn = lambda df: df.withColumn("task", F.pmod("unit", F.lit(parts)).cast("int")).repartitionById(parts, F.col("task")).groupBy("task", "unit")
+    finer = in_turn(counts).applyInArrow(merged(buckets, bits), _ROW)
+    told = stored(finer.repartitionById(parts, F.col("dest")).groupBy("dest").applyInArrow(add_up, _ROW), "units")
     of_unit = told.where(F.col("kind") <= BIGRAM).withColumnRenamed("block", "unit")
-    back = counts.repartition(parts, "unit").groupBy("unit").cogroup(of_unit.repartition(parts, "unit").groupBy("unit")).applyInArrow(give_back, _ROW)
+    back = in_turn(counts).cogroup(in_turn(of_unit)).applyInArrow(give_back, _ROW)
     return back.unionByName(told.where(F.col("kind") == TOTALS)).unionByName(sent.where(F.col("kind") >= TEXTS))
 
 
@@ -336,15 +370,16 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     bits = pair_bits(input_bytes(docs))
     fold = doc_fold(folds)
     part = F.when(fold == learn_not, 2).when(fold == held, 1).otherwise(0)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("part", part.cast("int"))
-    sent = map_blocks(rows, lambda t: read_block(t, min(buckets, FAN), bits), _ROW, limit=BLOCK)
+    rows = scanned(docs.select(id_col, text_col), "texts").select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("part", part.cast("int"))
+    number = block_numbers()
+    sent = map_blocks(rows, lambda t: read_block(t, number(), min(buckets, FAN), bits, parts), _ROW, limit=BLOCK)
     counted = stored(totalled(sent, buckets, bits, parts), "lm")
     totals = {r["bucket"]: (r["n"], r["v"]) for r in counted.where(F.col("kind") == TOTALS).groupBy("bucket").agg(F.sum("x").alias("n"), F.sum("y").alias("v")).collect()}
     (kept_n, kept_v), (n, v) = totals.get(0, (0, 0)), totals.get(1, (0, 0))
     counts = counted.where(F.col("kind") <= BIGRAM)
-    estimates = counts.unionByName(counted.where(F.col("kind") == HELD)).select(*_NAMES[1:8]).repartition(parts, "block").groupBy("block").applyInArrow(held_out_cells(kept_n), "cell bigint, n bigint")
+    estimates = homes(counts.unionByName(counted.where(F.col("kind") == HELD)).select(*_NAMES[1:8]), parts).applyInArrow(held_out_cells(kept_n), "cell bigint, n bigint")
     cells = {r["cell"]: r["n"] for r in estimates.groupBy("cell").agg(F.sum("n").alias("n")).collect()}
     weights = expectation_maximisation(cells, kept_v)
     result = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     texts = counted.where(F.col("kind") == TEXTS)
-    return counts.unionByName(texts).select(*_NAMES[1:8]).repartition(parts, "block").groupBy("block").applyInArrow(score_block(weights, n, v, bits), result)
+    return homes(counts.unionByName(texts).select(*_NAMES[1:8]), parts).applyInArrow(score_block(weights, n, v, bits), result)
