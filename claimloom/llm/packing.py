@@ -164,6 +164,6 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, i
         names = [c.split()[0] for c in PIECES.split(", ")]
         return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * len(names))], names=names)
 
-    # as many parts as the input needs, so that a task's share doesn't grow with it
-    dealt = coded_rows.repartition(buckets, "bucket").groupBy("bucket").cogroup(before.repartition(buckets, "bucket").groupBy("bucket"))
+    # a task for each bucket, so that a task's share doesn't grow with the input
+    dealt = coded_rows.repartitionById(buckets, F.col("bucket")).groupBy("bucket").cogroup(before.repartitionById(buckets, F.col("bucket")).groupBy("bucket"))
     return dealt.applyInArrow(place, PIECES)
