@@ -106,6 +106,26 @@ def test_weights_equal_a_plain_expectation_maximisation():
     assert found[2].tolist() == found[1].tolist() and found[9].tolist() == found[4].tolist()
 
 
+def test_blocks_fall_evenly_on_tasks():
+    for tasks, blocks, parts in ((8, 17, 31), (32, 5, 31), (200, 3, 190), (7000, 5, 6400)):
+        n = Counter(lm.home(p + q * lm.STRIDE, parts) for p in range(tasks) for q in range(blocks))
+        assert set(n) == set(range(parts)) and max(n.values()) <= 2 * tasks * blocks / parts
+
+
+def test_a_task_that_runs_again_sends_the_same_messages(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK", 4000)
+    path = f"file://{tmp_path}/d"
+    spark.createDataFrame([(i, t, 0) for i, t in enumerate(corpus())], "doc_id bigint, text string, part int").repartition(3).write.parquet(path)
+    rows = spark.read.parquet(path).fillna("", "text")
+
+    def sent():
+        number = lm.block_numbers()
+        return lm.map_blocks(rows, lambda t: lm.read_block(t, number(), 8, 40, 5), lm._ROW, limit=lm.BLOCK)
+
+    one, two = (sorted((r.dest, r.kind, r.block, bytes(r.a), bytes(r.b)) for r in sent().collect()) for _ in range(2))
+    assert one == two and len({r[2] for r in one}) > 3
+
+
 def test_null_and_repeated_ids(spark):
     docs = spark.createDataFrame([(None, "a b"), (None, "a b"), (5, "a b"), (5, "b a c")], "doc_id bigint, text string")
     got = lm.lm_scores(docs).collect()
