@@ -273,7 +273,7 @@ def entered(rows: DataFrame, buckets: int, finer: int = 1) -> tuple[DataFrame, D
     blobs = read.where("kind = 1").select("bucket", "a", "b", "c")
     hot = stored(read.where("kind = 1").groupBy("bucket").agg(F.ceil(F.sum("n") / HOT).cast("int").alias("chunks")).where("chunks > 1"), "hot")
     is_hot = bool(hot.head(1))
-    run = (blobs.join(hot, "bucket", "left_anti") if is_hot else blobs).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(runs, RUNS)
+    run = (blobs.join(hot, "bucket", "left_anti") if is_hot else blobs).repartitionById(buckets, F.col("bucket")).groupBy("bucket").applyInArrow(runs, RUNS)
     run = stored(run.unionByName(hot_runs(blobs, hot)) if is_hot else run, "runs")
     nodes = stored(listed.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("first_doc"), F.min("tid").alias("tid"), *[F.first(c).alias(c) for c in ("n", "room0", "room1", *_SKETCH)]), "nodes")
     listed = stored(listed.select("doc_id", "n", "sid"), "documents")
