@@ -78,6 +78,13 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_click_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight batches of all clicks, each a start of the streaming query on one checkpoint of this call."""
+    from .panes import click_panes
+
+    return click_panes(table(spark, sf_dir, "clicks"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -89,6 +96,12 @@ def _words(pattern: str) -> str:
     return f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{pattern}')"
 
 
+def _crc32(text: str) -> str:
+    """The checksum in SQL, bit by bit."""
+    bits = "list_reduce(list_prepend(xor(c, x), range(8)), lambda a, i: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end)"
+    return f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split({text}, ''), lambda s: ascii(s)::bigint)), lambda c, x: {bits}), 4294967295)"
+
+
 ORACLES = {
     "op9_decontamination": rf"""
         with i as (select item_id::varchar as item_id, {_words(r'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')} as w from benchmark),
@@ -110,6 +123,36 @@ ORACLES = {
         r(a, b) as (select doc_id, doc_id from d union select r.a, l.b from r join l on r.b = l.a)
         select doc_id, len(s)::bigint as n_shingles, component_id from s join (select a as doc_id, min(b) as component_id from r group by 1) using (doc_id)
     """,
+    # a pane is published in the first batch in which it is due and has rows
+    "op13_click_panes": f"""
+        with once as (
+            select click_id, kind, value, ts, coalesce(arrived_at, ts) as arrived_at from clicks where ts is not null
+            qualify row_number() over (partition by click_id order by ts, arrived_at, kind nulls first, value nulls first) = 1),
+        days as (select *, datediff('day', date '1970-01-01', arrived_at::date) as day from once),
+        placed as (
+            select *, ((day % 8) + 8) % 8 as q, {_crc32("coalesce(click_id::varchar, '')")} % 30 as c from days),
+        rows as (
+            select click_id, coalesce(kind, 'none') as kind, least(7, q + greatest(0, c - 23)) as batch,
+              epoch_us(ts) - (day - q) * 86400000000::bigint as event,
+              case when value is not null and isfinite(value) then floor(100 * value + 0.5) else 0 end::bigint as cents from placed),
+        hours as (select *, floor(event / 3600000000.0)::bigint as hour from rows),
+        w as (select b, (select max(event) from rows where batch < b) as w from range(8) t(b)),
+        marked as (select h.*, coalesce(w >= (hour + 1) * 3600000000 + 345600000000, false) as late from hours h join w on b = batch),
+        panes as (
+            select kind, hour, greatest(min(batch), coalesce((select min(b) from w where w >= (hour + 1) * 3600000000 + 21600000000), 8)) as shown
+            from marked where not late group by 1, 2),
+        steps as (select kind, hour, batch, count(*) as n, sum(cents)::bigint as c from marked where not late group by 1, 2, 3),
+        totals as (
+            select kind, hour, batch, shown, sum(n) over u as n_rows, sum(c) over u as cents, sum(n) over u - n as old_n, sum(c) over u - c as old_c,
+              row_number() over (partition by kind, hour, batch <= shown order by batch desc) = 1 as last
+            from steps join panes using (kind, hour) window u as (partition by kind, hour order by batch)),
+        told as (
+            select case when shown = 8 then 7 else shown end as batch, hour, -1 as click_id, n_rows, cents, case when shown = 8 then 'final' else 'emit' end as record, kind from totals where batch <= shown and last
+            union all select batch, hour, -1, old_n, old_c, 'retract', kind from totals where batch > shown
+            union all select batch, hour, -1, n_rows, cents, 'replace', kind from totals where batch > shown
+            union all select batch, hour, click_id, 1, cents, 'late', kind from marked where late)
+        select batch::bigint as batch, hour, click_id::bigint as click_id, n_rows::bigint as n_rows, cents::bigint as cents, record, kind from told
+    """,
     "op3_exact_topk": """
         with v as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
