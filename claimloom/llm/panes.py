@@ -164,7 +164,7 @@ def revisions(batches: DataFrame, n: int, grace_ms: int = 6 * HOUR_MS, close_ms:
     batches.unionByName(ticks).write.partitionBy("batch").parquet(rows)
     newest = spark.read.schema(BATCH).parquet(rows).where("hour is not null").groupBy("batch").agg(F.max("event_us").alias("event_us"))
     newest = dict(newest.collect())  # n rows
-    settings = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    settings = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
     before = {k: spark.conf.get(k, None) for k in settings}
     _files(spark, feed)[1].mkdirs(_files(spark, feed)[0])
     try:
