@@ -41,6 +41,16 @@ TICK_MS, SENTINEL_MS = 0, 3_000_000_000_000_000
 BATCH = "batch int, kind string, hour bigint, click_id bigint, cents bigint, event_us bigint"
 OUT = "batch bigint, record string, kind string, hour bigint, click_id bigint, n_rows bigint, cents bigint"
 COLUMNS = [c.split()[0] for c in OUT.split(", ")]
+_STORE = "spark.sql.streaming.stateStore"
+#: The state is kept by RocksDB as a log of changes; an executor closes its part after each batch, since the next start may run
+#: elsewhere, and no file is allocated ahead of what it holds.
+STATE = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}.rocksdb.allowFAllocate": "false",
+    f"{_STORE}.unloadOnCommit": "true",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 
 def micros(at: str) -> Column:
@@ -164,7 +174,7 @@ def revisions(batches: DataFrame, n: int, grace_ms: int = 6 * HOUR_MS, close_ms:
     batches.unionByName(ticks).write.partitionBy("batch").parquet(rows)
     newest = spark.read.schema(BATCH).parquet(rows).where("hour is not null").groupBy("batch").agg(F.max("event_us").alias("event_us"))
     newest = dict(newest.collect())  # n rows
-    settings = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    settings = dict(STATE)
     before = {k: spark.conf.get(k, None) for k in settings}
     _files(spark, feed)[1].mkdirs(_files(spark, feed)[0])
     try:
