@@ -17,6 +17,22 @@ def small(df: DataFrame, most: int = SMALL) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+def join_hot(rows: DataFrame, keyed: DataFrame, keys: list[str], size: str = "size", large: int = 20_000, most: int = 1_000_000) -> DataFrame:
+    """Inner join of ``rows`` with the one row of their (non-null) keys in ``keyed``, whose column ``size`` is the number of rows of the key.
+
+    Keys of more than ``large`` rows, of which there are fewer than rows / ``large``, are counted and broadcast, so their rows
+    stay where they are; the others meet by a shuffle. ``size`` itself isn't returned.
+    """
+    hot = keyed.where(F.col(size) > large)
+    if not 0 < (n := hot.count()) <= most:
+        return rows.join(keyed.drop(size), keys)
+    more = [c for c in keyed.columns if c not in (*keys, size)]
+    met = rows.join(F.broadcast(hot.select(*keys, F.struct(F.lit(True).alias("_"), *more).alias("_hot"))), keys, "left")
+    columns = [F.col(c) for c in rows.columns]
+    quick = met.where("_hot is not null").select(*columns, *[F.col("_hot")[c].alias(c) for c in more])
+    return quick.unionByName(met.where("_hot is null").select(*columns).join(keyed.where(F.col(size) <= large).drop(size), keys).select(*rows.columns, *more))
+
+
 def fill_dimension(counts: DataFrame, key: str, members: list[str], columns: list[str]) -> DataFrame:
     """One row for each member of a fixed dimension, zero where nothing was counted."""
     dimension = counts.sparkSession.createDataFrame([(m,) for m in members], f"{key} string")
@@ -174,21 +190,44 @@ def nearest_before(rows: DataFrame, keys: list[str], order: str, wanted: Column,
     return found.withColumn("anchor", F.when(F.col("_b").isNull() | (F.col("_a") > F.col("_b")), F.col("_a"))).drop("_a", "_b")
 
 
-def snowball(seeds: DataFrame, edges: DataFrame, rounds: int, most_each: int | None = None, score: str | None = None) -> DataFrame:
-    """Nodes reached in ``rounds`` along edges (u, v), with the round of their discovery.
+def snowball_rounds(seeds: DataFrame, edges: DataFrame, rounds: int, most_each: int | None = None, scores: DataFrame | None = None, accepted: DataFrame | None = None, both: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Expansion in rounds along edges (u refers to v): nodes ``(node, round)`` and a log row for each round.
 
-    With ``most_each`` and ``score`` (a column of ``edges``), a round is expanded only from its best nodes.
+    A round goes out from the ``most_each`` best (by ``scores``: node, score; then the least node) of the whole set so far, or from
+    all of it, to what they refer to and, with ``both``, to what refers to them. All that is new and, where given, ``accepted``
+    joins the set; the limit is on what is expanded, never on what is found. A node that was expanded has nothing new to give and
+    isn't expanded again. The set is a stored table after each round, so plans don't grow with the rounds.
     """
-    seen = seeds.select("node", F.lit(0).alias("round"))
-    front = seeds.select("node")
+    seen = stored(seeds.select("node", F.lit(0).alias("round"), F.lit(False).alias("done")).distinct(), "snowball")
+    log = None
     for n in range(1, rounds + 1):
-        step = edges.join(front.withColumnRenamed("node", "u"), "u")
-        found = step.groupBy(F.col("v").alias("node")).agg(F.max(score or "v").alias("_s")).join(seen.select("node"), "node", "left_anti")
+        best = seen
         if most_each:
-            found = found.orderBy(F.desc("_s"), "node").limit(most_each)
-        front = found.select("node")
-        seen = seen.unionByName(front.withColumn("round", F.lit(n)))
-    return seen
+            ranked = seen.join(scores, "node", "left") if scores is not None else seen.withColumn("score", F.lit(0))
+            best = ranked.orderBy(F.col("score").desc_nulls_last(), "node").limit(most_each)  # the limit is the feature
+        front = stored(best.where("not done").select("node"), "front")
+        near = small(front)
+        step = edges.join(near.withColumnRenamed("node", "u"), "u").select(F.col("v").alias("node"), F.lit("backward").alias("way"))
+        if both:
+            step = step.unionByName(edges.join(near.withColumnRenamed("node", "v"), "v").select(F.col("u").alias("node"), F.lit("forward").alias("way")))
+        fresh = step.groupBy("node").agg(F.min("way").alias("way")).join(seen.select("node"), "node", "left_anti")
+        kept = F.lit(True)
+        if accepted is not None:
+            fresh = fresh.join(accepted.select("node", F.lit(True).alias("kept")).distinct(), "node", "left")
+            kept = F.coalesce("kept", F.lit(False))
+        fresh = stored(fresh.select("node", "way", kept.alias("kept")), "found")
+        done = seen.join(near.withColumn("_now", F.lit(True)), "node", "left").select("node", "round", (F.col("done") | F.col("_now").isNotNull()).alias("done"))
+        seen = stored(done.unionByName(fresh.where("kept").select("node", F.lit(n).alias("round"), F.lit(False).alias("done"))), "snowball")
+        counted = fresh.agg(F.count_if("way = 'backward'").alias("backward_added"), F.count_if("way = 'forward'").alias("forward_added"), F.count_if("kept").alias("after_screen"))
+        row = counted.crossJoin(best.agg(F.count("*").alias("seed_papers"))).crossJoin(seen.agg(F.count("*").alias("cumulative_unique"))).select(F.lit(n).alias("round"), "seed_papers", "backward_added", "forward_added", "after_screen", "cumulative_unique")
+        log = row if log is None else log.unionByName(row)
+    empty = seeds.sparkSession.createDataFrame([], "round int, seed_papers bigint, backward_added bigint, forward_added bigint, after_screen bigint, cumulative_unique bigint")
+    return seen.select("node", "round"), empty if log is None else log
+
+
+def snowball(seeds: DataFrame, edges: DataFrame, rounds: int, **more) -> DataFrame:
+    """The nodes of :func:`snowball_rounds`."""
+    return snowball_rounds(seeds, edges, rounds, **more)[0]
 
 
 def topic_hits(hays: DataFrame, ident: str, queries: DataFrame, items: list[str]) -> DataFrame:
