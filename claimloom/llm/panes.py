@@ -3,8 +3,8 @@
 Method: ``transformWithStateInPandas`` keyed by (kind, hour). A ValueState holds a pane's current and published totals; one
 event-time timer, at the end of the grace time, publishes it, another closes and forgets it. Rows of published panes retract
 the old totals and publish new ones. Rows of closed panes don't reach the state: they go straight from the source to the
-output, row by row and in parallel. A sentinel row in the last batch lifts the watermark beyond every timer, so that panes
-which were never due are published as final.
+output, row by row and in parallel. The last batch has a sentinel row for each pane that isn't due in it (a distinct over panes,
+beside the rows), which publishes the pane as final.
 
 The rows are written once, by batch, below ``spark.checkpoint.dir``; a batch's folder is moved to the stream's input before
 the query is started for it, on one checkpoint. Within each input split rows are summed by pane before they are shuffled
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
@@ -36,19 +37,19 @@ from .common import scratch_path
 HOUR_MS = 3_600_000
 #: What the stream's clock is ahead of the events' (over 30,000 years: every timestamp of Spark stays above 0).
 SHIFT_MS = 1_000_000_000_000_000
-#: Event times, in shifted milliseconds, of the rows that only keep batches from being empty, and of the one that ends the stream.
-TICK_MS, SENTINEL_MS = 0, 3_000_000_000_000_000
+#: Event time, in shifted milliseconds, of rows that aren't clicks: those that only keep batches from being empty, and sentinels.
+TICK_MS = 0
 BATCH = "batch int, kind string, hour bigint, click_id bigint, cents bigint, event_us bigint"
 OUT = "batch bigint, record string, kind string, hour bigint, click_id bigint, n_rows bigint, cents bigint"
 COLUMNS = [c.split()[0] for c in OUT.split(", ")]
 _STORE = "spark.sql.streaming.stateStore"
-#: The state is kept by RocksDB as a log of changes; an executor closes its part after each batch, since the next start may run
-#: elsewhere, and no file is allocated ahead of what it holds.
+#: The state is kept by RocksDB as a log of changes; no file is allocated ahead of what it holds, and parts that another start
+#: has taken over are soon closed.
 STATE = {
     f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
     f"{_STORE}.rocksdb.allowFAllocate": "false",
-    f"{_STORE}.unloadOnCommit": "true",
+    f"{_STORE}.maintenanceInterval": "15s",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
 }
 
@@ -80,18 +81,20 @@ def clicks_by_batch(clicks: DataFrame, n: int) -> DataFrame:
 
 
 def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each pane of an input split; ticks and the sentinel, which have no pane, end here."""
+    """One row for each pane of an input split; ticks, which have no pane, end here. A row without cents is a sentinel."""
     sums: dict[tuple[str, int], list[int]] = {}
     for batch in batches:
-        found = pa.Table.from_batches([batch]).drop_null().group_by(["kind", "hour"]).aggregate([("cents", "count"), ("cents", "sum")])
-        for kind, hour, n, cents in zip(*(found[c].to_pylist() for c in ("kind", "hour", "cents_count", "cents_sum"))):
-            held = sums.setdefault((kind, hour), [0, 0])
-            held[0] += n
-            held[1] += cents
+        rows = pa.Table.from_batches([batch]).filter(pc.is_valid(batch["hour"]))
+        rows = rows.append_column("last", pc.cast(pc.is_null(rows["cents"]), pa.int64()))
+        found = rows.group_by(["kind", "hour"]).aggregate([("cents", "count"), ("cents", "sum"), ("last", "sum")])
+        for kind, hour, *more in zip(*(found[c].to_pylist() for c in ("kind", "hour", "cents_count", "cents_sum", "last_sum"))):
+            held = sums.setdefault((kind, hour), [0, 0, 0])
+            for k, x in enumerate(more):
+                held[k] += x or 0
     if sums:
         kinds, hours = zip(*sums)
-        n, cents = zip(*sums.values())
-        yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.string()), "hour": pa.array(hours, pa.int64()), "n_rows": pa.array(n, pa.int64()), "cents": pa.array(cents, pa.int64())})
+        whole = [pa.array(x, pa.int64()) for x in zip(*sums.values())]
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(hours, pa.int64()), *whole], ["kind", "hour", "n_rows", "cents", "last"])
 
 
 class Pane(StatefulProcessor):
@@ -111,22 +114,24 @@ class Pane(StatefulProcessor):
         return pd.DataFrame([(self.batch, record, key[0], key[1], -1, n, cents) for record, n, cents in records], columns=COLUMNS)
 
     def handleInputRows(self, key, rows, timerValues):
-        n = cents = 0
+        n = cents = last = 0
         for part in rows:
-            n += int(part["n_rows"].sum())
-            cents += int(part["cents"].sum())
+            n, cents, last = (x + int(part[c].sum()) for x, c in ((n, "n_rows"), (cents, "cents"), (last, "last")))
         held = self.totals.get()
-        if held is None:
-            # a timer fires once the watermark is beyond it, a pane is due once the watermark is at it
-            self.handle.registerTimer(self._end(key) + self.grace_ms - 1)
-            self.handle.registerTimer(self._end(key) + self.close_ms - 1)
+        if last:  # not due, so never shown
+            yield self._rows(key, ("final", n + (held[0] if held else 0), cents + (held[1] if held else 0)))
+            self.totals.clear()
+        elif held is None:
+            # a timer fires once the watermark is at it
+            self.handle.registerTimer(self._end(key) + self.grace_ms)
+            self.handle.registerTimer(self._end(key) + self.close_ms)
             self.totals.update((n, cents, False, 0, 0))
-            return
-        old_n, old_cents, shown, shown_n, shown_cents = held
-        n, cents = old_n + n, old_cents + cents
-        self.totals.update((n, cents, shown, n if shown else 0, cents if shown else 0))
-        if shown:
-            yield self._rows(key, ("retract", shown_n, shown_cents), ("replace", n, cents))
+        else:
+            old_n, old_cents, shown, shown_n, shown_cents = held
+            n, cents = old_n + n, old_cents + cents
+            self.totals.update((n, cents, shown, n if shown else 0, cents if shown else 0))
+            if shown:
+                yield self._rows(key, ("retract", shown_n, shown_cents), ("replace", n, cents))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         held = self.totals.get()
@@ -134,10 +139,9 @@ class Pane(StatefulProcessor):
             return
         n, cents, shown, _, _ = held
         if not shown:
-            last = timerValues.getCurrentWatermarkInMs() >= SENTINEL_MS
-            yield self._rows(key, ("final" if last else "emit", n, cents))
+            yield self._rows(key, ("emit", n, cents))
             self.totals.update((n, cents, True, n, cents))
-        if expiredTimerInfo.getExpiryTimeInMs() >= self._end(key) + self.close_ms - 1:
+        if expiredTimerInfo.getExpiryTimeInMs() >= self._end(key) + self.close_ms:
             self.totals.clear()
 
     def close(self) -> None:
@@ -155,7 +159,7 @@ def _start(spark: SparkSession, feed: str, out: str, state: str, batch: int, bou
     closed = F.lit(False) if bound_us is None else F.coalesce((F.col("hour") + 1) * (1000 * HOUR_MS) + close_ms * 1000 <= F.lit(bound_us), F.lit(False))
     late = source.where(closed).select(F.col("batch").cast("bigint").alias("batch"), F.lit("late").alias("record"), "kind", "hour", "click_id", F.lit(1).cast("bigint").alias("n_rows"), "cents")
     timed = source.withColumn("event", F.timestamp_micros(F.col("event_us") + SHIFT_MS * 1000)).withWatermark("event", "0 seconds")
-    summed = timed.where(~closed).select("kind", "hour", "cents").mapInArrow(partial, "kind string, hour bigint, n_rows bigint, cents bigint")
+    summed = timed.where(~closed).select("kind", "hour", "cents").mapInArrow(partial, "kind string, hour bigint, n_rows bigint, cents bigint, last bigint")
     panes = summed.groupBy("kind", "hour").transformWithStateInPandas(Pane(batch, grace_ms, close_ms), outputStructType=OUT, outputMode="Append", timeMode="EventTime")
     query = panes.unionByName(late).writeStream.format("parquet").option("path", out).option("checkpointLocation", state).outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
@@ -168,28 +172,23 @@ def revisions(batches: DataFrame, n: int, grace_ms: int = 6 * HOUR_MS, close_ms:
     """
     spark = batches.sparkSession
     rows, feed, out, state = (scratch_path(spark, f"panes-{x}") for x in ("rows", "feed", "out", "state"))
-    nothing = F.lit(None)
-    ticks = spark.range(n).select(F.col("id").cast("int").alias("batch"), nothing.cast("string").alias("kind"), nothing.cast("bigint").alias("hour"), nothing.cast("bigint").alias("click_id"), nothing.cast("bigint").alias("cents"), F.when(F.col("id") == n - 1, F.lit(SENTINEL_MS)).otherwise(F.lit(TICK_MS)).alias("event_us"))
-    ticks = ticks.withColumn("event_us", (F.col("event_us") - SHIFT_MS) * 1000)
-    batches.unionByName(ticks).write.partitionBy("batch").parquet(rows)
-    newest = spark.read.schema(BATCH).parquet(rows).where("hour is not null").groupBy("batch").agg(F.max("event_us").alias("event_us"))
-    newest = dict(newest.collect())  # n rows
-    settings = dict(STATE)
-    before = {k: spark.conf.get(k, None) for k in settings}
+    beside = lambda df: df.select(*[(F.col(c) if c in df.columns else F.lit((TICK_MS - SHIFT_MS) * 1000) if c == "event_us" else F.lit(None)).cast(kind).alias(c) for c, kind in (x.split() for x in BATCH.split(", "))])
+    batches.unionByName(beside(spark.range(n).withColumnRenamed("id", "batch"))).write.partitionBy("batch").parquet(rows)
+    clicks = spark.read.schema(BATCH).parquet(rows).where("hour is not null")
+    newest = dict(clicks.groupBy("batch").agg(F.max("event_us").alias("event_us")).collect())  # n rows
+    bounds = [max((newest[b] for b in range(k) if b in newest), default=None) for k in range(n)]
+    undue = F.lit(True) if bounds[-1] is None else (F.col("hour") + 1) * (1000 * HOUR_MS) + grace_ms * 1000 > F.lit(bounds[-1])
+    beside(clicks.where(undue).select(F.lit(n - 1).alias("batch"), "kind", "hour").distinct()).write.mode("append").partitionBy("batch").parquet(rows)
+    before = {k: spark.conf.get(k, None) for k in STATE}
     _files(spark, feed)[1].mkdirs(_files(spark, feed)[0])
     try:
-        bound = None
-        for batch in range(n):
+        for k, v in STATE.items():
+            spark.conf.set(k, v)
+        for batch, bound in enumerate(bounds):
             moved, system = _files(spark, f"{rows}/batch={batch}")
             if not system.rename(moved, _files(spark, f"{feed}/batch={batch}")[0]):
                 raise RuntimeError(f"{rows}/batch={batch} can't be moved to {feed}")
-            # only the last start goes on without new rows, on the sentinel's watermark
-            settings["spark.sql.streaming.noDataMicroBatches.enabled"] = str(batch == n - 1).lower()
-            for k, v in settings.items():
-                spark.conf.set(k, v)
             _start(spark, feed, out, state, batch, bound, grace_ms, close_ms)
-            if batch in newest:
-                bound = newest[batch] if bound is None else max(bound, newest[batch])
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
