@@ -48,6 +48,17 @@ def nfkd(x: Column | str) -> Column:
     return _beyond_ascii(_c(x), _nfkd)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _nfkc_each(s: pd.Series) -> pd.Series:
+    return s.map(lambda xs: None if xs is None else [None if x is None else unicodedata.normalize("NFKC", x) for x in xs])
+
+
+def nfkc_each(xs: Column) -> Column:
+    """:func:`nfkc` of each text of an array; arrays of ASCII texts stay in the JVM."""
+    plain = F.forall(xs, lambda x: F.coalesce(x.rlike(_ASCII), F.lit(True)))
+    return F.coalesce(_nfkc_each(F.when(~plain, xs)), xs)
+
+
 def collapse(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, _SPACE, " "))
 

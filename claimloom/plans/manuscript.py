@@ -1,7 +1,7 @@
 """Checks of manuscripts, citations and pipeline records: lines, sentences, keys, phases.
 
-Line tables are ``(file, line_no, line)``, sentence tables ``(file, sentence_no, sentence)``. Order-dependent rules are
-windows within a file.
+Texts are ``(file, text)``, line tables ``(file, line_no, line)``, sentence tables ``(file, sentence_no, sentence)``. Rules that
+depend on the lines before are folds over a text in its row; those over sentences and lines are windows within a file.
 """
 
 from __future__ import annotations
@@ -14,9 +14,12 @@ from claimloom.functions import text as tx
 from claimloom.functions import values as vl
 from claimloom.operators.relational import both_ways
 
-#: Verbs that state a mechanism, and tokens that authors leave for later.
-MECHANISM = ["inhibits?", "activates?", "regulates?", "induces?", "suppresses", "phosphorylates?", "binds?", "mediates?", "drives?", "causes?", "promotes?", "represses"]
-PLACEHOLDERS = r"(?i)\b(?:TODO|TBD|FIXME|XXX|placeholder|lorem ipsum)\b|\[(?:author|name|year|citation needed)\]|Your Name"
+#: Verbs of a mechanism, and tokens that stand where an author's name or a prompt's text should.
+MECHANISM = ["targets", "inhibits", "drives", "gates", "modulates", "mediates", "provides", "controls", "generates", "stabilizes"]
+AUTHOR_PLACEHOLDERS = ["Human Supervisor", "Anonymous", "TBD", "[NAME]"]
+PROMPT_PLACEHOLDERS = ["[PIPELINE FILLS THIS]", "[PIPELINE INSERTS", "[PIPELINE OVERWRITES"]
+#: Template tokens in angle brackets, and numbered authors.
+TEMPLATE_TOKEN, NUMBERED_AUTHOR = r"<[^<>\n]+>", r"(?i)\bAuthor\s+(?:N|\d+)\b"
 
 
 def _file(order: str) -> Window:
@@ -32,41 +35,135 @@ def sentences(texts: DataFrame) -> DataFrame:
     return texts.select("file", F.posexplode(parts).alias("i", "sentence")).select("file", (F.col("i") + 1).alias("sentence_no"), "sentence")
 
 
-def fence_mask(rows: DataFrame) -> DataFrame:
-    """Lines with ``in_fence`` (code between back-tick fences) and ``depth`` of directives open before the line's end."""
-    fence = F.col("line").rlike(r"^\s*```")
-    opening, closing = F.col("line").rlike(r"^\s*:::+\{"), F.col("line").rlike(r"^\s*:::+\s*$")
-    w = _file("line_no")
-    marked = rows.withColumn("_f", F.sum(fence.cast("int")).over(w))
-    inside = (F.col("_f") % 2 == 1) | fence
-    step = F.when(inside, 0).otherwise(opening.cast("int") - closing.cast("int"))
-    return marked.withColumn("in_fence", inside).withColumn("depth", F.sum(step).over(w)).withColumn("in_directive", (F.col("depth") > 0) | (closing & ~F.col("in_fence"))).drop("_f")
-
-
-def prose_terms(rows: DataFrame, terms: list[str]) -> DataFrame:
-    """``(file, line_no, term)`` of whole words in prose: not in code, directive options or inline code."""
-    masked = fence_mask(rows).where(~F.col("in_fence") & ~F.col("line").rlike(r"^\s*:[a-z-]+:"))
-    clean = F.regexp_replace("line", "`[^`]*`", "")
-    hits = F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.regexp_like(clean, F.concat(F.lit(r"(?i)\b"), t, F.lit(r"\b"))))
-    return masked.select("file", "line_no", F.explode(hits).alias("term"))
-
-
-def heading_problems(rows: DataFrame) -> DataFrame:
-    """Headings that no text follows at once, and files whose first heading style isn't kept."""
-    w = _file("line_no")
-    heading = F.col("line").rlike(r"^#{1,6}\s")
-    told = rows.withColumn("next", F.lead("line").over(w)).where(heading)
-    style = F.when(F.col("line").rlike(r"^#{1,6}\s+\d+[.)]"), "numbered").otherwise("plain")
-    styled = told.withColumn("style", style).withColumn("first_style", F.first(style).over(_file("line_no")))
-    blank = styled.where(F.coalesce(F.trim("next"), F.lit("")) == "").select("file", "line_no", F.lit("no text follows").alias("problem"))
-    mixed = styled.where(F.col("style") != F.col("first_style")).select("file", "line_no", F.lit("style changes").alias("problem"))
-    return blank.unionByName(mixed)
+#: Where a text's lines end.
+_LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+#: What begins a fence, a directive, and what ends one.
+FENCE, OPENING, CLOSING = r"^(`{3,}|~{3,})", r"^:::\{[a-z]+\}", r"^:::\s*$"
+
+
+def _line_array(text: Column) -> Column:
+    """A text's lines; what ends with a line end has no empty line after it."""
+    parts = F.split(text, _LINE_END, -1)
+    return F.when(F.get(parts, F.size(parts) - 1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+
+
+def _stretched(bounds: Column, lines: Column) -> Column:
+    """Each line with its state, from the few lines that change it: (at, own state, state after) in order of ``at``."""
+    first = F.transform(F.slice(bounds, 1, 1), lambda b: b["at"])
+
+    def stretch(b: Column, k: Column) -> Column:
+        upto = F.coalesce(F.get(bounds, k + 1)["at"], F.size(lines))
+        after = F.transform(F.slice(lines, b["at"] + 2, upto - b["at"] - 1), lambda x, j: F.struct((b["at"] + 2 + j).alias("line_no"), x.alias("line"), b["after"].alias("state")))
+        return F.concat(F.array(F.struct((b["at"] + 1).alias("line_no"), F.get(lines, b["at"]).alias("line"), b["own"].alias("state"))), after)
+
+    plain = F.transform(F.slice(lines, 1, F.coalesce(F.get(first, F.lit(0)), F.size(lines))), lambda x, j: F.struct((j + 1).alias("line_no"), x.alias("line"), F.get(bounds, F.lit(-1))["own"].alias("state")))
+    return F.concat(plain, F.flatten(F.transform(bounds, stretch)))
+
+
+def masked_lines(texts: DataFrame, named: str = "dropdown") -> DataFrame:
+    """``(file, line_no, line, in_fence, depth, masked, in_named)`` of every line, and the next line with its mask.
+
+    A fence ends at the next line that begins with its own mark (so ``~~~`` doesn't end back-ticks, nor three of them four), or
+    with the text; what looks like a directive within it is none. Outside of fences directives nest. ``masked`` are fences and
+    directives with the lines that bound them; ``in_named`` lines lie in a directive ``named``, at any depth.
+
+    It is a fold over the few lines of a text that may change the state, in its row: no line is shuffled.
+    """
+    state = "struct<fence:string,depth:int,named:int>"
+    empty = F.lit(None).cast(f"struct<at:int,own:struct<in_fence:boolean,depth:int,masked:boolean,in_named:boolean>,after:struct<in_fence:boolean,depth:int,masked:boolean,in_named:boolean>>")
+
+    def told(fence: Column, depth: Column, masked: Column, hidden: Column) -> Column:
+        return F.struct(fence.alias("in_fence"), depth.cast("int").alias("depth"), masked.alias("masked"), hidden.alias("in_named"))
+
+    def step(acc: Column, m: Column) -> Column:
+        fence, depth, hidden = acc["s"]["fence"], acc["s"]["depth"], acc["s"]["named"]
+        inside = fence != ""
+        opens, ends = ~inside & (m["fence"] != ""), inside & F.startswith(m["line"], fence)
+        deeper = ~inside & ~opens & m["opening"]
+        shallower = ~inside & ~opens & ~deeper & m["closing"] & (depth > 0)
+        new_fence = F.when(opens, m["fence"]).when(ends, "").otherwise(fence)
+        new_depth = depth + deeper.cast("int") - shallower.cast("int")
+        new_named = F.when(deeper & m["named"] & (hidden == 0), new_depth).when(shallower & (new_depth < hidden), 0).otherwise(hidden)
+        own = told(inside | opens, F.greatest(depth, new_depth), inside | opens | (depth > 0) | deeper, (hidden > 0) | (new_named > 0))
+        after = told(new_fence != "", new_depth, (new_fence != "") | (new_depth > 0), new_named > 0)
+        now = F.struct(new_fence.alias("fence"), new_depth.alias("depth"), new_named.cast("int").alias("named")).cast(state)
+        return F.struct(now.alias("s"), F.concat(acc["out"], F.array(F.struct(m["at"].alias("at"), own.alias("own"), after.alias("after")))).alias("out"))
+
+    marks = F.filter(
+        F.transform("lines", lambda x, i: F.struct(i.alias("at"), x.alias("line"), F.regexp_extract(x, FENCE, 1).alias("fence"), x.rlike(OPENING).alias("opening"), x.rlike(CLOSING).alias("closing"), x.rlike(rf"^:::\{{(?:{named})\}}").alias("named"))),
+        lambda m: (m["fence"] != "") | m["opening"] | m["closing"],
+    )
+    begin = F.struct(F.struct(F.lit("").alias("fence"), F.lit(0).alias("depth"), F.lit(0).alias("named")).cast(state).alias("s"), F.array_compact(F.array(empty)).alias("out"))
+    rows = texts.select("file", _line_array(F.col("text")).alias("lines")).withColumn("marks", marks)
+    rows = rows.withColumn("bounds", F.aggregate("marks", begin, step, lambda acc: acc["out"]))
+    rows = rows.select("file", _stretched(F.col("bounds"), F.col("lines")).alias("x"))
+    rows = rows.select("file", F.explode(F.transform("x", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), x["state"].alias("state"), F.get("x", i + 1).alias("next")))).alias("r"))
+    no = lambda c: F.coalesce(c, F.lit(False))
+    s = F.col("r.state")
+    return rows.select(
+        "file", "r.line_no", "r.line", no(s["in_fence"]).alias("in_fence"), F.coalesce(s["depth"], F.lit(0)).alias("depth"), no(s["masked"]).alias("masked"), no(s["in_named"]).alias("in_named"),
+        F.col("r.next.line").alias("next"), no(F.col("r.next.state.masked")).alias("next_masked"),
+    )
+
+
+def prose_terms(texts: DataFrame, terms: list[str], any_case: bool = True) -> DataFrame:
+    """``(file, line_no, term)`` for every time a term stands in prose as a whole word, terms taken literally.
+
+    Left out are lines between back-tick fences (of any length, indented or not), lines that begin with ``:::``, option lines
+    that begin and end with a colon, and lines indented by four spaces; inline code is prose.
+    """
+    fence = lambda x: F.startswith(F.trim(x), F.lit("```"))
+    is_in = lambda k: (k % 2 == 0).alias("code")
+    marks = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("at"), fence(x).alias("fence"))), lambda m: m["fence"])
+    bounds = F.transform(marks, lambda m, k: F.struct(m["at"].alias("at"), F.struct(F.lit(True).alias("code")).alias("own"), F.struct(is_in(k)).alias("after")))
+    rows = texts.select("file", _line_array(F.col("text")).alias("lines")).withColumn("bounds", bounds)
+    rows = rows.select("file", F.explode(_stretched(F.col("bounds"), F.col("lines"))).alias("x")).select("file", "x.line_no", "x.line", F.coalesce("x.state.code", F.lit(False)).alias("code"))
+    bare = tx.collapse(F.col("line"))
+    rows = rows.where(~F.col("code") & ~F.startswith("line", F.lit(":::")) & ~(F.startswith(bare, F.lit(":")) & F.endswith(bare, F.lit(":"))) & ~F.startswith("line", F.lit("    ")))
+    flag = "(?iu)" if any_case else ""
+    word = lambda t: rf"{flag}(?U)\b" + "".join(f"\\{c}" if not c.isalnum() and c != "_" and c.isascii() else c for c in t) + r"\b"
+    hits = F.flatten(F.array(*[F.array_repeat(F.lit(t), F.regexp_count("line", F.lit(word(t)))) for t in terms]))
+    return rows.select("file", "line_no", F.explode(hits).alias("term"))
+
+
+#: Beginnings of a line that may follow a heading at once.
+AFTER_HEADING = ["#", ":", "-", "|", "`", "*", ">", "1.", "2."]
+#: Files whose headings have a style of their own.
+UNSTYLED = ["00_frontmatter.md", "Methods.md"]
+
+
+def heading_problems(texts: DataFrame) -> DataFrame:
+    """``(file, line_no, problem)``: six faults of headings outside of code and directives.
+
+    A heading with text on the next line, a number at its beginning, several spaces after that, a long dash; a file whose first
+    H1 and first H2 differ in being numbered, and files of which not all H1s are alike (``line_no`` is null for these two).
+    """
+    head = masked_lines(texts).where("not masked").withColumn("level", F.length(F.regexp_extract("line", r"^(#{1,6})\s+", 1))).where("level > 0")
+    head = head.withColumn("body", F.regexp_replace(F.regexp_extract("line", r"^#{1,6}\s+(.*)$", 1), r"\s+$", ""))
+    after = F.regexp_replace("next", r"^\s+", "")
+    wrapped = (F.coalesce(after, F.lit("")) != "") & ~F.col("next_masked")
+    for x in AFTER_HEADING:
+        wrapped = wrapped & ~F.startswith(after, F.lit(x))
+    numbered = F.col("body").rlike(r"^\d+(\.\d+)*\.?\s+")
+    found = F.array_compact(F.array(
+        F.when(wrapped, "WRAPPED_HEADING"), F.when(numbered, "MANUAL_NUMBER_PREFIX"), F.when(F.col("body").rlike(r"^\d+(\.\d+)*\.?\s{2,}"), "MULTI_SPACE_AFTER_NUMBER"), F.when(F.col("body").rlike("[\u2013\u2014]"), "INCONSISTENT_DASH"),
+    ))
+    lines = head.select("file", "line_no", F.explode(found).alias("problem"))
+    first = lambda level: F.min_by(F.when(F.col("level") == level, numbered), F.when(F.col("level") == level, F.col("line_no")))
+    files = head.groupBy("file").agg(first(1).alias("h1"), first(2).alias("h2"))
+    none = F.lit(None).cast("int").alias("line_no")
+    mixed = files.where("h1 <> h2").select("file", none, F.lit("MIXED_H1_H2_STYLE").alias("problem"))
+    styled = files.where("h1 is not null")
+    for x in UNSTYLED:
+        styled = styled.where(~F.endswith("file", F.lit(x)))
+    several = styled.agg((F.count_distinct("h1") > 1).alias("several"))  # one row
+    return lines.unionByName(mixed).unionByName(styled.crossJoin(F.broadcast(several)).where("several").select("file", none, F.lit("INCONSISTENT_ACROSS_SECTIONS").alias("problem")))
 
 
 def uncited_mechanisms(rows: DataFrame) -> DataFrame:
-    """Sentences that state a mechanism with no citation in them or beside them."""
+    """Sentences that state a mechanism with no citation (``{cite:p}`` or ``{cite:t}``) in them or beside them."""
     w = _file("sentence_no")
-    cited = F.col("sentence").contains("{cite")
+    cited = F.col("sentence").rlike(r"\{cite:[pt]\}")
     near = cited | F.coalesce(F.lag(cited).over(w), F.lit(False)) | F.coalesce(F.lead(cited).over(w), F.lit(False))
     marked = rows.withColumn("near", near).withColumn("stated", F.size(tx.markers("sentence", MECHANISM)) > 0)
     return marked.where("stated and not near").select("file", "sentence_no", "sentence")
@@ -127,13 +224,19 @@ def key_problems(cited: DataFrame, bibliography: DataFrame) -> DataFrame:
     return both_ways(cited.select("cite_key").distinct(), bibliography.select("cite_key").distinct(), ["cite_key"], "cited, not in bibliography", "never cited")
 
 
+#: Fixed value: a key is the first author's surname, a year, and a letter or word that tells keys apart; ASCII only.
+KEY_FORM = r"^[A-Za-z][A-Za-z'-]*[0-9]{4}[A-Za-z]*$"
+
+
 def key_map_checks(keys: DataFrame, metadata: DataFrame) -> DataFrame:
-    """For each (cite_key, doi): form, uniqueness, author in the key, year within one."""
+    """For each (cite_key, doi): form, uniqueness, the surname as the first author has it (ASCII letters compared), year within one."""
     w = Window.partitionBy("cite_key")
     rows = keys.withColumn("n", F.count("*").over(w)).join(metadata.select("doi", "first_author", "year"), "doi", "left")
-    year = F.regexp_extract("cite_key", r"(\d{4})[a-z]?$", 1).try_cast("int")
-    author = tx.ascii_fold(F.lower(F.regexp_replace("first_author", "[^\\p{L}]", "")))
-    return rows.select("cite_key", "doi", F.col("cite_key").rlike("^[a-z][a-z0-9-]*[0-9]{4}[a-z]?$").alias("form_ok"), (F.col("n") == 1).alias("unique"), F.coalesce(F.contains(F.lower("cite_key"), author), F.lit(False)).alias("author_ok"), F.coalesce(F.abs(year - F.col("year")) <= 1, F.lit(False)).alias("year_ok"))
+    letters = lambda x: F.regexp_replace(F.lower(x), "[^a-z]", "")
+    year = F.regexp_extract("cite_key", r"([0-9]{4})[A-Za-z]*$", 1).try_cast("int")
+    own = letters(F.regexp_extract("cite_key", r"^([^0-9]*)", 1))
+    author = letters(tx.ascii_fold("first_author"))
+    return rows.select("cite_key", "doi", F.col("cite_key").rlike(KEY_FORM).alias("form_ok"), (F.col("n") == 1).alias("unique"), F.coalesce((own != "") & (own == author), F.lit(False)).alias("author_ok"), F.coalesce(F.abs(year - F.col("year")) <= 1, F.lit(False)).alias("year_ok"))
 
 
 def assigned_keys(findings: DataFrame, key_map: DataFrame) -> DataFrame:
@@ -157,14 +260,26 @@ def conflict_survival(conflicts: DataFrame, key_map: DataFrame, text: DataFrame)
     return conflicts.select("conflict_id").join(both, "conflict_id", "left").select("conflict_id", F.coalesce("survives", F.lit(False)).alias("survives"))
 
 
+def survival_gate(survival: DataFrame, least: float = 0.5) -> DataFrame:
+    """``(n, n_surviving, rate, passed)`` of all conflicts; without conflicts there is no rate, and the gate is open."""
+    n = survival.agg(F.count("*").alias("n"), F.count_if("survives").alias("n_surviving"))
+    rate = F.when(F.col("n") > 0, F.round(F.col("n_surviving") / F.col("n"), 4))
+    return n.withColumn("rate", rate).withColumn("passed", F.coalesce(F.col("n_surviving") >= F.col("n") * least, F.lit(True)))
+
+
 def contaminated_authors(prompt_words: DataFrame, metadata: DataFrame, surnames: DataFrame) -> DataFrame:
     """Surnames that stand in a prompt though no cited work has them."""
     held = prompt_words.select(F.lower("word").alias("surname")).distinct().join(surnames.select(F.lower("surname").alias("surname")), "surname", "left_semi")
     return held.join(metadata.select(F.lower("surname").alias("surname")), "surname", "left_anti")
 
 
-def placeholders(texts: DataFrame) -> DataFrame:
-    return texts.select("file", F.regexp_extract_all("text", F.lit(f"({PLACEHOLDERS})"), F.lit(1)).alias("found")).where(F.size("found") > 0)
+def placeholders(texts: DataFrame, prompts: bool = False) -> DataFrame:
+    """``(file, found)`` of placeholder tokens, whatever their case: those of author files, or with ``prompts`` those of prompt files; template tokens in either."""
+    plain = PROMPT_PLACEHOLDERS if prompts else AUTHOR_PLACEHOLDERS
+    held = F.filter(F.array(*[F.lit(x) for x in plain]), lambda x: F.contains(F.lower("text"), F.lower(x)))
+    more = F.regexp_extract_all("text", F.lit(TEMPLATE_TOKEN), F.lit(0))
+    found = F.concat(held, more) if prompts else F.concat(held, more, F.regexp_extract_all("text", F.lit(NUMBERED_AUTHOR), F.lit(0)))
+    return texts.select("file", found.alias("found")).where(F.size("found") > 0)
 
 
 def honest_fulltext(records: DataFrame) -> DataFrame:
@@ -262,13 +377,42 @@ def apply_order(fixes: DataFrame) -> DataFrame:
     return fixes.orderBy("file", F.desc("offset"))
 
 
-def caption_problems(texts: DataFrame) -> DataFrame:
+def figure_references(texts: DataFrame) -> DataFrame:
     """Figures that no text refers to, and references without a figure."""
     labels = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?m)^:(?:name|label):\s*(fig-[A-Za-z0-9-]+)"), F.lit(1))).alias("target"))
     used = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"\{(?:num)?ref\}`(?:[^`<]*<)?(fig-[A-Za-z0-9-]+)"), F.lit(1))).alias("target"))
     return both_ways(used.distinct(), labels.distinct(), ["target"], "no such figure", "never referred to")
 
 
+#: A figure with its options and the first line of its caption, one option, and a reference by number.
+FIGURE = r"(?md):::\{figure\}[^\n]*\n((?::[^\n]+\n)+)([^\n]+)\n:::"
+FIGURE_OPTION = r"(?d):([a-z]+):\s*(.*)"
+HARD_REFERENCES = [r"\u00a7\d+", r"Section \d+\.\d+", r"[Ss]ec\.\s*\d+"]
+
+
+def caption_problems(texts: DataFrame) -> DataFrame:
+    """``(file, problem, detail)``: captions numbered by hand, without a bold lead, figures with one name given twice or none at all."""
+    part = lambda n: F.regexp_extract_all("text", F.lit(FIGURE), F.lit(n))
+    rows = texts.select("file", F.explode(F.arrays_zip(part(1).alias("options"), part(2).alias("caption"))).alias("f")).select("file", F.col("f.options").alias("options"), F.col("f.caption").alias("caption"))
+    names, values = (F.regexp_extract_all("options", F.lit(FIGURE_OPTION), F.lit(n)) for n in (1, 2))
+    rows = rows.withColumn("told", F.arrays_zip(names.alias("k"), values.alias("v")))
+    value = lambda key: F.try_element_at(F.filter("told", lambda x: x["k"] == key), F.lit(-1))["v"]
+    rows = rows.withColumn("name", value("name")).withColumn("label", value("label"))
+    short = F.substring("caption", 1, 80)
+    one = lambda c, problem, detail: F.when(c, F.struct(F.lit(problem).alias("problem"), detail.alias("detail")))
+    found = F.array_compact(F.array(
+        one(F.col("caption").rlike(r"^\*\*Figure\s+\d+(\.\d+)?\*\*"), "MANUAL_NUMBERING", short), one(~F.col("caption").rlike(r"^\s*\*\*"), "NO_BOLD_TITLE", short),
+        one(F.col("name") == F.col("label"), "REDUNDANT_NAME_LABEL", F.col("label")), one(F.col("name").isNull() & F.col("label").isNull(), "NO_ANCHOR", short),
+    ))
+    return rows.select("file", F.explode(found).alias("p")).select("file", "p.*")
+
+
+def hard_references(texts: DataFrame) -> DataFrame:
+    """``(file, line_no, found)`` of references to sections by number, outside of code and dropdowns."""
+    rows = masked_lines(texts).where("not in_fence and not in_named")
+    return rows.select("file", "line_no", F.explode(F.flatten(F.array(*[F.regexp_extract_all("line", F.lit(x), F.lit(0)) for x in HARD_REFERENCES]))).alias("found"))
+
+
 def untagged_claims(claims: DataFrame, directives: DataFrame, kinds: list[str]) -> DataFrame:
     """Claims of the given types without a directive, to be tagged."""
     return claims.where(F.col("claim_type").isin(kinds)).join(directives.select("claim_id"), "claim_id", "left_anti").select("claim_id", "source_file", "paragraph_index")

@@ -78,41 +78,61 @@ def _pages(spark, sf):
     return t(spark, sf, "customer").select(_s(k).alias("file"), text.alias("text"))
 
 
-@query("""with p as (select c_custkey::varchar as file, c_custkey as k, c_name as n from customer)
+@query("""with p as (select c_custkey::varchar as file, c_custkey as k, c_name as n, (c_custkey % 2 = 0)::int as even, (c_custkey % 3 = 0)::int as third from customer),
+para as (select file, unnest(['First para ' || n || '.', 'Second para with bold and . It binds iron. Nothing more.', '`` TODO in code kinase ``', 'A kinase kinase word, see {numref}fig-a.', ':::{figure} a.png :name: fig-a :::', ':::{toctree} :::', 'Last words, old phrase by Smith.']) as text, unnest([1, 2, 3, 4, 5, 5 + even, 5 + even + third]) as i, unnest([1, 1, 1, 1, even, third, 1]) as shown from p)
 select file, 'heading' as kind, 'title-' || k as a, 'Title ' || k as b, 1 as i from p union all select file, 'heading', 'sub-part', 'Sub: part', 2 from p union all select file, 'directive', 'clm_x', 'Last ' || k, 0 from p
-union all select file, 'paragraph', md5('First para ' || n || '.'), '', 1 from p union all select file, 'paragraph', md5('Second para with bold and . It binds iron. Nothing more.'), '', 2 from p
+union all select file, 'paragraph', md5(text), '', i from para where shown = 1
 union all select file, 'figure', (k % 2 = 0)::varchar, '', 0 from p""")
 def q78_pages(spark, sf):
-    """Headings, directive options, the first paragraphs and figures of every page."""
+    """Headings, directive options, all paragraphs and figures of every page."""
     pages = _pages(spark, sf)
     none = F.lit("")
     heads = documents.headings(pages).select("file", F.lit("heading").alias("kind"), F.col("heading_id").alias("a"), F.col("title").alias("b"), F.col("level").alias("i"))
     told = documents.directives(pages).select("file", F.lit("directive").alias("kind"), F.col("options")["claim-id"].alias("a"), F.col("options")["claim"].alias("b"), F.col("ord").alias("i"))
-    prose = documents.paragraphs(pages).where("paragraph_index <= 2").select("file", F.lit("paragraph").alias("kind"), F.md5("text").alias("a"), none.alias("b"), F.col("paragraph_index").alias("i"))
+    prose = documents.paragraphs(pages).select("file", F.lit("paragraph").alias("kind"), F.md5("text").alias("a"), none.alias("b"), F.col("paragraph_index").alias("i"))
     drawn = documents.has_figures(pages).select("file", F.lit("figure").alias("kind"), F.col("has_figures").cast("string").alias("a"), none.alias("b"), F.lit(0).alias("i"))
     return heads.unionByName(told).unionByName(prose).unionByName(drawn)
 
 
-@query("""with p as (select c_custkey as k from customer), n as (select count(*) as n, count(*) filter (k % 2 = 0) as even, count(*) filter (k % 3 = 0) as third from p)
-select 'term kinase' as name, n as n from n union all select 'term binds', n from n union all select 'heading without text', n from n union all select 'uncited mechanism', 0 from n union all select 'citation context', 2 * n from n union all select 'low density', n from n
-union all select 'placeholder', n from n union all select 'not allowed toctree', third from n union all select 'stale phrase', n from n union all select 'surname', n from n union all select 'fenced lines', 3 * n from n union all select 'in directive', 5 * n + 3 * even + 2 * third from n
-union all select 'leaks', 2 * n + even + third from n union all select 'replaced', n from n union all select 'entries below floor', n from n""")
+def _manuscripts(spark, sf):
+    """The pages with one kind of fault at each remainder of the customer's key, and at the end a fence that back-ticks don't end."""
+    k = F.col("file").cast("bigint")
+    on = lambda m, text: F.when(k % m == 0, text).otherwise("")
+    text = F.replace("text", F.lit("# Title "), F.concat(F.lit("# "), on(7, "1. "), F.lit("Title ")))
+    more = [
+        on(4, "The drug inhibits growth. Quiet words here.\n\n"), on(6, "Calm words. It gates iron. Next {cite:p}`z`.\n\n"), on(5, "## 1.  Methods \u2013 part\nOrphan words.\n\n"), F.lit("    kinase indented\n\n:::{note}\nkinase inside\n:::\n\n:::{dropdown} x\nSec. 4\n:::\n\n"),
+        on(10, ":::{figure} b.png\n:name: fig-b\n:label: fig-b\n**Figure 1.2** text\n:::\n\n"), on(11, ":::{figure} c.png\n:width: 5\nplain\n:::\n\n"), on(13, "See Section 2.1 and \u00a73.\n\n"), on(8, "name: human supervisor\n\n"), on(9, "by Author 3\n\n"), F.when(k % 3 == 1, "~~~\n```\n# fenced kinase\n~~~\n").otherwise(""),
+    ]
+    return _pages(spark, sf).select("file", F.concat(text, F.lit("\n"), *more).alias("text"))
+
+
+_MANUSCRIPT_COUNTS = {
+    "term kinase": "3 * n", "term binds": "n", "term absent": "0", "WRAPPED_HEADING": "k5", "MANUAL_NUMBER_PREFIX": "k5 + k7", "MULTI_SPACE_AFTER_NUMBER": "k5", "INCONSISTENT_DASH": "k5", "MIXED_H1_H2_STYLE": "k7", "INCONSISTENT_ACROSS_SECTIONS": "case when k7 between 1 and n - 1 then n else 0 end",
+    "uncited mechanism": "k4", "citation context": "2 * n + k6", "low density": "n - k6", "placeholder": "k8or9", "not allowed toctree": "k3", "stale phrase": "n", "surname": "n", "fenced lines": "3 * n + 4 * k3plus1", "in directive": "6 * n + 3 * k2 + 2 * k3 + 5 * k10 + 4 * k11", "in dropdown": "3 * n",
+    "leaks": "4 * n + k2 + k3 + k6 + k10 + k11", "replaced": "n", "entries below floor": "n", "MANUAL_NUMBERING": "k10", "REDUNDANT_NAME_LABEL": "k10", "NO_BOLD_TITLE": "k11", "NO_ANCHOR": "k11", "hard reference": "2 * k13",
+}
+
+
+@query(f"""with n as (select count(*) as n, {', '.join(f"count(*) filter (c_custkey % {m} = 0) as k{m}" for m in (2, 3, 4, 5, 6, 7, 10, 11, 13))}, count(*) filter (c_custkey % 8 = 0 or c_custkey % 9 = 0) as k8or9, count(*) filter (c_custkey % 3 = 1) as k3plus1 from customer)
+{' union all '.join(f"select '{name}' as name, ({n})::bigint as n from n" for name, n in _MANUSCRIPT_COUNTS.items())}""")
 def q79_manuscript_checks(spark, sf):
-    """What the manuscript checks find in all pages, counted."""
-    pages = _pages(spark, sf)
+    """What the manuscript checks find in all pages, counted; every kind of fault is on some of them."""
+    pages = _manuscripts(spark, sf)
     lines, sentences = manuscript.lines(pages), manuscript.sentences(pages)
-    mask = manuscript.fence_mask(lines)
-    terms = manuscript.prose_terms(lines, ["kinase", "binds", "absent"])
+    mask = manuscript.masked_lines(pages)
     swapped = pages.select(manuscript.replace_block(F.col("text"), "## Sub: part", "New.\n").alias("text")).where(F.contains("text", F.lit("## Sub: part\nNew.")) & ~F.contains("text", F.lit("Second para")))
+    one = lambda name, rows: rows.select(F.lit(name).alias("name"))
     found = [
-        ("term kinase", terms.where("term = 'kinase'")), ("term binds", terms.where("term = 'binds'")), ("heading without text", manuscript.heading_problems(lines)), ("uncited mechanism", manuscript.uncited_mechanisms(sentences)), ("citation context", manuscript.citation_contexts(lines)),
-        ("low density", manuscript.citation_density(pages).where("band = 'low'")), ("placeholder", manuscript.placeholders(pages)), ("not allowed toctree", manuscript.directive_whitelist(pages, [*manuscript.ALLOWED_DIRECTIVES]).where("name = 'toctree'")), ("stale phrase", manuscript.stale_phrases(pages, ["OLD phrase", "gone"])),
-        ("surname", manuscript.surname_hits(pages, "smith")), ("fenced lines", mask.where("in_fence")), ("in directive", mask.where("in_directive")), ("replaced", swapped), ("entries below floor", manuscript.bibliography_floor(pages, 1, 10).where("not passed")),
+        manuscript.prose_terms(pages, ["kinase", "binds", "absent"]).select(F.concat(F.lit("term "), "term").alias("name")), manuscript.heading_problems(pages).select(F.col("problem").alias("name")), manuscript.caption_problems(pages).select(F.col("problem").alias("name")), one("hard reference", manuscript.hard_references(pages)),
+        one("uncited mechanism", manuscript.uncited_mechanisms(sentences)), one("citation context", manuscript.citation_contexts(lines)), one("low density", manuscript.citation_density(pages).where("band = 'low'")), one("placeholder", manuscript.placeholders(pages)),
+        one("not allowed toctree", manuscript.directive_whitelist(pages, [*manuscript.ALLOWED_DIRECTIVES]).where("name = 'toctree'")), one("stale phrase", manuscript.stale_phrases(pages, ["OLD phrase", "gone"])), one("surname", manuscript.surname_hits(pages, "smith")),
+        mask.select(F.explode(F.array_compact(F.array(F.when(F.col("in_fence"), "fenced lines"), F.when(F.col("masked") & ~F.col("in_fence"), "in directive"), F.when(F.col("in_named"), "in dropdown")))).alias("name")),
+        manuscript.page_problems(pages).select(F.explode(F.array_repeat(F.lit("leaks"), F.col("n_leaks").cast("int"))).alias("name")), one("replaced", swapped), one("entries below floor", manuscript.bibliography_floor(pages, 1, 10).where("not passed")),
     ]
-    out = manuscript.page_problems(pages).agg(F.lit("leaks").alias("name"), F.sum("n_leaks").cast("bigint").alias("n"))
-    for name, rows in found:
-        out = out.unionByName(rows.agg(F.lit(name).alias("name"), F.count("*").alias("n")))
-    return out
+    out = found[0]
+    for rows in found[1:]:
+        out = out.unionByName(rows)
+    return rel.zero_filled_counts(out, "name", list(_MANUSCRIPT_COUNTS))
 
 
 @query("""select 'k' || s_suppkey as cite_key, case when s_suppkey % 3 <> 0 then '10.1/x' || s_suppkey end as doi, 'Öz, A.;' || 'Lee ' || s_suppkey as authors from supplier""")
@@ -219,16 +239,22 @@ def q86_cluster_gates(spark, sf):
     return verdict.join(mixed, "grain").join(met, "grain").join(share, "grain").join(floor, "grain")
 
 
-@query("""with c as (select c_custkey as k from customer) select 'k' || k as cite_key, case when k % 11 = 0 then 'HALLUCINATED' when k % 7 = 0 then 'CHIMERIC' when k % 5 = 0 then 'MISATTRIBUTED' when k % 3 = 0 then 'MINOR' else 'VERIFIED' end as verdict, k % 4 <> 0 as form_ok, k % 2 = 0 as year_ok from c""")
+@query("""with c as (select c_custkey as k from customer) select 'k' || k as cite_key, case when k % 11 = 0 then 'HALLUCINATED' when k % 7 = 0 or k % 5 = 0 then 'CHIMERIC' when k % 3 = 0 or k % 13 = 0 then 'MINOR' when k % 17 = 0 then 'CHIMERIC' when k % 19 = 0 then 'MINOR' when k % 23 = 0 then 'MISATTRIBUTED' else 'VERIFIED' end as verdict,
+k % 4 <> 0 as form_ok, k % 4 <> 0 as author_ok, k % 4 <> 3 as year_ok from c""")
 def q87_citation_ladder(spark, sf):
-    """The citation ladder's first failure, and the form and year of keys."""
+    """The citation ladder's first failure, and the form, author and year of keys."""
     k = F.col("c_custkey")
-    rows = t(spark, sf, "customer").select(_s("k", k).alias("cite_key"), _s("10.1/", k).alias("doi"), F.when(k % 7 == 0, "Another story about rocks").otherwise("The cell cycle of plants").alias("title"), F.when(k % 5 == 0, "Lee").otherwise("Muller, {J}.").alias("first_author"), F.when(k % 3 == 0, 1990).otherwise(2000).alias("year"), k)
-    known = rows.where("c_custkey % 11 <> 0").select("doi", F.lit("The cell cycle of PLANTS").alias("title"), F.lit("Muller J").alias("first_author"), F.lit(2001).alias("year"))
-    keys = rows.select(F.concat(F.when(k % 4 == 0, "Bad_").otherwise("muller"), F.lit("-"), F.when(k % 2 == 0, "2002").otherwise("1999")).alias("cite_key"), "doi", F.col("cite_key").alias("own"))
+    on = lambda m: k % m == 0
+    rows = t(spark, sf, "customer").select(
+        _s("k", k).alias("cite_key"), _s("10.1/", k).alias("doi"), F.when(on(7), "The cell story about rocks").otherwise("The cell cycle of plants").alias("title"), F.when(on(5), F.array(F.lit("Lee, K."))).when(on(3), F.array(F.lit("Muller, {J}."), F.lit("Bhatt, D."))).otherwise(F.array(F.lit("Muller, {J}."))).alias("authors"),
+        F.when(on(13), 2000).otherwise(2001).alias("year"), F.when(on(17), "Rocks").otherwise("Cells & Plants").alias("journal"), F.when(on(19), "7").otherwise("8").alias("volume"), _s("It grew by ", F.when(on(23), "12.5").otherwise("40"), " %").alias("claim"), k,
+    )
+    known = rows.where("c_custkey % 11 <> 0").select("doi", F.lit("The cell cycle of PLANTS").alias("title"), F.array(F.lit("Müller J")).alias("authors"), F.lit(2001).alias("year"), F.lit("cells plants").alias("journal"), F.lit("8").alias("volume"), F.lit("Growth of 40 % was seen.").alias("abstract"))
+    form = F.when(k % 4 == 0, "Bad_").when(k % 4 == 1, "Muller2001").when(k % 4 == 2, "Muller2002cells").otherwise("Muller1999b")
+    keys = rows.select(form.alias("cite_key"), "doi", F.col("cite_key").alias("own"), k).withColumn("cite_key", F.when(F.col("cite_key") == "Bad_", "Bad_2001").otherwise(F.col("cite_key")))
     years = keys.select("doi", F.lit("Müller").alias("first_author"), F.lit(2001).alias("year"))
-    formed = manuscript.key_map_checks(keys, years).join(keys.select("doi", "own"), "doi").select(F.col("own").alias("cite_key"), "form_ok", "year_ok")
-    return evidence.citation_verdict(rows, known).select("cite_key", "verdict").join(formed, "cite_key")
+    formed = manuscript.key_map_checks(keys, years).join(keys.select("doi", "own"), "doi").select(F.col("own").alias("cite_key"), "form_ok", "author_ok", "year_ok")
+    return evidence.citation_verdict(rows.drop("c_custkey"), known).select("cite_key", "verdict").join(formed, "cite_key")
 
 
 # --- contributors ----------------------------------------------------------------------------------------

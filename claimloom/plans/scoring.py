@@ -178,20 +178,44 @@ def scope() -> Column:
     )
 
 
-def unresolved_keys(rows: DataFrame, bibliography: DataFrame) -> DataFrame:
-    """``(claim_id, unresolved)``: a cited key without a context or entry, or whose DOIs don't agree. Of contexts with one key the last counts."""
-    cited = rows.select("claim_id", F.explode(_array(F.col("citation_keys"), "string")).alias("cite_key")).distinct()
-    last = rows.select("claim_id", F.posexplode("contexts").alias("ord", "x")).groupBy("claim_id", F.col("x.c.cite_key").alias("cite_key")).agg(F.max_by(F.struct("x.c.doi", "x.c.bibliography_status"), "ord").alias("context"))
-    entries = bibliography.select("cite_key", F.col("doi").alias("bib_doi"))
-    joined = cited.join(last, ["claim_id", "cite_key"], "left").join(entries, "cite_key", "left")
-    sound = (F.lower("context.doi") == F.col("bib_doi")) & (F.col("bib_doi") != "") & ~_is(F.col("context.bibliography_status").isin("missing", "mismatch", "invented"))
-    return joined.groupBy("claim_id").agg(F.bool_or(~_is(sound)).alias("unresolved"))
+def canonical_entries(bibliography: DataFrame) -> DataFrame:
+    """``(cite_key, entry)``: each entry's DOI and the canonical forms of its authors, empty ones left out."""
+    named = bibliography.select("cite_key", F.explode("authors").alias("a")).select("cite_key", tx.canonical_author("a").alias("author")).where("author <> ''")
+    authors = named.groupBy("cite_key").agg(F.collect_set("author").alias("authors"))
+    joined = bibliography.select("cite_key", "doi").join(authors, "cite_key", "left")
+    return joined.select("cite_key", F.struct("doi", _array(F.col("authors"), "string").alias("authors")).alias("entry"))
+
+
+def with_entries(claims: DataFrame, bibliography: DataFrame, authors: bool = False) -> DataFrame:
+    """Claims with ``entries``: for each key that they cite or have a context of, the bibliography's DOI and, on request, authors.
+
+    This is the only join that scoring needs: keys are taken apart, met with the bibliography and put together again by claim.
+    Claims of one id share a map, which then has the keys of all of them. Of entries with one key the greatest counts.
+    """
+    told = canonical_entries(bibliography) if authors else bibliography.select("cite_key", F.struct("doi").alias("entry"))
+    told = told.groupBy("cite_key").agg(F.max("entry").alias("entry"))
+    keys = F.array_distinct(F.concat(_array(F.col("citation_keys"), "string"), F.transform(_array(F.col("citation_contexts"), CONTEXT), lambda c: c["cite_key"])))
+    cited = claims.select("claim_id", F.explode(keys).alias("cite_key")).where("cite_key is not null").distinct()
+    maps = cited.join(told, "cite_key").groupBy("claim_id").agg(F.map_from_entries(F.collect_list(F.struct("cite_key", "entry"))).alias("entries"))
+    return claims.join(maps, "claim_id", "left")
+
+
+def unresolved() -> Column:
+    """A cited key without a context or entry, or whose DOIs don't agree, or no cited key at all. Of contexts with one key the last counts."""
+
+    def sound(key: Column) -> Column:
+        context = F.try_element_at(F.filter("contexts", lambda x: x["c"]["cite_key"] == key), F.lit(-1))["c"]
+        doi = F.col("entries")[key]["doi"]
+        return _is((F.lower(context["doi"]) == doi) & (doi != "") & ~_is(context["bibliography_status"].isin("missing", "mismatch", "invented")))
+
+    keys = _array(F.col("citation_keys"), "string")
+    return (F.size(keys) == 0) | F.exists(keys, lambda k: ~sound(k))
 
 
 def traceability() -> Column:
     return _rules(
         [
-            (F.coalesce("unresolved", F.lit(True)), 0, "T0_UNRESOLVED"),  # no cited key at all is unresolved too
+            (F.col("unresolved"), 0, "T0_UNRESOLVED"),
             (F.size("eligible") == 0, 1, "T1_METADATA_ONLY"),
             (F.exists("relied", lambda x: ~x["verified"]), 2, "T2_PARTIAL_RECORD"),
             (~F.col("all_covered"), 3, "T3_ATOMS_INCOMPLETE"),
@@ -215,17 +239,19 @@ def cap_reasons(rubric: Rubric) -> Column:
 
 
 def scored(claims: DataFrame, bibliography: DataFrame, as_of: str, rubric: Rubric | None = None) -> DataFrame:
-    """Claims with relation, wording, the five components (score and rule), raw and capped score, reasons and label."""
+    """Claims with relation, wording, the five components (score and rule), raw and capped score, reasons and label.
+
+    Claims that have their ``entries`` (see :func:`with_entries`) are joined with nothing.
+    """
     rubric = rubric or Rubric()
-    rows = with_features(claims, as_of)
-    rows = rows.join(unresolved_keys(rows, bibliography), "claim_id", "left")
+    rows = with_features(claims if "entries" in claims.columns else with_entries(claims, bibliography), as_of).withColumn("unresolved", unresolved())
     rows = rows.withColumn("relation", evidence_relation()).withColumn("wording", wording_basis(F.col("claim_text"), F.col("claim_type")))
     for name, rule in zip(COMPONENTS, (traceability(), robustness(), uncertainty(), source_integrity(), scope())):
         rows = rows.withColumn(name, rule)
     raw = sum((F.col(f"{c}.score") for c in COMPONENTS), F.lit(0)) * rubric.weight
     rows = rows.withColumn("raw_score", raw).withColumn("reasons", cap_reasons(rubric))
     rows = rows.withColumn("overall_score", F.when(F.size("reasons") > 0, F.least("raw_score", F.lit(rubric.cap))).otherwise(F.col("raw_score")))
-    return rows.withColumn("trust_label", vl.band_label(F.col("overall_score"), rubric.bands)).withColumn("capped", F.size("reasons") > 0)
+    return rows.withColumn("trust_label", vl.band_label(F.col("overall_score"), rubric.bands)).withColumn("capped", F.size("reasons") > 0).withColumn("as_of", F.lit(as_of).cast("timestamp"))
 
 
 def components_long(scores: DataFrame) -> DataFrame:
@@ -241,6 +267,26 @@ def atom_support(scores: DataFrame) -> DataFrame:
     return scores.select("claim_id", F.explode(keys).alias("a")).select("claim_id", "a.*")
 
 
+def score_basis() -> Column:
+    """What a scored row's score rests on, as reports state it; maps by atom are arrays of entries in the atoms' order."""
+    of = lambda a: F.filter("eligible", lambda x: F.array_contains(x["atoms"], a))
+    moment = F.col("as_of")
+    cited = F.transform(
+        "eligible",
+        lambda x: F.struct(
+            *[x["c"][f].alias(f) for f in ("cite_key", "doi", "role", "source_type", "supports_claim_atoms")],
+            F.transform(F.filter(x["c"]["passages"], lambda p: verified_passage(p, moment)), lambda p: p["locator"]).alias("verified_passage_locators"),
+            *[x["c"][f].alias(f) for f in ("independence_group", "scope_match")],
+        ),
+    )
+    keys = F.transform("atom_ids", lambda a: F.struct(a.alias("atom_id"), F.transform(of(a), lambda x: x["c"]["cite_key"]).alias("cite_keys")))
+    groups = F.transform("atom_ids", lambda a: F.struct(a.alias("atom_id"), F.array_distinct(F.filter(F.transform(of(a), lambda x: x["c"]["independence_group"]), lambda g: _is(g != ""))).alias("groups")))
+    return F.struct(
+        "claim_text", cited.alias("eligible_citations"), keys.alias("atom_support"), groups.alias("independence_groups_by_atom"), F.col("relation").alias("derived_evidence_relation"),
+        "wording_strength", F.col("wording").alias("wording_basis"), "modality", "scope_status",
+    )
+
+
 def summary(scores: DataFrame) -> DataFrame:
     """Counts for each label, and mean, least, greatest and capped scores."""
     by_label = [F.count_if(F.col("trust_label") == x).alias(x) for x in vl.LABELS]
@@ -252,8 +298,7 @@ def shared_author_pairs(claims: DataFrame, bibliography: DataFrame) -> DataFrame
 
     Authors are compared in their canonical form; an empty one is no author, and a context without a group is in none.
     """
-    named = bibliography.select("cite_key", F.explode("authors").alias("a")).select("cite_key", tx.canonical_author("a").alias("author")).where("author <> ''")
-    entries = named.groupBy("cite_key").agg(F.collect_set("author").alias("authors"))
+    entries = canonical_entries(bibliography).select("cite_key", F.col("entry.authors").alias("authors")).where(F.size("authors") > 0)
     rows = claims.select("claim_id", F.posexplode("citation_contexts").alias("ord", "c")).where(F.col("c.role").isin(SUPPORT_ROLES) & (F.col("c.independence_group") != ""))
     rows = rows.select("claim_id", "ord", F.col("c.cite_key").alias("cite_key"), F.col("c.independence_group").alias("grp")).join(entries, "cite_key")
     a, b = rows.alias("a"), rows.alias("b")

@@ -6,7 +6,7 @@ PASSAGE = "struct<text:string,passage_source:string,locator:string,verification_
 CONTEXT = f"struct<cite_key:string,doi:string,role:string,source_type:string,bibliography_status:string,integrity_status:string,integrity_checked_at:string,integrity_check_source:string,passages:array<{PASSAGE}>,direction_match:boolean,supports_claim_atoms:array<string>,independence_group:string,independence_basis:string,scope_match:string,notes:string>"
 COMPONENT = "struct<score:int,rule_id:string,rationale:string>"
 COMPONENTS = ["traceability", "robustness", "uncertainty_calibration", "source_integrity", "transferability_scope_control"]
-TRUST = f"struct<rubric_version:string,components:struct<{','.join(f'{c}:{COMPONENT}' for c in COMPONENTS)}>,raw_score:int,overall_score:int,trust_label:string,capped:boolean,cap_value:int,cap_reasons:array<string>,computed_from:string>"
+TRUST = f"struct<rubric_version:string,components:struct<{','.join(f'{c}:{COMPONENT}' for c in COMPONENTS)}>,raw_score:int,overall_score:int,trust_label:string,capped:boolean,cap_value:int,cap_reasons:array<string>,computed_from:string,cap_reason:string>"
 CLAIM = f"""claim_id string, section_id string, source_file string, paragraph_index int, sentence_index int, claim_text string, normalized_claim string,
 claim_atoms array<struct<atom_id:string,text:string>>, claim_type string, scope_status string, modality string, wording_strength string,
 citation_keys array<string>, dois array<string>, citation_contexts array<{CONTEXT}>, evidence_relation string,

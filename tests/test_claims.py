@@ -21,14 +21,14 @@ def passage(atoms, **kw):
 def context(key="k1", atoms=("a1", "a2"), group="g1", **kw):
     return {
         "cite_key": key, "doi": f"10.1000/{key.upper()}", "role": "direct_support", "source_type": "primary", "bibliography_status": "verified", "integrity_status": "verified_no_known_issue",
-        "passages": [passage(list(atoms))], "direction_match": True, "supports_claim_atoms": list(atoms), "independence_group": group, "independence_basis": "other laboratory", "scope_match": "exact",
+        "integrity_checked_at": "2025-01-01T00:00:00Z", "integrity_check_source": "https://example.org/i", "passages": [passage(list(atoms))], "direction_match": True, "supports_claim_atoms": list(atoms), "independence_group": group, "independence_basis": "other laboratory", "scope_match": "exact",
     } | kw
 
 
 def claim(contexts, text="Cells divide twice.", **kw):
     base = {
         "claim_id": "clm_" + hashlib.sha256(f"s1\n{text}".encode()).hexdigest()[:16], "section_id": "s1", "source_file": "01.md", "paragraph_index": 1, "sentence_index": 1, "claim_text": text,
-        "normalized_claim": text.lower().rstrip("."), "claim_atoms": [{"atom_id": "a1", "text": "x"}, {"atom_id": "a2", "text": "y"}], "claim_type": "empirical", "scope_status": "matched", "wording_strength": "unqualified",
+        "normalized_claim": text.lower().rstrip("."), "claim_atoms": [{"atom_id": "a1", "text": text[:3]}, {"atom_id": "a2", "text": text[-3:]}], "claim_type": "empirical", "scope_status": "matched", "wording_strength": "unqualified",
         "citation_keys": [c["cite_key"] for c in contexts], "dois": [c["doi"] for c in contexts if c["doi"]], "citation_contexts": contexts, "conflicts": [], "evidence_relation": "directly_supported",
     }
     return base | kw
@@ -95,39 +95,157 @@ def test_identity_and_normal_forms(spark):
     assert [r[0] for r in again] == [r[0] for r in got]
 
 
-def test_repository_checks_name_each_fault(spark):
+def stored_score(r):
+    parts = {c: {"score": r[c].score, "rule_id": r[c].rule_id, "rationale": "why"} for c in schemas.COMPONENTS}
+    score = {"components": parts, "raw_score": r.raw_score, "overall_score": r.overall_score, "trust_label": r.trust_label, "capped": r.capped, "cap_reasons": list(r.reasons)}
+    return score | {"rubric_version": "2.0.0", "cap_value": 60 if r.reasons else None, "cap_reason": r.reasons[0] if r.reasons else None, "computed_from": "validator"}
+
+
+TWO = [context("k1"), context("k2", group="g2")]
+
+
+def of_first(**kw):
+    return {"citation_contexts": [context("k1", **kw), TWO[1]]}
+
+
+def with_passage(**kw):
+    return of_first(passages=[passage(["a1", "a2"]), passage(["a1"], **kw)])
+
+
+def score_with(**kw):
+    return lambda c: {"trust_score": c["trust_score"] | kw}
+
+
+def component_with(name, **kw):
+    return lambda c: {"trust_score": c["trust_score"] | {"components": c["trust_score"]["components"] | {name: c["trust_score"]["components"][name] | kw}}}
+
+
+A1, A2 = {"atom_id": "a1", "text": "Cel"}, {"atom_id": "a2", "text": "div"}
+#: For each rule a claim that breaks it: what differs before the claim is scored (or a function of the scored claim), and all the rules that break.
+FAULTS = {
+    "claim id": (lambda c: {"claim_id": c["claim_id"][:-1] + "x"}, "claim id"),
+    "normalized claim": ({"normalized_claim": "cells"}, "normalized claim"),
+    "paragraph index": ({"paragraph_index": 0}, "paragraph index"),
+    "no atoms": ({"claim_atoms": [], "citation_contexts": [context("k1", atoms=[], passages=[], role="background"), context("k2", atoms=[], passages=[], role="background")]}, "claim has atoms"),
+    "atom twice": ({"claim_atoms": [A1, A2, A2]}, "atom ids unique"),
+    "atom form": ({"claim_atoms": [A1, A2, {"atom_id": "b3", "text": "Cells"}]}, "atom id form"),
+    "atom text": ({"claim_atoms": [A1, {"atom_id": "a2", "text": "zebra"}]}, "atom text"),
+    "key cited twice": ({"citation_keys": ["k1", "k2", "k2"]}, "citation keys unique, keys in context order"),
+    "key of two contexts": ({"citation_contexts": [*TWO, TWO[1]], "citation_keys": ["k1", "k2", "k2"], "dois": ["10.1000/K1", "10.1000/K2", "10.1000/K2"]}, "cite keys unique, citation keys unique, DOIs unique"),
+    "DOI in two cases": ({"citation_contexts": [TWO[0], context("k2", group="g2", doi="10.1000/k1")], "dois": ["10.1000/K1", "10.1000/k1"]}, "DOIs unique, context DOI"),
+    "key without context": ({"citation_keys": ["k1", "k2", "k3"]}, "keys have contexts, keys in context order"),
+    "order of keys": ({"citation_keys": ["k2", "k1"]}, "keys in context order"),
+    "order of DOIs": ({"dois": ["10.1000/K2", "10.1000/K1"]}, "DOIs in context order"),
+    "evidence relation": (lambda c: {"evidence_relation": "conflicted"}, "evidence relation"),
+    "wording strength": ({"wording_strength": "qualified"}, "wording strength"),
+    "no score": (lambda c: {"trust_score": None}, "score stored"),
+    **{f"{x} score": (component_with(x, score=9), f"{x} score") for x in schemas.COMPONENTS},
+    "rule id missing": (component_with("robustness", rule_id=None), "rule ids"),
+    "raw score": (score_with(raw_score=None), "raw score"),
+    "overall score": (score_with(overall_score=1), "overall score"),
+    "label": (score_with(trust_label="low_trust"), "trust label"),
+    "capped": (score_with(capped=True), "capped flag"),
+    "cap value": (score_with(cap_value=60), "cap value"),
+    "cap reasons": (score_with(cap_reasons=None), "cap reasons"),
+    "cap reason": (score_with(cap_reason="x"), "cap reason"),
+    "version": (score_with(rubric_version="1.9.0"), "score version"),
+    "computed from": (score_with(computed_from="writer"), "computed from"),
+    "review": ({"human_review_required": True}, "review resolved"),
+    "file": ({"source_file": "gone.md"}, "source file"),
+    "paragraph": ({"paragraph_index": 2}, "claim stands in its paragraph"),
+    "no entry": ({"citation_contexts": [TWO[0], context("k9", group="g2")], "citation_keys": ["k1", "k9"], "dois": ["10.1000/K1", "10.1000/K9"]}, "cited key without entry"),
+    "entry's DOI": ({"citation_contexts": [TWO[0], context("k2", group="g2", doi="10.1000/other")], "dois": ["10.1000/K1", "10.1000/other"]}, "context DOI"),
+    "unknown atom": (of_first(supports_claim_atoms=["a1", "a2", "a9"], passages=[passage(["a1", "a2", "a9"])]), "atoms exist, passage atoms exist"),
+    "atoms not from verified passages": (of_first(supports_claim_atoms=["a1"]), "atoms of verified passages"),
+    "status alone doesn't verify": (of_first(passages=[passage(["a1"]), passage(["a2"], locator="")]), "atoms of verified passages, passage locator"),
+    "integrity time": (of_first(integrity_checked_at="2999-01-01T00:00:00Z"), "integrity time"),
+    "integrity source": (of_first(integrity_check_source="http://example.org"), "integrity source"),
+    "independence basis": (of_first(independence_basis="\u00a0 "), "supporting context names its independence basis"),
+    "passage length": (with_passage(text="word\u2003" * 26), "passage length"),
+    "passage locator": (with_passage(locator=None), "passage locator"),
+    "passage without atoms": (with_passage(supports_claim_atoms=[]), "passage names atoms"),
+    "passage's unknown atom": (with_passage(supports_claim_atoms=["a7"], verification_status="unverified"), "passage atoms exist"),
+    "passage source": (with_passage(verification_source="http://x"), "verified passage source"),
+    "passage time": (with_passage(verified_at="2999-01-01T00:00:00Z"), "verified passage time"),
+    "shared author": ({"citation_contexts": [TWO[0], context("k3", group="g2")], "citation_keys": ["k1", "k3"], "dois": ["10.1000/K1", "10.1000/K3"]}, "shared author across groups"),
+}
+
+
+def test_each_rule_has_a_claim_that_breaks_it_alone(spark):
+    bib = spark.createDataFrame([("k1", "10.1000/k1", ["A"]), ("k2", "10.1000/k2", ["B"]), ("k3", "10.1000/k3", ["C", "a."])], schemas.BIBLIOGRAPHY)
+    made = {}
+    for n, (name, (differs, _)) in enumerate({"sound": ({}, ""), **FAULTS}.items()):
+        c = claim(TWO, text=f"Cells divide {n} times.")
+        made[name] = c | {"normalized_claim": f"cells divide {n} times", "source_file": f"{n}.md"} | ({} if callable(differs) else differs)
+    scores = {r.claim_id: r for r in scoring.scored(spark.createDataFrame(list(made.values()), schemas.CLAIM), bib, AS_OF).collect()}
+    for name, c in made.items():
+        r = scores[c["claim_id"]]
+        c |= {"trust_score": stored_score(r), "evidence_relation": r.relation}
+        differs = FAULTS.get(name, ({},))[0]
+        c |= differs(c) if callable(differs) else {}
+    prose = [(f"{n}.md", i, f"So: Cells divide {n} times. Yes." if i < 2 else "Other.") for n in range(len(made)) for i in (0, 1, 2)]
+    edges = [(c["claim_id"], "supports", x["cite_key"], "citation", 1.0, None) for c in made.values() for x in {x["cite_key"]: x for x in c["citation_contexts"]}.values()]
+    found = repository.validate(spark.createDataFrame(list(made.values()), schemas.CLAIM), spark.createDataFrame(edges, schemas.EDGE), bib, spark.createDataFrame(prose, "file string, paragraph_index int, text string"), AS_OF)
+    got = {name: set() for name in made}
+    ids = {c["claim_id"]: name for name, c in made.items()}
+    for r in found.collect():
+        got[ids[r.key]].add(r.check_name)
+    assert got == {"sound": set(), **{name: set(rules.split(", ")) for name, (_, rules) in FAULTS.items()}}
+    assert set().union(*got.values()) == set(repository.CLAIM_CHECKS)
+
+
+def test_repository_checks_of_edges_and_repeats(spark):
     bib = spark.createDataFrame([("k1", "10.1000/k1", ["A"]), ("k2", "10.1000/k2", ["B"])], schemas.BIBLIOGRAPHY)
     prose = spark.createDataFrame([("01.md", 1, "So: Cells divide twice. Yes.")], "file string, paragraph_index int, text string")
-    good = claim([context("k1"), context("k2", group="g2")])
+    good = claim(TWO)
+    good["trust_score"] = stored_score(one(spark, good))
     edges = [(good["claim_id"], "supports", k, "citation", 1.0, None) for k in ("k1", "k2")]
 
     def faults(c, e=edges, **more):
-        found = repository.validate(spark.createDataFrame([c], schemas.CLAIM), spark.createDataFrame(e, schemas.EDGE), bib, prose, AS_OF, **more).collect()
-        return {r.check_name for r in found}
+        frame = spark.createDataFrame(c if isinstance(c, list) else [c], schemas.CLAIM)
+        return {r.check_name for r in repository.validate(frame, spark.createDataFrame(e, schemas.EDGE), bib, prose, AS_OF, **more).collect()}
 
     assert faults(good) == set()
     assert faults(good | {"claim_text": "Cells split."}) >= {"claim id", "claim stands in its paragraph", "normalized claim"}
+    assert faults([good, good]) == {"duplicate claim"}
     assert faults(good, edges[:1]) == {"context without edge"}
-    assert faults(good, edges + [("clm_x", "supports", "k9", "citation", 2.0, None)]) == {"edge weight", "edge of unknown claim", "edge without context"}
-    assert "wording strength" in faults(good | {"wording_strength": "qualified"})
-    assert "evidence relation" in faults(good | {"evidence_relation": "conflicted"})
-    assert "keys have contexts" in faults(good | {"citation_keys": ["k1", "k2", "k3"]})
-    long = copy.deepcopy(good)
-    long["citation_contexts"][0]["passages"][0]["text"] = "word " * 26
-    assert faults(long) == {"passage length"}
+    assert faults(good, [edges[0], edges[1][:3] + ("entity", 1.0, None)]) == set()  # an edge of any kind will do
+    assert faults(good, edges + [("clm_x", "supports", "k9", "citation", 2.0, None)]) == {"edge weight", "edge of unknown claim"}
+    assert faults(good, edges + [(good["claim_id"], "supports", "k9", "citation", 1.0, None)]) == {"edge without context"}
+    assert faults(good, edges + [(good["claim_id"], "supports", "k9", "method", 1.0, None)]) == set()
     assert faults(good, [(good["claim_id"], "supports", "k1", "citation", 0.5, None), *edges[1:]]) == {"edge relation or weight"}
-    assert faults(claim([context("k1", independence_basis=" "), context("k2", group="g2")])) == {"supporting context names its independence basis"}
+    assert faults([], []) == set()
 
 
-def stored_score(r):
-    parts = {c: {"score": r[c].score, "rule_id": r[c].rule_id, "rationale": "why"} for c in schemas.COMPONENTS}
-    return {"components": parts, "raw_score": r.raw_score, "overall_score": r.overall_score, "trust_label": r.trust_label, "capped": r.capped, "cap_reasons": list(r.reasons)}
+def test_gate_artifacts_and_bases(spark):
+    bib = spark.createDataFrame([("k1", "10.1000/k1", ["A"]), ("k2", "10.1000/k2", ["B"])], schemas.BIBLIOGRAPHY)
+    prose = spark.createDataFrame([("01.md", 1, "Cells divide twice.")], "file string, paragraph_index int, text string")
+    good = claim(TWO)
+    good["trust_score"] = stored_score(one(spark, good))
+    frame = spark.createDataFrame([good], schemas.CLAIM)
+    edges = spark.createDataFrame([(good["claim_id"], "supports", k, "citation", 1.0, None) for k in ("k1", "k2")], schemas.EDGE)
+    gates = lambda **kw: spark.createDataFrame([{"status": "pass", "failures": [], "checks": {"a": True}, "counts": {"claims": 1, "citation_contexts": 2, "verified_passages": 2, "failures": 0}} | kw], "status string, failures array<string>, checks map<string,boolean>, counts struct<claims:bigint,citation_contexts:bigint,verified_passages:bigint,failures:bigint>")
+    faults = lambda **kw: {(r.check_name, r.key) for r in repository.validate(frame, edges, bib, prose, AS_OF, **kw).collect()}
+    summary = repository.report_summary(frame)
+    bases = repository.basis_records(frame, bib, AS_OF)
+    assert faults(gate=gates(), scores_summary=summary, bases=bases) == set()
+    assert faults(gate=gates(status="open")) == faults(gate=gates(failures=["x"])) == {("gate status", "gate")}
+    assert faults(gate=gates(checks={"a": True, "b": None})) == {("gate checks", "gate")}
+    assert faults(gate=gates(counts={"claims": 1, "citation_contexts": 2, "verified_passages": 3, "failures": 0})) == {("gate counts", "gate")}
+    assert faults(scores_summary=summary.withColumn("capped_claims", F.lit(4))) == {("report summary", "summary")}
+    basis = bases.first().score_basis
+    assert [(a.atom_id, a.cite_keys) for a in basis.atom_support] == [("a1", ["k1", "k2"]), ("a2", ["k1", "k2"])] and [a.groups for a in basis.independence_groups_by_atom] == [["g1", "g2"]] * 2
+    assert basis.eligible_citations[0].verified_passage_locators == ["p. 3"] and basis.derived_evidence_relation == "directly_supported" and basis.wording_basis.rule_id == "SURFACE_UNQUALIFIED"
+    moved = bases.withColumn("score_basis", F.col("score_basis").withField("atom_support", F.reverse("score_basis.atom_support")))
+    assert faults(bases=moved) == {("report basis", good["claim_id"])}
+    told = [("graph", "2.0.0", "2.0.0"), ("seed", "2.0.0", None), ("report", "2.0.0", "1.0.0")]
+    assert faults(artifacts=spark.createDataFrame(told, "name string, schema_version string, rubric_version string")) == {("artifact version", "report")}
 
 
 def test_stored_records_and_directives_are_compared(spark):
     bib = spark.createDataFrame([("k1", "10.1000/k1", ["A"]), ("k2", "10.1000/k2", ["B"])], schemas.BIBLIOGRAPHY)
     prose = spark.createDataFrame([("01.md", 1, "So: Cells divide twice. Yes.")], "file string, paragraph_index int, text string")
-    good = claim([context("k1"), context("k2", group="g2")], modality="stated", human_review_required=True, validation_status="validated")
+    good = claim([context("k1"), context("k2", group="g2")], modality="stated", human_review_required=False, validation_status="validated")
     good["trust_score"] = stored_score(one(spark, good))
     frame = lambda c: spark.createDataFrame([c], schemas.CLAIM)
     edges = spark.createDataFrame([(good["claim_id"], "supports", k, "citation", 1.0, None) for k in ("k1", "k2")], schemas.EDGE)
@@ -141,7 +259,7 @@ def test_stored_records_and_directives_are_compared(spark):
     assert faults() == set()
     assert faults(good | {"sentence_index": 7}) == {("index record", "")}
     assert faults(good | {"validation_status": "open"}) == {("seed record", "")}
-    assert faults(good | {"human_review_required": False}) == {("index record", ""), ("graph summary", "")}
+    assert faults(good | {"human_review_required": True}) == {("index record", ""), ("graph summary", ""), ("review resolved", "")}
     rules = copy.deepcopy(good)
     rules["trust_score"]["components"]["robustness"]["rule_id"] = "R9"
     assert faults(rules) == {("report record", ""), ("rule ids", "")}
@@ -150,7 +268,7 @@ def test_stored_records_and_directives_are_compared(spark):
     assert faults(directives=[told(options | {"claim": "Cells"}), told(options, 1)]) == {("directive", "claim text")}
     assert faults(directives=[told(options | {"cites": "k2, k1", "claim-type": "causal", "modality": "x"})]) == {("directive", "cites"), ("directive", "claim type"), ("directive", "modality")}
     assert faults(directives=[told(options | {"score": "100", "trust-label": "", "cap-reason": "x"})]) == {("directive", f"forbidden {k}") for k in repository.FORBIDDEN_OPTIONS}
-    basis = {r.component: (r.score, r.rationale) for r in repository.score_basis(frame(good)).collect()}
+    basis = {r.component: (r.score, r.rationale) for r in repository.stored_components(frame(good)).collect()}
     assert basis.keys() == set(schemas.COMPONENTS) and all(b == (good["trust_score"]["components"][c]["score"], "why") for c, b in basis.items())
 
 
@@ -182,6 +300,11 @@ def test_radar_matches_and_fails_closed(spark):
     assert rows["r3"].rationale == [CONFIG[0][0] + ":topic_query:cell division"]
     assert rows["r1"].proposal_id == "radar_" + hashlib.sha256(b"p\nr1\nnew_work").hexdigest()[:16]
     assert [c for c in found.columns if "score" in c or c == "claim_text"] == []
+    both = [record(7, alert_type="correction", related_dois=["10.1/abc"]), record(7, alert_type="retraction", related_dois=["10.1/zzz"]), record(7, alert_type="retraction", related_dois=["10.1/zzz"])]
+    told = radar.proposals(config, spark.createDataFrame(both, schemas.RADAR_RECORD)).collect()
+    assert sorted((r.alert_type, tuple(r.affected_claim_ids)) for r in told) == [("correction", (CONFIG[0][0],)), ("retraction", (CONFIG[1][0],)), ("retraction", (CONFIG[1][0],))]
+    again = spark.createDataFrame([(CONFIG[0][0], ["10.1/abc", "https://doi.org/10.1/ABC"], [])], schemas.RADAR_CLAIM)
+    assert radar.proposals(again, spark.createDataFrame([record(1, doi="10.1/abc")], schemas.RADAR_RECORD)).first().rationale == [CONFIG[0][0] + ":watched_doi:10.1/abc,10.1/abc"]
     assert radar.run(config, spark.createDataFrame(feed[3:], schemas.RADAR_RECORD), ids, "2025-02-01T00:00:00Z")[0] == "no_changes"
     for bad in (record(1, source={"provider": "p", "url": "http://example.org"}), record(1, source={"provider": "p", "url": "https://u:p@example.org"}), record(1, observed_at="2026-01-01T00:00:00Z"), record(1, alert_type="retraction"), record(1, title="")):
         with pytest.raises(Rejected):
@@ -270,6 +393,10 @@ def test_gates(spark):
     told = spark.createDataFrame([("a", True), ("b", True), ("b", False)], "check_name string, passed boolean")
     assert tuple(gate(told, ["a"]).first()) == (True, [])
     assert tuple(gate(told, ["a", "b", "c"]).first()) == (False, ["b", "c"])
-    n = spark.createDataFrame([("a", True, 0), ("b", False, 2)], "check_name string, blocking boolean, n int")
-    assert tiered_verdict(n).first().verdict == "WARN"
+    verdict = lambda *outcomes, **kw: tiered_verdict(spark.createDataFrame([(f"c{i}", *o.split()) for i, o in enumerate(outcomes)], "check_name string, tier string, outcome string"), **kw).first().verdict
+    assert verdict("A pass", "B pass") == "PASS"
+    assert verdict("A pass", "B blocked") == "PASS_WITH_BLOCKED_TIER_B"
+    assert verdict("A fail", "B pass") == verdict("A pass", "A fail", "B blocked") == verdict("A pass", "B fail") == verdict("A pass", "A strange") == "FAIL_REQUIRES_FIX"
+    assert verdict("A fail", "B pass", attempt=2) == "FAIL_REQUIRES_USER_SIGNOFF"
+    assert verdict("A blocked", "B blocked") == verdict() == verdict("A pass", "A blocked") == verdict("B pass") == "BLOCKED_DEPLOY_INACCESSIBLE"
     assert Check("x", told, F.lit(None).cast("boolean")).violations().count() == 3

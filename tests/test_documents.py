@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,9 +151,20 @@ def test_evidence_rollups(spark):
     assert evidence.tier_floors(spark.createDataFrame([("high", 10, 5)], "tier string, target int, n int"), tiers).first().passed is False
     papers = spark.createDataFrame([("f", "EU", "x"), ("f", "US", "x")], "comparison_id string, region string, level string")
     assert evidence.homogeneous(papers, ["region", "level"]).first().mixed_fields == ["region"]
-    cited = spark.createDataFrame([("k1", "10.1/a", "Deep cells divide", "Müller", 2020), ("k2", "10.1/b", "Other thing entirely", "Lee", 2020), ("k3", "10.1/zz", "t", "x", 2020), ("k4", "10.1/a", "Deep cells divide", "Wong", 2020), ("k5", "10.1/a", "Deep cells divide", "MÜLLER", 2017)], "cite_key string, doi string, title string, first_author string, year int")
-    meta = spark.createDataFrame([("10.1/a", "Deep cells divide", "Müller", 2020), ("10.1/b", "Rocks of the moon", "Lee", 2020)], "doi string, title string, first_author string, year int")
-    assert {r.cite_key: r.verdict for r in evidence.citation_verdict(cited, meta).collect()} == {"k1": "VERIFIED", "k2": "CHIMERIC", "k3": "HALLUCINATED", "k4": "MISATTRIBUTED", "k5": "MINOR"}
+    title = "Deep cells divide in the dark"
+    full = {"doi": "10.1/a", "title": title, "authors": ["Müller, J.", "Lee, Kim"], "year": 2020, "journal": "Cell & Life", "volume": "4", "pages": "1-9", "abstract": "We saw 40 % and 3.5 mV."}
+    cases = {
+        "same": ({}, "VERIFIED"), "form": ({"authors": ["MULLER J", "Lee Kim"], "journal": "Cell Life", "title": title.upper()}, "VERIFIED"), "no record": ({"doi": "10.1/zz"}, "HALLUCINATED"), "title": ({"title": "Deep cells of another kind sleep"}, "CHIMERIC"), "half": ({"title": "Deep cells divide in light"}, "VERIFIED"),
+        "other authors": ({"authors": ["Wong, A."]}, "CHIMERIC"), "initials": ({"authors": ["Müller, K.", "Lee, Kim"]}, "MINOR"), "injected": ({"authors": ["Müller, J.", "Lee, Kim", "Bhatt, D."]}, "MINOR"), "missing": ({"authors": ["Müller, J."]}, "MINOR"), "year": ({"year": 2021}, "MINOR"), "journal": ({"journal": "Nature"}, "CHIMERIC"),
+        "year before journal": ({"year": 2019, "journal": "Nature"}, "MINOR"), "volume": ({"volume": "5"}, "MINOR"), "pages": ({"pages": "2-9"}, "MINOR"), "number": ({"claim": "It grew by 41 %."}, "MISATTRIBUTED"), "numbers": ({"claim": "It grew by 40 % at 3.5 mV."}, "VERIFIED"), "unknown year": ({"year": None}, "VERIFIED"),
+    }
+    schema = "cite_key string, doi string, title string, authors array<string>, year int, journal string, volume string, pages string, claim string"
+    cited = spark.createDataFrame([{"cite_key": k, "claim": "It grew."} | full | d for k, (d, _) in cases.items()], schema)
+    meta = spark.createDataFrame([full], "doi string, title string, authors array<string>, year int, journal string, volume string, pages string, abstract string")
+    assert {r.cite_key: r.verdict for r in evidence.citation_verdict(cited, meta).collect()} == {k: v for k, (_, v) in cases.items()}
+    short = [spark.createDataFrame([("k", "10.1/a", "Deep cells", a, 2020)], "cite_key string, doi string, title string, first_author string, year int") for a in ("Müller", "Wong")]
+    assert [evidence.citation_verdict(x, short[0].drop("cite_key")).first().verdict for x in short] == ["VERIFIED", "CHIMERIC"]
+
 
 
 def test_authorship(spark):
@@ -207,8 +219,39 @@ def test_relational_operators_hold_under_repartition(spark):
     assert [(r.left_id, r.right_id, r.clip_start, r.clip_end) for r in rel.overlaps(spans, ["p"], "id").collect()] == [(1, 2, 4, 5)]
     edges = spark.createDataFrame([(1, 2, 5.0), (1, 3, 9.0), (3, 4, 1.0), (4, 1, 1.0)], "u int, v int, s double")
     seeds = spark.createDataFrame([(1,)], "node int")
-    assert {(r.node, r.round) for r in rel.snowball(seeds, edges, 3).collect()} == {(1, 0), (2, 1), (3, 1), (4, 2)}
-    assert {r.node for r in rel.snowball(seeds, edges, 1, most_each=1, score="s").collect()} == {1, 3}
+    assert {(r.node, r.round) for r in rel.snowball(seeds, edges, 3, both=False).collect()} == {(1, 0), (2, 1), (3, 1), (4, 2)}
+    assert {(r.node, r.round) for r in rel.snowball(seeds, edges, 3).collect()} == {(1, 0), (2, 1), (3, 1), (4, 1)}
+
+
+
+def plain_snowball(seeds, edges, rounds, most, scores, accepted):
+    seen, log = {x: 0 for x in seeds}, []
+    for n in range(1, rounds + 1):
+        best = sorted(seen, key=lambda x: (-scores.get(x, -1), x))[:most]
+        back = {v for u, v in edges if u in best} - set(seen)
+        fore = {u for u, v in edges if v in best} - set(seen) - back
+        kept = (back | fore) & accepted
+        seen |= dict.fromkeys(kept, n)
+        log.append((n, len(best), len(back), len(fore), len(kept), len(seen)))
+    return seen, log
+
+
+def test_snowball_expands_the_best_of_all_found(spark):
+    rng = random.Random(6)
+    edges = list({(rng.randrange(80), rng.randrange(80)) for _ in range(160)})
+    scores = {x: rng.randrange(20) for x in range(70)}
+    accepted = set(range(80)) - {5, 17, 33}
+    frames = [spark.createDataFrame(edges, "u int, v int"), spark.createDataFrame(list(scores.items()), "node int, score int"), spark.createDataFrame([(x,) for x in accepted], "node int")]
+    for most in (2, 5, None):
+        seen, log = rel.snowball_rounds(spark.createDataFrame([(1,), (2,), (3,)], "node int"), frames[0], 4, most, frames[1], frames[2])
+        want = plain_snowball([1, 2, 3], edges, 4, most, scores, accepted)
+        assert ({r.node: r.round for r in seen.collect()}, sorted(tuple(r) for r in log.collect())) == want
+    # all that a limited round finds stays, and later rounds go out from the best of the whole set
+    one = spark.createDataFrame([(1, 2), (1, 3), (3, 4)], "u int, v int")
+    assert {r.node for r in rel.snowball(spark.createDataFrame([(1,)], "node int"), one, 1, most_each=1).collect()} == {1, 2, 3}
+    assert len(seen._jdf.queryExecution().optimizedPlan().toString().splitlines()) < 6
+    none = rel.snowball_rounds(spark.createDataFrame([], "node int"), frames[0], 2)
+    assert none[0].count() == 0 and [r.cumulative_unique for r in none[1].collect()] == [0, 0]
 
 
 def test_streams(spark, tmp_path):
