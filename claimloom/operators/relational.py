@@ -196,14 +196,15 @@ def snowball_rounds(seeds: DataFrame, edges: DataFrame, rounds: int, most_each:
     A round goes out from the ``most_each`` best (by ``scores``: node, score; then the least node) of the whole set so far, or from
     all of it, to what they refer to and, with ``both``, to what refers to them. All that is new and, where given, ``accepted``
     joins the set; the limit is on what is expanded, never on what is found. A node that was expanded has nothing new to give and
-    isn't expanded again. The set is a stored table after each round, so plans don't grow with the rounds.
+    isn't expanded again; one that wasn't accepted is remembered and not found again. The set is a stored table after each round,
+    so plans don't grow with the rounds.
     """
-    seen = stored(seeds.select("node", F.lit(0).alias("round"), F.lit(False).alias("done")).distinct(), "snowball")
+    seen = stored(seeds.select("node", F.lit(0).alias("round"), F.lit(False).alias("done"), F.lit(True).alias("kept")).distinct(), "snowball")
     log = None
     for n in range(1, rounds + 1):
-        best = seen
+        best = seen.where("kept")
         if most_each:
-            ranked = seen.join(scores, "node", "left") if scores is not None else seen.withColumn("score", F.lit(0))
+            ranked = best.join(scores, "node", "left") if scores is not None else best.withColumn("score", F.lit(0))
             best = ranked.orderBy(F.col("score").desc_nulls_last(), "node").limit(most_each)  # the limit is the feature
         front = stored(best.where("not done").select("node"), "front")
         near = small(front)
@@ -213,16 +214,16 @@ def snowball_rounds(seeds: DataFrame, edges: DataFrame, rounds: int, most_each:
         fresh = step.groupBy("node").agg(F.min("way").alias("way")).join(seen.select("node"), "node", "left_anti")
         kept = F.lit(True)
         if accepted is not None:
-            fresh = fresh.join(accepted.select("node", F.lit(True).alias("kept")).distinct(), "node", "left")
-            kept = F.coalesce("kept", F.lit(False))
+            fresh = fresh.join(accepted.select("node", F.lit(True).alias("_ok")).distinct(), "node", "left")
+            kept = F.coalesce("_ok", F.lit(False))
         fresh = stored(fresh.select("node", "way", kept.alias("kept")), "found")
-        done = seen.join(near.withColumn("_now", F.lit(True)), "node", "left").select("node", "round", (F.col("done") | F.col("_now").isNotNull()).alias("done"))
-        seen = stored(done.unionByName(fresh.where("kept").select("node", F.lit(n).alias("round"), F.lit(False).alias("done"))), "snowball")
-        counted = fresh.agg(F.count_if("way = 'backward'").alias("backward_added"), F.count_if("way = 'forward'").alias("forward_added"), F.count_if("kept").alias("after_screen"))
-        row = counted.crossJoin(best.agg(F.count("*").alias("seed_papers"))).crossJoin(seen.agg(F.count("*").alias("cumulative_unique"))).select(F.lit(n).alias("round"), "seed_papers", "backward_added", "forward_added", "after_screen", "cumulative_unique")
+        done = seen.join(near.withColumn("_now", F.lit(True)), "node", "left").select("node", "round", (F.col("done") | F.col("_now").isNotNull()).alias("done"), "kept")
+        seen = stored(done.unionByName(fresh.select("node", F.lit(n).alias("round"), F.lit(False).alias("done"), "kept")), "snowball")
+        counted = fresh.agg(F.count_if(F.col("way") == "backward").alias("backward_added"), F.count_if(F.col("way") == "forward").alias("forward_added"), F.count_if("kept").alias("after_screen"))
+        row = counted.crossJoin(best.agg(F.count("*").alias("seed_papers"))).crossJoin(seen.agg(F.count_if("kept").alias("cumulative_unique"))).select(F.lit(n).alias("round"), "seed_papers", "backward_added", "forward_added", "after_screen", "cumulative_unique")
         log = row if log is None else log.unionByName(row)
     empty = seeds.sparkSession.createDataFrame([], "round int, seed_papers bigint, backward_added bigint, forward_added bigint, after_screen bigint, cumulative_unique bigint")
-    return seen.select("node", "round"), empty if log is None else log
+    return seen.where("kept").select("node", "round"), empty if log is None else log
 
 
 def snowball(seeds: DataFrame, edges: DataFrame, rounds: int, **more) -> DataFrame:

@@ -225,12 +225,13 @@ def test_relational_operators_hold_under_repartition(spark):
 
 
 def plain_snowball(seeds, edges, rounds, most, scores, accepted):
-    seen, log = {x: 0 for x in seeds}, []
+    seen, log, refused = {x: 0 for x in seeds}, [], set()
     for n in range(1, rounds + 1):
         best = sorted(seen, key=lambda x: (-scores.get(x, -1), x))[:most]
-        back = {v for u, v in edges if u in best} - set(seen)
-        fore = {u for u, v in edges if v in best} - set(seen) - back
+        back = {v for u, v in edges if u in best} - set(seen) - refused
+        fore = {u for u, v in edges if v in best} - set(seen) - back - refused
         kept = (back | fore) & accepted
+        refused |= (back | fore) - kept
         seen |= dict.fromkeys(kept, n)
         log.append((n, len(best), len(back), len(fore), len(kept), len(seen)))
     return seen, log
