@@ -131,6 +131,47 @@ def test_contracts_on_columns_and_unknown_keywords(spark):
     assert [len(r[0]) for r in rows.select(contracts.problems(F.col("j"), {"properties": {"a": {"type": "string"}}})).collect()] == [1, 0, 1, 1]
 
 
+OTHERS = {"other.json": {"y": {"type": "boolean"}}}
+#: Pairs of a schema and documents, for which both forms of a contract must tell the same problems.
+CONTRACTS = {
+    "all": (SCHEMA, [{"id": "i1", "kind": "a"} | c for c in ({}, {"id": "x"}, {"id": "i12345"}, {"id": 5}, {"kind": "c"}, {"kind": "b"}, {"kind": "b", "n": 5}, {"n": 7}, {"n": 5.0}, {"n": 5.5}, {"n": True}, {"n": 105}, {"n": None}, {"at": "2025-01-01"}, {"at": "2025-02-30T00:00:00Z"}, {"at": "2025-01-01T00:00:00.5+02:00"}, {"list": [1, None]}, {"list": [1, 1]}, {"list": [2]}, {"list": []}, {"list": [1, "s", [1]]}, {"list": {"a": 1}}, {"x": 2}, {"x": 3}, {"x": "s"}, {"x": None}, {"y": "no"}, {"y": False}, {"z": 1, "aa": {"b": 2}})] + [{}, [], "text", 5, None, {"id": "i1"}]),
+    "types": ({"properties": {k: {"type": k} for k in ("object", "array", "string", "boolean", "null", "number", "integer")} | {"some": {"type": ["string", "null"]}}}, [{k: v} for k in ("object", "array", "string", "boolean", "null", "number", "integer", "some") for v in ({}, {"a": 1}, [], [1], "", "s", True, None, 0, -1, 2.0, 2.5, 1e30, 12345678901234567890)]),
+    "numbers": ({"items": {"minimum": 1, "maximum": 9, "exclusiveMinimum": 1, "multipleOf": 2}}, [[0, 1, 2, 3, 9, 10, 2.5, "x", True, None, {"a": 1}], []]),
+    "texts": ({"items": {"minLength": 2, "maxLength": 3, "pattern": "b"}}, [["", "a", "ab", "abc", "bbbb", "\U0001f600b", 7, None]]),
+    "uris": ({"items": {"format": "uri"}}, [["https://a", "http://b", "urn:x", "ftp://c", "x", 1]]),
+    "objects": ({"minProperties": 2, "propertyNames": {"pattern": "^[a-z.' ]+$"}, "additionalProperties": {"type": "integer"}, "properties": {"it's": {"const": 1}, "a.b": {"type": "string"}, "'\"": {"type": "string"}}, "required": ["a.b"]}, [{}, {"a": 1}, {"a.b": "x", "b": 2}, {"a.b": 1, "it's": 2}, {"a": {"b": "x"}, "A": 1, "B": "x"}, {"a.b": "x", "it's": 1}, {"a.b": "x", "'\"": 5}, {"a.b": "x", "'\"": "s"}]),
+    "constants": ({"items": {"enum": [1, "1", True, None, [1, "a"], {"k": [1, {"x": None}]}, 2.5]}}, [[1, "1", True, None, [1, "a"], {"k": [1, {"x": None}]}, 2.5, 0, "true", False, [1], {"k": 1}, {}, 1.0]]),
+    "branches": ({"oneOf": [{"type": "string"}, {"maximum": 5}], "not": {"const": 3}, "anyOf": [{"type": "integer"}, {"minLength": 2}], "allOf": [{"type": ["integer", "string", "array"]}, True]}, [1, 3, 7, "a", "ab", [1], None, 2.5]),
+    "counts": ({"contains": {"minimum": 5}, "minContains": 2, "maxContains": 3, "minItems": 2, "maxItems": 4, "uniqueItems": True}, [[], [5], [5, 6], [5, 6, 7, 8], [1, 5, 6, 2, 7], [{"a": 1}, {"a": 1}, 5, 6], [5, 6, [5], [5]], "no"]),
+    "conditions": ({"if": {"required": ["a"]}, "then": {"properties": {"a": {"type": "string"}}}, "else": {"required": ["b"]}}, [{"a": "x"}, {"a": 1}, {"b": 1}, {}, [], 5]),
+    "nothing": ({"properties": {"a": False}, "items": False}, [{"a": 1}, {"b": 1}, [], [1, 2]]),
+    "deep": ({"properties": {"rows": {"items": {"properties": {"cells": {"items": {"type": "integer"}}}, "required": ["cells"]}}}}, [{"rows": [{"cells": [1, "x"]}, {}, {"cells": [[2]]}]}, {"rows": 5}]),
+}
+
+
+def test_contracts_as_columns_tell_what_the_rules_tell(spark):
+    rows = [(name, str(i), json.dumps(d)) for name, (_, ds) in CONTRACTS.items() for i, d in enumerate(ds)]
+    told = {}
+    schemas_ = {name: schema for name, (schema, _) in CONTRACTS.items()}
+    found = contracts.contract_problems(spark.createDataFrame(rows, "schema string, name string, text string"), schemas_, OTHERS)
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    for r in found.collect():
+        told.setdefault((r.schema, r.name), []).append(r.problem)
+    for name, (schema, documents_) in CONTRACTS.items():
+        rule = contracts.compile_schema(schema, OTHERS)
+        for i, d in enumerate(documents_):
+            assert sorted(told.get((name, str(i)), [])) == sorted(rule(d, "$")), (name, d)
+    assert [r.problem for r in contracts.contract_problems(spark.createDataFrame([("gone", "x", "{}")], "schema string, name string, text string"), schemas_, OTHERS).collect()] == ["$: no such schema"]
+
+
+def test_a_schema_that_refers_to_itself(spark):
+    tree = {"$ref": "#/$defs/node", "$defs": {"node": {"type": "object", "required": ["v"], "properties": {"kids": {"items": {"$ref": "#/$defs/node"}}}}}}
+    rows = spark.createDataFrame([(json.dumps({"v": 1, "kids": [{"v": 2, "kids": [{}]}]}),), ('{"v": 1}',)], "j string").select(contracts.problems(F.col("j"), tree).alias("p"))
+    assert [r.p for r in rows.collect()] == [["$.kids[0].kids[0].v: missing"], []]
+    with pytest.raises(contracts.UnknownKeyword):
+        contracts.problems(F.lit("{}"), {"properties": {"a": {"dependentRequired": {}}}})
+
+
 def test_conflict_shapes_become_one(spark):
     shapes = [{"side_a": {"claim": "A", "doi": "10.1/A"}, "side_b": "B says 10.1234/b."}, {"paper_a_claim": "A", "paper_b_claim": "B", "paper_a_doi": "10.1/a", "nature_of_conflict": "size"}, {"sides": [{"position": "A"}, {"position": "B"}], "paper_dois": ["10.1/a", "10.1/b"], "resolution_status": "resolved"}, {"position_a": "A"}]
     got = evidence.conflicts(spark.createDataFrame([(i, json.dumps(s)) for i, s in enumerate(shapes)], "i int, conflict string")).orderBy("i").collect()
