@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from claimloom.operators.scans import scan
 from claimloom.sources.scratch import stored
 
 #: Rows of a side that may be broadcast by hand.
@@ -43,18 +44,61 @@ def zero_filled_counts(rows: DataFrame, key: str, members: list[str]) -> DataFra
     return fill_dimension(rows.groupBy(key).agg(F.count("*").alias("n")), key, members, ["n"])
 
 
-def co_members(rows: DataFrame, group: str, member: str, count: str, differ: str | None = None) -> DataFrame:
+def in_pairs(rows: DataFrame, group: str, ident: str, block: int = 2_000) -> DataFrame:
+    """All pairs of rows within groups: ``group``, then every other column as ``a_`` and ``b_``, either row being ``a``.
+
+    Rows are distinct in (group, ident); null groups and idents make no pairs. A group of more than ``block`` rows is dealt to
+    blocks by ``ident``, and each two blocks meet under a key of their own, so no task has more than block x block pairs to make,
+    whatever a group's size. Large groups, of which there are fewer than rows / block, are counted and broadcast.
+    """
+    held = rows.where(F.col(group).isNotNull() & F.col(ident).isNotNull())
+    large = held.groupBy(group).agg(F.ceil(F.count("*") / block).cast("int").alias("_blocks")).where("_blocks > 1")
+    dealt = held.join(small(stored(large, "large-groups"), 1_000_000), group, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1))).withColumn("_own", F.pmod(F.xxhash64(ident), F.col("_blocks")).cast("int"))
+    more = [c for c in rows.columns if c != group]
+    side = lambda df, p: df.select(group, "_i", "_j", *[F.col(c).alias(f"{p}_{c}") for c in more])
+    a = side(dealt.withColumn("_i", F.col("_own")).withColumn("_j", F.explode(F.sequence("_own", F.col("_blocks") - 1))), "a")
+    b = side(dealt.withColumn("_j", F.col("_own")).withColumn("_i", F.explode(F.sequence(F.lit(0), "_own"))), "b")
+    return a.join(b, [group, "_i", "_j"]).where((F.col("_i") < F.col("_j")) | (F.col(f"a_{ident}") < F.col(f"b_{ident}"))).drop("_i", "_j")
+
+
+def co_members(rows: DataFrame, group: str, member: str, count: str, differ: str | None = None, block: int = 2_000) -> DataFrame:
     """Pairs of members that share groups, with the number of groups; ``differ`` names a column on which they must differ.
 
-    Rows are distinct (group, member). A group of n members makes n (n - 1) / 2 pairs, so groups are to be of bounded size
-    (an order's lines, a section's authors).
+    Rows are distinct (group, member). A group of n members makes n (n - 1) / 2 pairs, in blocks (see :func:`in_pairs`); what is
+    asked of nodes alone, :func:`member_weights` and :func:`classes` tell without pairs.
     """
-    keep = [group, member] + ([differ] if differ else [])
-    side = lambda p: rows.select(F.col(group), *[F.col(c).alias(f"{p}_{c}") for c in keep[1:]])
-    pairs = side("a").join(side("b"), group).where(F.col(f"a_{member}") < F.col(f"b_{member}"))
+    pairs = in_pairs(rows.select(group, member, *([differ] if differ else [])), group, member, block)
     if differ:
         pairs = pairs.where(F.col(f"a_{differ}") != F.col(f"b_{differ}"))
-    return pairs.groupBy(F.col(f"a_{member}").alias("left_id"), F.col(f"b_{member}").alias("right_id")).agg(F.count("*").alias(count))
+    ends = [F.least(f"a_{member}", f"b_{member}").alias("left_id"), F.greatest(f"a_{member}", f"b_{member}").alias("right_id")]
+    return pairs.groupBy(*ends).agg(F.count("*").alias(count))
+
+
+def member_weights(rows: DataFrame, group: str, member: str) -> DataFrame:
+    """``(member, weight)``: the sum over a member's groups of their other members, which is the sum of its pairs' weights.
+
+    Rows are distinct (group, member). Linear in them: no pair is made.
+    """
+    sizes = rows.groupBy(group).agg(F.count("*").alias("size")).withColumn("others", F.col("size") - 1)
+    return join_hot(rows.select(group, member), sizes, [group]).groupBy(member).agg(F.sum("others").alias("weight"))
+
+
+def classes(rows: DataFrame, group: str, member: str) -> tuple[DataFrame, DataFrame]:
+    """Members with the same groups are one class: ``(class, n, top, next, groups)`` and ``(member, class)``.
+
+    ``top`` and ``next`` are the two greatest members. A network of many members in few combinations of groups is as small as the
+    combinations; pairs of members follow from pairs of classes.
+    """
+    own = rows.groupBy(member).agg(F.sort_array(F.collect_set(group)).alias("groups")).withColumn("class", F.sha2(F.to_json(F.struct("groups")), 256))
+    own = stored(own, "classes")
+    first = own.groupBy("class").agg(F.count("*").alias("n"), F.max(member).alias("top"), F.first("groups").alias("groups"))
+    second = join_hot(own.select("class", member), first.select("class", "top", F.col("n").alias("size")), ["class"]).where(F.col(member) < F.col("top")).groupBy("class").agg(F.max(member).alias("next"))
+    return stored(first.join(second, "class", "left").select("class", "n", "top", "next", "groups"), "classes"), own.select(member, "class")
+
+
+def class_links(found: DataFrame, block: int = 2_000) -> DataFrame:
+    """``(left_class, right_class, shared)`` of two classes that share groups, each pair once."""
+    return co_members(found.select("class", F.explode("groups").alias("g")), "g", "class", "shared", block=block).withColumnsRenamed({"left_id": "left_class", "right_id": "right_class"})
 
 
 def group_links(members: DataFrame, member: str, roles: DataFrame, role: str, group: str = "g") -> DataFrame:
@@ -134,10 +178,24 @@ def saturation(rows: DataFrame, rate: float, floor: int) -> DataFrame:
 
 
 def overlaps(spans: DataFrame, keys: list[str], ident: str) -> DataFrame:
-    """Pairs of overlapping half-open spans (start, end) with equal keys, clipped to their overlap."""
-    side = lambda p: spans.select(*keys, *[F.col(c).alias(f"{p}_{c}") for c in (ident, "start", "end")])
-    hit = (F.col(f"a_{ident}") < F.col(f"b_{ident}")) & (F.col("a_start") < F.col("b_end")) & (F.col("a_end") > F.col("b_start"))
-    return side("a").join(side("b"), keys).where(hit).select(*keys, F.col(f"a_{ident}").alias("left_id"), F.col(f"b_{ident}").alias("right_id"), F.greatest("a_start", "b_start").alias("clip_start"), F.least("a_end", "b_end").alias("clip_end"))
+    """Pairs of overlapping half-open spans (start, end) with equal keys, clipped to their overlap.
+
+    A span's level is the power of two that its length fits in. Spans are cut to bins of their level's width, and to those of
+    every wider level there is, of which a span touches three at most; a pair meets at the level of its longer span, in the bin
+    where the later of both begins, and so once. Nothing is joined on the keys alone, so a key may hold any number of spans, and
+    long spans aren't cut into many pieces. A span without start or end overlaps nothing.
+    """
+    width = F.greatest(F.col("end") - F.col("start"), F.lit(1)).cast("double")
+    rows = stored(spans.where("start is not null and end is not null").select(*keys, ident, "start", "end", F.ceil(F.log2(width)).cast("int").alias("_level")), "spans")
+    levels = F.array(*[F.lit(r["_level"]) for r in rows.select("_level").distinct().orderBy("_level").collect()])  # some sixty at most
+    bin_of = lambda x: F.floor(x / F.pow(F.lit(2.0), F.col("_at"))).cast("bigint")
+    each = rows.withColumn("_at", F.explode(F.filter(levels.cast("array<int>"), lambda x: x >= F.col("_level")))).withColumn("_bin", F.explode(F.sequence(bin_of(F.col("start")), bin_of(F.col("end")))))
+    side = lambda df, p: df.select(*keys, "_at", "_bin", *[F.col(c).alias(f"{p}_{c}") for c in (ident, "start", "end", "_level")])
+    a, b = side(each.where("_level = _at"), "a"), side(each, "b")
+    once = (F.col("b__level") < F.col("_at")) | (F.col(f"a_{ident}") < F.col(f"b_{ident}"))
+    hit = once & (F.col(f"a_{ident}") != F.col(f"b_{ident}")) & (F.col("a_start") < F.col("b_end")) & (F.col("a_end") > F.col("b_start"))
+    met = a.join(b, [*keys, "_at", "_bin"]).where(hit & (bin_of(F.greatest("a_start", "b_start")) == F.col("_bin")))
+    return met.select(*keys, F.least(f"a_{ident}", f"b_{ident}").alias("left_id"), F.greatest(f"a_{ident}", f"b_{ident}").alias("right_id"), F.greatest("a_start", "b_start").alias("clip_start"), F.least("a_end", "b_end").alias("clip_end"))
 
 
 def repeatable_sample(rows: DataFrame, keys: list[str], hashed: Column, order: str, share: float, least: int, prefix: int = 4) -> DataFrame:
@@ -178,15 +236,13 @@ def places(rows: DataFrame, keys: list[str], coarse: list[Column], order: list[C
 
 def running_places(rows: DataFrame, keys: list[str], order: str, length: Column) -> DataFrame:
     """Start and end of each piece in the text that its group's pieces make one after the other."""
-    end = F.sum(length).over(Window.partitionBy(*keys).orderBy(order))
-    return rows.withColumn("end_at", end).withColumn("start_at", F.col("end_at") - length)
+    return scan(rows, keys, [order], {"end_at": ("sum", length)}).withColumn("start_at", F.col("end_at") - length)
 
 
 def nearest_before(rows: DataFrame, keys: list[str], order: str, wanted: Column, barrier: Column) -> DataFrame:
     """``anchor``: the order value of the nearest earlier wanted row with no barrier between."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    last = lambda c: F.last(F.when(c, F.col(order)), ignorenulls=True).over(w)
-    found = rows.withColumn("_a", last(wanted)).withColumn("_b", last(barrier))
+    last = lambda c: ("last", F.when(c, F.col(order)))
+    found = scan(rows, keys, [order], {"_a": last(wanted), "_b": last(barrier)}, before=True)
     return found.withColumn("anchor", F.when(F.col("_b").isNull() | (F.col("_a") > F.col("_b")), F.col("_a"))).drop("_a", "_b")
 
 

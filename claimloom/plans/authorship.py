@@ -8,6 +8,8 @@ from pyspark.sql.window import Window
 
 from claimloom.functions import text as tx
 from claimloom.functions import values as vl
+from claimloom.operators.relational import class_links, classes, in_pairs, join_hot, member_weights
+from claimloom.sources.scratch import stored
 
 LEVELS = ["lead", "equal", "supporting"]
 
@@ -39,16 +41,43 @@ def section_and_figure_members(sections: DataFrame, figures: DataFrame) -> DataF
     return grouped(sections, "section", "section").unionByName(grouped(figures, "figure", "figure"))
 
 
-def network(people: DataFrame, sections: DataFrame) -> DataFrame:
+def memberships(people: DataFrame, sections: DataFrame) -> DataFrame:
+    """Distinct ``(ord, g)``: the roles and sections of each person, by the person's place in the list."""
+    roles = people.select("ord", F.explode("roles").alias("g")).select("ord", F.concat(F.lit("role:"), tx.fold_role("g")).alias("g"))
+    parts = sections.join(people.select("person", "ord"), "person").select("ord", F.concat(F.lit("section:"), "section").alias("g"))
+    return roles.unionByName(parts).distinct()
+
+
+def network(people: DataFrame, sections: DataFrame, block: int = 2_000) -> DataFrame:
     """Author pairs with the numbers of shared roles and sections; ``ord`` is the person's place in the list."""
-    roles = people.select("ord", F.explode("roles").alias("g")).select("ord", F.concat(F.lit("role:"), tx.fold_role("g")).alias("g")).distinct()
-    parts = sections.join(people.select("person", "ord"), "person").select("ord", F.concat(F.lit("section:"), "section").alias("g")).distinct()
-    rows = roles.unionByName(parts)
-    a, b = rows.select("g", F.col("ord").alias("i")), rows.select("g", F.col("ord").alias("j"))
-    pairs = a.join(b, "g").where("i < j").groupBy("i", "j").agg(F.count_if(F.col("g").startswith("role:")).alias("shared_roles"), F.count_if(F.col("g").startswith("section:")).alias("shared_sections"))
+    pairs = in_pairs(memberships(people, sections), "g", "ord", block)
+    ends = [F.least("a_ord", "b_ord").alias("i"), F.greatest("a_ord", "b_ord").alias("j")]
+    pairs = pairs.groupBy(*ends).agg(F.count_if(F.col("g").startswith("role:")).alias("shared_roles"), F.count_if(F.col("g").startswith("section:")).alias("shared_sections"))
     return pairs.withColumn("weight", F.col("shared_roles") + F.col("shared_sections"))
 
 
+def network_totals(people: DataFrame, sections: DataFrame, block: int = 2_000) -> tuple[DataFrame, DataFrame]:
+    """What :func:`node_totals` and :func:`network_stats` tell, without the pairs of people: ``(ord, weight, n_links)``, and one row.
+
+    Weights follow from the sizes of groups. Links and the strongest pair follow from classes of people with the same roles and
+    sections: of two classes that share any, all are linked alike, and so are all within one.
+    """
+    rows = stored(memberships(people, sections), "memberships")
+    found, own = classes(rows, "g", "ord")
+    links = stored(class_links(found, block), "class-links")
+    ends = links.select(F.col("left_class").alias("class"), F.col("right_class").alias("other"), "shared").unionByName(links.select(F.col("right_class").alias("class"), F.col("left_class").alias("other"), "shared"))
+    around = ends.join(found.select(F.col("class").alias("other"), "n"), "other").groupBy("class").agg(F.sum("n").alias("n_around"))
+    degree = found.join(around, "class", "left").select("class", F.col("n").alias("size"), (F.coalesce("n_around", F.lit(0)) + F.col("n") - 1).alias("n_links"))
+    nodes = member_weights(rows, "g", "ord").join(join_hot(own, degree, ["class"]).select("ord", "n_links"), "ord").where("n_links > 0")
+    inner = found.where("n > 1").select(F.struct(F.size("groups").cast("bigint").alias("weight"), F.col("next").alias("i"), F.col("top").alias("j")).alias("best"), (F.col("n") * (F.col("n") - 1) / 2).cast("bigint").alias("n"))
+    side = lambda p: found.select(F.col("class").alias(f"{p}_class"), F.col("n").alias(f"{p}_n"), F.col("top").alias(f"{p}_top"))
+    outer = links.join(side("left"), "left_class").join(side("right"), "right_class")
+    outer = outer.select(F.struct(F.col("shared").alias("weight"), F.least("left_top", "right_top").alias("i"), F.greatest("left_top", "right_top").alias("j")).alias("best"), (F.col("left_n") * F.col("right_n")).alias("n"))
+    told = inner.unionByName(outer).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_links"), F.max("best").alias("best"))
+    mean = people.agg(F.round(F.avg(F.size("roles")), 2).alias("mean_roles"))
+    return nodes, mean.crossJoin(told).select("mean_roles", "n_links", F.struct("best.i", "best.j").alias("strongest"), F.col("best.weight").alias("weight"))
+
+
 def network_stats(people: DataFrame, edges: DataFrame) -> DataFrame:
     """Mean number of roles, links and the strongest pair (the last of equals)."""
     top = F.struct("weight", "i", "j")

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from claimloom.functions import text as tx
 from claimloom.functions import values as vl
 from claimloom.operators import relational as rel
+from claimloom.operators.scans import scan
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -542,7 +543,7 @@ def q55_nearest_before(spark, sf):
 @query("""with d as (select event_id, user_id, event_type, sum(case event_type when 'signup' then 1 when 'error' then -1 else 0 end) over (partition by user_id order by event_id) as depth from events) select depth::bigint as depth, count(*) as n, min(event_id) as first_event from d group by 1""")
 def q56_depth_mask(spark, sf):
     step = vl.ladder([(F.col("event_type") == "signup", 1), (F.col("event_type") == "error", -1)], 0)
-    rows = t(spark, sf, "events").withColumn("depth", F.sum(step).over(Window.partitionBy("user_id").orderBy("event_id")))
+    rows = scan(t(spark, sf, "events"), ["user_id"], ["event_id"], {"depth": ("sum", step.cast("bigint"))})
     return rows.groupBy("depth").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
 
 

@@ -95,3 +95,55 @@ def test_join_of_hot_keys(spark):
     assert "BroadcastHashJoin" in got._jdf.queryExecution().toString()
     some = keyed.where("k <> -1 and k % 2 = 0")
     assert relational.join_hot(left, some, ["k"], large=50).count() == left.join(some, "k").count()
+
+
+def test_spans_of_one_key_meet_in_bins(spark):
+    rng = random.Random(8)
+    spans = [("k", i, a, a + rng.choice([0, 1, 2, 3, 7, 40, 900])) for i, a in enumerate(rng.randrange(3000) for _ in range(400))]
+    spans += [("j", 1000 + i, a, b) for i, (a, b) in enumerate([(0, 5), (5, 9), (4, 6), (5, 5), (-8, -3), (-4, 0)])] + [("k", 2000, None, 5), (None, 3000, 0, 4), (None, 3001, 0, 4)]
+    want = sorted((k, i, j, max(a, c), min(b, d)) for k, i, a, b in spans for m, j, c, d in spans if k is not None and k == m and i < j and None not in (a, b, c, d) and a < d and b > c)
+    got = relational.overlaps(spark.createDataFrame(spans, "k string, id int, start int, end int"), ["k"], "id")
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 500
+    halves = [(k, i, a / 2, b / 2) for k, i, a, b in spans[:150]]
+    got = relational.overlaps(spark.createDataFrame(halves, "k string, id int, start double, end double"), ["k"], "id")
+    assert sorted((r.left_id, r.right_id) for r in got.collect()) == sorted((i, j) for _, i, a, b in halves for _, j, c, d in halves if i < j and a < d and b > c)
+
+
+def test_many_short_spans_of_one_key_are_few_candidates(spark):
+    n = 20_000
+    spans = spark.range(n).select(F.lit("k").alias("k"), "id", (F.col("id") * 10).alias("start"), (F.col("id") * 10 + 11).alias("end"))
+    assert relational.overlaps(spans, ["k"], "id").count() == n - 1
+
+
+def test_members_of_a_large_group_meet_in_blocks(spark):
+    rng = random.Random(9)
+    rows = list({(g, m) for m in range(150) for g in ["all", *rng.sample("abcdefgh", 2)] if g != "all" or m % 10})
+    frame = spark.createDataFrame(rows, "g string, m int")
+    plain = {}
+    for g in {g for g, _ in rows}:
+        ms = sorted(m for x, m in rows if x == g)
+        for i, a in enumerate(ms):
+            for b in ms[i + 1 :]:
+                plain[a, b] = plain.get((a, b), 0) + 1
+    for block in (7, 1000):
+        got = {(r.left_id, r.right_id): r.n for r in relational.co_members(frame, "g", "m", "n", block=block).collect()}
+        assert got == plain
+    weights = {r.m: r.weight for r in relational.member_weights(frame, "g", "m").collect()}
+    assert weights == {m: sum(n for pair, n in plain.items() if m in pair) for m in {m for _, m in rows}}
+
+
+def test_network_totals_need_no_pairs(spark):
+    from claimloom.plans import authorship
+
+    rng = random.Random(10)
+    people = [(f"p{i}", i, rng.sample(["Writing", "Software", "Data", "Review"], rng.randrange(3))) for i in range(60)]
+    sections = [(f"p{rng.randrange(60)}", f"s{rng.randrange(4)}") for _ in range(70)]
+    for some in (people, people[:1], people[:2], []):
+        a, b = spark.createDataFrame(some, "person string, ord int, roles array<string>"), spark.createDataFrame(sections, "person string, section string")
+        edges = authorship.network(a, b, block=5).cache()
+        nodes, stats = authorship.network_totals(a, b, block=5)
+        assert sorted(map(tuple, nodes.collect())) == sorted(map(tuple, authorship.node_totals(edges).select("ord", "weight", "n_links").collect()))
+        want, got = authorship.network_stats(a, edges).first(), stats.first()
+        assert (got.mean_roles, got.n_links, got.weight) == (want.mean_roles, want.n_links, want.weight)
+        assert want.weight is None or got.strongest == want.strongest
+        edges.unpersist()
