@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from claimloom.functions import text as tx
 from claimloom.functions import values as vl
+from claimloom.operators.anchors import anchored_quotes
 from claimloom.plans.checks import Check
 
 
@@ -51,7 +52,8 @@ def paired(submissions: DataFrame, review_version: str, manifest_sha256: str, cl
     """Accepted submissions of exactly this release with ``anchor_status``.
 
     ``claims`` has claim_id, ``sources`` (source_path, source_sha256, text); ``only`` may list submission ids.
-    A claim target is an equi-join; a text target must have the source's digest and stand there exactly once.
+    A claim target is an equi-join; a text target must have the source's digest and stand there exactly once: each source is
+    normalised once, and all its quotes are looked for together.
     Stances are carried, never scored.
     """
     rows = accepted(submissions).where((F.col("target.review_version") == review_version) & (F.col("target.release_manifest_sha256") == manifest_sha256))
@@ -59,10 +61,14 @@ def paired(submissions: DataFrame, review_version: str, manifest_sha256: str, cl
         rows = rows.join(only.select("submission_id"), "submission_id", "left_semi")
     s = F.col("target.selector")
     known = claims.select(F.col("claim_id").alias("_claim")).distinct()
-    texts = sources.select(F.col("source_path").alias("_path"), F.col("source_sha256").alias("_sha"), "text")
-    rows = rows.join(known, (s["kind"] == "claim") & (s["claim_id"] == F.col("_claim")), "left").join(texts, (s["kind"] == "text") & (s["source_path"] == F.col("_path")) & (s["source_sha256"] == F.col("_sha")), "left")
-    place = F.when(F.col("text").isNotNull(), tx.quote_place("text", F.coalesce(s["exact_quote"], F.lit("")), F.coalesce(s["prefix"], F.lit("")), F.coalesce(s["suffix"], F.lit(""))))
-    rows = rows.withColumn("place", place)
+    rows = rows.join(known, (s["kind"] == "claim") & (s["claim_id"] == F.col("_claim")), "left")
+    source = lambda path, sha: F.concat(path, F.lit("\n"), sha)
+    quote = F.struct(source(s["source_path"], s["source_sha256"]).alias("source"), s["exact_quote"].alias("exact"), s["prefix"].alias("prefix"), s["suffix"].alias("suffix"))
+    rows = rows.withColumn("_quote", F.when(s["kind"] == "text", quote)).withColumn("_ident", F.sha2(F.to_json("_quote"), 256))
+    asked = rows.where("_quote is not null").select("_quote.*", F.col("_ident").alias("ident")).dropDuplicates(["ident"])
+    texts = sources.select(source(F.col("source_path"), F.col("source_sha256")).alias("source"), "text").dropDuplicates(["source"])
+    places = anchored_quotes(asked, texts).where("n = 1").select(F.col("ident").alias("_ident"), F.struct("start", "end").alias("place"))
+    rows = rows.join(places, "_ident", "left")
     status = vl.ladder([(s["kind"] == "review", "current"), (F.col("_claim").isNotNull(), "current"), (F.col("place.start").isNotNull(), "current")], "orphaned")
     return rows.select("submission_id", "revision", s["kind"].alias("kind"), F.col("content.stance").alias("stance"), status.alias("anchor_status"), "place.start", "place.end")
 

@@ -147,3 +147,40 @@ def test_network_totals_need_no_pairs(spark):
         assert (got.mean_roles, got.n_links, got.weight) == (want.mean_roles, want.n_links, want.weight)
         assert want.weight is None or got.strongest == want.strongest
         edges.unpersist()
+
+
+NOISY = "  A “b”—c­ ﬁ\n\t x ¨y ﷺ … ‘it’s’ 2− 3\u00a0\u2003end.  "
+
+
+def test_normal_form_keeps_places():
+    from claimloom.operators import anchors
+
+    for text in [NOISY, "", " ", "plain", "a  b", NOISY * 3, "\U0001f600 \u00ad x"]:
+        form, starts, ends = anchors.normalised(text)
+        plain, at, upto = [], [], []
+        for i, c in enumerate(text):
+            for k in anchors._plain(c):
+                if k == " " and plain and plain[-1] == " ":
+                    upto[-1] = i + 1
+                    continue
+                plain.append(k)
+                at.append(i)
+                upto.append(i + 1)
+        assert (form, list(starts), list(ends)) == ("".join(plain), at, upto)
+
+
+def test_many_quotes_of_one_source(spark, monkeypatch):
+    from claimloom.functions import text as tx
+    from claimloom.operators import anchors
+
+    rng = random.Random(12)
+    texts = {"a": " ".join(rng.choice(["cells “grow”", "naïve — so", "it’s", "ﬁne", "x"]) for _ in range(400)), "b": NOISY, "c": "", "d": "aXaaa"}
+    quotes = [("b", '"b"-c', "A", "fi"), ("b", "it's", "", ""), ("b", "END.", "", ""), ("d", "aa", "", ""), ("d", "X", "a", "a"), ("d", "a", "", "X"), ("c", "x", "", ""), ("b", " ", "", ""), ("b", None, None, None), ("gone", "x", "", ""), ("d", "aXaaa", None, None)]
+    for _ in range(600):
+        i, j = sorted(rng.sample(range(len(texts["a"])), 2))
+        quotes.append(("a", texts["a"][i : min(j, i + 30)].replace("“", '"'), texts["a"][max(0, i - 6) : i] if rng.random() < 0.5 else "", ""))
+    rows = [(s, str(i), e, p, x) for i, (s, e, p, x) in enumerate(quotes)]
+    found = anchors.anchored_quotes(spark.createDataFrame(rows, "source string, ident string, exact string, prefix string, suffix string"), spark.createDataFrame(list(texts.items()), "source string, text string"), block=50)
+    got = {r.ident: (r.start, r.end) if r.n == 1 else None for r in found.collect()}
+    want = {str(i): tx.find_unique(texts[s], e or "", p or "", x or "") for i, (s, e, p, x) in enumerate(quotes) if s in texts}
+    assert got == want and sum(x is not None for x in want.values()) > 100
