@@ -344,3 +344,23 @@ def q93_references(spark, sf):
     rows = t(spark, sf, "orders").select(k.alias("claim_id"), F.when(k % 3 == 0, F.array(context)).otherwise(F.slice(F.array(context), 1, 0)).alias("citation_contexts"), F.array(_s("c", k)).alias("citation_keys"), context.alias("context"), F.when(k % 3 == 1, "legacy").alias("old"))
     shown = rows.select("claim_id", F.coalesce(F.get(releases.shown_passages(F.col("context"), F.col("old")), 0)["verification_status"], F.lit("none")).alias("shown"))
     return releases.references(rows).join(shown, "claim_id").select(F.col("claim_id").alias("k"), "ord", "cite_key", "doi", "shown")
+
+
+@query("""with l as (select l_orderkey as k, l_partkey as p, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) as i, count(*) over (partition by l_orderkey) as n from lineitem),
+nodes as (select o_orderkey as k, 0 as depth, '' as path, 'root' as kind, null as value from orders
+union all select k, i, '0' || repeat('/0', (i - 1)::int), 'section', null from l union all select k, i + 1, '0' || repeat('/0', (i - 1)::int) || '/1', case when p % 4 = 0 then 'heading' else 'paragraph' end, 'P' || p from l
+union all select k, i + 1, '0' || repeat('/0', (i - 1)::int) || '/2', 'claim', 'c' from l)
+select nodes.k, depth::int as depth, path, kind, value, case when kind = 'claim' and p % 4 <> 0 then left(path, length(path) - 1) || '1' end as about from nodes left join l on l.k = nodes.k and l.i = depth - 1 and kind = 'claim'""")
+def q94_tree_rows(spark, sf):
+    """Orders as trees as deep as they have lines, flattened; each claim with the paragraph before it, unless a heading is between."""
+    from claimloom.operators import trees
+
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    lines = t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("x"))
+    leaf = lambda x: F.concat(F.lit('{"type":"'), F.when(x["l_partkey"] % 4 == 0, "heading").otherwise("paragraph"), F.lit('","value":"P'), x["l_partkey"].cast("string"), F.lit('"},{"type":"claim","value":"c"}'))
+    nested = F.aggregate(F.reverse("x"), F.lit('{"type":"none"}'), lambda acc, x: F.concat(F.lit('{"type":"section","children":['), acc, F.lit(","), leaf(x), F.lit("]}")))
+    text = F.concat(F.lit('{"type":"root","children":['), F.when(F.col("x").isNotNull(), nested).otherwise(""), F.lit("]}"))
+    rows = trees.tree_rows(t(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(F.col("o_orderkey").alias("k"), text.alias("text")), "k", "text").where("kind <> 'none'")
+    near = trees.sibling_before(rows, "k", F.col("kind") == "paragraph", F.col("kind") == "heading", "about")
+    shown = lambda c: F.array_join(F.transform(c, lambda i: i.cast("string")), "/")
+    return near.select("k", "depth", shown("path").alias("path"), "kind", "value", F.when(F.col("kind") == "claim", shown("about")).alias("about"))

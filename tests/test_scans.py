@@ -184,3 +184,55 @@ def test_many_quotes_of_one_source(spark, monkeypatch):
     got = {r.ident: (r.start, r.end) if r.n == 1 else None for r in found.collect()}
     want = {str(i): tx.find_unique(texts[s], e or "", p or "", x or "") for i, (s, e, p, x) in enumerate(quotes) if s in texts}
     assert got == want and sum(x is not None for x in want.values()) > 100
+
+
+def test_trees_of_unknown_depth(spark):
+    import json
+
+    from claimloom.operators import trees
+
+    rng = random.Random(13)
+
+    def grow(depth):
+        node = {"type": rng.choice(["paragraph", "claim", "heading", "text"]), "value": f"v{rng.randrange(99)} "}
+        return node | ({"children": [grow(depth - 1) for _ in range(rng.randrange(4))]} if depth and rng.random() < 0.8 else {})
+
+    made = {str(i): grow(i) for i in range(12)} | {"odd": [1, 2], "number": 5, "strange": {"children": {"a": 1}}}
+    chain = {"type": "end", "value": "x"}
+    for _ in range(30):
+        chain = {"type": "link", "children": [chain]}
+    made["chain"] = chain
+    texts = [(k, json.dumps(v)) for k, v in made.items()] + [("bad", "{"), ("null", None)]
+    want, about, order = {}, {}, {}
+
+    def walk(k, node, path):
+        kids = node.get("children") if isinstance(node, dict) and isinstance(node.get("children"), list) else []
+        want[k, path] = (len(path), node.get("type") if isinstance(node, dict) else None, node.get("value") if isinstance(node, dict) else None, len(kids))
+        order.setdefault(k, []).append(path)
+        anchor = None
+        for i, kid in enumerate(kids):
+            kind = kid.get("type")
+            about[k, (*path, i)] = None if kind == "heading" else anchor
+            anchor = (*path, i) if kind == "paragraph" else None if kind == "heading" else anchor
+            walk(k, kid, (*path, i))
+
+    for k, tree in made.items():
+        walk(k, tree, ())
+    rows = trees.tree_rows(spark.createDataFrame(texts, "id string, text string"), "id", "text")
+    assert {(r.id, tuple(r.path)): (r.depth, r.kind, r.value, r.n_children) for r in rows.collect()} == want
+    near = trees.sibling_before(rows, "id", F.col("kind") == "paragraph", F.col("kind") == "heading", "about")
+    assert {(r.id, tuple(r.path)): r.about and tuple(r.about) for r in near.where("depth > 0").collect()} == about
+    claims = {(r.id, tuple(r.path)): r.n for r in trees.in_order(rows, "id", F.col("kind") == "claim", "n").collect()}
+    assert claims == {(k, p): i + 1 for k, ps in order.items() for i, p in enumerate([p for p in ps if want[k, p][1] == "claim"])}
+    said = {r.id: r.text for r in trees.text_content(rows, "id").collect()}
+    assert said == {k: "".join(want[k, p][2] or "" for p in ps) for k, ps in order.items() if any(want[k, p][2] for p in ps)}
+    below = {(r.id, tuple(r.under)): r.text for r in trees.text_content(rows, "id", "paragraph").collect()}
+    plain = {}
+    for k, ps in order.items():
+        for p in ps:
+            tops = [p[:n] for n in range(len(p) + 1) if want[k, p[:n]][1] == "paragraph"]
+            if tops and want[k, p][2]:
+                plain[k, tops[-1]] = plain.get((k, tops[-1]), "") + want[k, p][2]
+    assert below == plain
+    assert {r.depth: r.n for r in trees.widths(rows.where("id = 'chain'")).collect()} == dict.fromkeys(range(31), 1)
+    assert trees.tree_rows(spark.createDataFrame([], "id string, text string"), "id", "text").count() == 0
