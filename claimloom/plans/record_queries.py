@@ -364,3 +364,22 @@ def q94_tree_rows(spark, sf):
     near = trees.sibling_before(rows, "k", F.col("kind") == "paragraph", F.col("kind") == "heading", "about")
     shown = lambda c: F.array_join(F.transform(c, lambda i: i.cast("string")), "/")
     return near.select("k", "depth", shown("path").alias("path"), "kind", "value", F.when(F.col("kind") == "claim", shown("about")).alias("about"))
+
+
+@query("""with c as (select c_custkey as k, replace(replace(c_name, '\\', '\\\\'), '"', '\\"') as n, c_nationkey as nation, c_mktsegment as seg from customer),
+text as (select k, '{' || chr(10) || '  "id": "c' || k || '",' || chr(10) || '  "revision": ' || (k % 5) || ',' || chr(10) || '  "who": {' || chr(10) || '    "name": "say \\"' || n || '\\"\\n",' || chr(10) || '    "nation": ' || coalesce(nation::varchar, 'null') || ',' || chr(10) || '    "known": ' || (k % 2 = 0)::varchar || chr(10) || '  },' || chr(10)
+    || '  "marks": ' || case when k % 3 = 0 then '[]' else '[' || chr(10) || '    {' || chr(10) || '      "segment": "' || seg || '",' || chr(10) || '      "share": ' || case when k % 4 = 0 then (k % 7)::varchar else (k % 7)::varchar || '.5' end || chr(10) || '    },' || chr(10) || '    null' || chr(10) || '  ]' end || chr(10) || '}' || chr(10) as doc from c)
+select k, sha256(doc) as sha256, length(doc)::int as n_chars from text""")
+def q95_canonical_digests(spark, sf):
+    """Customers as nested documents with the digest of their canonical JSON, computed where the rows are."""
+    k = F.col("c_custkey")
+    share = (k % 7).cast("double") + F.when(k % 4 == 0, 0.0).otherwise(0.5)
+    mark = F.struct(F.col("c_mktsegment").alias("segment"), share.alias("share"))
+    rows = t(spark, sf, "customer").select(
+        k.alias("k"), _s("c", k).alias("id"), (k % 5).alias("revision"), F.struct(_s('say "', F.col("c_name"), '"\n').alias("name"), F.col("c_nationkey").alias("nation"), (k % 2 == 0).alias("known")).alias("who"),
+        F.when(k % 3 == 0, F.slice(F.array(mark), 1, 0)).otherwise(F.array(mark, F.lit(None))).alias("marks"),
+    )
+    columns = ["id", "revision", "who", "marks"]
+    told = sinks.canonical_digest(rows, columns, "sha256")
+    text = sinks.canonical_json(F.struct(*columns), rows.select(*columns).schema)
+    return told.select("k", "sha256", (F.length(text) + 1).alias("n_chars"))

@@ -11,6 +11,7 @@ from claimloom.plans.checks import Check, Rejected
 from claimloom.plans.versions import SHA256, STATUSES
 from claimloom.sources.schemas import PASSAGE
 from claimloom.sources.sinks import ROLE_TYPES, STATUS_IRIS
+from claimloom.sources.sinks import canonical_digest
 
 REQUIRED_ROLES = ["html_bundle", "claim_graph", "trust_report", "provenance"]
 #: Forms of versions and ids in release records.
@@ -40,10 +41,15 @@ def manifest_checks(manifests: DataFrame) -> list[Check]:
     ]
 
 
-def submission_references(manifests: DataFrame, submissions: DataFrame) -> DataFrame:
-    """Accepted submissions that a release names but that aren't there in that revision and with that digest; submissions have (submission_id, revision, sha256)."""
+def submission_references(manifests: DataFrame, submissions: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Accepted submissions that a release names but that aren't there in that revision and with that digest.
+
+    Submissions have (submission_id, revision, sha256); with ``columns`` the digest is that of each one's own canonical document
+    of these columns, in their order, whatever digest is stored.
+    """
+    there = canonical_digest(submissions.drop("sha256"), columns, "sha256") if columns else submissions
     named = manifests.select("release_id", F.explode("accepted_submissions").alias("s")).select("release_id", "s.*")
-    return named.join(submissions.select("submission_id", "revision", "sha256"), ["submission_id", "revision", "sha256"], "left_anti")
+    return named.join(there.select("submission_id", "revision", "sha256"), ["submission_id", "revision", "sha256"], "left_anti")
 
 
 def provenance_checks(rows: DataFrame, must_be_false: list[str], decisions: dict[str, tuple[str, str]], key: Column) -> list[Check]:

@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimloom.functions import text as tx
 from claimloom.functions import values as vl
@@ -104,3 +105,55 @@ def gate_document(name: str, results: DataFrame) -> dict:
 
 def to_json_stable(x: Column) -> Column:
     return F.to_json(x, {"ignoreNullFields": "false"})
+
+
+def _quoted(x: Column) -> Column:
+    """A text as JSON writes it; control characters without a short form have lower-case digits."""
+    out = F.to_json(F.struct(x.alias("v")))
+    out = F.substr(out, F.lit(6), F.length(out) - 6)
+    for high in "01":
+        for low in "ABCDEF":
+            out = F.regexp_replace(out, rf"(?<!\\)((?:\\\\)*)\\u00{high}{low}", rf"$1\\u00{high}{low.lower()}")
+    return out
+
+
+def _whole_number(x: Column) -> Column:
+    """A number as JSON writes it from a double: whole ones without a fraction; null where it isn't finite."""
+    whole = (F.abs(x) < 1e15) & (x % 1 == 0)
+    return F.when(whole, x.cast("bigint").cast("string")).when(~F.isnan(x) & (F.abs(x) != float("inf")), x.cast("string"))
+
+
+def canonical_json(x: Column, kind: T.DataType, indent: int = 2, deep: int = 0) -> Column:
+    """The text of :func:`stable_json` (without its last line feed) as a Column, for values of any nested type.
+
+    Two spaces a level, members in the order of the struct's fields or the map's entries, null for null, dates and other types as
+    their text. What the driver does for one document is done for each row where the row is. Doubles are written as whole numbers
+    where they are whole; beyond seven digits before or after the point they may be written in another form than elsewhere.
+    """
+    pad, end = " " * (indent * (deep + 1)), "\n" + " " * (indent * deep)
+
+    def block(items: Column, opening: str, closing: str) -> Column:
+        joined = F.array_join(F.transform(items, lambda i: F.concat(F.lit(pad), i)), ",\n")
+        return F.when(F.size(items) == 0, opening + closing).otherwise(F.concat(F.lit(opening + "\n"), joined, F.lit(end + closing)))
+
+    inner = lambda v, t: canonical_json(v, t, indent, deep + 1)
+    if isinstance(kind, T.StructType):
+        text = block(F.array(*[F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ": "), inner(x[f.name], f.dataType)) for f in kind.fields]) if kind.fields else F.array().cast("array<string>"), "{", "}")
+    elif isinstance(kind, T.ArrayType):
+        text = block(F.transform(x, lambda v: inner(v, kind.elementType)), "[", "]")
+    elif isinstance(kind, T.MapType):
+        text = block(F.transform(F.map_entries(x), lambda e: F.concat(_quoted(e["key"].cast("string")), F.lit(": "), inner(e["value"], kind.valueType))), "{", "}")
+    elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        text = x.cast("string")
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        text = _whole_number(x.cast("double"))
+    else:
+        text = _quoted(x.cast("string"))
+    return F.when(x.isNull(), "null").otherwise(F.coalesce(text, F.lit("null")))
+
+
+def canonical_digest(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """``df`` with the SHA-256 of each row's canonical JSON document of ``columns``, which is :func:`digest` of the same document."""
+    kinds = {f.name: f for f in df.schema.fields}
+    text = canonical_json(F.struct(*columns), T.StructType([kinds[c] for c in columns]))
+    return df.withColumn(name, F.sha2(F.concat(text, F.lit("\n")), 256))

@@ -80,3 +80,39 @@ def test_public_submissions_and_directives(spark):
     make = lambda **kw: spark.createDataFrame([("f", 0, options | kw)], "file string, ord int, options map<string,string>")
     assert failed(submissions.directive_checks(make())) == set()
     assert failed(submissions.directive_checks(make(**{"review-version": "1.2", "submission-ids": "a,a"}))) == {"review version", "submission ids are unique"}
+
+
+def test_canonical_json_of_every_row(spark):
+    import json
+
+    from claimloom.sources import sinks
+
+    schema = "a string, b array<struct<x:int,y:array<string>>>, c map<string,struct<z:boolean,w:double>>, d struct<e:bigint,f:string>, g array<array<int>>"
+    nasty = "q\" b\\ /\n\t\r\b\f \x01\x1f\x7f \\u001F é 漢 \U0001f600 \u2028"
+    rows = [
+        (nasty, [{"x": 1, "y": [nasty, None, ""]}, {"x": None, "y": []}, None], {"k\"é": {"z": True, "w": 2.5}}, {"e": -5, "f": None}, [[], [1, 2], None]),
+        (None, [], {}, None, None), ("", None, None, {"e": 2**53, "f": "x"}, [[]]), ("x", [{"x": 0, "y": None}], {"b": {"z": False, "w": 40.0}}, {"e": None, "f": "\\\\u001A"}, []),
+    ]
+    frame = spark.createDataFrame(rows, schema)
+    text = sinks.canonical_json(F.struct(*frame.columns), frame.schema)
+    whole = lambda v: {k: whole(x) for k, x in v.items()} if isinstance(v, dict) else [whole(x) for x in v] if isinstance(v, list) else int(v) if isinstance(v, float) and v.is_integer() else v
+    members = frame.columns
+    docs = [whole(dict(zip(members, r))) for r in rows]
+    got = [r.t for r in frame.select(text.alias("t")).collect()]
+    assert [g + "\n" for g in got] == [sinks.stable_json(d) for d in docs]
+    assert [json.loads(g) for g in got] == docs
+    ordered = spark.range(1).select(F.create_map(F.lit("z"), F.lit(1), F.lit("a"), F.lit(None).cast("int")).alias("m"))
+    assert ordered.select(sinks.canonical_json(F.col("m"), ordered.schema["m"].dataType)).first()[0] + "\n" == sinks.stable_json({"z": 1, "a": None})
+    assert [r.h for r in sinks.canonical_digest(frame, members, "h").collect()] == [sinks.digest(d) for d in docs]
+
+
+def test_named_submissions_are_digested(spark):
+    from claimloom.sources import sinks
+
+    docs = [{"submission_id": "s", "revision": 1, "body": "é"}, {"submission_id": "t", "revision": 2, "body": None}]
+    there = spark.createDataFrame([d | {"sha256": "stored"} for d in docs], "submission_id string, revision int, body string, sha256 string")
+    named = [(d["submission_id"], d["revision"], sinks.digest(d)) for d in docs]
+    schema = "release_id string, accepted_submissions array<struct<submission_id:string,revision:int,sha256:string>>"
+    columns = ["submission_id", "revision", "body"]
+    assert rl.submission_references(spark.createDataFrame([("r", named)], schema), there, columns).count() == 0
+    assert rl.submission_references(spark.createDataFrame([("r", named)], schema), there.withColumn("body", F.lit("changed")), columns).count() == 2
