@@ -123,9 +123,14 @@ def replication(status: Column) -> Column:
     return F.coalesce(vl.lookup(REPLICATION, folded), F.lit("unknown"))
 
 
+#: Fixed value: the tier of findings that count as replicated.
+REPLICATED_TIER = "independently_replicated"
+
+
 def section_rollup(findings: DataFrame, found_conflicts: DataFrame, figures: DataFrame, packages: DataFrame) -> DataFrame:
-    """Per section: findings, conflicts, figures, papers (stated, else total findings, else counted) and replicated percent."""
-    n = findings.groupBy("section").agg(F.count("*").alias("n_findings"), F.count_distinct("doi").alias("n_dois"), F.avg((replication(F.col("replication_status")) == "replicated").cast("int")).alias("r"))
+    """Per section: findings, conflicts, figures, papers (stated, else total findings, else counted) and the percent in the replicated tier (by status where findings have no tier)."""
+    replicated = F.coalesce(F.col("tier") == REPLICATED_TIER, F.lit(False)) if "tier" in findings.columns else replication(F.col("replication_status")) == "replicated"
+    n = findings.groupBy("section").agg(F.count("*").alias("n_findings"), F.count_distinct("doi").alias("n_dois"), F.avg(replicated.cast("int")).alias("r"))
     c = found_conflicts.groupBy("section").agg(F.count("*").alias("n_conflicts"))
     f = figures.groupBy("section").agg(F.count("*").alias("n_figures"))
     rows = packages.select("section", "unique_papers", "total_findings").join(n, "section", "left").join(c, "section", "left").join(f, "section", "left").fillna(0, ["n_findings", "n_conflicts", "n_figures", "n_dois"])
@@ -157,6 +162,48 @@ def finding_checks(findings: DataFrame) -> DataFrame:
     )
 
 
+def finding_provenance(findings: DataFrame, papers: DataFrame) -> DataFrame:
+    """Findings with where their source sentence comes from: ``papers`` has (doi, title, abstract).
+
+    The whole sentence stands in the abstract of a paper of which only that was read, and not in that of one read in full; it isn't
+    the title; a cite key is there. A paper without an abstract can't prove a sentence; that of a paper read in full needs none.
+    """
+    rows = findings.join(papers.select("doi", F.col("title").alias("_title"), F.col("abstract").alias("_abstract")), "doi", "left")
+    said = F.coalesce(F.contains("_abstract", "claim_source_sentence"), F.lit(False))
+    proven = F.when(F.col("text_access") == "abstract_only", said).when(F.col("text_access") == "fulltext", ~said).otherwise(False)
+    title = F.coalesce(F.trim("claim_source_sentence") == F.trim("_title"), F.lit(False))
+    return rows.select(*findings.columns, proven.alias("source_is_proven"), (~title).alias("source_is_not_title"), (F.coalesce("cite_key", F.lit("")) != "").alias("has_cite_key"))
+
+
+#: What a paper of the package that isn't cited may be.
+COVERAGE = ["SHOULD_CITE", "WAIVED_OUT_OF_SCOPE", "WAIVED_REDUNDANT", "WAIVED_LOW_QUALITY"]
+
+
+def coverage_counts(package: DataFrame, cited: DataFrame, review: DataFrame) -> DataFrame:
+    """One row: papers of the package that are cited, and of each class; whether all adds up, and every uncited paper is reviewed once.
+
+    All have ``cite_key``, ``review`` a ``classification`` too. A review of a cited paper, a second one, or a class that isn't
+    known unbalances the account.
+    """
+    own = package.select("cite_key").distinct().join(cited.select("cite_key", F.lit(True).alias("cited")).distinct(), "cite_key", "left")
+    told = review.groupBy("cite_key").agg(F.count("*").alias("n_reviews"), F.max("classification").alias("classification"))
+    rows = own.join(told, "cite_key", "full")
+    is_cited, of = F.col("cited").isNotNull(), lambda c: F.count_if(F.col("classification") == c).alias(c.lower())
+    counts = rows.agg(
+        F.count_if(is_cited).alias("cited"), *[of(c) for c in COVERAGE],
+        F.coalesce(F.every((is_cited & F.col("n_reviews").isNull()) | (~is_cited & (F.coalesce("n_reviews", F.lit(0)) == 1))), F.lit(True)).alias("each_once"),
+    )
+    total = package.agg(F.count_distinct("cite_key").alias("in_package"))
+    parts = sum((F.col(c.lower()) for c in COVERAGE), F.col("cited"))
+    return counts.crossJoin(total).withColumn("balanced", (parts == F.col("in_package")) & F.col("each_once"))
+
+
+def should_cite(review: DataFrame, cited: DataFrame, waivers: DataFrame) -> DataFrame:
+    """Keys that the review wants cited, and that are neither cited now nor waived by the writer."""
+    wanted = review.where(F.col("classification") == COVERAGE[0]).select("cite_key").distinct()
+    return wanted.join(cited.select("cite_key"), "cite_key", "left_anti").join(waivers.select("cite_key"), "cite_key", "left_anti")
+
+
 def rates(findings: DataFrame) -> DataFrame:
     """Shares at two grains, clusters and overall, with their gates."""
     share = lambda c: F.round(F.avg(F.coalesce(c, F.lit(False)).cast("int")), 4)

@@ -287,16 +287,22 @@ def honest_fulltext(records: DataFrame) -> DataFrame:
     return records.where("text_access = 'fulltext'").where(~((F.length("raw") > 15 * 1024) & F.contains("raw", F.lit("<body"))))
 
 
-#: First bytes of files by extension.
-SIGNATURES = {"png": "89504E47", "jpg": "FFD8FF", "jpeg": "FFD8FF", "pdf": "25504446", "gif": "47494638", "svg": "3C"}
+#: The first eight bytes of a PNG file; how the first line with anything on it begins; what a bibliography has.
+PNG = "89504E470D0A1A0A"
+FIRST_LINE = {"tex": ("%", "\\"), "md": ("#", "---")}
+ENTRIES = ("@article", "@misc")
 
 
 def signature_problems(files: DataFrame) -> DataFrame:
-    """Files (path, content) whose first bytes don't suit their extension."""
+    """Files (path, content) that aren't what their extension says; other extensions have no rule."""
     extension = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]+)$", 1))
-    wanted = vl.lookup(SIGNATURES, extension)
-    first = F.hex(F.substring("content", 1, 8))
-    return files.where(wanted.isNotNull() & ~F.startswith(first, wanted)).select("path")
+    text = F.decode("content", "UTF-8")
+    line = F.regexp_extract(text, r"^\s*(\S[^\r\n]*)", 1)
+    begins = lambda marks: F.coalesce(*[F.when(F.startswith(line, F.lit(m)), F.lit(True)) for m in marks], F.lit(False))
+    sound = F.when(extension == "png", F.hex(F.substring("content", 1, 8)) == PNG).when(extension == "bib", F.contains(text, F.lit(ENTRIES[0])) | F.contains(text, F.lit(ENTRIES[1])))
+    for kind, marks in FIRST_LINE.items():
+        sound = sound.when(extension == kind, begins(marks))
+    return files.where(~F.coalesce(sound.otherwise(True), F.lit(False))).select("path")
 
 
 def uniform_sentences(findings: DataFrame) -> DataFrame:

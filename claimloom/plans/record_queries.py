@@ -287,22 +287,23 @@ def q89_author_network(spark, sf):
     """Each contributor's links and their weight in the network of shared roles and sections."""
     people = _people(spark, sf)
     sections = people.join(t(spark, sf, "supplier").select(_s("Ann ", F.col("s_name")).alias("person"), F.col("s_nationkey").cast("string").alias("section")), "person").select("person", "section")
-    return authorship.node_totals(authorship.network(people, sections))
+    return authorship.network_totals(people, sections)[0]
 
 
 @query("""with p as (select 'Ann ' || s_name as person, s_name as n, s_suppkey as k, case when s_suppkey % 4 <> 0 then '20' || lpad((s_suppkey % 20)::varchar, 2, '0') || '-0' || (s_suppkey % 9 + 1) else '9999' end as joined from supplier)
 select person, row_number() over (order by joined, k)::int as by_joining, row_number() over (order by case k % 3 when 0 then 0 when 1 then -3 else -1 end, n, person)::int as by_level, k % 3 = 0 as programs, contains(lower(person), '1') as hit from p""")
 def q90_author_orders(spark, sf):
-    """Places of contributors by joining and by level in a role, role members and search; contributors are few, so that one task ranks them."""
-    from pyspark.sql.window import Window
+    """Places of contributors by joining and by level in a role, role members and search."""
+    from claimloom.operators.scans import numbered
 
     people = _people(spark, sf)
-    place = lambda rows, name: rows.coalesce(1).withColumn("_at", F.monotonically_increasing_id()).select("person", F.row_number().over(Window.orderBy("_at")).alias(name))
+    place = lambda rows, by, name: numbered(rows.select("person", *[c.alias(f"_{i}") for i, c in enumerate(by)]), [], [f"_{i}" for i in range(len(by))], name).select("person", F.col(name).cast("int").alias(name))
     levels = people.where("ord % 3 <> 0").select("person", F.lit("data curation").alias("role"), F.when(F.col("ord") % 3 == 1, "lead").otherwise("supporting").alias("level"))
     roles = spark.createDataFrame([(0, "Software"), (1, "Funding")], "role_ord int, role string")
     programs = authorship.role_members(people, roles).where("role = 'Software'").select(F.explode("members").alias("person"), F.lit(True).alias("programs"))
     hit = authorship.matches(people.withColumn("institutions", F.array().cast("array<string>")), "1").select("person", F.lit(True).alias("hit"))
-    rows = place(authorship.by_joining(people), "by_joining").join(place(authorship.by_level(people, levels, "Data Curation"), "by_level"), "person")
+    joined = place(people, [F.coalesce("joined", F.lit("9999")), F.col("ord")], "by_joining")
+    rows = joined.join(place(authorship.by_level(people, levels, "Data Curation"), [-F.col("rank"), tx.last_name("person"), F.col("person")], "by_level"), "person")
     return rows.join(programs, "person", "left").join(hit, "person", "left").fillna(False, ["programs", "hit"])
 
 

@@ -265,6 +265,21 @@ def test_relational_operators_hold_under_repartition(spark):
 
 
 
+def test_sources_of_findings_and_coverage(spark):
+    rows = [("10.1/a", "abstract_only", "We saw it.", "k"), ("10.1/a", "abstract_only", "We saw that.", "k"), ("10.1/a", "fulltext", "We saw it.", ""), ("10.1/a", "fulltext", "In the body.", None), ("10.1/a", "abstract_only", "A title", "k"), ("10.1/b", "abstract_only", "x", "k"), ("10.1/b", "fulltext", "x", "k"), ("10.1/a", "other", "We saw it.", "k")]
+    papers = spark.createDataFrame([("10.1/a", "A title", "Look. We saw it. A title")], "doi string, title string, abstract string")
+    got = evidence.finding_provenance(spark.createDataFrame(rows, "doi string, text_access string, claim_source_sentence string, cite_key string"), papers)
+    told = {(r.doi, r.text_access, r.claim_source_sentence): (r.source_is_proven, r.source_is_not_title, r.has_cite_key) for r in got.collect()}
+    assert [told[r[:3]] for r in rows] == [(True, True, True), (False, True, True), (False, True, False), (True, True, False), (True, False, True), (False, True, True), (True, True, True), (False, True, True)]
+    keys = lambda *xs: spark.createDataFrame([(x,) for x in xs], "cite_key string")
+    review = lambda *xs: spark.createDataFrame(list(xs), "cite_key string, classification string")
+    account = lambda *xs: evidence.coverage_counts(keys("a", "b", "c", "d"), keys("a", "z"), review(*xs)).first()
+    full = [("b", "SHOULD_CITE"), ("c", "WAIVED_REDUNDANT"), ("d", "WAIVED_LOW_QUALITY")]
+    assert account(*full).asDict() == {"cited": 1, "should_cite": 1, "waived_out_of_scope": 0, "waived_redundant": 1, "waived_low_quality": 1, "each_once": True, "in_package": 4, "balanced": True}
+    assert not any(account(*xs).balanced for xs in (full[:2], [*full, full[0]], [*full, ("a", "SHOULD_CITE")], [*full[:2], ("d", "OTHER")], [*full, ("y", "SHOULD_CITE")]))
+    assert [r.cite_key for r in evidence.should_cite(review(*full, ("e", "SHOULD_CITE"), ("f", "SHOULD_CITE")), keys("e"), keys("f")).collect()] == ["b"]
+
+
 def plain_snowball(seeds, edges, rounds, most, scores, accepted):
     seen, log, refused = {x: 0 for x in seeds}, [], set()
     for n in range(1, rounds + 1):

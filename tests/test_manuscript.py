@@ -173,8 +173,11 @@ def test_keys_triples_conflicts(spark):
 
 
 def test_records_phases_gates(spark):
-    files = frame(spark, [("a.png", bytearray(b"\x89PNG....")), ("b.pdf", bytearray(b"<html>")), ("c.txt", bytearray(b"x"))], "path string, content binary")
-    assert [r.path for r in ms.signature_problems(files).collect()] == ["b.pdf"]
+    png = bytes.fromhex(ms.PNG)
+    good = [("a.png", png + b"x"), ("a.tex", b"\n  % note\n"), ("b.tex", b"\\documentclass"), ("a.bib", b"x @misc{a}"), ("a.md", b"\n# T"), ("b.MD", b"---\n"), ("c.pdf", b"<html>"), ("noext", b"")]
+    bad = [("c.png", png[:7]), ("d.png", b"\x89PNG...."), ("c.tex", b"text"), ("d.tex", b""), ("b.bib", b"@book{a}"), ("c.md", b"text\n# T"), ("d.md", b"\n")]
+    files = frame(spark, [(p, bytearray(c)) for p, c in good + bad], "path string, content binary")
+    assert sorted(r.path for r in ms.signature_problems(files).collect()) == sorted(p for p, _ in bad)
     records = frame(spark, [("fulltext", "<body>" + "x" * 20000), ("fulltext", "x"), ("abstract_only", "x")], "text_access string, raw string")
     assert ms.honest_fulltext(records).count() == 1
     findings = frame(spark, [(1, "d", "s", "g", 1, "c1"), (1, "e", "s", "g", 2, "c1"), (2, "d", "s", "h", 3, "c2")], "section int, doi string, claim_source_sentence string, group string, finding_id int, cluster string")
