@@ -246,7 +246,7 @@ def q87_citation_ladder(spark, sf):
     k = F.col("c_custkey")
     on = lambda m: k % m == 0
     rows = t(spark, sf, "customer").select(
-        _s("k", k).alias("cite_key"), _s("10.1/", k).alias("doi"), F.when(on(7), "The cell story about rocks").otherwise("The cell cycle of plants").alias("title"), F.when(on(5), F.array(F.lit("Lee, K."))).when(on(3), F.array(F.lit("Muller, {J}."), F.lit("Bhatt, D."))).otherwise(F.array(F.lit("Muller, {J}."))).alias("authors"),
+        _s("k", k).alias("cite_key"), _s("10.1/", k).alias("doi"), F.when(on(7), "The cell story about rocks").otherwise("The cell cycle of plants").alias("title"), F.when(on(5), F.array(F.lit("Lee, K."))).when(on(3), F.array(F.lit("Muller, {J}."), F.lit("Wong, D."))).otherwise(F.array(F.lit("Muller, {J}."))).alias("authors"),
         F.when(on(13), 2000).otherwise(2001).alias("year"), F.when(on(17), "Rocks").otherwise("Cells & Plants").alias("journal"), F.when(on(19), "7").otherwise("8").alias("volume"), _s("It grew by ", F.when(on(23), "12.5").otherwise("40"), " %").alias("claim"), k,
     )
     known = rows.where("c_custkey % 11 <> 0").select("doi", F.lit("The cell cycle of PLANTS").alias("title"), F.array(F.lit("Müller J")).alias("authors"), F.lit(2001).alias("year"), F.lit("cells plants").alias("journal"), F.lit("8").alias("volume"), F.lit("Growth of 40 % was seen.").alias("abstract"))

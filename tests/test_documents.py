@@ -196,7 +196,7 @@ def test_evidence_rollups(spark):
     full = {"doi": "10.1/a", "title": title, "authors": ["Müller, J.", "Lee, Kim"], "year": 2020, "journal": "Cell & Life", "volume": "4", "pages": "1-9", "abstract": "We saw 40 % and 3.5 mV."}
     cases = {
         "same": ({}, "VERIFIED"), "form": ({"authors": ["MULLER J", "Lee Kim"], "journal": "Cell Life", "title": title.upper()}, "VERIFIED"), "no record": ({"doi": "10.1/zz"}, "HALLUCINATED"), "title": ({"title": "Deep cells of another kind sleep"}, "CHIMERIC"), "half": ({"title": "Deep cells divide in light"}, "VERIFIED"),
-        "other authors": ({"authors": ["Wong, A."]}, "CHIMERIC"), "initials": ({"authors": ["Müller, K.", "Lee, Kim"]}, "MINOR"), "injected": ({"authors": ["Müller, J.", "Lee, Kim", "Bhatt, D."]}, "MINOR"), "missing": ({"authors": ["Müller, J."]}, "MINOR"), "year": ({"year": 2021}, "MINOR"), "journal": ({"journal": "Nature"}, "CHIMERIC"),
+        "other authors": ({"authors": ["Wong, A."]}, "CHIMERIC"), "initials": ({"authors": ["Müller, K.", "Lee, Kim"]}, "MINOR"), "injected": ({"authors": ["Müller, J.", "Lee, Kim", "Wong, D."]}, "MINOR"), "missing": ({"authors": ["Müller, J."]}, "MINOR"), "year": ({"year": 2021}, "MINOR"), "journal": ({"journal": "Nature"}, "CHIMERIC"),
         "year before journal": ({"year": 2019, "journal": "Nature"}, "MINOR"), "volume": ({"volume": "5"}, "MINOR"), "pages": ({"pages": "2-9"}, "MINOR"), "number": ({"claim": "It grew by 41 %."}, "MISATTRIBUTED"), "numbers": ({"claim": "It grew by 40 % at 3.5 mV."}, "VERIFIED"), "unknown year": ({"year": None}, "VERIFIED"),
     }
     schema = "cite_key string, doi string, title string, authors array<string>, year int, journal string, volume string, pages string, claim string"
