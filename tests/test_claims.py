@@ -400,3 +400,18 @@ def test_gates(spark):
     assert verdict("A fail", "B pass", attempt=2) == "FAIL_REQUIRES_USER_SIGNOFF"
     assert verdict("A blocked", "B blocked") == verdict() == verdict("A pass", "A blocked") == verdict("B pass") == "BLOCKED_DEPLOY_INACCESSIBLE"
     assert Check("x", told, F.lit(None).cast("boolean")).violations().count() == 3
+
+
+def test_radar_meets_claims_after_every_shuffle(spark):
+    """Records of one topic share its claims: no exchange carries pairs of records and claims, nor rows with claims in them."""
+    config = [(f"clm_{i:016x}", [f"10.1/{i}"], ["cell division"]) for i in range(40)]
+    feed = [record(i, title=f"On Cell-Division {i % 3}", related_dois=["10.1/7"] if i % 2 else []) for i in range(60)] + [record(99)]
+    asked, fed = spark.createDataFrame(config, schemas.RADAR_CLAIM), spark.createDataFrame(feed, schemas.RADAR_RECORD)
+    _, found = radar.run(asked, fed, asked.select("claim_id"), "2025-02-01T00:00:00Z")
+    got = found.collect()
+    assert len(got) == 60 and [r.proposal_id for r in got] == sorted(r.proposal_id for r in got)
+    assert all(r.affected_claim_ids == [c[0] for c in config] and len(r.rationale) == 40 + int(r.source.record_id[1:]) % 2 for r in got)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [" in plan[plan.index("Join") :] and "Sort [" not in plan[: plan.index("Join")] and "Aggregate" not in plan
+    told = radar.matches(asked, fed)
+    assert told.rows.count() == 60 and told.classes.count() == 1 and told.affected().count() == 40
