@@ -415,3 +415,21 @@ def test_radar_meets_claims_after_every_shuffle(spark):
     assert "Sort [" in plan[plan.index("Join") :] and "Sort [" not in plan[: plan.index("Join")] and "Aggregate" not in plan
     told = radar.matches(asked, fed)
     assert told.rows.count() == 60 and told.classes.count() == 1 and told.affected().count() == 40
+
+
+def test_outline_counts_what_the_backlog_holds(spark):
+    themes = spark.createDataFrame([(0, "trust-evidence", "T", "x", ["docs", "gone"]), (1, "docs", "D", "y", []), (2, "empty", "E", "z", [])], "theme_ord int, theme_id string, title string, owner string, depends_on array<string>")
+    rows = [(f"proposal-b{i:02}", "validator", "docs", "A long title", ["low", "critical"][i % 5 == 3], [f"clm_{i % 4:016x}", f"clm_{i % 3:016x}"], ["README.md"], False) for i in range(20)]
+    config = spark.createDataFrame(CONFIG, schemas.RADAR_CLAIM)
+    found = radar.matches(config, spark.createDataFrame([record(1, doi="10.1/abc"), record(2, title="cell division")], schemas.RADAR_RECORD))
+    own = spark.createDataFrame(rows, schemas.PROPOSAL)
+    plan = {r.theme_id: r for r in planner.backlog(own.unionByName(planner.from_radar(found.whole())), themes, POLICY).collect()}
+    claims = own.select("theme", F.explode("affected_claim_ids").alias("claim_id")).unionByName(found.affected().select(F.lit("trust-evidence").alias("theme"), "claim_id"))
+    told = planner.outline(own.drop("affected_claim_ids").unionByName(planner.radar_rows(found.rows)), claims, themes, POLICY).collect()
+    assert [r.theme_id for r in told] == list(plan) == ["trust-evidence", "docs"]
+    for r in told:
+        p = plan[r.theme_id]
+        assert (r.n_proposals, r.first_id, r.n_claims) == (len(p.proposals), p.proposals[0].proposal_id, len(p.affected_claim_ids))
+        assert (r.scientific_approval_required, r.depends_on) == (p.scientific_approval_required, p.depends_on)
+    with pytest.raises(Rejected, match="claim ids"):
+        planner.outline(own.drop("affected_claim_ids"), claims.withColumn("claim_id", F.lit("x")), themes, POLICY)
