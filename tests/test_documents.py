@@ -293,6 +293,16 @@ def plain_snowball(seeds, edges, rounds, most, scores, accepted):
     return seen, log
 
 
+def test_snowball_through_groups_makes_no_edges(spark):
+    """A group of a thousand members makes rows in proportion to its members, not to its pairs, and the same nodes as its edges."""
+    rows = [(1, m) for m in range(1000)] + [(2, 5), (2, 2000), (3, 2000), (3, 2001), (4, 7000), (None, 0), (None, 8000), (5, None), (5, 1)]
+    frame = spark.createDataFrame(rows, "g int, m int")
+    reached = rel.through(frame, "g", "m")
+    assert reached(spark.createDataFrame([(0,), (1,), (2,)], "node int")).count() == 1001  # group 1's members and the one of group 5
+    got = rel.snowball(spark.createDataFrame([(0,)], "node int"), reached, 3)
+    assert {(r.node, r.round) for r in got.collect()} == {(0, 0), *((m, 1) for m in range(1, 1000)), (2000, 2), (2001, 3)}
+
+
 def test_snowball_expands_the_best_of_all_found(spark):
     rng = random.Random(6)
     edges = list({(rng.randrange(80), rng.randrange(80)) for _ in range(160)})
