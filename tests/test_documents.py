@@ -293,6 +293,17 @@ def plain_snowball(seeds, edges, rounds, most, scores, accepted):
     return seen, log
 
 
+def test_pairs_are_dealt_to_tasks_by_their_number(spark):
+    """Tasks for pairs follow from the number of pairs, not from the session's partitions; the pairs stay the same."""
+    rows = [(g, m) for g in range(60) for m in range(g, g + 9)] + [(99, m) for m in range(70)]
+    frame = spark.createDataFrame(rows, "g int, m int")
+    plain = rel.co_members(frame, "g", "m", "n")
+    dealt = rel.co_members(frame, "g", "m", "n", block=20, each=200)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
+    pairs = 60 * 36 + 70 * 69 // 2
+    assert rel.parts_for(pairs, 200) == 23 and dealt.rdd.getNumPartitions() == 23
+
+
 def test_snowball_through_groups_makes_no_edges(spark):
     """A group of a thousand members makes rows in proportion to its members, not to its pairs, and the same nodes as its edges."""
     rows = [(1, m) for m in range(1000)] + [(2, 5), (2, 2000), (3, 2000), (3, 2001), (4, 7000), (None, 0), (None, 8000), (5, None), (5, 1)]
