@@ -41,6 +41,15 @@ def test_places_equal_ranking_whole_groups(spark):
     assert bag(found.select("id", "g", "v", "place")) == sorted(expected, key=repr)
 
 
+def test_topics_shuffle_keys_and_no_tokens(spark):
+    hays = spark.createDataFrame([(i, f"cell word{i} mitosis") for i in range(20)], "doc bigint, hay string")
+    asked = spark.createDataFrame([(1, ["cell", "mitosis"]), (2, ["word3"]), (3, ["cell", "none"])], "q int, tokens array<string>")
+    found = rel.topic_hits(hays, "doc", asked, ["q"])
+    assert set(map(tuple, found.collect())) == {(i, 1) for i in range(20)} | {(3, 2)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan and not [x for x in plan.splitlines() if "Aggregate" in x and "tokens" in x]
+
+
 def test_topics_and_quotes_equal_trying_all_pairs(spark):
     rng = random.Random(6)
     words = ["cell", "cells", "subcellular", "mitosis", "abc", "xabcx", "of", "日本語", "the"]
