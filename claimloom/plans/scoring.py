@@ -45,35 +45,55 @@ def _is(x: Column) -> Column:
     return F.coalesce(x, F.lit(False))
 
 
+def _has(x: Column, *values) -> Column:
+    """An array has one of the values; plain array functions, unlike lambdas, are compiled."""
+    out = _is(F.array_contains(x, F.lit(values[0])))
+    for v in values[1:]:
+        out = out | _is(F.array_contains(x, F.lit(v)))
+    return out
+
+
+def _blank_doi(x: Column) -> Column:
+    """A context among the array of contexts ``x`` has no DOI."""
+    return _is(F.size(F.array_compact(x["doi"])) < F.size(x["doi"])) | _has(x["doi"], "")
+
+
 def verified_passage(p: Column, as_of: Column) -> Column:
     at = vl.moment(p["verified_at"])
     return _is((p["verification_status"] == "verified") & (p["locator"] != "") & p["verification_source"].startswith("https://") & (at <= as_of))
 
 
-def with_features(claims: DataFrame, as_of: str) -> DataFrame:
+#: Fields of a context that no rule of the score reads once its features are made.
+BULKY = ["passages", "integrity_checked_at", "integrity_check_source", "independence_basis", "notes"]
+
+
+def with_features(claims: DataFrame, as_of: str, slim: bool = False) -> DataFrame:
     """Each context with ``verified``, ``atoms`` (of its verified passages), ``supports`` and ``eligible``; computed once.
 
-    ``as_of`` bounds verification times; the wall clock is never read.
+    ``as_of`` bounds verification times; the wall clock is never read. ``slim`` contexts lose what only other plans read (``BULKY``),
+    as every further step copies them.
     """
     moment = F.lit(as_of).cast("timestamp")
 
-    def feature(c: Column) -> Column:
-        verified = F.filter(_array(c["passages"], PASSAGE), lambda p: verified_passage(p, moment))
+    def feature(held: Column) -> Column:
+        c, verified = held["c"], held["verified"]
         supports = _is(c["role"].isin(SUPPORT_ROLES))
         sound = _is((c["bibliography_status"] == "verified") & (c["integrity_status"] == "verified_no_known_issue") & c["direction_match"])
         return F.struct(
-            c.alias("c"),
+            (c.dropFields(*BULKY) if slim else c).alias("c"),
             (F.size(verified) > 0).alias("verified"),
             F.array_distinct(F.flatten(F.transform(verified, lambda p: _array(p["supports_claim_atoms"], "string")))).alias("atoms"),
             supports.alias("supports"),
             (sound & supports & (F.size(verified) > 0) & (F.size(_array(c["supports_claim_atoms"], "string")) > 0)).alias("eligible"),
         )
 
-    rows = claims.withColumn("contexts", F.transform(_array(F.col("citation_contexts"), CONTEXT), feature))
-    covered = lambda xs: F.array_distinct(F.flatten(F.transform(xs, lambda x: x["atoms"])))
+    proven = lambda c: F.filter(_array(c["passages"], PASSAGE), lambda p: verified_passage(p, moment))
+    held = F.transform(_array(F.col("citation_contexts"), CONTEXT), lambda c: F.struct(c.alias("c"), proven(c).alias("verified")))
+    rows = claims.withColumn("contexts", F.transform(held, feature))
+    covered = lambda xs: F.array_distinct(F.flatten(xs["atoms"]))
     indirect = lambda x: _is(x["c"]["role"].isin(INDIRECT_ROLES) | x["c"]["source_type"].isin(REVIEW_TYPES)) & _is((x["c"]["bibliography_status"] == "verified") & x["c"]["direction_match"]) & x["verified"]
     return (
-        rows.withColumn("atom_ids", F.transform(F.coalesce("claim_atoms", F.array().cast("array<struct<atom_id:string,text:string>>")), lambda a: a["atom_id"]))
+        rows.withColumn("atom_ids", F.coalesce("claim_atoms", F.array().cast("array<struct<atom_id:string,text:string>>"))["atom_id"])
         .withColumn("eligible", F.filter("contexts", lambda x: x["eligible"]))
         .withColumn("relied", F.filter("contexts", lambda x: x["supports"]))
         .withColumn("covered", covered(F.col("eligible")))
@@ -98,7 +118,7 @@ def wording_basis(text: Column, kind: Column) -> Column:
 
 
 def evidence_relation() -> Column:
-    contradicted = F.exists("contexts", lambda x: _is(x["c"]["role"] == "contradictory"))
+    contradicted = _has(F.col("contexts.c.role"), "contradictory")
     return vl.ladder(
         [
             (F.col("scope_status") == "overextended", "overextended"),
@@ -118,10 +138,10 @@ def _rules(rules: list[tuple[Column, int, str]], score: int, rule_id: str) -> Co
 
 def robustness() -> Column:
     none = F.size("eligible") == 0
-    primary = F.exists("eligible", lambda x: _is(x["c"]["source_type"] == "primary"))
+    primary = _has(F.col("eligible.c.source_type"), "primary")
     origin = F.exists("eligible", lambda x: _is((x["c"]["source_type"] == "primary") & (x["c"]["role"] == "direct_support")) & (F.size(F.array_except("atom_ids", x["atoms"])) == 0))
     grouped = F.filter("eligible", lambda x: _is(x["c"]["independence_group"] != ""))
-    groups = F.array_distinct(F.transform(grouped, lambda x: x["c"]["independence_group"]))
+    groups = F.array_distinct(F.array_remove(F.array_compact("eligible.c.independence_group"), ""))
     of_atom = lambda a: F.size(F.array_distinct(F.transform(F.filter(grouped, lambda x: F.array_contains(x["atoms"], a)), lambda x: x["c"]["independence_group"])))
     every_atom_twice = F.forall("atom_ids", lambda a: of_atom(a) >= 2)
     quiet = F.col("n_conflicts") == 0
@@ -148,13 +168,12 @@ def uncertainty() -> Column:
 
 
 def source_integrity() -> Column:
-    some = lambda f: F.exists("relied", lambda x: _is(f(x["c"])))
     every = lambda f: F.forall("relied", f)
-    no_doi = lambda c: c["doi"].isNull() | (c["doi"] == "")
+    c = F.col("relied.c")
     return _rules(
         [
-            (some(lambda c: c["bibliography_status"].isin("invented", "mismatch") | c["integrity_status"].isin("retracted", "expression_of_concern") | (c["direction_match"] == False)), 0, "S0_COMPROMISED"),  # noqa: E712
-            ((F.size("relied") == 0) | some(lambda c: c["bibliography_status"].isin("missing", "unverified") | no_doi(c)), 1, "S1_UNRESOLVED"),
+            (_has(c["bibliography_status"], "invented", "mismatch") | _has(c["integrity_status"], "retracted", "expression_of_concern") | _has(c["direction_match"], False), 0, "S0_COMPROMISED"),
+            ((F.size("relied") == 0) | _has(c["bibliography_status"], "missing", "unverified") | _blank_doi(c), 1, "S1_UNRESOLVED"),
             (every(lambda x: _is(x["c"]["integrity_status"] == "not_checked")), 2, "S2_UNCHECKED"),
             (~every(lambda x: _is((x["c"]["integrity_status"] == "verified_no_known_issue") & (x["c"]["source_type"] == "primary")) & x["verified"]), 3, "S3_MIXED_CHECKS"),
         ],
@@ -164,7 +183,7 @@ def source_integrity() -> Column:
 
 def scope() -> Column:
     status = F.col("scope_status")
-    unknown = F.exists("relied", lambda x: _is(x["c"]["scope_match"] == "unverified"))
+    unknown = _has(F.col("relied.c.scope_match"), "unverified")
     fits = F.forall("eligible", lambda x: _is(x["c"]["scope_match"].isin("exact", "not_applicable")))
     return _rules(
         [
@@ -194,7 +213,7 @@ def with_entries(claims: DataFrame, bibliography: DataFrame, authors: bool = Fal
     """
     told = canonical_entries(bibliography) if authors else bibliography.select("cite_key", F.struct("doi").alias("entry"))
     told = told.groupBy("cite_key").agg(F.max("entry").alias("entry"))
-    keys = F.array_distinct(F.concat(_array(F.col("citation_keys"), "string"), F.transform(_array(F.col("citation_contexts"), CONTEXT), lambda c: c["cite_key"])))
+    keys = F.array_distinct(F.concat(_array(F.col("citation_keys"), "string"), _array(F.col("citation_contexts"), CONTEXT)["cite_key"]))
     cited = claims.select("claim_id", F.explode(keys).alias("cite_key")).where("cite_key is not null").distinct()
     maps = cited.join(told, "cite_key").groupBy("claim_id").agg(F.map_from_entries(F.collect_list(F.struct("cite_key", "entry"))).alias("entries"))
     return claims.join(maps, "claim_id", "left")
@@ -206,7 +225,7 @@ def unresolved() -> Column:
     def sound(key: Column) -> Column:
         context = F.try_element_at(F.filter("contexts", lambda x: x["c"]["cite_key"] == key), F.lit(-1))["c"]
         doi = F.col("entries")[key]["doi"]
-        return _is((F.lower(context["doi"]) == doi) & (doi != "") & ~_is(context["bibliography_status"].isin("missing", "mismatch", "invented")))
+        return _is((tx.lower(context["doi"]) == doi) & (doi != "") & ~_is(context["bibliography_status"].isin("missing", "mismatch", "invented")))
 
     keys = _array(F.col("citation_keys"), "string")
     return (F.size(keys) == 0) | F.exists(keys, lambda k: ~sound(k))
@@ -217,7 +236,7 @@ def traceability() -> Column:
         [
             (F.col("unresolved"), 0, "T0_UNRESOLVED"),
             (F.size("eligible") == 0, 1, "T1_METADATA_ONLY"),
-            (F.exists("relied", lambda x: ~x["verified"]), 2, "T2_PARTIAL_RECORD"),
+            (_has(F.col("relied.verified"), False), 2, "T2_PARTIAL_RECORD"),
             (~F.col("all_covered"), 3, "T3_ATOMS_INCOMPLETE"),
         ],
         4, "T4_ATOM_LEVEL",
@@ -225,26 +244,25 @@ def traceability() -> Column:
 
 
 def cap_reasons(rubric: Rubric) -> Column:
-    some = lambda f: F.exists("contexts", lambda x: _is(f(x)))
-    no_doi = lambda c: c["doi"].isNull() | (c["doi"] == "")
+    c = F.col("contexts.c")
     conditions = [
-        (F.size("contexts") == 0) | (F.col("relation") == "unsupported") | some(lambda x: (x["c"]["role"] == "unverified") | (x["c"]["bibliography_status"] == "missing")),
-        some(lambda x: x["c"]["direction_match"] == False),  # noqa: E712
+        (F.size("contexts") == 0) | (F.col("relation") == "unsupported") | _has(c["role"], "unverified") | _has(c["bibliography_status"], "missing"),
+        _has(c["direction_match"], False),
         (F.col("n_conflicts") > 0) & ~F.col("wording_strength").eqNullSafe(F.lit("contested")),
-        some(lambda x: x["c"]["bibliography_status"] == "invented"),
-        F.col("claim_type").isin(rubric.empirical) & ((F.size(_array(F.col("dois"), "string")) == 0) | some(lambda x: x["supports"] & no_doi(x["c"]))),
+        _has(c["bibliography_status"], "invented"),
+        F.col("claim_type").isin(rubric.empirical) & ((F.size(_array(F.col("dois"), "string")) == 0) | _blank_doi(F.col("relied.c"))),
         F.col("scope_status") == "overextended",
     ]
     return F.array_compact(F.array(*[F.when(_is(c), F.lit(name)) for c, name in zip(conditions, CAP_REASONS)]))
 
 
-def scored(claims: DataFrame, bibliography: DataFrame, as_of: str, rubric: Rubric | None = None) -> DataFrame:
+def scored(claims: DataFrame, bibliography: DataFrame, as_of: str, rubric: Rubric | None = None, slim: bool = False) -> DataFrame:
     """Claims with relation, wording, the five components (score and rule), raw and capped score, reasons and label.
 
-    Claims that have their ``entries`` (see :func:`with_entries`) are joined with nothing.
+    Claims that have their ``entries`` (see :func:`with_entries`) are joined with nothing; ``slim`` as in :func:`with_features`.
     """
     rubric = rubric or Rubric()
-    rows = with_features(claims if "entries" in claims.columns else with_entries(claims, bibliography), as_of).withColumn("unresolved", unresolved())
+    rows = with_features(claims if "entries" in claims.columns else with_entries(claims, bibliography), as_of, slim).withColumn("unresolved", unresolved())
     rows = rows.withColumn("relation", evidence_relation()).withColumn("wording", wording_basis(F.col("claim_text"), F.col("claim_type")))
     for name, rule in zip(COMPONENTS, (traceability(), robustness(), uncertainty(), source_integrity(), scope())):
         rows = rows.withColumn(name, rule)

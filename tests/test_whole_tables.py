@@ -1,6 +1,8 @@
 """Queries over whole tables, on rows that a remainder of the id would leave out."""
 
+import os
 import random
+import re
 
 import pytest
 
@@ -62,3 +64,18 @@ def test_digest_index_lists_every_table(spark, tmp_path):
         spark.range(1).coalesce(1).write.parquet(f"file://{tmp_path}/{name}.parquet")
     listed = [r.name.split("/")[0] for r in dq.q50_digest_index(spark, f"file://{tmp_path}").collect()]
     assert sorted(listed) == sorted(f"{x}.parquet" for x in dq.TABLES)
+
+
+def test_contexts_are_not_shuffled_once_they_are_nested(spark):
+    from claimloom import catalog
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("needs the driver's tables")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        frame = catalog.queries()["q61_scored_claims"](spark, "/root/testdata/sf0.001")
+        plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: (.*)", plan, re.M)
+    assert shuffled and not [x for x in shuffled if re.search(r"\b(x|contexts|citation_contexts)#", x)]
