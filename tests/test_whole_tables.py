@@ -79,3 +79,13 @@ def test_contexts_are_not_shuffled_once_they_are_nested(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     shuffled = re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: (.*)", plan, re.M)
     assert shuffled and not [x for x in shuffled if re.search(r"\b(x|contexts|citation_contexts)#", x)]
+
+
+def test_stored_claims_are_met_by_claim_without_a_shuffle(spark):
+    from claimloom.plans import claim_queries
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("needs the driver's tables")
+    rows = claim_queries._faulty_claims(spark, "/root/testdata/sf0.001").groupBy("claim_id").count()
+    assert rows.count() == 1500 + 25
+    assert "Exchange" not in rows._jdf.queryExecution().sparkPlan().toString() + rows._jdf.queryExecution().executedPlan().toString()
