@@ -111,10 +111,11 @@ def _quoted(x: Column) -> Column:
     """A text as JSON writes it; control characters without a short form have lower-case digits."""
     out = F.to_json(F.struct(x.alias("v")))
     out = F.substr(out, F.lit(6), F.length(out) - 6)
+    lowered = out
     for high in "01":
         for low in "ABCDEF":
-            out = F.regexp_replace(out, rf"(?<!\\)((?:\\\\)*)\\u00{high}{low}", rf"$1\\u00{high}{low.lower()}")
-    return out
+            lowered = F.regexp_replace(lowered, rf"(?<!\\)((?:\\\\)*)\\u00{high}{low}", rf"$1\\u00{high}{low.lower()}")
+    return F.when(F.contains(out, F.lit("\\u00")), lowered).otherwise(out)  # few texts have such digits
 
 
 def _whole_number(x: Column) -> Column:
@@ -138,7 +139,8 @@ def canonical_json(x: Column, kind: T.DataType, indent: int = 2, deep: int = 0)
 
     inner = lambda v, t: canonical_json(v, t, indent, deep + 1)
     if isinstance(kind, T.StructType):
-        text = block(F.array(*[F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ": "), inner(x[f.name], f.dataType)) for f in kind.fields]) if kind.fields else F.array().cast("array<string>"), "{", "}")
+        members = [F.concat(F.lit(pad + json.dumps(f.name, ensure_ascii=False) + ": "), inner(x[f.name], f.dataType)) for f in kind.fields]
+        text = F.concat(F.lit("{\n"), F.concat_ws(",\n", *members), F.lit(end + "}")) if members else F.lit("{}")
     elif isinstance(kind, T.ArrayType):
         text = block(F.transform(x, lambda v: inner(v, kind.elementType)), "[", "]")
     elif isinstance(kind, T.MapType):

@@ -116,3 +116,13 @@ def test_named_submissions_are_digested(spark):
     columns = ["submission_id", "revision", "body"]
     assert rl.submission_references(spark.createDataFrame([("r", named)], schema), there, columns).count() == 0
     assert rl.submission_references(spark.createDataFrame([("r", named)], schema), there.withColumn("body", F.lit("changed")), columns).count() == 2
+
+
+def test_canonical_json_mends_control_digits_only_where_there_are_any(spark):
+    from claimloom.sources import sinks
+
+    texts = ["plain", "a\x1fb\x0b", "back\\u001F", "\\\x1c", 'q"\n', ""]
+    rows = spark.createDataFrame([(x,) for x in texts], "v string")
+    text = sinks.canonical_json(F.struct("v"), rows.schema)
+    assert [r.t + "\n" for r in rows.select(text.alias("t")).collect()] == [sinks.stable_json({"v": x}) for x in texts]
+    assert "case when contains(" in rows.select(text.alias("t"))._jdf.queryExecution().analyzed().toString().lower()
