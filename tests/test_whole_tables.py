@@ -89,3 +89,12 @@ def test_stored_claims_are_met_by_claim_without_a_shuffle(spark):
     rows = claim_queries._faulty_claims(spark, "/root/testdata/sf0.001").groupBy("claim_id").count()
     assert rows.count() == 1500 + 25
     assert "Exchange" not in rows._jdf.queryExecution().sparkPlan().toString() + rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_records_are_compared_with_claims_made_once(spark):
+    from claimloom import catalog
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("needs the driver's tables")
+    frame = catalog.queries()["q67_stored_records"](spark, "/root/testdata/sf0.001")
+    assert "l_orderkey" not in frame._jdf.queryExecution().optimizedPlan().toString()
