@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from claimloom.functions import text as tx
 from claimloom.functions import values as vl
 from claimloom.operators.relational import both_ways
+from claimloom.sources.scratch import stored
 
 #: Verbs of a mechanism, and tokens that stand where an author's name or a prompt's text should.
 MECHANISM = ["targets", "inhibits", "drives", "gates", "modulates", "mediates", "provides", "controls", "generates", "stabilizes"]
@@ -35,29 +36,24 @@ def sentences(texts: DataFrame) -> DataFrame:
     return texts.select("file", F.posexplode(parts).alias("i", "sentence")).select("file", (F.col("i") + 1).alias("sentence_no"), "sentence")
 
 
-#: Where a text's lines end.
-_LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+#: Where a text's lines end, and the characters that may end one.
+_LINE_END, _ENDS = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]", "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 #: What begins a fence, a directive, and what ends one.
-FENCE, OPENING, CLOSING = r"^(`{3,}|~{3,})", r"^:::\{[a-z]+\}", r"^:::\s*$"
+FENCE, OPENING, CLOSING_LINE = r"^(`{3,}|~{3,})", r"^:::\{[a-z]+\}", r"^:::[ \t]*"
 
 
-def _line_array(text: Column) -> Column:
-    """A text's lines; what ends with a line end has no empty line after it."""
-    parts = F.split(text, _LINE_END, -1)
-    return F.when(F.get(parts, F.size(parts) - 1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+def _cut(text: Column, before: str) -> Column:
+    """A text's pieces; each but the first begins with a line that begins with ``before``. Empty text has none."""
+    return F.when(text != "", F.split(text, rf"(?<=[\n\r\x0B\x0C\x1C-\x1E\x{{85}}\x{{2028}}\x{{2029}}])(?={before})", -1))
 
 
-def _stretched(bounds: Column, lines: Column) -> Column:
-    """Each line with its state, from the few lines that change it: (at, own state, state after) in order of ``at``."""
-    first = F.transform(F.slice(bounds, 1, 1), lambda b: b["at"])
+def _split_lines(text: Column) -> Column:
+    """A text's lines, of which the last keeps its line end (see :func:`_bare`); after that there is no empty line."""
+    return F.split(text, rf"(?>{_LINE_END})(?!\z)", -1)
 
-    def stretch(b: Column, k: Column) -> Column:
-        upto = F.coalesce(F.get(bounds, k + 1)["at"], F.size(lines))
-        after = F.transform(F.slice(lines, b["at"] + 2, upto - b["at"] - 1), lambda x, j: F.struct((b["at"] + 2 + j).alias("line_no"), x.alias("line"), b["after"].alias("state")))
-        return F.concat(F.array(F.struct((b["at"] + 1).alias("line_no"), F.get(lines, b["at"]).alias("line"), b["own"].alias("state"))), after)
 
-    plain = F.transform(F.slice(lines, 1, F.coalesce(F.get(first, F.lit(0)), F.size(lines))), lambda x, j: F.struct((j + 1).alias("line_no"), x.alias("line"), F.get(bounds, F.lit(-1))["own"].alias("state")))
-    return F.concat(plain, F.flatten(F.transform(bounds, stretch)))
+def _bare(line: Column) -> Column:
+    return F.rtrim(line, F.lit(_ENDS))
 
 
 def masked_lines(texts: DataFrame, named: str = "dropdown") -> DataFrame:
@@ -67,42 +63,61 @@ def masked_lines(texts: DataFrame, named: str = "dropdown") -> DataFrame:
     with the text; what looks like a directive within it is none. Outside of fences directives nest. ``masked`` are fences and
     directives with the lines that bound them; ``in_named`` lines lie in a directive ``named``, at any depth.
 
-    It is a fold over the few lines of a text that may change the state, in its row: no line is shuffled.
+    A text is cut before the few lines that may change the state, which is folded over these pieces in the text's row; only then
+    are there rows of lines, and no line is shuffled.
     """
     state = "struct<fence:string,depth:int,named:int>"
-    empty = F.lit(None).cast(f"struct<at:int,own:struct<in_fence:boolean,depth:int,masked:boolean,in_named:boolean>,after:struct<in_fence:boolean,depth:int,masked:boolean,in_named:boolean>>")
+    told_type = "struct<in_fence:boolean,depth:int,masked:boolean,in_named:boolean>"
+    empty = F.lit(None).cast(f"struct<line_no:int,own:{told_type},after:{told_type},piece:string>")
 
     def told(fence: Column, depth: Column, masked: Column, hidden: Column) -> Column:
         return F.struct(fence.alias("in_fence"), depth.cast("int").alias("depth"), masked.alias("masked"), hidden.alias("in_named"))
 
+    def bound(value: Column, then) -> Column:  # evaluates ``value`` once
+        return F.get(F.transform(F.array(value), then), F.lit(0))
+
     def step(acc: Column, m: Column) -> Column:
         fence, depth, hidden = acc["s"]["fence"], acc["s"]["depth"], acc["s"]["named"]
         inside = fence != ""
-        opens, ends = ~inside & (m["fence"] != ""), inside & F.startswith(m["line"], fence)
-        deeper = ~inside & ~opens & m["opening"]
-        shallower = ~inside & ~opens & ~deeper & m["closing"] & (depth > 0)
-        new_fence = F.when(opens, m["fence"]).when(ends, "").otherwise(fence)
-        new_depth = depth + deeper.cast("int") - shallower.cast("int")
-        new_named = F.when(deeper & m["named"] & (hidden == 0), new_depth).when(shallower & (new_depth < hidden), 0).otherwise(hidden)
-        own = told(inside | opens, F.greatest(depth, new_depth), inside | opens | (depth > 0) | deeper, (hidden > 0) | (new_named > 0))
-        after = told(new_fence != "", new_depth, (new_fence != "") | (new_depth > 0), new_named > 0)
-        now = F.struct(new_fence.alias("fence"), new_depth.alias("depth"), new_named.cast("int").alias("named")).cast(state)
-        return F.struct(now.alias("s"), F.concat(acc["out"], F.array(F.struct(m["at"].alias("at"), own.alias("own"), after.alias("after")))).alias("out"))
-
-    marks = F.filter(
-        F.transform("lines", lambda x, i: F.struct(i.alias("at"), x.alias("line"), F.regexp_extract(x, FENCE, 1).alias("fence"), x.rlike(OPENING).alias("opening"), x.rlike(CLOSING).alias("closing"), x.rlike(rf"^:::\{{(?:{named})\}}").alias("named"))),
-        lambda m: (m["fence"] != "") | m["opening"] | m["closing"],
-    )
-    begin = F.struct(F.struct(F.lit("").alias("fence"), F.lit(0).alias("depth"), F.lit(0).alias("named")).cast(state).alias("s"), F.array_compact(F.array(empty)).alias("out"))
-    rows = texts.select("file", _line_array(F.col("text")).alias("lines")).withColumn("marks", marks)
-    rows = rows.withColumn("bounds", F.aggregate("marks", begin, step, lambda acc: acc["out"]))
-    rows = rows.select("file", _stretched(F.col("bounds"), F.col("lines")).alias("x"))
-    rows = rows.select("file", F.explode(F.transform("x", lambda x, i: F.struct(x["line_no"].alias("line_no"), x["line"].alias("line"), x["state"].alias("state"), F.get("x", i + 1).alias("next")))).alias("r"))
-    no = lambda c: F.coalesce(c, F.lit(False))
-    s = F.col("r.state")
+        plain = ~inside & (m["fence"] == "")
+        seen = F.struct(
+            (~inside & (m["fence"] != "")).alias("opens"), (inside & F.startswith(m["piece"], fence)).alias("ends"), (plain & m["opening"]).alias("deeper"), (plain & ~m["opening"] & m["closing"] & (depth > 0)).alias("shallower"),
+        )
+
+        def moved(e: Column) -> Column:
+            new_depth = depth + e["deeper"].cast("int") - e["shallower"].cast("int")
+            new_named = F.when(e["deeper"] & m["named"] & (hidden == 0), new_depth).when(e["shallower"] & (new_depth < hidden), 0).otherwise(hidden)
+            now = F.struct(F.when(e["opens"], m["fence"]).when(e["ends"], "").otherwise(fence).alias("fence"), new_depth.alias("depth"), new_named.cast("int").alias("named")).cast(state)
+            return bound(now, lambda s: met(e, s))
+
+        def met(e: Column, s: Column) -> Column:
+            own = told(inside | e["opens"], F.greatest(depth, s["depth"]), inside | e["opens"] | (depth > 0) | e["deeper"], (hidden > 0) | (s["named"] > 0))
+            after = told(s["fence"] != "", s["depth"], (s["fence"] != "") | (s["depth"] > 0), s["named"] > 0)
+            piece = F.struct(acc["n"].alias("line_no"), own.alias("own"), after.alias("after"), m["piece"].alias("piece"))
+            return F.struct(s.alias("s"), (acc["n"] + F.regexp_count(m["piece"], F.lit(_LINE_END))).alias("n"), F.concat(acc["out"], F.array(piece)).alias("out"))
+
+        return bound(seen, moved)
+
+    def marked(piece: Column) -> Column:
+        closing = piece.rlike(rf"{CLOSING_LINE}(?:{_LINE_END}|\z)")
+        return F.struct(piece.alias("piece"), F.regexp_extract(piece, FENCE, 1).alias("fence"), piece.rlike(OPENING).alias("opening"), closing.alias("closing"), piece.rlike(rf"^:::\{{(?:{named})\}}").alias("named"))
+
+    def beside(p: Column, k: Column) -> Column:
+        after = F.get("pieces", k + 1)
+        return F.struct(p["line_no"].alias("line_no"), p["own"].alias("own"), p["after"].alias("after"), p["piece"].alias("piece"), F.regexp_extract(after["piece"], rf"^(.*?)(?:{_LINE_END}|\z)", 1).alias("next_line"), after["own"]["masked"].alias("next_masked"))
+
+    begin = F.struct(F.struct(F.lit("").alias("fence"), F.lit(0).alias("depth"), F.lit(0).alias("named")).cast(state).alias("s"), F.lit(1).alias("n"), F.array_compact(F.array(empty)).alias("out"))
+    rows = texts.select("file", F.transform(_cut(F.col("text"), "```|~~~|:::"), marked).alias("marks"))
+    rows = rows.select("file", F.aggregate("marks", begin, step, lambda acc: acc["out"]).alias("pieces"))
+    rows = rows.select("file", F.inline(F.transform("pieces", beside)))
+    rows = rows.withColumn("lines", _split_lines(F.col("piece")))
+    # (the outer form, since the other one would have pieces cut a second time in a filter that Spark derives from it)
+    rows = rows.select("file", "line_no", "own", "after", "next_line", "next_masked", "lines", F.posexplode_outer("lines").alias("i", "line"))
+    s = F.when(F.col("i") == 0, F.col("own")).otherwise(F.col("after"))
+    inner = F.col("i") + 1 < F.size("lines")
     return rows.select(
-        "file", "r.line_no", "r.line", no(s["in_fence"]).alias("in_fence"), F.coalesce(s["depth"], F.lit(0)).alias("depth"), no(s["masked"]).alias("masked"), no(s["in_named"]).alias("in_named"),
-        F.col("r.next.line").alias("next"), no(F.col("r.next.state.masked")).alias("next_masked"),
+        "file", (F.col("line_no") + F.col("i")).alias("line_no"), _bare(F.col("line")).alias("line"), s["in_fence"].alias("in_fence"), s["depth"].alias("depth"), s["masked"].alias("masked"), s["in_named"].alias("in_named"),
+        F.when(inner, _bare(F.get("lines", F.col("i") + 1))).otherwise(F.col("next_line")).alias("next"), F.when(inner, F.col("after.masked")).otherwise(F.coalesce("next_masked", F.lit(False))).alias("next_masked"),
     )
 
 
@@ -112,14 +127,15 @@ def prose_terms(texts: DataFrame, terms: list[str], any_case: bool = True) -> Da
     Left out are lines between back-tick fences (of any length, indented or not), lines that begin with ``:::``, option lines
     that begin and end with a colon, and lines indented by four spaces; inline code is prose.
     """
-    fence = lambda x: F.startswith(F.trim(x), F.lit("```"))
-    is_in = lambda k: (k % 2 == 0).alias("code")
-    marks = F.filter(F.transform("lines", lambda x, i: F.struct(i.alias("at"), fence(x).alias("fence"))), lambda m: m["fence"])
-    bounds = F.transform(marks, lambda m, k: F.struct(m["at"].alias("at"), F.struct(F.lit(True).alias("code")).alias("own"), F.struct(is_in(k)).alias("after")))
-    rows = texts.select("file", _line_array(F.col("text")).alias("lines")).withColumn("bounds", bounds)
-    rows = rows.select("file", F.explode(_stretched(F.col("bounds"), F.col("lines"))).alias("x")).select("file", "x.line_no", "x.line", F.coalesce("x.state.code", F.lit(False)).alias("code"))
+    first = F.lit(None).cast("struct<line_no:int,piece:string>")
+    add = lambda acc, p: F.struct((acc["n"] + F.regexp_count(p, F.lit(_LINE_END))).alias("n"), F.concat(acc["out"], F.array(F.struct(acc["n"].alias("line_no"), p.alias("piece")))).alias("out"))
+    placed = F.aggregate(_cut(F.col("text"), " *```"), F.struct(F.lit(1).alias("n"), F.array_compact(F.array(first)).alias("out")), add, lambda acc: acc["out"])
+    rows = texts.select("file", F.startswith(F.ltrim("text"), F.lit("```")).cast("int").alias("fences"), F.posexplode(placed).alias("k", "p"))
+    rows = rows.select("file", (F.col("fences") + F.col("k")).alias("fences"), "p.line_no", F.posexplode(_split_lines(F.col("p.piece"))).alias("i", "line"))
+    # the first line of a piece after a fence's beginning is a fence itself; what follows an odd number of them is code
+    rows = rows.where("fences = 0 or (i > 0 and fences % 2 = 0)").select("file", (F.col("line_no") + F.col("i")).alias("line_no"), _bare(F.col("line")).alias("line"))
     bare = tx.collapse(F.col("line"))
-    rows = rows.where(~F.col("code") & ~F.startswith("line", F.lit(":::")) & ~(F.startswith(bare, F.lit(":")) & F.endswith(bare, F.lit(":"))) & ~F.startswith("line", F.lit("    ")))
+    rows = rows.where(~F.startswith("line", F.lit(":::")) & ~(F.contains("line", F.lit(":")) & F.startswith(bare, F.lit(":")) & F.endswith(bare, F.lit(":"))) & ~F.startswith("line", F.lit("    ")))
     flag = "(?iu)" if any_case else ""
     word = lambda t: rf"{flag}(?U)\b" + "".join(f"\\{c}" if not c.isalnum() and c != "_" and c.isascii() else c for c in t) + r"\b"
     hits = F.flatten(F.array(*[F.array_repeat(F.lit(t), F.regexp_count("line", F.lit(word(t)))) for t in terms]))
@@ -132,13 +148,14 @@ AFTER_HEADING = ["#", ":", "-", "|", "`", "*", ">", "1.", "2."]
 UNSTYLED = ["00_frontmatter.md", "Methods.md"]
 
 
-def heading_problems(texts: DataFrame) -> DataFrame:
+def heading_problems(texts: DataFrame, mask: DataFrame | None = None) -> DataFrame:
     """``(file, line_no, problem)``: six faults of headings outside of code and directives.
 
     A heading with text on the next line, a number at its beginning, several spaces after that, a long dash; a file whose first
     H1 and first H2 differ in being numbered, and files of which not all H1s are alike (``line_no`` is null for these two).
+    ``mask`` are the texts' :func:`masked_lines`, where they are there already.
     """
-    head = masked_lines(texts).where("not masked").withColumn("level", F.length(F.regexp_extract("line", r"^(#{1,6})\s+", 1))).where("level > 0")
+    head = (masked_lines(texts) if mask is None else mask).where("not masked").withColumn("level", F.length(F.regexp_extract("line", r"^(#{1,6})\s+", 1))).where("level > 0")
     head = head.withColumn("body", F.regexp_replace(F.regexp_extract("line", r"^#{1,6}\s+(.*)$", 1), r"\s+$", ""))
     after = F.regexp_replace("next", r"^\s+", "")
     wrapped = (F.coalesce(after, F.lit("")) != "") & ~F.col("next_masked")
@@ -148,7 +165,8 @@ def heading_problems(texts: DataFrame) -> DataFrame:
     found = F.array_compact(F.array(
         F.when(wrapped, "WRAPPED_HEADING"), F.when(numbered, "MANUAL_NUMBER_PREFIX"), F.when(F.col("body").rlike(r"^\d+(\.\d+)*\.?\s{2,}"), "MULTI_SPACE_AFTER_NUMBER"), F.when(F.col("body").rlike("[\u2013\u2014]"), "INCONSISTENT_DASH"),
     ))
-    lines = head.select("file", "line_no", F.explode(found).alias("problem"))
+    head = stored(head.select("file", "line_no", "level", numbered.alias("numbered"), found.alias("found")), "headings")
+    lines, numbered = head.select("file", "line_no", F.explode("found").alias("problem")), F.col("numbered")
     first = lambda level: F.min_by(F.when(F.col("level") == level, numbered), F.when(F.col("level") == level, F.col("line_no")))
     files = head.groupBy("file").agg(first(1).alias("h1"), first(2).alias("h2"))
     none = F.lit(None).cast("int").alias("line_no")
@@ -199,8 +217,8 @@ def directive_whitelist(texts: DataFrame, allowed: list[str] | None = None) -> D
 
 def stale_phrases(texts: DataFrame, phrases: list[str]) -> DataFrame:
     """``(file, phrase)`` of phrases that should be gone."""
-    held = F.filter(F.array(*[F.lit(p) for p in phrases]), lambda p: F.contains(F.lower("text"), F.lower(p)))
-    return texts.select("file", F.explode(held).alias("phrase"))
+    held = F.array_compact(F.array(*[F.when(F.contains("low", F.lower(F.lit(p))), p) for p in phrases]))
+    return texts.select("file", F.lower("text").alias("low")).select("file", F.explode(held).alias("phrase"))
 
 
 def surname_hits(texts: DataFrame, surname: str) -> DataFrame:
@@ -276,9 +294,11 @@ def contaminated_authors(prompt_words: DataFrame, metadata: DataFrame, surnames:
 def placeholders(texts: DataFrame, prompts: bool = False) -> DataFrame:
     """``(file, found)`` of placeholder tokens, whatever their case: those of author files, or with ``prompts`` those of prompt files; template tokens in either."""
     plain = PROMPT_PLACEHOLDERS if prompts else AUTHOR_PLACEHOLDERS
-    held = F.filter(F.array(*[F.lit(x) for x in plain]), lambda x: F.contains(F.lower("text"), F.lower(x)))
-    more = F.regexp_extract_all("text", F.lit(TEMPLATE_TOKEN), F.lit(0))
-    found = F.concat(held, more) if prompts else F.concat(held, more, F.regexp_extract_all("text", F.lit(NUMBERED_AUTHOR), F.lit(0)))
+    held = F.array_compact(F.array(*[F.when(F.contains("low", F.lower(F.lit(x))), x) for x in plain]))
+    texts = texts.select("file", "text", F.lower("text").alias("low"))
+    matched = lambda may, pattern: F.when(may, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    more = matched(F.contains("text", F.lit("<")), TEMPLATE_TOKEN)
+    found = F.concat(held, more) if prompts else F.concat(held, more, matched(F.contains("low", F.lit("author")), NUMBERED_AUTHOR))
     return texts.select("file", found.alias("found")).where(F.size("found") > 0)
 
 
@@ -413,9 +433,9 @@ def caption_problems(texts: DataFrame) -> DataFrame:
     return rows.select("file", F.explode(found).alias("p")).select("file", "p.*")
 
 
-def hard_references(texts: DataFrame) -> DataFrame:
-    """``(file, line_no, found)`` of references to sections by number, outside of code and dropdowns."""
-    rows = masked_lines(texts).where("not in_fence and not in_named")
+def hard_references(texts: DataFrame, mask: DataFrame | None = None) -> DataFrame:
+    """``(file, line_no, found)`` of references to sections by number, outside of code and dropdowns; ``mask`` are their lines, masked before."""
+    rows = (masked_lines(texts) if mask is None else mask).where("not in_fence and not in_named")
     return rows.select("file", "line_no", F.explode(F.flatten(F.array(*[F.regexp_extract_all("line", F.lit(x), F.lit(0)) for x in HARD_REFERENCES]))).alias("found"))
 
 

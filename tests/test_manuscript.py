@@ -204,3 +204,23 @@ def test_records_phases_gates(spark):
     assert [r.claim_id for r in ms.untagged_claims(claims, frame(spark, [("c1",)], "claim_id string"), ["empirical"]).collect()] == ["c3"]
     papers = frame(spark, [("f", "EU", "x"), ("f", "US", "x"), ("g", "EU", "x")], "comparison_id string, region string, level string")
     assert {r.comparison_id: r.verdict for r in ms.comparability(papers, ["region"], ["level"]).collect()} == {"f": "CAVEAT", "g": "PASS"}
+
+
+def test_lines_end_as_before_where_a_text_is_cut(spark):
+    texts = [("a", "x\r\n:::{dropdown} y\r\nin\r\n:::  \r\nout\n\r"), ("b", ""), ("c", None), ("d", "\n"), ("e", "```\nq\u2028~~~\x0b````\n# h"), ("f", ":::\n\n```\r\n\r\n```")]
+    frame = spark.createDataFrame(texts, "file string, text string")
+    got = [(r.file, r.line_no, r.line, r.in_fence, r.depth, r.masked, r.in_named, r.next, r.next_masked) for r in ms.masked_lines(frame).collect()]
+    no, fence = (False, 0, False, False), (True, 0, True, False)
+    told = {
+        "a": [("x", *no), (":::{dropdown} y", False, 1, True, True), ("in", False, 1, True, True), (":::  ", False, 1, True, True), ("out", *no), ("", *no)], "d": [("", *no)],
+        "e": [("```", *fence), ("q", *fence), ("~~~", *fence), ("````", *fence), ("# h", *no)], "f": [(":::", *no), ("", *no), ("```", *fence), ("", *fence), ("```", *fence)],
+    }
+    expected = [(f, i + 1, *x, *((xs[i + 1][0], xs[i + 1][3]) if i + 1 < len(xs) else (None, False))) for f, xs in told.items() for i, x in enumerate(xs)]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    terms = ms.prose_terms(spark.createDataFrame([("a", "k\n  ``` \nk\n```\r\nk k\n:k:\n: k")], "file string, text string"), ["k"])
+    assert sorted((r.line_no, r.term) for r in terms.collect()) == [(1, "k"), (5, "k"), (5, "k"), (7, "k")]
+
+
+def test_pieces_are_cut_once(spark):
+    plan = ms.masked_lines(spark.createDataFrame([("a", "x")], "file string, text string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 2  # into pieces, and a piece into lines
