@@ -92,8 +92,9 @@ def paragraphs(texts: DataFrame, file: str = "file", column: str = "text") -> Da
     """``(file, paragraph_index, text)``: prose only, numbered from 1 without directives, anchors, headings and emphasised captions."""
     parts = F.transform(F.split(F.regexp_replace(column, DIRECTIVES, ""), r"\r?\n\s*\r?\n"), lambda v: F.trim(v))
     prose = F.filter(parts, lambda p: (p != "") & ~p.rlike(r"^(?:\([^\n]+\)=|#{1,6}\s|\*[^\n]+\*$)"))
-    rows = texts.select(F.col(file).alias("file"), F.posexplode(prose).alias("ord", "raw")).withColumn("text", tx.exact_text(tx.strip_inline_markdown("raw"))).where("text <> ''")
-    return rows.select("file", F.row_number().over(Window.partitionBy("file").orderBy("ord")).alias("paragraph_index"), "text")
+    bare = texts.select(F.col(file).alias("file"), tx.nfkc_each(F.transform(prose, tx.strip_inline_markdown)).alias("texts"))
+    kept = F.filter(F.transform("texts", tx.collapse), lambda v: v != "")
+    return bare.select("file", F.posexplode(kept).alias("i", "text")).select("file", (F.col("i") + 1).alias("paragraph_index"), "text")
 
 
 def directives(texts: DataFrame, name: str = "trust-claim", file: str = "file", column: str = "text") -> DataFrame:

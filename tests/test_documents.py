@@ -357,3 +357,10 @@ def test_streams(spark, tmp_path):
     state = moments([("s", "2025-01-02")]).select("submission_id", F.col("t").cast("timestamp").alias("latest"))
     early, merged = feeds.chronology(batch, state)
     assert [r.submission_id for r in early.collect()] == ["s"] and merged.count() == 2
+
+
+def test_paragraphs_are_numbered_in_their_row(spark):
+    texts = spark.createDataFrame([("a", "One.\n\n*q*x\n\n<b>\n\n# H\n\nＴｗｏ  x.\n\nThree."), ("b", None), ("c", "")], "file string, text string")
+    rows = documents.paragraphs(texts)
+    assert [tuple(r) for r in rows.orderBy("paragraph_index").collect()] == [("a", 1, "One."), ("a", 2, "qx"), ("a", 3, "Two x."), ("a", 4, "Three.")]
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
