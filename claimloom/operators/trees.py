@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from claimloom.operators.scans import anchored, numbered
+from claimloom.operators.scans import numbered
 from claimloom.sources.scratch import stored
 
 
@@ -24,7 +25,8 @@ def tree_rows(documents: DataFrame, ident: str, text: str, fields: dict[str, str
     held = F.col("node")
     kids = F.try_variant_get(held, f"$.{children}", "array<variant>")
     flat = [*[F.try_variant_get(held, f"$.{name}", "string").alias(c) for c, name in read.items()], F.coalesce(F.size(kids), F.lit(0)).alias("n_children")]
-    level = documents.select(ident, F.array().cast("array<int>").alias("path"), F.try_parse_json(text).alias("node")).where("node is not null")
+    # (the explode keeps the filter on the node from parsing, and making, each text a second time)
+    level = documents.select(ident, F.array().cast("array<int>").alias("path"), F.explode(F.array(F.try_parse_json(text))).alias("node")).where("node is not null")
     out, depth = None, 0
     while True:
         level = stored(level.select(ident, "path", *flat, F.when(F.size(kids) > 0, kids).alias("kids")), "tree-level")
@@ -64,7 +66,15 @@ def text_content(rows: DataFrame, ident: str, under: str | None = None) -> DataF
 
 
 def sibling_before(rows: DataFrame, ident: str, wanted: Column, barrier: Column, name: str) -> DataFrame:
-    """``name``: the path of the nearest earlier ``wanted`` sibling, with no ``barrier`` from there up to the node."""
+    """``name``: the path of the nearest earlier ``wanted`` sibling, with no ``barrier`` from there up to the node.
+
+    Siblings come from one array of one document, so each document's nodes are dealt to one task and a window's frame runs through
+    them; large groups spill.
+    """
     parent = F.when(F.size("path") > 0, F.slice("path", 1, F.greatest(F.size("path") - 1, F.lit(0))))  # the root has none
     placed = rows.withColumn("_parent", parent).withColumn("_at", F.coalesce(F.try_element_at("path", F.lit(-1)), F.lit(0)))
-    return anchored(placed, [ident, "_parent"], ["_at"], wanted, barrier, F.col("path"), name).drop("_parent", "_at")
+    w = Window.partitionBy(ident, "_parent").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    box = F.when(wanted, F.struct(F.lit(True).alias("ok"), F.col("_at").alias("at"))).when(barrier, F.struct(F.lit(False).alias("ok"), F.lit(None).cast("int").alias("at")))
+    held = placed.repartition(ident).withColumn("_box", F.last(box, ignorenulls=True).over(w))
+    about = F.when(F.col("_box.ok") & ~F.coalesce(barrier, F.lit(False)), F.when(F.size("path") > 0, F.concat("_parent", F.array("_box.at"))))
+    return held.withColumn(name, about).drop("_parent", "_at", "_box")

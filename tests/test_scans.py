@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.operators import relational, scans
+from claimloom.operators import relational, scans, trees
 
 
 @pytest.fixture(scope="module")
@@ -236,3 +236,12 @@ def test_trees_of_unknown_depth(spark):
     assert below == plain
     assert {r.depth: r.n for r in trees.widths(rows.where("id = 'chain'")).collect()} == dict.fromkeys(range(31), 1)
     assert trees.tree_rows(spark.createDataFrame([], "id string, text string"), "id", "text").count() == 0
+
+
+def test_siblings_meet_by_document(spark):
+    rows = spark.createDataFrame([(1, [0, i], k) for i, k in enumerate("phcpc")] + [(1, [1, 0], "c"), (1, [], "p")], "k int, path array<int>, kind string")
+    near = trees.sibling_before(rows, "k", F.col("kind") == "p", F.col("kind") == "h", "about")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    told = {tuple(r.path): r.about for r in near.collect()}
+    assert told == {(): None, (0, 0): None, (0, 1): None, (0, 2): None, (0, 3): None, (0, 4): [0, 3], (1, 0): None}
+    assert plan.count("Exchange") == 1 and "rangepartitioning" not in plan
