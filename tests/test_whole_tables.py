@@ -55,6 +55,25 @@ def test_jaccard_of_documents_equals_brute_force(spark, folder):
     assert rows(dq.q39_jaccard(spark, folder[0])) == sorted(expected)
 
 
+def test_near_sets_travel_to_places_and_not_with_their_pairs(spark):
+    from claimloom.operators import relational as rel
+
+    rng = random.Random(1)
+    base = [rng.getrandbits(63) for _ in range(60)]
+    sets = [(i, sorted({x for x in base if rng.random() > 0.02} | {rng.getrandbits(63)})) for i in range(60)] + [(100 + i, sorted(rng.getrandbits(63) for _ in range(rng.randint(1, 900)))) for i in range(12)]
+    sets += [(200 + i, w[len(w) // 14 :]) for i, (_, w) in enumerate(sets[60:])]
+    frame, held = spark.createDataFrame(sets, "id bigint, w array<bigint>"), {i: set(w) for i, w in sets}
+    pairs = [(a, b) for a in held for b in held if a < b]
+    expected = sorted((a, b, round(len(held[a] & held[b]) / len(held[a] | held[b]), 6)) for a, b in pairs if len(held[a] & held[b]) / len(held[a] | held[b]) > 0.85)
+    found = rel.jaccard_pairs(frame, "id", "w", 0.85)
+    assert rows(found) == expected and len(expected) > 1000
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "left_w" not in plan and "array_intersect" not in plan  # words would be shuffled once for each pair
+    # places of few words are parted by either id
+    counted = rel._shared_words(spark.createDataFrame(pairs, "left_id bigint, right_id bigint"), frame, each=1000)
+    assert rows(counted) == sorted((a, b, len(held[a]), len(held[b]), len(held[a] & held[b])) for a, b in pairs)
+
+
 def test_radar_watches_large_parts_whatever_their_ids(spark, folder):
     assert rows(dq.q18_radar_equi(spark, folder[0])) == [(1, "1,2", 2), (2, "7,9", 2)]
 
