@@ -205,14 +205,19 @@ def canonical_entries(bibliography: DataFrame) -> DataFrame:
     return joined.select("cite_key", F.struct("doi", _array(F.col("authors"), "string").alias("authors")).alias("entry"))
 
 
+def entries(bibliography: DataFrame, authors: bool = False) -> DataFrame:
+    """``(cite_key, entry)``, one row a key; of entries with one key the greatest counts."""
+    told = canonical_entries(bibliography) if authors else bibliography.select("cite_key", F.struct("doi").alias("entry"))
+    return told.groupBy("cite_key").agg(F.max("entry").alias("entry"))
+
+
 def with_entries(claims: DataFrame, bibliography: DataFrame, authors: bool = False) -> DataFrame:
     """Claims with ``entries``: for each key that they cite or have a context of, the bibliography's DOI and, on request, authors.
 
     This is the only join that scoring needs: keys are taken apart, met with the bibliography and put together again by claim.
     Claims of one id share a map, which then has the keys of all of them. Of entries with one key the greatest counts.
     """
-    told = canonical_entries(bibliography) if authors else bibliography.select("cite_key", F.struct("doi").alias("entry"))
-    told = told.groupBy("cite_key").agg(F.max("entry").alias("entry"))
+    told = entries(bibliography, authors)
     keys = F.array_distinct(F.concat(_array(F.col("citation_keys"), "string"), _array(F.col("citation_contexts"), CONTEXT)["cite_key"]))
     cited = claims.select("claim_id", F.explode(keys).alias("cite_key")).where("cite_key is not null").distinct()
     maps = cited.join(told, "cite_key").groupBy("claim_id").agg(F.map_from_entries(F.collect_list(F.struct("cite_key", "entry"))).alias("entries"))

@@ -100,6 +100,23 @@ def test_contexts_are_not_shuffled_once_they_are_nested(spark):
     assert shuffled and not [x for x in shuffled if re.search(r"\b(x|contexts|citation_contexts)#", x)]
 
 
+def test_scored_claims_are_made_once(spark):
+    from claimloom import catalog
+    from claimloom.plans import claim_queries, scoring
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("needs the driver's tables")
+    sf = "/root/testdata/sf0.001"
+    for name in ("q62_score_summary", "q63_components"):
+        plan = catalog.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("l_orderkey#") and plan.count("collect_list(") == 1
+    entries = claim_queries.bibliography(spark, sf)
+    met = claim_queries.claims(spark, sf, entries=entries).select("claim_id", "entries")
+    joined = scoring.with_entries(claim_queries.claims(spark, sf), entries).select("claim_id", "entries")
+    told = lambda frame: {r.claim_id: r.entries or {} for r in frame.collect()}
+    assert told(met) == told(joined) and any(told(met).values())
+
+
 def test_stored_claims_are_met_by_claim_without_a_shuffle(spark):
     from claimloom.plans import claim_queries
 
