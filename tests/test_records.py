@@ -1,6 +1,7 @@
 """Operators that the registered queries don't reach, and the scale-safe ones against plain loops."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,16 @@ def test_topics_shuffle_keys_and_no_tokens(spark):
     assert "Aggregate" in plan and not [x for x in plan.splitlines() if "Aggregate" in x and "tokens" in x]
 
 
+def test_topics_number_their_queries(spark):
+    hays = spark.createDataFrame([(i, f"cell word{i}") for i in range(5)], "doc bigint, hay string")
+    asked = spark.createDataFrame([("x", ["cell"]), ("x", ["word3"]), ("y", ["cell"])], "q string, tokens array<string>")
+    found = rel.topic_hits(hays, "doc", asked, ["q"])
+    assert sorted(map(tuple, found.collect())) == sorted([(i, q) for i in range(5) for q in "xy"] + [(3, "x")])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    numbers = re.findall(r"\b_q#\d+(L?)", plan)
+    assert numbers and all(numbers)  # bigint, where a digest's text took 64 bytes a pair
+
+
 def test_topics_and_quotes_equal_trying_all_pairs(spark):
     rng = random.Random(6)
     words = ["cell", "cells", "subcellular", "mitosis", "abc", "xabcx", "of", "日本語", "the"]
