@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import text as tx
 from claimloom.functions.values import LABELS, moment
-from claimloom.operators.relational import small, zero_filled_counts
+from claimloom.operators.relational import zero_filled_counts
 from claimloom.plans.scoring import SUPPORT_ROLES, Rubric, score_basis, scored, verified_passage, with_entries
 from claimloom.sources.schemas import COMPONENTS, CONTEXT, PASSAGE
 
@@ -62,9 +62,11 @@ FORBIDDEN_OPTIONS = ["score", "trust-label", "cap-reason"]
 
 def directive_problems(claims: DataFrame, directives: DataFrame) -> DataFrame:
     """``(claim_id, problem)`` of each claim's first directive (file, ord, options) on its own page: missing, other text, keys, type or modality, options not the writer's."""
-    told = directives.select(F.col("file").alias("source_file"), "ord", F.col("options")["claim-id"].alias("claim_id"), "options")
-    first = told.groupBy("source_file", "claim_id").agg(F.min_by("options", "ord").alias("o"))
-    rows = claims.join(first, ["source_file", "claim_id"], "left")
+    told = directives.select("file", "ord", F.col("options")["claim-id"].alias("claim_id"), "options").where("claim_id is not null and file is not null")
+    first = told.groupBy("claim_id", "file").agg(F.min_by("options", "ord").alias("o"))
+    # claims are met by their id alone, so that a table of claims kept by id isn't shuffled for its files
+    pages = first.groupBy("claim_id").agg(F.map_from_entries(F.collect_list(F.struct("file", "o"))).alias("pages"))
+    rows = claims.join(pages, "claim_id", "left").withColumn("o", F.col("pages")[F.col("source_file")])
     o, none = F.col("o"), F.array().cast("array<string>")
     differ = lambda key, own: ~o[key].eqNullSafe(own)
     found = [
@@ -134,7 +136,7 @@ def _https(x: Column) -> Column:
     return _is(x.startswith("https://"))
 
 
-#: The rules of one claim, in the order in which :func:`claim_rules` tries them.
+#: The rules of one claim, in the order in which :func:`claim_rules` tries them; those of its file and paragraph are :func:`text_violations`.
 CLAIM_CHECKS = [
     "claim id", "normalized claim", "paragraph index", "claim has atoms", "atom ids unique", "atom id form", "atom text", "citation keys unique", "cite keys unique", "DOIs unique", "keys have contexts", "keys in context order", "DOIs in context order",
     "evidence relation", "wording strength", "score stored", *[f"{c} score" for c in COMPONENTS], "rule ids", "raw score", "overall score", "trust label", "capped flag", "cap value", "cap reasons", "cap reason", "score version", "computed from", "review resolved",
@@ -187,8 +189,6 @@ def claim_rules(version: str, cap: int) -> Column:
         _broken("score version", ~has | told["rubric_version"].eqNullSafe(F.lit(version))),
         states("computed from", F.lit("validator")),
         _broken("review resolved", ~(_is(told["trust_label"].isin("high_trust", "moderate_trust")) & _is(F.col("human_review_required")))),
-        _broken("source file", F.col("has_file")),
-        _broken("claim stands in its paragraph", ~_is(F.col("has_file")) | F.contains("paragraph", "claim_text")),
     ]
     atoms = F.col("atom_ids")
     supports = lambda p: F.coalesce(p["supports_claim_atoms"], F.array().cast("array<string>"))
@@ -220,11 +220,9 @@ def claim_rules(version: str, cap: int) -> Column:
     return F.concat(F.array_compact(F.array(*single)), *several)
 
 
-def claim_rows(claims: DataFrame, bibliography: DataFrame, paragraphs: DataFrame, files: DataFrame, as_of: str, rubric: Rubric) -> DataFrame:
-    """A row for each claim with all that its own rules read: joined are the bibliography, the paragraph and the file, nothing else."""
-    rows = with_entries(claims, bibliography, authors=True)
-    rows = rows.join(paragraphs.select(F.col("file").alias("source_file"), "paragraph_index", F.col("text").alias("paragraph")), ["source_file", "paragraph_index"], "left")
-    rows = rows.join(small(files.select(F.col("file").alias("source_file"), F.lit(True).alias("has_file")).distinct()), "source_file", "left")
+def claim_rows(claims: DataFrame, bibliography: DataFrame, as_of: str, rubric: Rubric) -> DataFrame:
+    """A row for each claim with all that its own rules read: joined is the bibliography, nothing else, and that only where claims don't have their ``entries`` with authors."""
+    rows = claims if "entries" in claims.columns else with_entries(claims, bibliography, authors=True)
     rows = scored(rows, bibliography, as_of, rubric).withColumnRenamed("trust_label", "own_label")
     passages = F.flatten(F.transform("contexts", lambda x: F.coalesce(x["c"]["passages"], F.array().cast(f"array<{PASSAGE}>"))))
     rows = rows.withColumn("passages", passages).withColumn("passage_texts", tx.nfkc_each(F.transform("passages", lambda p: F.coalesce(p["text"], F.lit("")))))
@@ -232,30 +230,48 @@ def claim_rows(claims: DataFrame, bibliography: DataFrame, paragraphs: DataFrame
     return rows.withColumn("passage_words", words).withColumn("own_id", tx.claim_id("section_id", "claim_text")).withColumn("own_form", tx.normalize_claim("claim_text"))
 
 
+def text_violations(claims: DataFrame, paragraphs: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """``(check_name, key)`` of claims whose source file isn't there, or whose text isn't in their paragraph of a file that is.
+
+    Only a claim's id, place and text travel. Without ``files`` those of the paragraphs count, so that only claims that don't stand in one ask for their file.
+    """
+    place = ["source_file", "paragraph_index"]
+    told = paragraphs.select(F.col("file").alias("source_file"), "paragraph_index", F.col("text").alias("paragraph"))
+    rows = claims.select("claim_id", "claim_text", *place).join(told, place, "left").select("claim_id", "source_file", _is(F.contains("paragraph", "claim_text")).alias("stands"))
+    if files is None:
+        rows = rows.where(~F.col("stands"))
+    has = (paragraphs if files is None else files).select(F.col("file").alias("source_file"), F.lit(True).alias("has_file")).distinct()
+    name = F.when(F.col("has_file").isNull(), "source file").when(~F.col("stands"), "claim stands in its paragraph")
+    return rows.join(has, "source_file", "left").select(name.alias("check_name"), F.col("claim_id").alias("key")).where("check_name is not null")
+
+
 def edge_violations(claims: DataFrame, edges: DataFrame) -> DataFrame:
     """``(check_name, key)`` of edges against their claims' contexts, and of supporting contexts without an edge of any kind.
 
-    An edge of an unknown claim breaks that rule alone. Of contexts with one key the first counts.
+    An edge of an unknown claim breaks that rule alone. Of contexts with one key the first counts. Edges meet claims by the claim's
+    id alone and stay there: claims kept by id aren't shuffled, and edges are once.
     """
     context = F.posexplode_outer("citation_contexts").alias("ord", "c")
     told = claims.select("claim_id", context).groupBy(F.col("claim_id").alias("source_claim_id"), F.col("c.cite_key").alias("target"))
     told = told.agg(F.min_by("c.role", "ord").alias("role"), F.max(F.coalesce(F.col("c.role").isin(SUPPORT_ROLES), F.lit(False))).alias("supports"))
-    known = claims.select(F.col("claim_id").alias("source_claim_id")).distinct().withColumn("known", F.lit(True))
-    met = told.where("target is not null").withColumn("context", F.lit(True)).join(edges.withColumn("edge", F.lit(True)), ["source_claim_id", "target"], "full")
-    met = met.join(known, "source_claim_id", "left")
+    own = F.map_from_entries(F.collect_list(F.when(F.col("target").isNotNull(), F.struct("target", F.struct("role", "supports")))))
+    known = told.groupBy("source_claim_id").agg(own.alias("own"))
+    met = edges.join(known, "source_claim_id", "left").withColumn("context", F.col("own")[F.col("target")])
     wanted = F.lit(True)
     for role, (relation, weight) in EDGE_OF_ROLE.items():
-        wanted = wanted & (~_is(F.col("role") == role) | (F.col("relation").eqNullSafe(F.lit(relation)) & F.col("weight").eqNullSafe(F.lit(weight))))
-    edge, has, there = F.col("edge").isNotNull(), F.col("known").isNotNull(), F.col("context").isNotNull()
+        wanted = wanted & (~_is(F.col("context.role") == role) | (F.col("relation").eqNullSafe(F.lit(relation)) & F.col("weight").eqNullSafe(F.lit(weight))))
+    has, there = F.col("own").isNotNull(), F.col("context").isNotNull()
     rules = [
-        ("edge weight", edge & ~_is(F.col("weight").between(0, 1))),
-        ("edge of unknown claim", edge & ~has),
-        ("edge without context", edge & has & ~there & _is(F.col("target_type") == "citation")),
-        ("edge relation or weight", edge & has & there & ~wanted),
-        ("context without edge", ~edge & _is(F.col("supports"))),
+        ("edge weight", ~_is(F.col("weight").between(0, 1))),
+        ("edge of unknown claim", ~has),
+        ("edge without context", has & ~there & _is(F.col("target_type") == "citation")),
+        ("edge relation or weight", has & there & ~wanted),
     ]
-    found = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in rules]))
-    return met.select(F.explode(found).alias("check_name"), F.col("source_claim_id").alias("key"))
+    found = met.select(F.explode(F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in rules]))).alias("check_name"), F.col("source_claim_id").alias("key"))
+    linked = met.where("context.supports").groupBy("source_claim_id", "target").agg(F.lit(1)).groupBy("source_claim_id").agg(F.count("*").alias("linked"))
+    left = told.where("target is not null and supports").groupBy("source_claim_id").agg(F.count("*").alias("n")).join(linked, "source_claim_id", "left")
+    alone = F.array_repeat(F.lit("context without edge"), (F.col("n") - F.coalesce("linked", F.lit(0))).cast("int"))
+    return found.unionByName(left.select(F.explode(alone).alias("check_name"), F.col("source_claim_id").alias("key")))
 
 
 def validate(
@@ -265,7 +281,8 @@ def validate(
     """All violations (check_name, key, blocking).
 
     A claim's own rules are one array of violations, made from one row in which everything about the claim is joined, and
-    exploded once; rules over other tables are a join each. ``paragraphs`` has (file, paragraph_index, text); ``files`` names
+    exploded once; rules over other tables are a join each, of the few fields that they read. Claims may come with their ``entries``
+    (see :func:`with_entries`, with authors). ``paragraphs`` has (file, paragraph_index, text); ``files`` names
     the source files there are (those of the paragraphs, where it isn't given).
 
     Stored tables that are given are compared too: ``index``, ``seeds``, ``report`` and ``bases`` (claim_id, score_basis) by
@@ -275,10 +292,11 @@ def validate(
     A claim without a stored score breaks one rule by that, and none that compares the score's fields.
     """
     rubric = rubric or Rubric()
-    rows = claim_rows(claims, bibliography, paragraphs, paragraphs if files is None else files, as_of, rubric)
+    rows = claim_rows(claims, bibliography, as_of, rubric)
     found = [
         rows.select(F.explode(claim_rules(version, rubric.cap)).alias("v")).select("v.*"),
         claims.groupBy("claim_id").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("duplicate claim").alias("check_name"), F.col("claim_id").alias("key")),
+        text_violations(claims, paragraphs, files),
         edge_violations(claims, edges),
     ]
     for name, own, told in (("index record", index_records, index), ("seed record", seed_records, seeds), ("report record", report_records, report), ("report basis", lambda c: basis_records(c, bibliography, as_of), bases)):

@@ -134,3 +134,46 @@ def test_stored_records_are_compared_with_claims_made_once(spark):
         pytest.skip("needs the driver's tables")
     frame = catalog.queries()["q67_stored_records"](spark, "/root/testdata/sf0.001")
     assert "l_orderkey" not in frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_checks_of_stored_claims_shuffle_no_whole_claim(spark):
+    from claimloom import catalog
+
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("needs the driver's tables")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        frame = catalog.queries()["q66_repository_checks"](spark, "/root/testdata/sf0.001")
+        plan = spark.sparkContext._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffled = re.findall(r"^\(\d+\) Exchange\nInput \[\d+\]: (.*)", plan, re.M)
+    assert shuffled and not [x for x in shuffled if re.search(r"\b(citation_contexts|claim_atoms|trust_score|entries|contexts)#", x)]
+    stored = [x for x in shuffled if re.search(r"\bcitation_keys#", x) and "options" not in x]
+    assert not stored  # directives come to the claims, not claims to the directives
+
+
+def test_edges_and_pages_meet_claims_by_their_id(spark):
+    from pyspark.sql import functions as F
+
+    from claimloom.plans import repository
+    from claimloom.sources import schemas
+
+    rows = lambda frame: sorted(map(tuple, frame.collect()), key=str)
+    types = {f.name: f.dataType for f in spark.createDataFrame([], schemas.CLAIM).schema}
+    context = lambda key, role: F.struct(*[F.lit({"cite_key": key, "role": role}.get(f.name)).cast(f.dataType).alias(f.name) for f in types["citation_contexts"].elementType.fields])
+    several = F.array(context("a", "background"), context("a", "direct_support"), context("b", "partial_support"), context("c", "direct_support"))
+    own = spark.createDataFrame([("c1", "f1"), ("c1", "f2"), ("c2", None), (None, None)], "id string, file string")
+    made = {"claim_id": F.col("id"), "source_file": F.col("file"), "claim_text": F.lit("Text."), "paragraph_index": F.lit(1), "citation_contexts": F.when(F.col("id").eqNullSafe("c2"), F.lit(None)).otherwise(several)}
+    frame = own.select(*[made.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in types.items()])
+    edges = spark.createDataFrame([("c1", "supports", "a", "citation", 1.0, ""), ("c1", "supports", "a", "citation", 1.0, ""), ("c1", "supports", "b", "citation", 0.5, ""), ("c1", "supports", None, "citation", 1.0, ""), ("c2", "x", "a", "claim", 2.0, ""), (None, "x", "a", "citation", 1.0, "")], schemas.EDGE)
+    assert rows(repository.edge_violations(frame, edges)) == sorted(
+        [("context without edge", "c1"), ("context without edge", None), ("context without edge", None), ("context without edge", None), ("edge of unknown claim", None), ("edge relation or weight", "c1"), ("edge weight", "c2"), ("edge without context", "c1")], key=str
+    )
+    options = lambda cid: {"claim-id": cid, "claim": "Text."}
+    pages = spark.createDataFrame([("f1", 1, {"claim-id": "c1", "claim": "Other."}), ("f1", 0, options("c1")), ("f3", 0, options("c1")), (None, 0, options("c2")), ("f1", 0, {"claim": "x"})], schemas.DIRECTIVE)
+    assert rows(repository.directive_problems(frame, pages)) == sorted([("c1", "no directive"), ("c2", "no directive"), (None, "no directive")], key=str)
+    prose = spark.createDataFrame([("f1", 1, "So: Text."), ("f2", 1, "Nothing."), ("f4", 1, "Text.")], "file string, paragraph_index int, text string")
+    stands, file = "claim stands in its paragraph", "source file"
+    assert rows(repository.text_violations(frame, prose)) == sorted([(stands, "c1"), (file, "c2"), (file, None)], key=str)
+    assert rows(repository.text_violations(frame, prose, prose.where("file <> 'f1'"))) == sorted([(file, "c1"), (stands, "c1"), (file, "c2"), (file, None)], key=str)
