@@ -364,3 +364,22 @@ def test_paragraphs_are_numbered_in_their_row(spark):
     rows = documents.paragraphs(texts)
     assert [tuple(r) for r in rows.orderBy("paragraph_index").collect()] == [("a", 1, "One."), ("a", 2, "qx"), ("a", 3, "Two x."), ("a", 4, "Three.")]
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_digests_of_files_beyond_one_value(spark, tmp_path):
+    rng = random.Random(3)
+    mark = b"\xef\xbb\xbf"
+    made = {
+        "random.parquet": rng.randbytes(1_200_000), "feeds.bin": b"\n" * 70_000, "returns.txt": b"a\r\n\r\xffb\n" * 20_000 + b"x", "mark.txt": mark + b"abc\n" * 20_000, "mark2.txt": mark + b"abc\n" * 20_000 + b"z",
+        "marks.bin": mark * 2 + rng.randbytes(90_000) + b"\n", "zeros.bin": b"\0" * 300_000, "a + b%20[1].bin": rng.randbytes(200_000), "coded.gz": rng.randbytes(60_000), "small": b"abc",
+    }
+    for name, data in made.items():
+        (tmp_path / name).write_bytes(data)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 65_000)  # in place of 2 GB
+    try:
+        index = files.digest_index(spark, f"file://{tmp_path}", 60_000).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert {r.name.split("/")[-1]: (r.bytes, r.sha256) for r in index} == {n: (len(x), hashlib.sha256(x).hexdigest()) for n, x in made.items()}
