@@ -417,6 +417,20 @@ def test_radar_meets_claims_after_every_shuffle(spark):
     assert told.rows.count() == 60 and told.classes.count() == 1 and told.affected().count() == 40
 
 
+def test_proposals_are_dealt_by_the_claims_that_they_name(spark, monkeypatch):
+    """A few narrow rows that become a large result are not left to one task."""
+    config = [(f"clm_{i:016x}", [f"10.1/{i}"], ["cell division"]) for i in range(40)]
+    feed = [record(i, title=f"On Cell-Division {i % 3}", related_dois=["10.1/7"] if i % 2 else []) for i in range(60)] + [record(99)]
+    asked, fed = spark.createDataFrame(config, schemas.RADAR_CLAIM), spark.createDataFrame(feed, schemas.RADAR_RECORD)
+    monkeypatch.setattr(radar, "NAMED", 250)
+    assert radar.matches(asked, fed).named() == 60 * 40 + 30
+    _, found = radar.run(asked, fed, asked.select("claim_id"), "2025-02-01T00:00:00Z")
+    got = found.withColumn("task", F.spark_partition_id()).collect()
+    assert [r.proposal_id for r in got] == sorted(r.proposal_id for r in got) and len(got) == 60
+    sizes = [sum(r.task == i for r in got) for i in range(10)]
+    assert sum(sizes) == 60 and max(sizes) <= 10  # of some 6, as ranges come from samples
+
+
 def test_outline_counts_what_the_backlog_holds(spark):
     themes = spark.createDataFrame([(0, "trust-evidence", "T", "x", ["docs", "gone"]), (1, "docs", "D", "y", []), (2, "empty", "E", "z", [])], "theme_ord int, theme_id string, title string, owner string, depends_on array<string>")
     rows = [(f"proposal-b{i:02}", "validator", "docs", "A long title", ["low", "critical"][i % 5 == 3], [f"clm_{i % 4:016x}", f"clm_{i % 3:016x}"], ["README.md"], False) for i in range(20)]
